@@ -150,6 +150,51 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
                       F.col(f"b.`{item}`"))
 
 
+def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, group, item: str,
+                                       weight, k, request_key, seed: str = "wor",
+                                       oversample: int = 2, blocks: int = 1024,
+                                       draw_col: str = "draw") -> DataFrame:
+    """X4 for many requests against shared item groups (e.g. packs against
+    sheets), with cost proportional to the picks rather than to the groups.
+
+    Exact two-phase draw:
+    1. draw ``oversample * k`` candidates *with* replacement (X3) and keep the
+       first ``k`` distinct items in draw order.  Dropping repeats from a
+       with-replacement stream is exactly successive weighted sampling
+       without replacement.
+    2. requests still short of ``k`` (a dominant weight, or fewer items than
+       ``k``) continue from where they stopped: ES keys over their remaining
+       items only (sampling is Markov, so the continuation is exact).
+
+    Output: request columns + ``draw_col`` (0-based draw order) + ``item``.
+    """
+    g = _cols(group)
+    rk = _cols(request_key)
+    kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
+    req = requests.select(*[F.col(c) for c in dict.fromkeys(g + rk)], kcol.cast("int").alias("_k")) \
+        .where(F.col("_k") > 0)
+    req = req.withColumn("_cand", F.col("_k") * F.lit(int(oversample)))
+    cand = weighted_with_replacement(items, req, g, item, weight, "_cand", rk, seed=f"{seed}|c",
+                                     blocks=blocks, draw_col="_d")
+    keys = list(dict.fromkeys(g + rk))
+    first = cand.groupBy(*keys, item).agg(F.min("_d").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_first")
+    got = first.withColumn("_r", F.row_number().over(w)).join(req.select(*keys, "_k"), keys, "inner")
+    phase1 = got.where(F.col("_r") <= F.col("_k")).select(
+        *keys, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
+    counts = got.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    short = req.join(counts, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0))) \
+        .where(F.col("_n") < F.col("_k")).select(*keys, "_k", "_n")
+    pool = short.join(items, g, "inner")
+    pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
+    pool = pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
+    wr = Window.partitionBy(*keys).orderBy(F.col("_key").asc(), F.col(item).asc())
+    phase2 = (pool.withColumn("_r", F.row_number().over(wr))
+              .where(F.col("_r") <= F.col("_k") - F.col("_n"))
+              .select(*keys, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
+    return phase1.unionByName(phase2)
+
+
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,
                sheets: DataFrame, sheet_cards: DataFrame, cards: DataFrame | None = None,
                seed: str = "pack", request_id: str = "request_id",
@@ -188,11 +233,10 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     rk = [request_id, "sheetName"]
     dup = weighted_with_replacement(sc, per_sheet.where("allow_dup"), grp, "cardUuid", "cardWeight",
                                     "picks", rk, seed=f"{seed}|dup")
-    nodup_items = per_sheet.where(~F.col("allow_dup")).select(request_id, *grp, "picks").join(sc, grp, "inner")
-    nodup = weighted_without_replacement(nodup_items, [request_id, "sheetName"], "cardUuid", "cardWeight",
-                                         "picks", seed=f"{seed}|nodup", rank_col="draw")
-    nodup = nodup.select(request_id, *grp, (F.col("draw") - 1).alias("draw"), "cardUuid")
-    drawn = dup.select(request_id, *grp, "draw", "cardUuid").unionByName(nodup)
+    nodup = weighted_without_replacement_draws(sc, per_sheet.where(~F.col("allow_dup")), grp, "cardUuid",
+                                               "cardWeight", "picks", rk, seed=f"{seed}|nodup")
+    drawn = dup.select(request_id, *grp, "draw", "cardUuid").unionByName(
+        nodup.select(request_id, *grp, "draw", "cardUuid"))
     drawn = drawn.join(picked.select(request_id, "boosterIndex"), request_id, "inner") \
         .withColumn("status", F.lit("ok"))
     miss = missing.select(request_id, *keys, F.lit(None).cast("bigint").alias("boosterIndex"),
