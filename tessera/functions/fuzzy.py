@@ -62,7 +62,9 @@ def jaro_winkler_score(c, query: str) -> Column:
         uniq = {v: jaro_winkler(v, query) for v in s.dropna().unique()}
         return s.map(uniq).astype("float64")
 
-    return _score(c if isinstance(c, Column) else F.col(c))
+    # Marked non-deterministic only so that the optimizer does not copy the
+    # call into the filter above it (which would score every row twice).
+    return _score.asNondeterministic()(c if isinstance(c, Column) else F.col(c))
 
 
 def _byte_view(c: Column) -> Column:

@@ -114,23 +114,26 @@ def cumulative_intervals(items: DataFrame, group, item: str, weight,
 
 def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item: str, weight,
                               k, request_key, seed: str = "wr", blocks: int = 1024,
-                              draw_col: str = "draw") -> DataFrame:       # X3
+                              draw_col: str = "draw", carry=()) -> DataFrame:       # X3
     """For each request row (carrying the ``group`` columns, a ``request_key``
     and a count ``k`` (int or column)), ``k`` items drawn with replacement
     with P = w / total.  Groups with total <= 0 (or no items) draw nothing.
 
-    Output: request columns + ``draw_col`` (0-based) + ``item``.
+    Output: group + request key + ``carry`` columns, ``draw_col`` (0-based)
+    and ``item``.
     """
     g = _cols(group)
     rk = _cols(request_key)
+    keys = list(dict.fromkeys(g + rk))
+    carry = [c for c in carry if c not in keys]
     iv = cumulative_intervals(items, g, item, weight, blocks)
     stats = iv.groupBy(*g).agg(F.first("total").alias("_total"), F.count(F.lit(1)).alias("_n"))
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
-    req = requests.select(*[F.col(c) for c in dict.fromkeys(g + rk)], kcol.cast("int").alias("_k"))
+    req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_k"))
     req = req.join(stats, g, "inner").where((F.col("_total") > 0) & (F.col("_k") > 0))
     # Bucket width so that a group's value range splits into ~n buckets.
     width = F.greatest(F.lit(1), F.ceil(F.col("_total") / F.col("_n"))).cast("bigint")
-    draws = (req.select(*[F.col(c) for c in dict.fromkeys(g + rk)], "_total", width.alias("_width"),
+    draws = (req.select(*[F.col(c) for c in keys + carry], "_total", width.alias("_width"),
                         F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias(draw_col))
              .withColumn("_roll", F.floor(hash_uniform(seed, rk + [draw_col]) * F.col("_total")).cast("bigint"))
              .withColumn("_bkt", F.floor(F.col("_roll") / F.col("_width")).cast("bigint")))
@@ -146,10 +149,34 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
         F.col("a._bkt") == F.col("b._bkt"),
         F.col("a._roll") >= F.col("b.lo"), F.col("a._roll") < F.col("b.hi")]
     out = a.join(b, cond, "inner")
-    return out.select(*[F.col(f"a.`{c}`") for c in dict.fromkeys(g + rk)], F.col(f"a.{draw_col}"),
+    return out.select(*[F.col(f"a.`{c}`") for c in keys + carry], F.col(f"a.{draw_col}"),
                       F.col(f"b.`{item}`"))
 
 
+def _complete_without_replacement(cand: DataFrame, req: DataFrame, items: DataFrame, g, rk, item: str,
+                                  weight, seed: str, draw_col: str) -> DataFrame:
+    """Phase 2 of the two-phase draw (see below): ``cand`` holds candidate
+    draws ``(keys…, _d, item)`` made with replacement, ``req`` the requests
+    ``(keys…, _k)``."""
+    keys = list(dict.fromkeys(g + rk))
+    first = cand.groupBy(*keys, item).agg(F.min("_d").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_first")
+    got = first.withColumn("_r", F.row_number().over(w)).join(req.select(*keys, "_k"), keys, "inner")
+    phase1 = got.where(F.col("_r") <= F.col("_k")).select(
+        *keys, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
+    counts = got.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    short = req.select(*keys, "_k").join(counts, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0))) \
+        .where(F.col("_n") < F.col("_k"))
+    pool = short.join(items, g, "inner")
+    pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
+    pool = pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
+    wr = Window.partitionBy(*keys).orderBy(F.col("_key").asc(), F.col(item).asc())
+    phase2 = (pool.withColumn("_r", F.row_number().over(wr))
+              .where(F.col("_r") <= F.col("_k") - F.col("_n"))
+              .select(*keys, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
+    return phase1.unionByName(phase2)
+
+
 def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, group, item: str,
                                        weight, k, request_key, seed: str = "wor",
                                        oversample: int = 2, blocks: int = 1024,
@@ -166,33 +193,18 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
        ``k``) continue from where they stopped: ES keys over their remaining
        items only (sampling is Markov, so the continuation is exact).
 
-    Output: request columns + ``draw_col`` (0-based draw order) + ``item``.
+    Output: group + request key columns, ``draw_col`` (0-based draw order)
+    and ``item``.
     """
     g = _cols(group)
     rk = _cols(request_key)
+    keys = list(dict.fromkeys(g + rk))
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
-    req = requests.select(*[F.col(c) for c in dict.fromkeys(g + rk)], kcol.cast("int").alias("_k")) \
-        .where(F.col("_k") > 0)
-    req = req.withColumn("_cand", F.col("_k") * F.lit(int(oversample)))
+    req = requests.select(*keys, kcol.cast("int").alias("_k")).where(F.col("_k") > 0) \
+        .withColumn("_cand", F.col("_k") * F.lit(int(oversample)))
     cand = weighted_with_replacement(items, req, g, item, weight, "_cand", rk, seed=f"{seed}|c",
                                      blocks=blocks, draw_col="_d")
-    keys = list(dict.fromkeys(g + rk))
-    first = cand.groupBy(*keys, item).agg(F.min("_d").alias("_first"))
-    w = Window.partitionBy(*keys).orderBy("_first")
-    got = first.withColumn("_r", F.row_number().over(w)).join(req.select(*keys, "_k"), keys, "inner")
-    phase1 = got.where(F.col("_r") <= F.col("_k")).select(
-        *keys, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
-    counts = got.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    short = req.join(counts, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0))) \
-        .where(F.col("_n") < F.col("_k")).select(*keys, "_k", "_n")
-    pool = short.join(items, g, "inner")
-    pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
-    pool = pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
-    wr = Window.partitionBy(*keys).orderBy(F.col("_key").asc(), F.col(item).asc())
-    phase2 = (pool.withColumn("_r", F.row_number().over(wr))
-              .where(F.col("_r") <= F.col("_k") - F.col("_n"))
-              .select(*keys, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
-    return phase1.unionByName(phase2)
+    return _complete_without_replacement(cand, req, items, g, rk, item, weight, seed, draw_col)
 
 
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,
@@ -203,8 +215,11 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
 
     1. pick a template per request (X2, weighted by boosterWeight);
     2. its sheets with pick counts (NULL -> 1, 0 -> skipped);
-    3. per (request, sheet): X3 if the sheet allows duplicates, else X4;
-    4. fetch card rows (J8) in (sheetName, draw) order.
+    3. per (request, sheet): with-replacement draws (X3) when the sheet
+       allows duplicates, else the exact two-phase draw without replacement
+       (candidates from the same X3 pass, then ES for any shortfall);
+    4. fetch card rows (J8): order by (sheetName, draw); uuids missing from
+       ``cards`` are dropped, as a batch fetch drops misses.
 
     Requests without a template come back once with ``status =
     'no_template'`` and NULL card columns instead of failing the job.
@@ -231,12 +246,18 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         .select(*keys, "sheetName", "cardUuid", F.coalesce("cardWeight", F.lit(1)).alias("cardWeight"))
     grp = keys + ["sheetName"]
     rk = [request_id, "sheetName"]
-    dup = weighted_with_replacement(sc, per_sheet.where("allow_dup"), grp, "cardUuid", "cardWeight",
-                                    "picks", rk, seed=f"{seed}|dup")
-    nodup = weighted_without_replacement_draws(sc, per_sheet.where(~F.col("allow_dup")), grp, "cardUuid",
-                                               "cardWeight", "picks", rk, seed=f"{seed}|nodup")
-    drawn = dup.select(request_id, *grp, "draw", "cardUuid").unionByName(
-        nodup.select(request_id, *grp, "draw", "cardUuid"))
+    # One with-replacement candidate draw serves both kinds of sheet: sheets
+    # that allow duplicates use their first `picks` draws as they are; the
+    # others draw 2 x picks candidates and keep the first distinct ones.
+    per_sheet = per_sheet.withColumn("_k", F.col("picks")) \
+        .withColumn("_cand", F.when(F.col("allow_dup"), F.col("picks")).otherwise(F.col("picks") * 2))
+    cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
+                                     seed=f"{seed}|draw", draw_col="_d", carry=["allow_dup"])
+    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, F.col("_d").alias("draw"), "cardUuid")
+    nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"),
+                                          per_sheet.where(~F.col("allow_dup")), sc, grp, rk, "cardUuid",
+                                          "cardWeight", f"{seed}|nodup", "draw")
+    drawn = dup.unionByName(nodup.select(request_id, *grp, "draw", "cardUuid"))
     drawn = drawn.join(picked.select(request_id, "boosterIndex"), request_id, "inner") \
         .withColumn("status", F.lit("ok"))
     miss = missing.select(request_id, *keys, F.lit(None).cast("bigint").alias("boosterIndex"),
@@ -246,6 +267,7 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         .unionByName(miss)
     if cards is not None:
         c = cards.alias("c")
-        out = out.alias("o").join(c, F.col("o.cardUuid") == F.col(f"c.`{card_key}`"), "left") \
-            .select("o.*", *[F.col(f"c.`{x}`") for x in cards.columns if x not in out.columns])
+        out = (out.alias("o").join(c, F.col("o.cardUuid") == F.col(f"c.`{card_key}`"), "left")
+               .where((F.col("o.status") != "ok") | F.col(f"c.`{card_key}`").isNotNull())
+               .select("o.*", *[F.col(f"c.`{x}`") for x in cards.columns if x not in out.columns]))
     return out
