@@ -67,15 +67,22 @@ def weighted_without_replacement(items: DataFrame, group, item: str, weight, k,
 
 
 def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick",
-                  out: str | None = None) -> DataFrame:                  # X2
+                  out: str | None = None, totals: DataFrame | None = None,
+                  totals_on=None) -> DataFrame:                          # X2
     """One item per group, P(item) = w / total; total <= 0 -> uniform pick.
 
     A grouped ``min_by`` over a key that switches to a plain uniform when the
-    group's total is not positive (total from a partial-aggregate join)."""
+    group's total is not positive.  The totals come from a partial aggregate
+    of ``items``, or, when many groups share one weight table (requests
+    against templates), from ``totals`` (``totals_on`` columns + ``_total``)
+    computed on that small table instead.
+    """
     g = _cols(group)
     w = _weight(weight)
-    totals = items.groupBy(*g).agg(F.sum(w).alias("_total"))
-    d = items.join(totals, g, "inner")
+    if totals is None:
+        totals = items.groupBy(*g).agg(F.sum(w).alias("_total"))
+        totals_on = g
+    d = items.join(totals, _cols(totals_on), "inner")
     u = hash_uniform(seed, g + [item])
     key = F.when(F.col("_total") > 0, F.when(w > 0, -F.log(u) / w)).otherwise(u)
     d = d.withColumn("_key", key).where(F.col("_key").isNotNull())
@@ -86,30 +93,43 @@ def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick"
     return sel if out is None else sel.withColumnRenamed(item, out)
 
 
+def _interval_tables(items: DataFrame, g: list, item: str, weight, blocks: int):
+    w = F.coalesce(F.col(weight) if isinstance(weight, str) else weight, F.lit(1)).cast("bigint")
+    d = items.select(*g, F.col(item), w.alias("_w")).where(F.col("_w") > 0) \
+        .withColumn("_blk", hash_bucket("blk", item, blocks))
+    bsum = d.groupBy(*g, "_blk").agg(F.sum("_w").alias("_bsum"), F.count(F.lit(1)).alias("_bcnt"))
+    wg = Window.partitionBy(*g)
+    boff = (bsum.withColumn("_boff", F.sum("_bsum").over(
+                wg.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_total", F.sum("_bsum").over(wg))
+            .withColumn("_n", F.sum("_bcnt").over(wg))
+            .select(*g, "_blk", F.coalesce("_boff", F.lit(0)).alias("_boff"), "_total", "_n"))
+    wi = Window.partitionBy(*g, "_blk").orderBy(F.col(item)).rowsBetween(Window.unboundedPreceding, 0)
+    run = d.withColumn("_run", F.sum("_w").over(wi))
+    iv = run.join(boff, g + ["_blk"], "inner").select(
+        *g, F.col(item), F.col("_w").alias("weight"),
+        (F.col("_boff") + F.col("_run") - F.col("_w")).alias("lo"),
+        (F.col("_boff") + F.col("_run")).alias("hi"),
+        F.col("_total").alias("total"), F.col("_n").alias("n"))
+    stats = boff.select(*g, "_total", "_n").dropDuplicates(g)
+    return iv, stats
+
+
 def cumulative_intervals(items: DataFrame, group, item: str, weight,
                          blocks: int = 1024) -> DataFrame:
     """``[lo, hi)`` integer intervals of positive weights per group, in the
-    order (hash block of item, item), plus the group ``total``.
+    order (hash block of item, item), plus the group ``total`` and item
+    count ``n``.
 
     Block sums are a partial aggregate; the only windows run over <= blocks
     rows per group (block offsets) and over one block's items (running sums).
     """
-    g = _cols(group)
-    w = F.coalesce(F.col(weight) if isinstance(weight, str) else weight, F.lit(1)).cast("bigint")
-    d = items.select(*g, F.col(item), w.alias("_w")).where(F.col("_w") > 0) \
-        .withColumn("_blk", hash_bucket("blk", item, blocks))
-    bsum = d.groupBy(*g, "_blk").agg(F.sum("_w").alias("_bsum"))
-    wb = Window.partitionBy(*g).orderBy("_blk")
-    boff = (bsum.withColumn("_boff", F.sum("_bsum").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("_total", F.sum("_bsum").over(Window.partitionBy(*g)))
-            .select(*g, "_blk", F.coalesce("_boff", F.lit(0)).alias("_boff"), "_total"))
-    wi = Window.partitionBy(*g, "_blk").orderBy(F.col(item)).rowsBetween(Window.unboundedPreceding, 0)
-    run = d.withColumn("_run", F.sum("_w").over(wi))
-    out = run.join(boff, g + ["_blk"], "inner")
-    return out.select(*g, F.col(item), F.col("_w").alias("weight"),
-                      (F.col("_boff") + F.col("_run") - F.col("_w")).alias("lo"),
-                      (F.col("_boff") + F.col("_run")).alias("hi"),
-                      F.col("_total").alias("total"))
+    return _interval_tables(items, _cols(group), item, weight, blocks)[0]
+
+
+def _width(total: Column, n: Column) -> Column:
+    # Bucket width so that a group's value range splits into ~n buckets.
+    return F.greatest(F.lit(1), F.ceil(total / n)).cast("bigint")
 
 
 def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item: str, weight,
@@ -126,23 +146,19 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
     rk = _cols(request_key)
     keys = list(dict.fromkeys(g + rk))
     carry = [c for c in carry if c not in keys]
-    iv = cumulative_intervals(items, g, item, weight, blocks)
-    stats = iv.groupBy(*g).agg(F.first("total").alias("_total"), F.count(F.lit(1)).alias("_n"))
+    iv, stats = _interval_tables(items, g, item, weight, blocks)
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
-    req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_k"))
-    req = req.join(stats, g, "inner").where((F.col("_total") > 0) & (F.col("_k") > 0))
-    # Bucket width so that a group's value range splits into ~n buckets.
-    width = F.greatest(F.lit(1), F.ceil(F.col("_total") / F.col("_n"))).cast("bigint")
-    draws = (req.select(*[F.col(c) for c in keys + carry], "_total", width.alias("_width"),
-                        F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias(draw_col))
+    req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_kk"))
+    req = req.join(stats, g, "inner").where((F.col("_total") > 0) & (F.col("_kk") > 0))
+    draws = (req.select(*[F.col(c) for c in keys + carry], "_total",
+                        _width(F.col("_total"), F.col("_n")).alias("_width"),
+                        F.explode(F.sequence(F.lit(0), F.col("_kk") - 1)).alias(draw_col))
              .withColumn("_roll", F.floor(hash_uniform(seed, rk + [draw_col]) * F.col("_total")).cast("bigint"))
              .withColumn("_bkt", F.floor(F.col("_roll") / F.col("_width")).cast("bigint")))
-    widths = stats.select(*g, F.greatest(F.lit(1), F.ceil(F.col("_total") / F.col("_n"))).cast("bigint").alias("_width"))
-    spans = (iv.join(widths, g, "inner")
-             .select(*g, item, "lo", "hi",
-                     F.explode(F.sequence(F.floor(F.col("lo") / F.col("_width")).cast("bigint"),
-                                          F.floor((F.col("hi") - 1) / F.col("_width")).cast("bigint")))
-                     .alias("_bkt")))
+    width = _width(F.col("total"), F.col("n"))
+    spans = iv.select(*g, item, "lo", "hi",
+                      F.explode(F.sequence(F.floor(F.col("lo") / width).cast("bigint"),
+                                           F.floor((F.col("hi") - 1) / width).cast("bigint"))).alias("_bkt"))
     a = draws.alias("a")
     b = spans.alias("b")
     cond = [F.col(f"a.`{c}`") == F.col(f"b.`{c}`") for c in g] + [
@@ -153,27 +169,29 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
                       F.col(f"b.`{item}`"))
 
 
-def _complete_without_replacement(cand: DataFrame, req: DataFrame, items: DataFrame, g, rk, item: str,
-                                  weight, seed: str, draw_col: str) -> DataFrame:
-    """Phase 2 of the two-phase draw (see below): ``cand`` holds candidate
-    draws ``(keys…, _d, item)`` made with replacement, ``req`` the requests
-    ``(keys…, _k)``."""
+def _complete_without_replacement(cand: DataFrame, items: DataFrame, g, rk, item: str, weight,
+                                  seed: str, draw_col: str, carry=()) -> DataFrame:
+    """Phase 2 of the two-phase draw (see below).  ``cand`` holds candidate
+    draws ``(keys…, _k, carry…, _d, item)`` made with replacement; ``_k`` is
+    the request's pick count."""
     keys = list(dict.fromkeys(g + rk))
-    first = cand.groupBy(*keys, item).agg(F.min("_d").alias("_first"))
-    w = Window.partitionBy(*keys).orderBy("_first")
-    got = first.withColumn("_r", F.row_number().over(w)).join(req.select(*keys, "_k"), keys, "inner")
+    carry = [c for c in carry if c not in keys]
+    first = cand.groupBy(*keys, "_k", *carry, item).agg(F.min("_d").alias("_first"))
+    wk = Window.partitionBy(*keys)
+    got = (first.withColumn("_r", F.row_number().over(wk.orderBy("_first")))
+           .withColumn("_n", F.count(F.lit(1)).over(wk)))
     phase1 = got.where(F.col("_r") <= F.col("_k")).select(
-        *keys, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
-    counts = got.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    short = req.select(*keys, "_k").join(counts, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0))) \
-        .where(F.col("_n") < F.col("_k"))
+        *keys, *carry, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
+    # Requests short of k distinct items (a group with positive total always
+    # has at least one candidate, so every request with draws appears here).
+    short = got.where((F.col("_r") == 1) & (F.col("_n") < F.col("_k"))).select(*keys, "_k", *carry, "_n")
     pool = short.join(items, g, "inner")
     pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
     pool = pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
     wr = Window.partitionBy(*keys).orderBy(F.col("_key").asc(), F.col(item).asc())
     phase2 = (pool.withColumn("_r", F.row_number().over(wr))
               .where(F.col("_r") <= F.col("_k") - F.col("_n"))
-              .select(*keys, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
+              .select(*keys, *carry, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
     return phase1.unionByName(phase2)
 
 
@@ -203,8 +221,8 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
     req = requests.select(*keys, kcol.cast("int").alias("_k")).where(F.col("_k") > 0) \
         .withColumn("_cand", F.col("_k") * F.lit(int(oversample)))
     cand = weighted_with_replacement(items, req, g, item, weight, "_cand", rk, seed=f"{seed}|c",
-                                     blocks=blocks, draw_col="_d")
-    return _complete_without_replacement(cand, req, items, g, rk, item, weight, seed, draw_col)
+                                     blocks=blocks, draw_col="_d", carry=["_k"])
+    return _complete_without_replacement(cand, items, g, rk, item, weight, seed, draw_col)
 
 
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,
@@ -227,11 +245,19 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     cardUuid, status (+ card columns when ``cards`` is given).
     """
     keys = ["setCode", "boosterName"]
-    req = requests.select(request_id, F.upper(F.col("setCode")).alias("setCode"), "boosterName")
+    # Each request fans out to templates x sheets x picks rows; spread the
+    # (narrow) request table over the shuffle partitions once, so that the
+    # fan-out never runs in the few tasks of its source scan.
+    n_parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    req = requests.select(request_id, F.upper(F.col("setCode")).alias("setCode"), "boosterName") \
+        .repartition(n_parts, request_id)
     cw = content_weights.select(*keys, "boosterIndex",
                                 F.coalesce("boosterWeight", F.lit(1)).cast("bigint").alias("boosterWeight"))
+    # Template totals per (set, booster) on the small weights table.
+    totals = cw.groupBy(*keys).agg(F.sum("boosterWeight").alias("_total"))
     cand = req.join(cw, keys, "inner")
-    picked = weighted_pick(cand, [request_id], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl")
+    picked = weighted_pick(cand, [request_id], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl",
+                           totals=totals, totals_on=keys)
     missing = req.join(picked.select(request_id), request_id, "left_anti")
     pk = contents.select(*keys, "boosterIndex", "sheetName",
                          F.coalesce("sheetPicks", F.lit(1)).cast("int").alias("picks"))
@@ -252,13 +278,14 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     per_sheet = per_sheet.withColumn("_k", F.col("picks")) \
         .withColumn("_cand", F.when(F.col("allow_dup"), F.col("picks")).otherwise(F.col("picks") * 2))
     cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
-                                     seed=f"{seed}|draw", draw_col="_d", carry=["allow_dup"])
-    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, F.col("_d").alias("draw"), "cardUuid")
-    nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"),
-                                          per_sheet.where(~F.col("allow_dup")), sc, grp, rk, "cardUuid",
-                                          "cardWeight", f"{seed}|nodup", "draw")
-    drawn = dup.unionByName(nodup.select(request_id, *grp, "draw", "cardUuid"))
-    drawn = drawn.join(picked.select(request_id, "boosterIndex"), request_id, "inner") \
+                                     seed=f"{seed}|draw", draw_col="_d",
+                                     carry=["allow_dup", "boosterIndex", "_k"])
+    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, "boosterIndex", F.col("_d").alias("draw"),
+                                                "cardUuid")
+    nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"), sc, grp, rk,
+                                          "cardUuid", "cardWeight", f"{seed}|nodup", "draw",
+                                          carry=["boosterIndex"])
+    drawn = dup.unionByName(nodup.select(request_id, *grp, "boosterIndex", "draw", "cardUuid")) \
         .withColumn("status", F.lit("ok"))
     miss = missing.select(request_id, *keys, F.lit(None).cast("bigint").alias("boosterIndex"),
                           F.lit(None).cast("string").alias("sheetName"), F.lit(None).cast("int").alias("draw"),
