@@ -837,7 +837,104 @@ def booster_tables(spark, sf):
     return weights, contents, sheets, sheet_cards
 
 
-@query("multi_stage_draw")
+def _u(seed, key_sql):
+    return _u_sql(seed, key_sql)
+
+
+_PACK_SQL = f"""
+WITH sheet_cards AS (
+  SELECT upper(p_type) AS setCode, 'draft' AS boosterName, p_brand AS sheetName,
+         CAST(p_partkey AS VARCHAR) AS cardUuid, CAST(p_size AS BIGINT) AS cardWeight FROM part),
+sheet_keys AS (SELECT DISTINCT setCode, boosterName, sheetName FROM sheet_cards),
+sheets AS (
+  SELECT setCode, boosterName, sheetName,
+         CAST(regexp_extract(sheetName, '(\\d+)$', 1) AS INTEGER) % 2 = 1 AS allow_dup FROM sheet_keys),
+weights AS (
+  SELECT k.setCode, k.boosterName, t.boosterIndex, t.boosterWeight
+  FROM (SELECT DISTINCT setCode, boosterName FROM sheet_keys) k,
+       (VALUES (0::BIGINT, 3::BIGINT), (1::BIGINT, 1::BIGINT)) AS t(boosterIndex, boosterWeight)),
+contents AS (
+  SELECT s.setCode, s.boosterName, i.boosterIndex, s.sheetName, CAST(i.boosterIndex + 1 AS INTEGER) AS picks
+  FROM sheet_keys s, (VALUES (0::BIGINT), (1::BIGINT)) AS i(boosterIndex)),
+req AS (
+  SELECT c.c_custkey AS request_id, coalesce(upper(p.p_type), 'NONE') AS setCode, 'draft' AS boosterName
+  FROM customer c LEFT JOIN part p ON c.c_custkey = p.p_partkey),
+totals AS (SELECT setCode, boosterName, sum(boosterWeight) AS total FROM weights GROUP BY ALL),
+tpl_keys AS (
+  SELECT r.request_id, r.setCode, r.boosterName, w.boosterIndex,
+    CASE WHEN t.total > 0 THEN (CASE WHEN w.boosterWeight > 0 THEN
+           -ln({_u('pack|tpl', "CAST(r.request_id AS VARCHAR) || '|' || CAST(w.boosterIndex AS VARCHAR)")})
+           / w.boosterWeight END)
+         ELSE {_u('pack|tpl', "CAST(r.request_id AS VARCHAR) || '|' || CAST(w.boosterIndex AS VARCHAR)")} END AS k
+  FROM req r JOIN weights w USING (setCode, boosterName) JOIN totals t USING (setCode, boosterName)),
+picked AS (
+  SELECT request_id, setCode, boosterName, arg_min(boosterIndex, (k, boosterIndex)) AS boosterIndex
+  FROM tpl_keys WHERE k IS NOT NULL GROUP BY ALL),
+per_sheet AS (
+  SELECT p.request_id, p.setCode, p.boosterName, p.boosterIndex, c.sheetName, c.picks,
+         coalesce(s.allow_dup, false) AS allow_dup
+  FROM picked p JOIN contents c USING (setCode, boosterName, boosterIndex)
+  LEFT JOIN sheets s USING (setCode, boosterName, sheetName) WHERE c.picks > 0),
+items AS (
+  SELECT setCode, boosterName, sheetName, cardUuid, coalesce(cardWeight, 1) AS w,
+         CAST(floor({_u('blk', 'cardUuid')} * 1024) AS BIGINT) AS blk
+  FROM sheet_cards WHERE cardUuid IS NOT NULL AND trim(cardUuid) <> ''),
+iv AS (
+  SELECT setCode, boosterName, sheetName, cardUuid, w,
+    sum(w) OVER (PARTITION BY setCode, boosterName, sheetName ORDER BY blk, cardUuid
+                 ROWS UNBOUNDED PRECEDING) - w AS lo,
+    sum(w) OVER (PARTITION BY setCode, boosterName, sheetName ORDER BY blk, cardUuid
+                 ROWS UNBOUNDED PRECEDING) AS hi,
+    sum(w) OVER (PARTITION BY setCode, boosterName, sheetName) AS total
+  FROM items WHERE w > 0),
+stats AS (SELECT DISTINCT setCode, boosterName, sheetName, total FROM iv),
+draws AS (
+  SELECT ps.*, CAST(g.d AS INTEGER) AS d,
+    CAST(floor({_u('pack|draw', "CAST(ps.request_id AS VARCHAR) || '|' || ps.sheetName || '|' || CAST(g.d AS VARCHAR)")}
+               * st.total) AS BIGINT) AS roll
+  FROM per_sheet ps JOIN stats st USING (setCode, boosterName, sheetName),
+       generate_series(0, CASE WHEN ps.allow_dup THEN ps.picks ELSE ps.picks * 2 END - 1) AS g(d)
+  WHERE st.total > 0),
+cand AS (
+  SELECT d.request_id, d.setCode, d.boosterName, d.boosterIndex, d.sheetName, d.picks, d.allow_dup, d.d,
+         i.cardUuid
+  FROM draws d JOIN iv i ON d.setCode = i.setCode AND d.boosterName = i.boosterName
+   AND d.sheetName = i.sheetName AND d.roll >= i.lo AND d.roll < i.hi),
+dup AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, d AS draw, cardUuid
+        FROM cand WHERE allow_dup),
+firsts AS (
+  SELECT request_id, setCode, boosterName, boosterIndex, sheetName, picks, cardUuid, min(d) AS first_d
+  FROM cand WHERE NOT allow_dup GROUP BY ALL),
+got AS (
+  SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName, sheetName ORDER BY first_d) AS r,
+         count(*) OVER (PARTITION BY request_id, setCode, boosterName, sheetName) AS n
+  FROM firsts),
+phase1 AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, CAST(r - 1 AS INTEGER) AS draw,
+                  cardUuid FROM got WHERE r <= picks),
+short AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, picks, n FROM got
+          WHERE r = 1 AND n < picks),
+pool AS (
+  SELECT s.*, i.cardUuid,
+    CASE WHEN i.w > 0 THEN -ln({_u('pack|nodup|r', "CAST(s.request_id AS VARCHAR) || '|' || s.sheetName || '|' || i.cardUuid")})
+         / i.w END AS k
+  FROM short s JOIN items i USING (setCode, boosterName, sheetName)
+  WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.request_id = s.request_id AND f.setCode = s.setCode
+                    AND f.boosterName = s.boosterName AND f.sheetName = s.sheetName AND f.cardUuid = i.cardUuid)),
+phase2 AS (
+  SELECT request_id, setCode, boosterName, boosterIndex, sheetName, CAST(n + r2 - 1 AS INTEGER) AS draw, cardUuid
+  FROM (SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName, sheetName
+                                     ORDER BY k, cardUuid) AS r2 FROM pool WHERE k IS NOT NULL) x
+  WHERE r2 <= picks - n)
+SELECT request_id, setCode, boosterName, boosterIndex, sheetName, draw, cardUuid, 'ok' AS status
+FROM (SELECT * FROM dup UNION ALL SELECT * FROM phase1 UNION ALL SELECT * FROM phase2) a
+UNION ALL
+SELECT r.request_id, r.setCode, r.boosterName, NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, NULL::VARCHAR,
+       'no_template'
+FROM req r WHERE r.request_id NOT IN (SELECT request_id FROM picked)
+"""
+
+
+@query("multi_stage_draw", _PACK_SQL)
 def multi_stage_draw(spark, sf):
     weights, contents, sheets, sheet_cards = booster_tables(spark, sf)
     cust = _t(spark, sf, "customer").select("c_custkey")
