@@ -151,10 +151,12 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
                     for c in levels + [leaf_key]],
                   F.coalesce(F.col(leaf_value).cast("double"), F.lit(value_default)).alias("_v"))
     keys = id_cols + levels + [leaf_key]
-    # Dedupe on the full key (map-side partial aggregate), then one shuffle
-    # by id: every level groups by a superset of the id columns, so the
-    # remaining aggregates reuse that partitioning instead of re-shuffling.
-    cur = d.groupBy(*keys).agg(pick("_v").alias("_v")).repartition(*id_cols)
+    # Dedupe on the full key (map-side partial aggregate, hashed on all keys
+    # so even a hot id spreads over tasks), then one grouped aggregate per
+    # level: each level shuffles only the rows of the level below (one per
+    # series, then per finish, ...), so no task ever receives a hot id's raw
+    # rows; only its final, already-built map.
+    cur = d.groupBy(*keys).agg(pick("_v").alias("_v"))
     grp = id_cols + levels
     cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v")).alias("_m"))
     for lvl in reversed(levels):

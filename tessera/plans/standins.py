@@ -659,16 +659,20 @@ def group_map(spark, sf):
 
 
 @query("weight_map", """
-SELECT p_brand, CAST(p_partkey AS VARCHAR) AS card, max(coalesce(p_size, 1)) AS weight,
-       count(*) OVER (PARTITION BY p_brand) AS n_cards
-FROM part GROUP BY p_brand, p_partkey
+SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS card, max(coalesce(CAST(l_quantity AS BIGINT), 1)) AS weight,
+       count(*) OVER (PARTITION BY l_orderkey) AS n_cards
+FROM lineitem GROUP BY l_orderkey, l_partkey
 """)
 def weight_map(spark, sf):
-    part = _t(spark, sf, "part").select("p_brand", F.col("p_partkey").cast("string").alias("card"), "p_size")
-    m = A.weight_map(part, ["p_brand"], "card", "p_size", out="cards")
-    return m.select("p_brand", F.size("cards").cast("bigint").alias("n_cards"),
+    # Sheet = order (a bounded group: a handful of lines), card = part,
+    # weight = quantity; repeated parts in an order resolve to the max.
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").cast("string").alias("card"),
+        F.col("l_quantity").cast("bigint").alias("qty"))
+    m = A.weight_map(li, ["l_orderkey"], "card", "qty", out="cards")
+    return m.select("l_orderkey", F.size("cards").cast("bigint").alias("n_cards"),
                     F.explode("cards").alias("card", "weight")) \
-        .select("p_brand", "card", "weight", "n_cards")
+        .select("l_orderkey", "card", "weight", "n_cards")
 
 
 # --------------------------------------------------------------------------

@@ -44,11 +44,25 @@ TEST_TABLES = (
 ).split()
 
 
+_SCANS: dict = {}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan of one generated table (projection/filters push down)."""
+    """Lazy parquet scan of one generated table (projection/filters push down).
+
+    The DataFrame (its file listing and footer schema, not data) is reused per
+    session and path: the generated tables are read-only, and re-listing and
+    re-reading footers costs more than small queries themselves.
+    """
     if name not in TEST_TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    hit = _SCANS.get(path)
+    if hit is not None and hit.sparkSession is spark:
+        return hit
+    df = spark.read.parquet(path)
+    _SCANS[path] = df
+    return df
 
 
 class Catalog:
