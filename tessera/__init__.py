@@ -5,6 +5,16 @@ returns a DataFrame.  Nothing is collected inside an operator; the caller
 decides when to act.
 """
 
+import sys as _sys
+
 from tessera.session import get_spark, scratch_path
 
+# Ship tessera's own functions (the few pandas-UDF bodies) to Python workers
+# by value, so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 __all__ = ["get_spark", "scratch_path"]
