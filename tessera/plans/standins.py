@@ -516,6 +516,17 @@ def ordered_batch_fetch(spark, sf):
                            fact_key="p_partkey")
 
 
+@query("today_single", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice FROM lineitem
+WHERE l_partkey = 7 AND l_shipdate = (SELECT max(l_shipdate) FROM lineitem WHERE l_partkey = 7)
+""")
+def today_single(spark, sf):
+    # J7 for one key: the key filter pushes to the scan before the max.
+    li = _t(spark, sf, "lineitem").where(P.eq("l_partkey", 7)).select(
+        *LINE_KEY, "l_shipdate", "l_extendedprice")
+    return J.latest_rows(li, "l_partkey", "l_shipdate")
+
+
 # --------------------------------------------------------------------------
 # Aggregates A1-A10
 # --------------------------------------------------------------------------
@@ -542,6 +553,27 @@ def price_trend_missing(spark, sf):
                          where=P.eq("l_partkey", -1))
 
 
+@query("trend_single", """
+SELECT min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price,
+       sum(CAST(round(l_extendedprice * 100.0) AS BIGINT)) / count(l_extendedprice) / 100.0 AS avg_price,
+       min(l_shipdate) AS first_date, max(l_shipdate) AS last_date, count(*) AS data_points
+FROM lineitem WHERE l_partkey = 7
+""")
+def trend_single(spark, sf):
+    return A.price_trend(_t(spark, sf, "lineitem"), price="l_extendedprice", date="l_shipdate",
+                         where=P.eq("l_partkey", 7), money_scale=2)
+
+
+@query("exists_single", """
+SELECT count(*) > 0 AS is_legal FROM (UNPIVOT labels ON quality, toxic INTO NAME format VALUE status)
+WHERE doc_id = 4 AND format = 'quality' AND CAST(status AS VARCHAR) = '1'
+""")
+def exists_single(spark, sf):
+    status = NZ.unpivot_status(_t(spark, sf, "labels"), id_col="doc_id")
+    hits = status.where(P.eq("doc_id", 4) & P.eq("format", "quality") & P.eq("status", "1"))
+    return hits.agg((F.count(F.lit(1)) > 0).alias("is_legal"))
+
+
 @query("financial_summary", """
 SELECT p.p_brand, count(DISTINCT p.p_partkey) AS card_count,
        coalesce(sum(CAST(round(l.l_extendedprice * 100.0) AS BIGINT)) / 100.0, 0) AS total_value,
@@ -687,6 +719,19 @@ def page(spark, sf):
                   ["o_totalprice desc", "o_orderkey asc"], limit=20, offset=40)
 
 
+@query("page_keyset", """
+SELECT o_orderdate, o_orderkey FROM orders
+WHERE o_orderdate > TIMESTAMP '1997-06-01 00:00:00'
+   OR (o_orderdate = TIMESTAMP '1997-06-01 00:00:00' AND o_orderkey > 100)
+ORDER BY o_orderdate, o_orderkey LIMIT 20
+""")
+def page_keyset(spark, sf):
+    # An ISO string literal casts to the column's timestamp_ntz type directly
+    # (no session time zone involved).
+    orders = _t(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    return K.page_after(orders, ["o_orderdate", "o_orderkey"], ("1997-06-01 00:00:00", 100), limit=20)
+
+
 @query("newest_first", """
 SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey ASC LIMIT 25
 """)
