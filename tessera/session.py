@@ -44,11 +44,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; only when it is unset (tests, a laptop) do we create
-    a private folder under the system temp dir and register it.
+    The cluster sets it (a shared folder); only in local mode (tests, a
+    laptop) is a private temp folder created and registered when it is
+    unset.  On a cluster an unset value is an error, never a local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
+                             "that every executor can reach")
+        # Local mode only (tests, a laptop): one process, so a temp folder is shared.
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     # Keep the SparkContext's notion in sync so DataFrame.checkpoint() works.
