@@ -51,6 +51,29 @@ def es_key(seed: str, key, weight) -> Column:
     return F.when(w > 0, -F.log(hash_uniform(seed, key)) / w)
 
 
+def top_k_per_group(df: DataFrame, keys: list, order: list, k, rank_col: str,
+                    spread_by: str | None = None, buckets: int = 64) -> DataFrame:
+    """Exact top-``k`` rows per ``keys`` group by ``order`` (a total order).
+
+    A literal ``k`` plans a WindowGroupLimit (each task keeps k rows per group
+    before the shuffle).  A per-row ``k`` column cannot, so the ranking is
+    two-level: the best k per (group, hash bucket of ``spread_by``), then the
+    best k among those <= buckets x k survivors.  The global top-k is inside
+    the union of the per-bucket top-k, and a hot group is ranked by
+    ``buckets`` tasks instead of one.
+    """
+    if isinstance(k, int):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(k))
+    kc = F.col(k)
+    if spread_by is not None:
+        df = df.withColumn("_bkt", hash_bucket("top", spread_by, buckets))
+        wb = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+        df = df.withColumn("_rb", F.row_number().over(wb)).where(F.col("_rb") <= kc).drop("_rb", "_bkt")
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= kc)
+
+
 def weighted_without_replacement(items: DataFrame, group, item: str, weight, k,
                                  seed: str = "wor", rank_col: str = "draw") -> DataFrame:   # X4
     """Per group, min(k, #positive-weight items) items without replacement.
@@ -61,9 +84,8 @@ def weighted_without_replacement(items: DataFrame, group, item: str, weight, k,
     """
     g = _cols(group)
     d = items.withColumn("_key", es_key(seed, g + [item], weight)).where(F.col("_key").isNotNull())
-    w = Window.partitionBy(*g).orderBy(F.col("_key").asc(), F.col(item).asc())
-    limit = F.lit(int(k)) if isinstance(k, int) else F.col(k)
-    return d.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= limit).drop("_key")
+    order = [F.col("_key").asc(), F.col(item).asc()]
+    return top_k_per_group(d, g, order, k if isinstance(k, int) else k, rank_col, spread_by=item).drop("_key")
 
 
 def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick",
@@ -187,11 +209,11 @@ def _complete_without_replacement(cand: DataFrame, items: DataFrame, g, rk, item
     short = got.where((F.col("_r") == 1) & (F.col("_n") < F.col("_k"))).select(*keys, "_k", *carry, "_n")
     pool = short.join(items, g, "inner")
     pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
-    pool = pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
-    wr = Window.partitionBy(*keys).orderBy(F.col("_key").asc(), F.col(item).asc())
-    phase2 = (pool.withColumn("_r", F.row_number().over(wr))
-              .where(F.col("_r") <= F.col("_k") - F.col("_n"))
-              .select(*keys, *carry, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item)))
+    pool = (pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
+            .withColumn("_need", F.col("_k") - F.col("_n")))
+    ranked = top_k_per_group(pool, keys, [F.col("_key").asc(), F.col(item).asc()], "_need", "_r",
+                             spread_by=item)
+    phase2 = ranked.select(*keys, *carry, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
     return phase1.unionByName(phase2)
 
 

@@ -110,3 +110,21 @@ def test_open_packs(spark):
     assert even and all(nodup[k] for k in even)
     sizes = ok.groupby(["request_id", "sheetName", "boosterIndex"]).size().reset_index(name="n")
     assert (sizes["n"] <= sizes["boosterIndex"] + 1).all()
+
+
+def test_top_k_per_group_column_k_matches_brute_force(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(g, f"i{j}", rnd.random(), 1 + g % 4) for g in range(30) for j in range(rnd.randint(0, 200))]
+    df = spark.createDataFrame(rows, "g long, item string, v double, k int")
+    got = X.top_k_per_group(df, ["g"], [F.col("v").asc(), F.col("item").asc()], "k", "r", spread_by="item",
+                            buckets=8).toPandas()
+    want = set()
+    by = {}
+    for g, item, v, k in rows:
+        by.setdefault(g, []).append((v, item, k))
+    for g, lst in by.items():
+        lst.sort()
+        for r, (v, item, k) in enumerate(lst[:lst[0][2]], 1):
+            want.add((g, item, r))
+    assert set(zip(got.g, got.item, got.r)) == want
