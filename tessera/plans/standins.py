@@ -53,8 +53,8 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def _u_sql(seed: str, key_sql: str) -> str:
     """SQL text of ``hash_uniform`` (same bits as the Spark expression)."""
-    return (f"((CAST(('0x' || substr(md5('{seed}|' || {key_sql}), 1, 13)) AS BIGINT) + 0.5)"
-            f" / 4503599627370496.0)")
+    return (f"((CAST(CAST(('0x' || substr(md5('{seed}|' || {key_sql}), 1, 13)) AS BIGINT) AS DOUBLE)"
+            f" + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE))")
 
 
 # --------------------------------------------------------------------------
