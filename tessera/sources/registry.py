@@ -92,7 +92,16 @@ class Catalog:
             raise KeyError(f"unknown dataset {name!r}")
         if self.root is None:
             raise ValueError("no data root configured")
-        return os.path.join(self.root, rel)
+        path = os.path.join(self.root, rel)
+        if name in CATALOGUE_JSON and not self._exists(path) and self._exists(path + ".gz"):
+            path += ".gz"           # documents may be stored gzip-compressed
+        return path
+
+    def _exists(self, path: str) -> bool:
+        """Existence check through the Hadoop FileSystem (local, HDFS, S3, ...)."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     # -- views (S1) ----------------------------------------------------------
     def register(self, name: str, df: DataFrame) -> DataFrame:
