@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.random import hash_bucket, hash_uniform
+from tessera.session import checkpoint_dir
 
 
 def _cols(x):
@@ -208,7 +209,10 @@ def _complete_without_replacement(cand: DataFrame, items: DataFrame, g, rk, item
     # has at least one candidate, so every request with draws appears here).
     short = got.where((F.col("_r") == 1) & (F.col("_n") < F.col("_k"))).select(*keys, "_k", *carry, "_n")
     pool = short.join(items, g, "inner")
-    pool = pool.join(first.select(*keys, item), keys + [item], "left_anti")
+    # Items already taken, for the (few) short requests only: narrowing
+    # `first` by a semi join keeps both sides of the anti join small.
+    taken = first.select(*keys, item).join(short.select(*keys), keys, "left_semi")
+    pool = pool.join(taken, keys + [item], "left_anti")
     pool = (pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
             .withColumn("_need", F.col("_k") - F.col("_n")))
     ranked = top_k_per_group(pool, keys, [F.col("_key").asc(), F.col(item).asc()], "_need", "_r",
@@ -250,7 +254,7 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,
                sheets: DataFrame, sheet_cards: DataFrame, cards: DataFrame | None = None,
                seed: str = "pack", request_id: str = "request_id",
-               card_key: str = "uuid") -> DataFrame:                      # X5
+               card_key: str = "uuid", materialize: bool = True) -> DataFrame:   # X5
     """Open one pack per request row ``(request_id, setCode, boosterName)``.
 
     1. pick a template per request (X2, weighted by boosterWeight);
@@ -263,6 +267,8 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
 
     Requests without a template come back once with ``status =
     'no_template'`` and NULL card columns instead of failing the job.
+    With ``materialize`` (default) the candidate draws are checkpointed
+    eagerly to ``spark.checkpoint.dir`` (one job at call time).
     Output: request_id, setCode, boosterName, boosterIndex, sheetName, draw,
     cardUuid, status (+ card columns when ``cards`` is given).
     """
@@ -302,6 +308,13 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
                                      seed=f"{seed}|draw", draw_col="_d",
                                      carry=["allow_dup", "boosterIndex", "_k"])
+    if materialize:
+        # Two branches (sheets with and without duplicates) consume the
+        # candidates, each with different columns pruned, so exchange reuse
+        # cannot share them: write them once to the shared checkpoint folder
+        # (this also cuts the lineage a lost executor would replay).
+        checkpoint_dir(cand.sparkSession)
+        cand = cand.checkpoint(eager=True)
     dup = cand.where(F.col("allow_dup")).select(request_id, *grp, "boosterIndex", F.col("_d").alias("draw"),
                                                 "cardUuid")
     nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"), sc, grp, rk,
