@@ -203,5 +203,5 @@ def templates(weights: DataFrame, contents: DataFrame, keys: list[str], index: s
 def weight_map(df: DataFrame, group: list[str], item: str, weight: str,
                out: str = "cards") -> DataFrame:                         # A10
     """``{item: weight}`` per group (NULL weight -> 1, blank items dropped);
-    groups with no usable item are absent (the reference's "none")."""
+    groups with no usable item are absent (no map rather than an empty one)."""
     return group_map(df, group, item, weight, out=out, default=1)

@@ -62,7 +62,7 @@ def join_translations(fact: DataFrame, foreign: DataFrame, pattern: str,
                       dedupe: bool = False) -> DataFrame:                  # J4
     """Fact rows with a translation whose name contains ``pattern``
     (case-insensitive, wildcards kept).  Default: one row per matching
-    translation (the reference's multiplication); ``dedupe`` -> one per fact row.
+    translation (rows multiply); ``dedupe`` -> one per fact row.
     Only the fact's columns are returned; the matched name is ``foreign_name``.
     """
     hits = foreign.where(contains_ci(name_col, pattern)).select(

@@ -44,7 +44,7 @@ PRICE_COLS = ("price", "source", "provider", "finish", "date")
 
 def _typed_eq(df: DataFrame, column: str, value) -> Column:
     """Equality with the literal cast to the column's type (string inputs
-    are accepted for numeric columns, as the reference binds text)."""
+    are accepted for numeric columns, since callers often pass ids as text)."""
     dt = df.schema[column].dataType
     return F.col(column) == F.lit(value).cast(dt)
 

@@ -81,7 +81,7 @@ def write_json_documents(df: DataFrame, path: str, doc_key: Column,
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
                 mode: str = "overwrite", fmt: str = "parquet", partition_by=None,
                 bucket_by: tuple[int, list[str]] | None = None) -> None:
-    """Materialise a result (the CTAS of the reference).
+    """Materialise a result (CREATE TABLE AS SELECT).
 
     ``partition_by`` enables partition pruning on later reads (e.g. price
     history by month); ``bucket_by=(n, cols)`` (tables only) co-locates later

@@ -21,7 +21,7 @@ def scalar(df: DataFrame) -> DataFrame:
     """The first column of (at most) the first row, as a DataFrame.
 
     Call ``.first()`` on the result at the API edge; an empty input gives an
-    empty DataFrame (the reference's "none")."""
+    empty DataFrame (no value)."""
     return df.select(F.col(f"`{df.columns[0]}`")).limit(1)
 
 
