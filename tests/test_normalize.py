@@ -45,3 +45,28 @@ def test_predicates(spark):
     assert df.where(P.ascii_ci_eq("s", "XYZ")).count() == 1
     with pytest.raises(ValueError):
         P.filter_map(df, {"nope": 1})
+
+
+def test_bare_array_document(spark, tmp_path):
+    import json
+    from tessera.sources.files import read_json_documents
+    p = tmp_path / "decks.json"
+    p.write_text(json.dumps([{"code": "A", "name": "x"}, {"code": "B", "name": "y"}]))
+    assert sorted(r["code"] for r in read_json_documents(spark, str(p)).collect()) == ["A", "B"]
+
+
+def test_named_sql_params(spark):
+    from tessera.sources.sql import sql
+    spark.range(10).createOrReplaceTempView("t_named")
+    assert sql(spark, "SELECT count(*) AS n FROM t_named WHERE id >= :lo", {"lo": 7}).first()["n"] == 3
+
+
+def test_explode_json_text_children(spark):
+    from tessera.operators.nested import explode_tagged
+    df = spark.createDataFrame([("A25", "Masters", '[{"uuid": "p1", "name": "Box"}, {"uuid": "p2", "name": "Pack"}]'),
+                                ("MH2", "Horizons", "[]"), ("ZZZ", "None", None)],
+                               "code string, name string, sealedProduct string")
+    out = explode_tagged(df, "sealedProduct", {"code": "setCode", "name": "setName"},
+                         element_schema="struct<uuid:string,name:string>", position="pos")
+    assert sorted(tuple(r) for r in out.collect()) == [(0, "p1", "Box", "A25", "Masters"),
+                                                        (1, "p2", "Pack", "A25", "Masters")]
