@@ -50,15 +50,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
                              "that every executor can reach")
         # Local mode only (tests, a laptop): one process, so a temp folder is shared.
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    # Keep the SparkContext's notion in sync so DataFrame.checkpoint() works.
-    sc = spark.sparkContext
+    # Keep the SparkContext's notion in sync so DataFrame.checkpoint() works
+    # (a Spark Connect client has no local context; its server reads the conf).
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
