@@ -90,32 +90,41 @@ def weighted_without_replacement(items: DataFrame, group, item: str, weight, k,
 
 
 def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick",
-                  out: str | None = None, totals: DataFrame | None = None,
-                  totals_on=None) -> DataFrame:                          # X2
+                  out: str | None = None) -> DataFrame:                  # X2
     """One item per group, P(item) = w / total; total <= 0 -> uniform pick.
 
-    A grouped ``min_by`` over a key that switches to a plain uniform when the
-    group's total is not positive.  The totals come from a partial aggregate
-    of ``items``, or, when many groups share one weight table (requests
-    against templates), from ``totals`` (``totals_on`` columns + ``_total``)
-    computed on that small table instead.
+    One grouped aggregate, no join: the group total, the ES-keyed
+    ``min_by`` over positive weights and a uniform ``min_by`` are computed
+    side by side (all partial aggregates, so a hot group costs one partial
+    row per task), and the total decides which one is the pick.
     """
     g = _cols(group)
     w = _weight(weight)
-    if totals is None:
-        totals = items.groupBy(*g).agg(F.sum(w).alias("_total"))
-        totals_on = g
-    d = items.join(totals, _cols(totals_on), "inner")
     u = hash_uniform(seed, g + [item])
-    key = F.when(F.col("_total") > 0, F.when(w > 0, -F.log(u) / w)).otherwise(u)
-    d = d.withColumn("_key", key).where(F.col("_key").isNotNull())
     rest = [c for c in items.columns if c not in g]
-    best = d.groupBy(*g).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]),
-                                      F.struct(F.col("_key"), F.col(item))).alias("_b"))
-    sel = best.select(*g, *[F.col(f"_b.`{c}`").alias(c) for c in rest])
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    best = items.groupBy(*g).agg(
+        F.sum(w).alias("_total"),
+        F.min_by(row, F.when(w > 0, F.struct((-F.log(u) / w).alias("k"), F.col(item).alias("i")))).alias("_es"),
+        F.min_by(row, F.struct(u.alias("k"), F.col(item).alias("i"))).alias("_uni"))
+    pick = F.when(F.col("_total") > 0, F.col("_es")).otherwise(F.col("_uni"))
+    sel = best.select(*g, pick.alias("_b")).select(*g, *[F.col(f"_b.`{c}`").alias(c) for c in rest])
     return sel if out is None else sel.withColumnRenamed(item, out)
 
 
+def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int = 32,
+                how: str = "inner") -> DataFrame:
+    """Equi-join that stays spread when one key of ``big`` is hot: ``big``
+    rows get a salt from a hash of ``salt_by`` and ``small`` rows are
+    replicated once per salt, so a hot key's rows go to ``salts`` tasks.
+    Use when ``small`` is small per key but not necessarily small overall
+    (otherwise the planner's measured broadcast already avoids the shuffle).
+    """
+    b = big.withColumn("_salt", hash_bucket("salt", salt_by, salts))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return b.join(s, list(on) + ["_salt"], how).drop("_salt")
+
+
 def _interval_tables(items: DataFrame, g: list, item: str, weight, blocks: int):
     w = F.coalesce(F.col(weight) if isinstance(weight, str) else weight, F.lit(1)).cast("bigint")
     d = items.select(*g, F.col(item), w.alias("_w")).where(F.col("_w") > 0) \
@@ -172,7 +181,8 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
     iv, stats = _interval_tables(items, g, item, weight, blocks)
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
     req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_kk"))
-    req = req.join(stats, g, "inner").where((F.col("_total") > 0) & (F.col("_kk") > 0))
+    # Many requests may target one hot group: salt the lookup of its totals.
+    req = salted_join(req, stats, g, rk).where((F.col("_total") > 0) & (F.col("_kk") > 0))
     draws = (req.select(*[F.col(c) for c in keys + carry], "_total",
                         _width(F.col("_total"), F.col("_n")).alias("_width"),
                         F.explode(F.sequence(F.lit(0), F.col("_kk") - 1)).alias(draw_col))
@@ -208,7 +218,9 @@ def _complete_without_replacement(cand: DataFrame, items: DataFrame, g, rk, item
     # Requests short of k distinct items (a group with positive total always
     # has at least one candidate, so every request with draws appears here).
     short = got.where((F.col("_r") == 1) & (F.col("_n") < F.col("_k"))).select(*keys, "_k", *carry, "_n")
-    pool = short.join(items, g, "inner")
+    # The pool joins short requests to their group's items; a hot group's
+    # items are spread over salts instead of meeting in one task.
+    pool = salted_join(items, short, g, item)
     # Items already taken, for the (few) short requests only: narrowing
     # `first` by a semi join keeps both sides of the anti join small.
     taken = first.select(*keys, item).join(short.select(*keys), keys, "left_semi")
@@ -281,11 +293,8 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         .repartition(n_parts, request_id)
     cw = content_weights.select(*keys, "boosterIndex",
                                 F.coalesce("boosterWeight", F.lit(1)).cast("bigint").alias("boosterWeight"))
-    # Template totals per (set, booster) on the small weights table.
-    totals = cw.groupBy(*keys).agg(F.sum("boosterWeight").alias("_total"))
     cand = req.join(cw, keys, "inner")
-    picked = weighted_pick(cand, [request_id], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl",
-                           totals=totals, totals_on=keys)
+    picked = weighted_pick(cand, [request_id], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl")
     missing = req.join(picked.select(request_id), request_id, "left_anti")
     pk = contents.select(*keys, "boosterIndex", "sheetName",
                          F.coalesce("sheetPicks", F.lit(1)).cast("int").alias("picks"))

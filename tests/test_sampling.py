@@ -128,3 +128,11 @@ def test_top_k_per_group_column_k_matches_brute_force(spark):
         for r, (v, item, k) in enumerate(lst[:lst[0][2]], 1):
             want.add((g, item, r))
     assert set(zip(got.g, got.item, got.r)) == want
+
+
+def test_salted_join_equals_plain_join(spark):
+    big = spark.range(3000).select((F.col("id") % 3 == 0).cast("int").alias("g"), F.col("id").alias("item"))
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "g int, tag string")
+    a = sorted(tuple(r) for r in X.salted_join(big, small, ["g"], "item", salts=8).collect())
+    b = sorted(tuple(r) for r in big.join(small, ["g"]).collect())
+    assert a == b
