@@ -5,7 +5,12 @@ stage that reads a shuffle, the largest share of that stage's shuffle
 records read by a single task.  A skew-bound plan shows ~0.33 or more (the
 hot key's rows meet in one task); a skew-safe one stays near 1 / tasks.
 
-usage: python skew_check.py [rows]      (prints one JSON line)
+usage: python skew_check.py [rows] [--aqe]      (prints one JSON line)
+
+Default mode measures the plans as written (no broadcasts, no AQE skew
+splitting).  ``--aqe`` measures the joins that rely on AQE's runtime skew
+split instead (skew thresholds lowered to this data size, broadcasts still
+off).
 """
 
 from __future__ import annotations
@@ -61,17 +66,40 @@ def operators(df):
     }
 
 
+def join_operators(df):
+    dim = df.select("k").distinct().withColumn("tag", F.col("k") % 7)
+    status = df.select("k", F.lit("fmt").alias("format"),
+                       F.when(F.col("item") % 2 == 0, "Legal").otherwise("Banned").alias("status"))
+    foreign = df.select("k", F.concat(F.lit("name"), F.col("item") % 5).alias("name"))
+    return {
+        "join_status": lambda: J.join_status(df, status.dropDuplicates(["k", "status"]), "fmt", "Legal", key="k"),
+        "join_dimension": lambda: J.join_dimension(df, dim, "k", "k", F.col("tag") < 5, keep=["tag"]),
+        "join_translations": lambda: J.join_translations(df, foreign.dropDuplicates(), "name1", key="k"),
+        "ordered_fetch": lambda: J.ordered_fetch(df.select(F.col("item").alias("rq"), F.lit(0).alias("pos"), "k"),
+                                                 dim, "k", request_col="rq"),
+    }
+
+
 def main():
-    n = int(sys.argv[1]) if len(sys.argv) > 1 else 600_000
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    aqe = "--aqe" in sys.argv
+    n = int(args[0]) if args else 600_000
     log_dir = tempfile.mkdtemp(prefix="tessera-skew-")
-    spark = get_spark("local[8]", 16, app_name="tessera-skew", extra={
-        "spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+    conf = {"spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    if aqe:
+        conf.update({"spark.sql.adaptive.skewJoin.enabled": "true",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"})
+    else:
         # Measure the plans themselves: no coalescing or AQE skew splitting.
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1"})
+        conf["spark.sql.adaptive.skewJoin.enabled"] = "false"
+    spark = get_spark("local[8]", 16, app_name="tessera-skew", extra=conf)
     df = skewed(spark, n)
-    for name, make in operators(df).items():
+    ops = join_operators(df) if aqe else operators(df)
+    for name, make in ops.items():
         spark.sparkContext.setJobGroup(name, name)
         make().write.format("noop").mode("overwrite").save()
     app_id = spark.sparkContext.applicationId
@@ -103,7 +131,7 @@ def main():
             continue
         share = max(recs) / total
         worst[g] = max(worst.get(g, 0.0), share)
-    print(json.dumps({"rows": n, "hot_key_share": 1 / 3, "app": app_id,
+    print(json.dumps({"rows": n, "hot_key_share": 1 / 3, "mode": "aqe" if aqe else "plans", "app": app_id,
                       "max_task_share_of_stage_shuffle": {k: round(v, 3) for k, v in worst.items()}}))
 
 

@@ -77,7 +77,11 @@ def join_translations(fact: DataFrame, foreign: DataFrame, pattern: str,
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                    dim_filter: Column | None = None, keep=(), prefix: str = "") -> DataFrame:   # J5
     """Fact ⋈ dimension on ``fact_key = dim_key`` with an optional filter on the
-    dimension; ``keep`` dimension columns are added under ``prefix``."""
+    dimension; ``keep`` dimension columns are added under ``prefix``.
+
+    Dimensions (sets, formats, ...) are small: the planner broadcasts them
+    after measuring them, so a hot fact key never meets in one task.  A
+    dimension too large to broadcast falls back to a sort-merge join."""
     d = dim if dim_filter is None else dim.where(dim_filter)
     d = d.select(F.col(dim_key).alias("_dk"), *[F.col(c).alias(prefix + c) for c in keep])
     out = fact.join(d, F.col(fact_key) == F.col("_dk"), "inner").drop("_dk")
@@ -121,8 +125,14 @@ def ordered_fetch(requests: DataFrame, fact: DataFrame, key: str, *,
     if keys_col is not None:
         sel = [F.col(request_col)] if request_col else []
         requests = requests.select(*sel, F.posexplode(keys_col).alias(pos_col, key))
-    r = requests.alias("r")
-    f = fact.alias("f")
-    out = r.join(f, F.col(f"r.`{key}`") == F.col(f"f.`{fk}`"), "inner")
-    front = ([F.col(f"r.`{request_col}`")] if request_col else []) + [F.col(f"r.`{pos_col}`")]
-    return out.select(*front, *_left_cols(fact, "f"))
+    # Many requests may ask for the same key (a popular card): salt the
+    # requests by position and replicate the (one-row-per-key) fact side.
+    from tessera.operators.sampling import salted_join
+    salt_by = ([request_col] if request_col else []) + [pos_col]
+    fact_cols = [c for c in fact.columns if c != fk]
+    f = fact.select(F.col(f"`{fk}`").alias("_fk"), *[F.col(f"`{c}`").alias(f"_f_{c}") for c in fact_cols])
+    r = requests.withColumnRenamed(key, "_fk")
+    out = salted_join(r, f, ["_fk"], salt_by)
+    front = ([F.col(f"`{request_col}`")] if request_col else []) + [F.col(f"`{pos_col}`")]
+    return out.select(*front, *[F.col("_fk").alias(fk) if c == fk else F.col(f"`_f_{c}`").alias(c)
+                                for c in fact.columns])
