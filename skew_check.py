@@ -52,6 +52,10 @@ def operators(df):
         "price_trend": lambda: A.price_trend(df, key="k"),
         "financial_summary": lambda: A.financial_summary(df, group="k", item="item"),
         "exists_flag": lambda: A.exists_flag(df.select("k").distinct(), df, ["k"], F.col("price") > 50000),
+        "exists_flag_hot_requests": lambda: A.exists_flag(df.select("k", "item"), df.where("item % 2 = 0"), ["k"]),
+        "distinct_on_with_fallback": lambda: A.distinct_on_with_fallback(
+            df.select(F.lit(0).cast("long").alias("q")).union(df.select(F.lit(5).cast("long"))), df, "q",
+            "k", "w", ["k", "w"], ["item"]),
         "weighted_pick": lambda: X.weighted_pick(df, "k", "item", "w"),
         "weighted_without_replacement_k5": lambda: X.weighted_without_replacement(df, "k", "item", "w", 5),
         "weighted_with_replacement": lambda: X.weighted_with_replacement(

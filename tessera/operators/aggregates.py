@@ -71,9 +71,12 @@ def exists_flag(requests: DataFrame, facts: DataFrame, on: list[str],
 
     Facts are reduced to distinct keys first (partial aggregation), then
     left-joined; requests are never multiplied."""
+    from tessera.operators.sampling import salted_join
     hits = (facts if cond is None else facts.where(cond)).select(*on).distinct() \
         .withColumn("_hit", F.lit(True))
-    return (requests.join(hits, on, "left")
+    # Many requests may share a key: salt by a hash of the whole request row.
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c in requests.columns])
+    return (salted_join(requests, hits, on, salt, how="left")
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
@@ -98,15 +101,22 @@ def distinct_on_with_fallback(requests: DataFrame, items: DataFrame, request_col
     """A6 in bulk: per request value, items whose ``primary`` column equals it;
     if none, items whose ``fallback`` column equals it; then DISTINCT ON keys.
 
-    Both matches are equi-joins; the per-request best priority is a grouped
-    min joined back (no window over a request's matches)."""
+    Both matches are salted equi-joins (a value matching a third of the items
+    spreads over many tasks).  DISTINCT ON runs first, with the match
+    priority leading the order, so that the per-request best priority (a
+    partial aggregate) is joined back to one row per (request, keys) group
+    rather than to the raw matches.
+    """
+    from tessera.operators.sampling import salted_join
     req = requests.select(F.col(request_col).alias("_req")).distinct()
-    m1 = req.join(items, F.col("_req") == F.col(primary), "inner").withColumn("_prio", F.lit(1))
-    m2 = req.join(items, F.col("_req") == F.col(fallback), "inner").withColumn("_prio", F.lit(2))
+    salt = [order[0]] if order else keys
+    m1 = salted_join(items.withColumn("_req", F.col(primary)), req, ["_req"], salt).withColumn("_prio", F.lit(1))
+    m2 = salted_join(items.withColumn("_req", F.col(fallback)), req, ["_req"], salt).withColumn("_prio", F.lit(2))
     cand = m1.unionByName(m2)
     best = cand.groupBy("_req").agg(F.min("_prio").alias("_prio"))
-    chosen = cand.join(best, ["_req", "_prio"], "inner").drop("_prio")
-    out = distinct_on(chosen, ["_req"] + keys, order)
+    first = distinct_on(cand, ["_req"] + keys, ["_prio"] + list(order))
+    # One request may own many groups: salt that lookup as well.
+    out = salted_join(first, best, ["_req", "_prio"], keys).drop("_prio")
     return out.withColumnRenamed("_req", request_col)
 
 

@@ -120,7 +120,10 @@ def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int
     Use when ``small`` is small per key but not necessarily small overall
     (otherwise the planner's measured broadcast already avoids the shuffle).
     """
-    b = big.withColumn("_salt", hash_bucket("salt", salt_by, salts))
+    cols = salt_by if isinstance(salt_by, (list, tuple)) else [salt_by]
+    cols = [c if isinstance(c, Column) else F.col(f"`{c}`") for c in cols]
+    # A cheap deterministic spread (re-executed tasks salt identically).
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("bigint"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return b.join(s, list(on) + ["_salt"], how).drop("_salt")
 
