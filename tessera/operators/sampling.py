@@ -112,14 +112,41 @@ def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick"
     return sel if out is None else sel.withColumnRenamed(item, out)
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _conf_bytes(v: str) -> int:
+    import re
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(v))
+    return int(m.group(1)) * _UNITS.get(m.group(2).lower(), 1) if m else -1
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df``'s optimizer size estimate (no job; an over-estimate for
+    aggregates and filters) is within the broadcast threshold."""
+    thr = _conf_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if thr < 0:
+        return False
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - no estimate: do not assume small
+        return False
+    return est <= thr
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int = 32,
                 how: str = "inner") -> DataFrame:
-    """Equi-join that stays spread when one key of ``big`` is hot: ``big``
-    rows get a salt from a hash of ``salt_by`` and ``small`` rows are
-    replicated once per salt, so a hot key's rows go to ``salts`` tasks.
-    Use when ``small`` is small per key but not necessarily small overall
-    (otherwise the planner's measured broadcast already avoids the shuffle).
+    """Equi-join that stays spread when one key of ``big`` is hot.
+
+    If ``small`` fits the broadcast threshold (checked on its size
+    estimate), a plain join is planned as a broadcast: ``big`` is not
+    shuffled at all.  Otherwise ``big`` rows get a salt from a hash of
+    ``salt_by`` and ``small`` rows are replicated once per salt, so a hot
+    key's rows are spread over ``salts`` tasks of a shuffled join.
     """
+    if fits_broadcast(small):
+        return big.join(small, list(on), how)
     cols = salt_by if isinstance(salt_by, (list, tuple)) else [salt_by]
     cols = [c if isinstance(c, Column) else F.col(f"`{c}`") for c in cols]
     # A cheap deterministic spread (re-executed tasks salt identically).

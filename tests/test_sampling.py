@@ -136,3 +136,14 @@ def test_salted_join_equals_plain_join(spark):
     a = sorted(tuple(r) for r in X.salted_join(big, small, ["g"], "item", salts=8).collect())
     b = sorted(tuple(r) for r in big.join(small, ["g"]).collect())
     assert a == b
+
+
+def test_fits_broadcast_and_conf_parsing(spark):
+    assert X._conf_bytes("10485760b") == 10485760 and X._conf_bytes("10MB") == 10 << 20
+    assert X._conf_bytes("-1") == -1
+    assert X.fits_broadcast(spark.range(10))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not X.fits_broadcast(spark.range(10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
