@@ -3,7 +3,7 @@ vocabulary maps.  All are per-row generators (no shuffle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions import predicates as P
 from tessera.functions.fuzzy import fuzzy_filter
-from tessera.functions.random import hash_bucket, hash_uniform
 from tessera.operators import aggregates as A
 from tessera.operators import joins as J
 from tessera.operators import nested as N

@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-
 import __spark_entry__ as E
 from tests.conftest import SF01
 
