@@ -50,10 +50,8 @@ def _typed_eq(df: DataFrame, column: str, value) -> Column:
 
 
 def _finder_name(column: str) -> str:
-    base = re.sub(r"Id$", "", column)
-    base = re.sub(r"^mtgjson", "", base)
-    base = base[0].lower() + base[1:]
-    return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", base).lower()
+    """camelCase column -> snake_case method suffix (scryfallId -> scryfall_id)."""
+    return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", column).lower()
 
 
 class _Part:
@@ -496,5 +494,16 @@ class CardData:
     def views(self) -> list[str]:
         return self.catalog.views()
 
+    def has_view(self, name: str) -> bool:
+        return self.catalog.has_view(name)
+
+    def reset_views(self) -> None:
+        """Drop the registered views; they are re-registered on next use."""
+        self.catalog.reset_views()
+
+    def close(self) -> None:
+        """Release the client's views (the Spark session belongs to the caller)."""
+        self.catalog.reset_views()
+
     def meta(self) -> DataFrame:
         return Enums(self)._doc("meta").select("data.*")

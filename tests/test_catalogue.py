@@ -77,9 +77,9 @@ def test_legalities(client):
 
 
 def test_identifiers(client):
-    assert uuids(client.identifiers.find_by_scryfall("scryfall-002")) == ["card-uuid-002"]
+    assert uuids(client.identifiers.find_by_scryfall_id("scryfall-002")) == ["card-uuid-002"]
     assert uuids(client.cards.find_by_scryfall_id("scryfall-001")) == ["card-uuid-001"]
-    assert uuids(client.identifiers.find_by_mtg_arena("arena-002")) == ["card-uuid-002"]
+    assert uuids(client.identifiers.find_by_mtg_arena_id("arena-002")) == ["card-uuid-002"]
     with pytest.raises(ValueError):
         client.identifiers.find_by("notAColumn", "x")
     assert client.identifiers.get_identifiers("card-uuid-001").first()["mtgoId"] == "mtgo-001"
