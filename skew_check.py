@@ -71,7 +71,9 @@ def operators(df):
 
 
 def join_operators(df):
-    dim = df.select("k").distinct().withColumn("tag", F.col("k") % 7)
+    # A dimension as stored: a plain table (not derived by an aggregate).
+    n_keys = df.agg(F.max("k")).first()[0] + 1
+    dim = df.sparkSession.range(n_keys).select(F.col("id").alias("k"), (F.col("id") % 7).alias("tag"))
     status = df.select("k", F.lit("fmt").alias("format"),
                        F.when(F.col("item") % 2 == 0, "Legal").otherwise("Banned").alias("status"))
     foreign = df.select("k", F.concat(F.lit("name"), F.col("item") % 5).alias("name"))
