@@ -670,15 +670,17 @@ def nested_price_map(spark, sf):
     return A.flatten_nested_map(nested, ["uuid"], levels, "date", "price")
 
 
-@query("group_map", """
+_GROUP_MAP_SQL = """
 WITH c AS (SELECT l_orderkey, 'line' || CAST(l_linenumber AS VARCHAR) AS sheet,
                   max(CAST(l_quantity AS BIGINT)) AS picks
-           FROM lineitem GROUP BY l_orderkey, sheet)
-SELECT o.o_orderkey, CAST(coalesce(CAST(floor(o.o_totalprice / 100000) AS BIGINT), 1) AS BIGINT) AS weight,
-       c.sheet, c.picks
-FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey
-""")
-def group_map(spark, sf):
+           FROM lineitem GROUP BY l_orderkey, sheet),
+t AS (SELECT o.o_orderkey, CAST(coalesce(CAST(floor(o.o_totalprice / 100000) AS BIGINT), 1) AS BIGINT) AS weight,
+             c.sheet, c.picks, count(c.sheet) OVER (PARTITION BY o.o_orderkey) AS n_sheets
+      FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey)
+"""
+
+
+def _templates(spark, sf):
     weights = _t(spark, sf, "orders").select(
         "o_orderkey", F.floor(F.col("o_totalprice") / 100000).cast("bigint").alias("w"))
     contents = _t(spark, sf, "lineitem").select(
@@ -686,7 +688,21 @@ def group_map(spark, sf):
         F.concat(F.lit("line"), F.col("l_linenumber").cast("string")).alias("sheet"),
         F.col("l_quantity").cast("bigint").alias("picks"))
     tpl = A.templates(weights, contents, [], "o_orderkey", "w", "sheet", "picks")
-    return tpl.select("o_orderkey", "weight", F.explode_outer("sheets").alias("sheet", "picks"))
+    return tpl.withColumn("n_sheets", F.size("sheets").cast("bigint"))
+
+
+@query("group_map", _GROUP_MAP_SQL + "SELECT o_orderkey, weight, sheet, picks, n_sheets FROM t WHERE n_sheets > 0")
+def group_map(spark, sf):
+    # Templates with contents: one row per (template, sheet).
+    return _templates(spark, sf).select("o_orderkey", "weight", "n_sheets",
+                                        F.explode("sheets").alias("sheet", "picks")) \
+        .select("o_orderkey", "weight", "sheet", "picks", "n_sheets")
+
+
+@query("group_map_empty", _GROUP_MAP_SQL + "SELECT DISTINCT o_orderkey, weight, n_sheets FROM t WHERE n_sheets = 0")
+def group_map_empty(spark, sf):
+    # Templates without contents keep their weight and an empty sheet map.
+    return _templates(spark, sf).where(F.size("sheets") == 0).select("o_orderkey", "weight", "n_sheets")
 
 
 @query("weight_map", """
