@@ -86,7 +86,7 @@ def weighted_without_replacement(items: DataFrame, group, item: str, weight, k,
     g = _cols(group)
     d = items.withColumn("_key", es_key(seed, g + [item], weight)).where(F.col("_key").isNotNull())
     order = [F.col("_key").asc(), F.col(item).asc()]
-    return top_k_per_group(d, g, order, k if isinstance(k, int) else k, rank_col, spread_by=item).drop("_key")
+    return top_k_per_group(d, g, order, k, rank_col, spread_by=item).drop("_key")
 
 
 def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick",
