@@ -125,10 +125,14 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:     # A7
         .orderBy(F.col(column).asc_nulls_last())
 
 
-def _sorted_map(key: Column, value: Column) -> Column:
+def _sorted_map(key: Column, value: Column, orderable: bool = False) -> Column:
     """map_from_entries over entries sorted by key (deterministic order).
-    Keys are unique here, so comparing keys alone is a total order."""
+    Keys are unique here, so comparing keys alone is a total order; with
+    orderable (scalar) values the natural struct order is the same order and
+    avoids a comparator lambda."""
     entries = F.collect_list(F.struct(key.alias("k"), value.alias("v")))
+    if orderable:
+        return F.map_from_entries(F.array_sort(entries))
     by_key = F.array_sort(entries, lambda a, b: F.when(a["k"] < b["k"], -1)
                           .when(a["k"] > b["k"], 1).otherwise(0))
     return F.map_from_entries(by_key)
@@ -168,7 +172,7 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
     # rows; only its final, already-built map.
     cur = d.groupBy(*keys).agg(pick("_v").alias("_v"))
     grp = id_cols + levels
-    cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v")).alias("_m"))
+    cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v"), orderable=True).alias("_m"))
     for lvl in reversed(levels):
         grp = grp[:-1]
         cur = cur.groupBy(*grp).agg(_sorted_map(F.col(lvl), F.col("_m")).alias("_m"))
@@ -195,7 +199,7 @@ def group_map(df: DataFrame, group: list[str], key: str, value: str, out: str =
     d = d.select(*group, F.col(key).alias("_k"),
                  F.coalesce(F.col(value), F.lit(default)).alias("_v"))
     d = d.groupBy(*group, "_k").agg(pick("_v").alias("_v"))
-    return d.groupBy(*group).agg(_sorted_map(F.col("_k"), F.col("_v")).alias(out))
+    return d.groupBy(*group).agg(_sorted_map(F.col("_k"), F.col("_v"), orderable=True).alias(out))
 
 
 def templates(weights: DataFrame, contents: DataFrame, keys: list[str], index: str,
