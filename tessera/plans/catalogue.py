@@ -40,6 +40,15 @@ STATUSES = {"legal": "Legal", "banned": "Banned", "restricted": "Restricted",
             "suspended": "Suspended", "not_legal": "Not Legal"}
 
 PRICE_COLS = ("price", "source", "provider", "finish", "date")
+PRICE_FILTERS = ("source", "provider", "currency", "price_type", "finish")
+
+
+def _price_rows(prices: DataFrame, filters: dict) -> DataFrame:
+    """Price rows narrowed by optional equality filters on their dimensions."""
+    for k in filters:
+        if k not in PRICE_FILTERS:
+            raise ValueError(f"unknown price filter {k!r}; expected one of {PRICE_FILTERS}")
+    return P.apply_filters(prices, *[P.eq(k, v) for k, v in filters.items() if v is not None])
 
 
 def _typed_eq(df: DataFrame, column: str, value) -> Column:
@@ -217,13 +226,16 @@ class Sets(_Part):
                               None if release_year is None else self._year(sets, release_year))
         return K.page(out, ["releaseDate desc", "code asc"], limit=limit, offset=offset)
 
-    def get_financial_summary(self, set_code: str | None = None, money_scale: int | None = None) -> DataFrame:
+    def get_financial_summary(self, set_code: str | None = None, money_scale: int | None = None,
+                              **price_filters) -> DataFrame:
         """card_count, total/avg/min/max value and latest date of a set's
-        priced printings; ``set_code=None`` answers every set (one row each)."""
+        priced printings; ``set_code=None`` answers every set (one row each).
+        Optional ``currency=``/``price_type=``/``finish=``/``provider=`` keep
+        the sums within one kind of price."""
         cards = self.t("cards").select("uuid", "setCode")
         if set_code is not None:
             cards = cards.where(P.eq("setCode", P.upper_key(set_code)))
-        joined = J.join_prices(cards, self.t("all_prices_today"))
+        joined = J.join_prices(cards, _price_rows(self.t("all_prices_today"), price_filters))
         return A.financial_summary(joined, group=None if set_code is not None else "setCode",
                                    money_scale=money_scale)
 
@@ -330,24 +342,30 @@ class Prices(_Part):
             return A.price_trend(rows, key="uuid", money_scale=money_scale)
         return A.price_trend(rows, where=P.eq("uuid", uuid), money_scale=money_scale)
 
-    def _joined(self, name: str | None) -> DataFrame:
+    def _joined(self, name: str | None, **price_filters) -> DataFrame:
+        """Cards ⋈ today's prices.  By default all currencies, buylist and
+        retail and all finishes are mixed (as the catalogue's own methods do);
+        ``provider=``, ``currency=``, ``price_type=``, ``finish=`` narrow the
+        price rows first (pushed to their scan)."""
         cards = self.t("cards")
         if name is not None:
             cards = cards.where(P.eq("name", name))
-        return J.join_prices(cards, self.t("all_prices_today"), price_cols=PRICE_COLS)
+        return J.join_prices(cards, _price_rows(self.t("all_prices_today"), price_filters), price_cols=PRICE_COLS)
 
-    def cheapest_printing(self, name: str) -> DataFrame:
-        return self.cheapest_printings(name, 1)
+    def cheapest_printing(self, name: str, **price_filters) -> DataFrame:
+        return self.cheapest_printings(name, 1, **price_filters)
 
-    def cheapest_printings(self, name: str, limit: int = 10) -> DataFrame:
-        return K.top_n(self._joined(name), ["price asc", "uuid asc", "date desc", "provider asc"], limit)
+    def cheapest_printings(self, name: str, limit: int = 10, **price_filters) -> DataFrame:
+        return K.top_n(self._joined(name, **price_filters), ["price asc", "uuid asc", "date desc", "provider asc"],
+                       limit)
 
-    def most_expensive_printings(self, name: str, limit: int = 10) -> DataFrame:
-        return K.top_n(self._joined(name), ["price desc", "uuid asc", "date desc", "provider asc"], limit)
+    def most_expensive_printings(self, name: str, limit: int = 10, **price_filters) -> DataFrame:
+        return K.top_n(self._joined(name, **price_filters), ["price desc", "uuid asc", "date desc", "provider asc"],
+                       limit)
 
-    def cheapest_printings_all(self, limit: int = 1) -> DataFrame:
+    def cheapest_printings_all(self, limit: int = 1, **price_filters) -> DataFrame:
         """Bulk K4: the ``limit`` cheapest printings of every name."""
-        return K.top_n_per_group(self._joined(None), "name",
+        return K.top_n_per_group(self._joined(None, **price_filters), "name",
                                  ["price asc", "uuid asc", "date desc", "provider asc"], limit)
 
 

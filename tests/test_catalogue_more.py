@@ -129,6 +129,12 @@ def test_cheapest_and_dearest(full):
     assert dear == [2.0, 1.75, 1.5]                                    # NULL price sorts last
     allp = {r["name"]: r["price"] for r in full.prices.cheapest_printings_all(1).collect()}
     assert allp == {"Lightning Bolt": 1.5, "Counterspell": 0.25, "Fire // Ice": 0.02}
+    assert full.prices.cheapest_printing("Lightning Bolt", provider="cardkingdom").first()["price"] == 2.0
+    assert full.prices.most_expensive_printings("Lightning Bolt", 5, finish="foil").count() == 1
+    with pytest.raises(ValueError):
+        full.prices.cheapest_printing("Lightning Bolt", colour="red")
+    s = full.sets.get_financial_summary("A25", price_type="retail").first()
+    assert s["card_count"] == 2 and abs(s["total_value"] - 5.80) < 1e-9
 
 
 def test_financial_summary(full):
