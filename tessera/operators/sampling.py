@@ -312,7 +312,8 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     With ``materialize`` (default) the candidate draws are checkpointed
     eagerly to ``spark.checkpoint.dir`` (one job at call time).
     Output: request_id, setCode, boosterName, boosterIndex, sheetName, draw,
-    cardUuid, status (+ card columns when ``cards`` is given).
+    cardUuid, isFoil (the sheet's foil flag), status (+ card columns when
+    ``cards`` is given).
     """
     keys = ["setCode", "boosterName"]
     # Each request fans out to templates x sheets x picks rows; spread the
@@ -346,7 +347,7 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         .withColumn("_cand", F.when(F.col("allow_dup"), F.col("picks")).otherwise(F.col("picks") * 2))
     cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
                                      seed=f"{seed}|draw", draw_col="_d",
-                                     carry=["allow_dup", "boosterIndex", "_k"])
+                                     carry=["allow_dup", "boosterIndex", "sheetIsFoil", "_k"])
     if materialize:
         # Two branches (sheets with and without duplicates) consume the
         # candidates, each with different columns pruned, so exchange reuse
@@ -354,17 +355,19 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         # (this also cuts the lineage a lost executor would replay).
         checkpoint_dir(cand.sparkSession)
         cand = cand.checkpoint(eager=True)
-    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, "boosterIndex", F.col("_d").alias("draw"),
-                                                "cardUuid")
+    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, "boosterIndex", "sheetIsFoil",
+                                                F.col("_d").alias("draw"), "cardUuid")
     nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"), sc, grp, rk,
                                           "cardUuid", "cardWeight", f"{seed}|nodup", "draw",
-                                          carry=["boosterIndex"])
-    drawn = dup.unionByName(nodup.select(request_id, *grp, "boosterIndex", "draw", "cardUuid")) \
+                                          carry=["boosterIndex", "sheetIsFoil"])
+    drawn = dup.unionByName(nodup.select(request_id, *grp, "boosterIndex", "sheetIsFoil", "draw", "cardUuid")) \
         .withColumn("status", F.lit("ok"))
     miss = missing.select(request_id, *keys, F.lit(None).cast("bigint").alias("boosterIndex"),
                           F.lit(None).cast("string").alias("sheetName"), F.lit(None).cast("int").alias("draw"),
-                          F.lit(None).cast("string").alias("cardUuid"), F.lit("no_template").alias("status"))
-    out = drawn.select(request_id, *keys, "boosterIndex", "sheetName", "draw", "cardUuid", "status") \
+                          F.lit(None).cast("string").alias("cardUuid"), F.lit(None).cast("boolean").alias("isFoil"),
+                          F.lit("no_template").alias("status"))
+    out = drawn.select(request_id, *keys, "boosterIndex", "sheetName", "draw", "cardUuid",
+                       F.coalesce("sheetIsFoil", F.lit(False)).alias("isFoil"), "status") \
         .unionByName(miss)
     if cards is not None:
         c = cards.alias("c")

@@ -115,7 +115,8 @@ class Cards(_Part):
                mana_value_lte=None, mana_value_gte=None, text=None, text_regex=None, power=None,
                toughness=None, artist=None, keyword=None, is_promo=None, availability=None,
                language=None, layout=None, set_type=None, limit: int | None = 100,
-               offset: int = 0, fuzzy_threshold: float = 0.8) -> DataFrame:
+               offset: int = 0, fuzzy_threshold: float = 0.8,
+               localized_dedupe: bool = False) -> DataFrame:
         """Conjunctive search (P24): every given filter narrows the result;
         joins appear only when their filter is set.  Ordered by similarity
         (fuzzy searches) then uuid, then paged."""
@@ -148,7 +149,10 @@ class Cards(_Part):
             sets = self.t("sets").where(P.eq("type", set_type)).select(F.col("code").alias("setCode"))
             out = out.join(sets, "setCode", "left_semi")
         if localized_name is not None:
-            out = J.join_translations(out, self.t("card_foreign_data"), localized_name).drop("foreign_name")
+            # Default: one row per matching translation (a card matching in two
+            # languages appears twice); localized_dedupe=True keeps one row.
+            out = J.join_translations(out, self.t("card_foreign_data"), localized_name, dedupe=localized_dedupe)
+            out = out.drop("foreign_name") if "foreign_name" in out.columns else out
         order = ["uuid asc"]
         if fuzzy_name is not None:
             check_threshold(fuzzy_threshold)

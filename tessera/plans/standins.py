@@ -989,11 +989,11 @@ phase2 AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName, sheetName
                                      ORDER BY k, cardUuid) AS r2 FROM pool WHERE k IS NOT NULL) x
   WHERE r2 <= picks - n)
-SELECT request_id, setCode, boosterName, boosterIndex, sheetName, draw, cardUuid, 'ok' AS status
+SELECT request_id, setCode, boosterName, boosterIndex, sheetName, draw, cardUuid, false AS isFoil, 'ok' AS status
 FROM (SELECT * FROM dup UNION ALL SELECT * FROM phase1 UNION ALL SELECT * FROM phase2) a
 UNION ALL
 SELECT r.request_id, r.setCode, r.boosterName, NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, NULL::VARCHAR,
-       'no_template'
+       NULL::BOOLEAN, 'no_template'
 FROM req r WHERE r.request_id NOT IN (SELECT request_id FROM picked)
 """
 

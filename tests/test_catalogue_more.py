@@ -180,6 +180,8 @@ def test_vocabularies(full):
 def test_localized_search(full):
     rows = full.cards.search(localized_name="blitz").collect()
     assert [r["uuid"] for r in rows] == ["card-uuid-001", "card-uuid-001"]   # one row per translation
+    assert [r["uuid"] for r in full.cards.search(localized_name="blitz", localized_dedupe=True).collect()] == \
+        ["card-uuid-001"]
 
 
 def test_booster(full):
@@ -194,6 +196,9 @@ def test_booster(full):
         assert grp.cardUuid.is_unique or sheet == "rare"
         if sheet == "foil":
             assert set(grp.cardUuid) == {"card-uuid-002"}                 # zero weight never drawn
+            assert grp.isFoil.all()
+        else:
+            assert not grp.isFoil.any()
     assert "name" in box.columns
     zero = full.booster.open_box("ZRO", "draft", 200, with_cards=False).toPandas()
     assert set(zero.boosterIndex) == {0, 1}                              # all-zero weights: uniform pick
