@@ -485,9 +485,9 @@ class CardData:
     """Client over a catalogue data root (or DataFrame overrides)."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, overrides: dict | None = None,
-                 normalize: bool = True):
+                 normalize: bool = True, list_columns: dict | None = None):
         self.spark = spark
-        self.catalog = Catalog(spark, root, overrides, normalize=normalize)
+        self.catalog = Catalog(spark, root, overrides, normalize=normalize, list_columns=list_columns)
         self.cards = Cards(self)
         self.tokens = Tokens(self)
         self.sets = Sets(self)

@@ -103,8 +103,9 @@ def unpivot_status(df: DataFrame, id_col: str = "uuid", name_col: str = "format"
             .where(F.col(value_col).isNotNull()))
 
 
-def normalize_table(df: DataFrame, name: str) -> DataFrame:
-    """The per-dataset normalisation applied when a view is registered."""
+def normalize_table(df: DataFrame, name: str, extra=(), ignore=()) -> DataFrame:
+    """The per-dataset normalisation applied when a view is registered.
+    ``extra``/``ignore`` adjust the text-list heuristic for this table."""
     if name == "card_legalities":
         return unpivot_status(df)
-    return json_to_variant(csv_to_array(df, name))
+    return json_to_variant(csv_to_array(df, name, extra=extra, ignore=ignore))

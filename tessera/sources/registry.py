@@ -75,11 +75,15 @@ class Catalog:
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 overrides: dict | None = None, normalize: bool = True):
+                 overrides: dict | None = None, normalize: bool = True,
+                 list_columns: dict | None = None):
         self.spark = spark
         self.root = root
         self.overrides = dict(overrides or {})
         self.normalize = normalize
+        # Per-table adjustments of the text-list heuristic:
+        # {"cards": {"extra": ["otherLists"], "ignore": ["names"]}}.
+        self.list_columns = dict(list_columns or {})
         self._views: dict[str, DataFrame] = {}
 
     # -- registry (S2) -------------------------------------------------------
@@ -111,7 +115,8 @@ class Catalog:
         """Register (or replace) a view from a DataFrame."""
         if self.normalize:
             from tessera.sources.normalize import normalize_table
-            df = normalize_table(df, name)
+            adj = self.list_columns.get(name, {})
+            df = normalize_table(df, name, extra=adj.get("extra", ()), ignore=adj.get("ignore", ()))
         df.createOrReplaceTempView(name)
         self._views[name] = df
         return df

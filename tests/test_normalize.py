@@ -70,3 +70,11 @@ def test_explode_json_text_children(spark):
                          element_schema="struct<uuid:string,name:string>", position="pos")
     assert sorted(tuple(r) for r in out.collect()) == [(0, "p1", "Box", "A25", "Masters"),
                                                         (1, "p2", "Pack", "A25", "Masters")]
+
+
+def test_list_heuristic_overrides(spark):
+    from tessera.sources.registry import Catalog
+    df = spark.createDataFrame([("a, b", "x, y", "p, q")], "tags string, names string, owner string")
+    c = Catalog(spark, overrides={"things": df}, list_columns={"things": {"extra": ["owner"], "ignore": ["names"]}})
+    row = c.ensure_view("things").first()
+    assert row["tags"] == ["a", "b"] and row["names"] == "x, y" and row["owner"] == ["p", "q"]
