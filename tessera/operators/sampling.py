@@ -343,11 +343,15 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     # One with-replacement candidate draw serves both kinds of sheet: sheets
     # that allow duplicates use their first `picks` draws as they are; the
     # others draw 2 x picks candidates and keep the first distinct ones.
+    # A single pick needs no dedupe either: one weighted draw with
+    # replacement is one draw without replacement (same first roll, so the
+    # result is identical to the two-phase path).
     per_sheet = per_sheet.withColumn("_k", F.col("picks")) \
-        .withColumn("_cand", F.when(F.col("allow_dup"), F.col("picks")).otherwise(F.col("picks") * 2))
+        .withColumn("_direct", F.col("allow_dup") | (F.col("picks") <= 1)) \
+        .withColumn("_cand", F.when(F.col("_direct"), F.col("picks")).otherwise(F.col("picks") * 2))
     cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
                                      seed=f"{seed}|draw", draw_col="_d",
-                                     carry=["allow_dup", "boosterIndex", "sheetIsFoil", "_k"])
+                                     carry=["_direct", "boosterIndex", "sheetIsFoil", "_k"])
     if materialize:
         # Two branches (sheets with and without duplicates) consume the
         # candidates, each with different columns pruned, so exchange reuse
@@ -355,9 +359,9 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         # (this also cuts the lineage a lost executor would replay).
         checkpoint_dir(cand.sparkSession)
         cand = cand.checkpoint(eager=True)
-    dup = cand.where(F.col("allow_dup")).select(request_id, *grp, "boosterIndex", "sheetIsFoil",
-                                                F.col("_d").alias("draw"), "cardUuid")
-    nodup = _complete_without_replacement(cand.where(~F.col("allow_dup")).drop("allow_dup"), sc, grp, rk,
+    dup = cand.where(F.col("_direct")).select(request_id, *grp, "boosterIndex", "sheetIsFoil",
+                                              F.col("_d").alias("draw"), "cardUuid")
+    nodup = _complete_without_replacement(cand.where(~F.col("_direct")).drop("_direct"), sc, grp, rk,
                                           "cardUuid", "cardWeight", f"{seed}|nodup", "draw",
                                           carry=["boosterIndex", "sheetIsFoil"])
     drawn = dup.unionByName(nodup.select(request_id, *grp, "boosterIndex", "sheetIsFoil", "draw", "cardUuid")) \
