@@ -302,8 +302,9 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     1. pick a template per request (X2, weighted by boosterWeight);
     2. its sheets with pick counts (NULL -> 1, 0 -> skipped);
     3. per (request, sheet): with-replacement draws (X3) when the sheet
-       allows duplicates, else the exact two-phase draw without replacement
-       (candidates from the same X3 pass, then ES for any shortfall);
+       allows duplicates or takes a single pick, else the exact two-phase
+       draw without replacement (candidates from the same X3 pass, then ES
+       for any shortfall);
     4. fetch card rows (J8): order by (sheetName, draw); uuids missing from
        ``cards`` are dropped, as a batch fetch drops misses.
 
