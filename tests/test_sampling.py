@@ -147,3 +147,31 @@ def test_fits_broadcast_and_conf_parsing(spark):
         assert not X.fits_broadcast(spark.range(10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_draws_independent_of_partitioning(spark):
+    """Same rows whatever the input partitioning or shuffle width: a task
+    recomputed after an executor loss reproduces its draws exactly."""
+    base = spark.range(3000).select((F.col("id") % 7).alias("g"), F.col("id").alias("item"),
+                                    (F.col("id") % 5).alias("w"))
+    req = spark.range(200).select((F.col("id") % 7).alias("g"), F.col("id").alias("rid"))
+
+    def run(parts, shuffle):
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))
+        items = base.repartition(parts)
+        r = req.repartition(parts)
+        out = {
+            "wr": X.weighted_with_replacement(items, r, "g", "item", "w", 3, "rid"),
+            "two": X.weighted_without_replacement_draws(items, r, "g", "item", "w", 4, "rid"),
+            "pick": X.weighted_pick(items, "g", "item", "w"),
+            "es": X.weighted_without_replacement(items, "g", "item", "w", 3),
+            "n": X.sample_n(items, 10, "item"),
+        }
+        return {k: sorted(tuple(x) for x in v.collect()) for k, v in out.items()}
+
+    try:
+        a = run(2, 3)
+        b = run(9, 13)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert a == b
