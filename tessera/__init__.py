@@ -17,4 +17,6 @@ try:
 except Exception:  # pragma: no cover - older cloudpickle
     pass
 
-__all__ = ["get_spark", "scratch_path"]
+from tessera.plans.catalogue import CardData  # noqa: E402
+
+__all__ = ["CardData", "get_spark", "scratch_path"]
