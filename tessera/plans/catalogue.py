@@ -314,14 +314,16 @@ class Legalities(_Part):
 class Prices(_Part):
     LEVELS = ["source", "provider", "currency", "price_type", "finish"]
 
-    def get(self, uuid: str | None = None) -> DataFrame:
+    def get(self, uuid: str | None = None, as_json: bool = False) -> DataFrame:
         """Nested ``source -> provider -> currency -> price_type -> finish ->
-        {date: price}`` map per uuid (``uuid=None``: every card)."""
+        {date: price}`` map per uuid (``uuid=None``: every card).
+        ``as_json`` renders it as JSON text (keys in sorted order)."""
         rows = self.t("all_prices_today")
         if uuid is not None:
             rows = rows.where(P.eq("uuid", uuid))
         rows = rows.withColumn("date", F.col("date").cast("string"))
-        return A.nested_map(rows, ["uuid"], self.LEVELS, "date", "price", out="prices")
+        out = A.nested_map(rows, ["uuid"], self.LEVELS, "date", "price", out="prices")
+        return out.withColumn("prices", F.to_json("prices")) if as_json else out
 
     def today(self, uuid: str | None = None, per=None) -> DataFrame:
         """Rows at the card's latest date (``per``: latest per those columns,

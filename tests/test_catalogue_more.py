@@ -108,6 +108,9 @@ def test_price_map(full):
     dup = full.prices.get("card-uuid-002").first()["prices"]
     assert dup["paper"]["tcgplayer"]["USD"]["retail"]["normal"] == {"2024-01-02": 0.30}
     assert full.prices.get().count() == 3
+    import json as _json
+    text = full.prices.get("card-uuid-002", as_json=True).first()["prices"]
+    assert _json.loads(text) == {"paper": {"tcgplayer": {"USD": {"retail": {"normal": {"2024-01-02": 0.3}}}}}}
 
 
 def test_today_history_trend(full):
