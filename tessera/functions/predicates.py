@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 import operator
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,5 +171,3 @@ def apply_filters(df: DataFrame, *conds) -> DataFrame:
     c = all_of(conds)
     return df if c is None else df.where(c)
 
-
-_SAFE_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
