@@ -7,9 +7,12 @@ set, ``p_type`` type, ``p_size`` weight); ``lineitem`` plays prices
 text; ``customer`` an identifier table; ``documents``/``conversations`` text.
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over whole tables, with an
-equivalent DuckDB SQL oracle in ``ORACLE_SQL`` (same column names).  Float
-aggregates are rounded on both sides; every top-k/page carries a unique
-tie-break (``lineitem`` is unique on orderkey, linenumber, partkey, suppkey).
+equivalent DuckDB SQL oracle in ``ORACLE_SQL`` (same column names and types).
+Money averages are exact (integer cents) and other float aggregates are
+rounded on both sides; every top-k/page carries a unique tie-break
+(``lineitem`` is unique on orderkey, linenumber, partkey, suppkey); sampling
+oracles recompute the same md5-derived uniforms in SQL; map-building
+stand-ins group by bounded keys (an order's lines, a part's prices).
 """
 
 from __future__ import annotations
