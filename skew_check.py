@@ -50,6 +50,9 @@ def operators(df):
         "latest_rows": lambda: J.latest_rows(df, "k", "date"),
         "distinct_on": lambda: A.distinct_on(df, ["k"], ["price", "item"]),
         "price_trend": lambda: A.price_trend(df, key="k"),
+        "nested_map_split": lambda: A.nested_map(
+            df.withColumn("s", F.col("item") % 3).withColumn("d", F.col("date").cast("string")),
+            ["k"], ["s", "d"], "item", "price", split_levels=2),
         "financial_summary": lambda: A.financial_summary(df, group="k", item="item"),
         "exists_flag": lambda: A.exists_flag(df.select("k").distinct(), df, ["k"], F.col("price") > 50000),
         "exists_flag_hot_requests": lambda: A.exists_flag(df.select("k", "item"), df.where("item % 2 = 0"), ["k"]),

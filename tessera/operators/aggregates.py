@@ -152,28 +152,34 @@ def _money(price: str, money_scale: int | None):
 
 def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str,
                leaf_value: str, out: str = "prices", pick=F.max,
-               text_default: str = "", value_default: float = 0.0) -> DataFrame:   # A8
-    """Rows -> one nested map per id: ``levels[0] -> … -> {leaf_key: leaf_value}``.
-
-    Missing text becomes ``""`` and a missing value ``0.0``.  Duplicate full
-    keys are resolved by ``pick`` (max by default) first.  Built innermost
-    level first, one grouped aggregate per level; each level's groups are
-    bounded by the vocabulary below it, and the leaf by the dates per series.
+               text_default: str = "", value_default: float = 0.0,
+               split_levels: int = 0) -> DataFrame:                       # A8
+    """Rows -> nested maps ``levels[0] -> … -> {leaf_key: leaf_value}``.
+
+    Missing text becomes ``""`` and a missing value ``0.0``; duplicate full
+    keys are resolved by ``pick`` (max by default) first.
+
+    One output row per id (``split_levels=0``), or per (id, first
+    ``split_levels`` levels) with the remaining levels nested: the bulk form
+    for data where one id may be huge, since a row holds one group's map and
+    the split spreads a hot id over tasks.
+
+    Two shuffles whatever the depth: the dedupe (a map-side partial aggregate
+    hashed on the full key), then one repartition by the output row's key;
+    every level is then built inside those partitions (each level groups by
+    a superset of the partitioning keys, so no further exchange).  Building
+    level by level with a shuffle each would move the data once per level.
     """
     d = df.select(*[F.col(c) for c in id_cols],
                   *[F.coalesce(F.col(c).cast("string"), F.lit(text_default)).alias(c)
                     for c in levels + [leaf_key]],
                   F.coalesce(F.col(leaf_value).cast("double"), F.lit(value_default)).alias("_v"))
     keys = id_cols + levels + [leaf_key]
-    # Dedupe on the full key (map-side partial aggregate, hashed on all keys
-    # so even a hot id spreads over tasks), then one grouped aggregate per
-    # level: each level shuffles only the rows of the level below (one per
-    # series, then per finish, ...), so no task ever receives a hot id's raw
-    # rows; only its final, already-built map.
-    cur = d.groupBy(*keys).agg(pick("_v").alias("_v"))
+    row_key = id_cols + levels[:split_levels]
+    cur = d.groupBy(*keys).agg(pick("_v").alias("_v")).repartition(*row_key)
     grp = id_cols + levels
     cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v"), orderable=True).alias("_m"))
-    for lvl in reversed(levels):
+    for lvl in reversed(levels[split_levels:]):
         grp = grp[:-1]
         cur = cur.groupBy(*grp).agg(_sorted_map(F.col(lvl), F.col("_m")).alias("_m"))
     return cur.withColumnRenamed("_m", out)

@@ -314,15 +314,18 @@ class Legalities(_Part):
 class Prices(_Part):
     LEVELS = ["source", "provider", "currency", "price_type", "finish"]
 
-    def get(self, uuid: str | None = None, as_json: bool = False) -> DataFrame:
+    def get(self, uuid: str | None = None, as_json: bool = False, split_levels: int = 0) -> DataFrame:
         """Nested ``source -> provider -> currency -> price_type -> finish ->
         {date: price}`` map per uuid (``uuid=None``: every card).
-        ``as_json`` renders it as JSON text (keys in sorted order)."""
+        ``as_json`` renders it as JSON text (keys in sorted order);
+        ``split_levels=k`` returns one row per (uuid, first k levels) instead,
+        the bulk form that keeps rows bounded when one card has huge history."""
         rows = self.t("all_prices_today")
         if uuid is not None:
             rows = rows.where(P.eq("uuid", uuid))
         rows = rows.withColumn("date", F.col("date").cast("string"))
-        out = A.nested_map(rows, ["uuid"], self.LEVELS, "date", "price", out="prices")
+        out = A.nested_map(rows, ["uuid"], self.LEVELS, "date", "price", out="prices",
+                           split_levels=split_levels)
         return out.withColumn("prices", F.to_json("prices")) if as_json else out
 
     def today(self, uuid: str | None = None, per=None) -> DataFrame:

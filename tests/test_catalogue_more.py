@@ -108,6 +108,13 @@ def test_price_map(full):
     dup = full.prices.get("card-uuid-002").first()["prices"]
     assert dup["paper"]["tcgplayer"]["USD"]["retail"]["normal"] == {"2024-01-02": 0.30}
     assert full.prices.get().count() == 3
+    from tessera.operators.aggregates import flatten_nested_map
+    lv = ["source", "provider", "currency", "price_type", "finish"]
+    whole = flatten_nested_map(full.prices.get(), ["uuid"], lv, "date", "price")
+    split = flatten_nested_map(full.prices.get(split_levels=2), ["uuid"] + lv[:2], lv[2:], "date", "price")
+    assert full.prices.get(split_levels=2).count() == 4                          # (uuid, source, provider)
+    assert sorted(map(tuple, whole.select(*sorted(whole.columns)).collect())) == \
+        sorted(map(tuple, split.select(*sorted(split.columns)).collect()))
     import json as _json
     text = full.prices.get("card-uuid-002", as_json=True).first()["prices"]
     assert _json.loads(text) == {"paper": {"tcgplayer": {"USD": {"retail": {"normal": {"2024-01-02": 0.3}}}}}}
