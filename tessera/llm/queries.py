@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bfd_pack, kk_pack
-from tessera.llm.common import read_table
+from tessera.llm import bfd_pack, bradley_terry, kk_pack, simhash, string_kernel
+from tessera.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,3 +30,22 @@ def op5_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = kk_pack.pack(read_table(spark, sf_dir, "documents"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@_query
+def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = bradley_terry.fit(docs, read_table(spark, sf_dir, "labels"),
+                              learn=fold("__id", 5) != 0)
+    return bradley_terry.score(docs, model)
+
+
+@_query
+def op8_string_kernel_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return string_kernel.identify(docs, string_kernel.fit(docs, learn=fold("__id", 3) != 1))
