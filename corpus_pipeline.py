@@ -1,25 +1,62 @@
-"""A corpus pipeline over ``documents``: five stages, each written as Parquet
-and read again as the next one's input."""
+"""A corpus pipeline over ``documents``: quality ranking, line rules, near
+duplicates, mixing and packing.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
+and is written as Parquet in the shared scratch folder, where the next one
+reads it.  All but the last return the rows they keep with the columns they
+were given, whatever these are; the last returns packed pieces.  Rows are never
+matched by position: documents without an id pass the near-duplicate stage
+unless they are exact copies of each other.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import kk_pack
-from tessera.llm.common import read_table
+from tessera.llm import bradley_terry, kk_pack, line_crf, mixing, simhash
+from tessera.llm.common import filter_texts, fold, read_table
 from tessera.session import scratch_path
 
 
+def quality_ranking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose Bradley-Terry score reaches the threshold."""
+    model = bradley_terry.fit(docs, read_table(spark, sf_dir, "labels"), learn=fold("__id", 5) != 0)
+    return filter_texts(docs, "text", lambda texts: model.scores(texts) >= model.cut)
+
+
+def line_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are content for the most part."""
+    model = line_crf.fit(docs)
+    return filter_texts(docs, "text", lambda texts: line_crf.judge(texts, model)["kept"])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints: that of the smallest
+    id, and one row of those repeated with their id."""
+    dropped = (simhash.near_duplicates(docs).where("doc_id != component_id")
+               .select("doc_id").distinct())
+    copies = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return (docs.join(dropped, "doc_id", "left_anti").withColumn("__copies", copies)
+            .dropDuplicates(["doc_id", "__copies"]).select(*docs.columns))
+
+
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample by probabilities raked to source, language and topic targets."""
+    return mixing.sample(docs, mixing.weights(docs)).select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     pieces = kk_pack.pack(docs)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality_ranking", quality_ranking), ("line_rules", line_rules),
+          ("near_duplicates", near_duplicates), ("mixing_weights", mixing_weights),
+          ("packing", packing)]
 
-#: Learned models and tokenizers are beyond SQL.
+#: Learned models, fingerprints and a tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 

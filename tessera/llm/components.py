@@ -28,10 +28,12 @@ def stars(edges: DataFrame) -> DataFrame:
     mark = _mark(e)
     while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Kept, so that AQE may split a joined node that has very many neighbours.
+        low = keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = (both.where("v > u").join(low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = keep(large)
+        least = keep(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         e = keep(small)

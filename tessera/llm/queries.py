@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bfd_pack, bradley_terry, kk_pack, simhash, string_kernel
+from tessera.llm import (bfd_pack, bradley_terry, chat_repair, kk_pack, kneser_ney, line_crf, mixing,
+                         simhash, string_kernel, vamana)
 from tessera.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,28 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    drawn = mixing.sample(docs, mixing.weights(docs))
+    return drawn.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
+                        F.col("__topic").alias("topic"), mixing.tokens("text").alias("n_tokens"),
+                        F.col("__p").alias("p"))
+
+
+ORACLE_SQL["op2_mixing_weights"] = mixing.oracle_sql()
+
+
+@_query
+def op3_robust_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.search(read_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op5_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bfd_pack.pack_matrices(read_table(spark, sf_dir, "documents"))
@@ -49,3 +72,18 @@ def op6_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_string_kernel_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return string_kernel.identify(docs, string_kernel.fit(docs, learn=fold("__id", 3) != 1))
+
+
+@_query
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    n = fold("__id", 5)
+    model = kneser_ney.fit(docs, read_table(spark, sf_dir, "labels"),
+                           learn=n.isin(2, 3, 4), calibration=n == 1)
+    return kneser_ney.score(docs, model)
+
+
+@_query
+def op9_line_crf_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return line_crf.assess(docs, line_crf.fit(docs))
