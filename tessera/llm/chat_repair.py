@@ -81,7 +81,7 @@ def role_code(role: str | None) -> int:
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Min-plus product."""
-    return np.minimum((a[..., :, None] + b[None]).min(axis=-2), FAR)
+    return np.minimum((a[..., :, None] + b).min(axis=-2), FAR)
 
 
 def forward(roles: list[int], entry: list[int]) -> tuple[list[int], list[list[int]]]:
@@ -202,7 +202,7 @@ def repair(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
             for _, code, _ in run:
                 m = times(m, COST[code])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()]), pa.array([place]),
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([place], pa.int32()),
                  pa.array([c], ids_type), pa.array([m.ravel().tolist()])], ["p", "place", "conv_id", "m"])
 
     ids_type = arrow_schema(T.StructType([rows.schema["conv_id"]])).field(0).type
@@ -232,7 +232,7 @@ def repair(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
             if (p, place) in split:
                 cost, back = forward([code for _, code, _ in run], entry[p, place])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p]), pa.array([place]), pa.array([cost]),
+                    [pa.array([p], pa.int32()), pa.array([place], pa.int32()), pa.array([cost]),
                      pa.array([[trace(back, s)[0] for s in range(4)]])], ["p", "place", "cost", "come"])
 
     leave: dict[tuple[int, int], int] = {}
