@@ -113,8 +113,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, n: int,
     for v in (0, 1):
         part = hashed_sample(ids.where(F.col("y") == v), "__id", n)
         picked = part if picked is None else picked.unionByName(part)
-    return (documents.join(F.broadcast(picked), F.col(id_col) == F.col("__id"))
-            .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), "y"))
+    docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
+            .select("doc_id", "text", "y"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

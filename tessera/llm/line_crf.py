@@ -200,7 +200,8 @@ def fit(documents: DataFrame, *, sample: int = 1500, id_col: str = "doc_id",
     at most ``sample`` documents whose id has the smallest hash."""
     ids = hashed_sample(documents.where(F.col(id_col).isNotNull())
                         .select(F.col(id_col).alias("__id")), "__id", sample).distinct()
-    docs = documents.join(F.broadcast(ids), F.col(id_col) == F.col("__id"))
+    docs = (documents.select(F.col(id_col).alias("__key"), F.col(text_col).alias("text"))
+            .join(F.broadcast(ids), F.col("__key") == F.col("__id")))
 
     def work(texts: list) -> dict:
         out = []
@@ -211,7 +212,7 @@ def fit(documents: DataFrame, *, sample: int = 1500, id_col: str = "doc_id",
             out.append(np.column_stack([m, f])[at:at + RUN].astype(np.int8).tobytes())
         return {"run": out}
 
-    rows = map_texts(docs, text_col, {}, [T.StructField("run", T.BinaryType())], work).collect()
+    rows = map_texts(docs, "text", {}, [T.StructField("run", T.BinaryType())], work).collect()
     runs = sorted(bytes(r["run"]) for r in rows if r["run"])
     arrays = [np.frombuffer(r, np.int8).reshape(-1, 1 + N_FEATURES) for r in runs]
     return train([(a[:, 1:], a[:, 0]) for a in arrays])

@@ -44,9 +44,9 @@ def uniform(id_col: str, seed: int = 42) -> Column:
 
 
 def _keys(text_col: str, source_col: str, lang_col: str) -> list[Column]:
-    return [F.coalesce(F.col(source_col).cast("string"), F.lit("(none)")).alias("__source"),
-            F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("__lang"),
-            topic(text_col).alias("__topic")]
+    return [F.coalesce(F.col(source_col).cast("string"), F.lit("(none)")).alias("source"),
+            F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
+            topic(text_col).alias("topic")]
 
 
 def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
@@ -60,9 +60,7 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
     source ``(none)`` and a language ``und``.  Cells without tokens (empty
     texts only) have ratio 1.  An empty table gives no cells.
     """
-    cells = keep(df.select(*[k.alias(n) for k, n in zip(_keys(text_col, source_col, lang_col),
-                                                        ("source", "lang", "topic"))],
-                           tokens(text_col).alias("tokens"))
+    cells = keep(df.select(*_keys(text_col, source_col, lang_col), tokens(text_col).alias("tokens"))
                  .groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")))
     # Languages by topics: few, whatever the corpus; sources stay in the table.
     grid = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect()
@@ -110,20 +108,18 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
 
 def sample(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source", lang_col: str = "lang", seed: int = 42) -> DataFrame:
-    """The rows of ``df`` drawn with their cell's probability, all columns of
-    ``df`` and ``__source``, ``__lang``, ``__topic`` and ``__p``.
+    """The rows of ``df`` drawn with their cell's probability: (row, source,
+    lang, topic, p), where the struct ``row`` has all columns of ``df``.
 
     A row stays if the uniform number of its id is below p: the same rows in
     any run and partitioning; repeated ids stay or go together, and so do null
     ids of one cell.  The join with the cells is left to AQE, which broadcasts
     them while they are small and splits a hot source where they are not.
     """
-    keyed = df.withColumns(dict(zip(("__source", "__lang", "__topic"),
-                                    _keys(text_col, source_col, lang_col))))
-    cells = cells.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"),
-                         F.col("topic").alias("__topic"), F.col("p").alias("__p"))
-    return (keyed.join(cells, ["__source", "__lang", "__topic"])
-            .where(uniform(id_col, seed) < F.col("__p")))
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                      *_keys(text_col, source_col, lang_col), uniform(id_col, seed).alias("u"))
+    return (keyed.join(cells.select("source", "lang", "topic", "p"), ["source", "lang", "topic"])
+            .where("u < p").select("row", "source", "lang", "topic", "p"))
 
 
 def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12, seed: int = 42) -> str:

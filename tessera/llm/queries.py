@@ -31,9 +31,8 @@ def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     drawn = mixing.sample(docs, mixing.weights(docs))
-    return drawn.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
-                        F.col("__topic").alias("topic"), mixing.tokens("text").alias("n_tokens"),
-                        F.col("__p").alias("p"))
+    return drawn.select("row.doc_id", "source", "lang", "topic",
+                        mixing.tokens("row.text").alias("n_tokens"), "p")
 
 
 ORACLE_SQL["op2_mixing_weights"] = mixing.oracle_sql()

@@ -41,14 +41,15 @@ def grams(text: str | None, longest: int = 4) -> np.ndarray:
     if not text:
         return np.empty(0, np.int64)
     c = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    blank = c == 0
-    if blank.all():
+    if not c.any():
         return np.empty(0, np.int64)
     # runs of other characters are one space; one stands at either end
-    c = np.concatenate([[0], c[~(blank & np.append(False, blank[:-1]))], [0]]).astype(np.uint64)
-    out, h = [c[c > 0]], c
+    c = np.concatenate([[0], c, [0]]).astype(np.uint64)
+    blank = c == 0
+    c = c[~(blank & np.append(False, blank[:-1]))] + np.uint64(1)
+    out, h = [c[c > 1]], c
     for n in range(2, longest + 1):
-        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1:] + np.uint64(n)
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1:]
         out.append(h)
     h = np.concatenate(out) * np.uint64(0xD6E8FEB86659FD93)
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
