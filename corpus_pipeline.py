@@ -37,13 +37,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     dropped = (simhash.near_duplicates(docs).where("doc_id != component_id")
                .select("doc_id").distinct())
     copies = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return (docs.join(dropped, "doc_id", "left_anti").withColumn("__copies", copies)
-            .dropDuplicates(["doc_id", "__copies"]).select(*docs.columns))
+    return (docs.join(dropped, "doc_id", "left_anti")
+            .select(F.struct(*docs.columns).alias("row"), "doc_id", copies.alias("copies"))
+            .dropDuplicates(["doc_id", "copies"]).select("row.*"))
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by probabilities raked to source, language and topic targets."""
-    return mixing.sample(docs, mixing.weights(docs)).select(*docs.columns)
+    return mixing.sample(docs, mixing.weights(docs)).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
