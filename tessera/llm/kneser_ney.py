@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import fold, keep, labelled_sample, map_texts, sigmoid, slices
 
-ORDER = 6
+ORDER = 7
 DISCOUNT = 0.75
 #: The model's size: slots for n-grams and for contexts.
 GRAM_BITS, CONTEXT_BITS = 21, 19
@@ -203,8 +203,8 @@ def _collected(df: DataFrame, bits: int) -> Table:
 
 
 #: Words of the passages whose evidence is averaged.
-TOP = (1, 3, 8)
-N_STATS = 2 + len(TOP)
+TOP = (1, 3, 8, 24)
+N_STATS = 3 + len(TOP)
 
 
 @dataclass
@@ -215,8 +215,9 @@ class Toxicity:
 
     def stats(self, texts: list) -> np.ndarray:
         """Per text: the length-normalised log-likelihood ratio, the share of
-        words that speak for toxic, and the mean evidence of its strongest
-        words.  Zeros for a text without words."""
+        words that speak for toxic, the logarithm of the number of words (chance
+        evidence grows with it), and the mean evidence of its strongest words.
+        Zeros for a text without words."""
         out = np.zeros((len(texts), N_STATS))
         data, ends = joined(texts)
         if not len(data):
@@ -239,7 +240,8 @@ class Toxicity:
                 top = -np.sort(-np.partition(words, len(words) - k)[len(words) - k:])
                 out[i, 0] = v.sum() / len(v)
                 out[i, 1] = (words > 3).mean()
-                out[i, 2:] = [top[:t].sum() / t for t in TOP]
+                out[i, 2] = np.log(len(words))
+                out[i, 3:] = [top[:t].sum() / t for t in TOP]
             start = end
         return out
 
