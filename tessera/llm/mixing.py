@@ -106,7 +106,7 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
             .withColumn("p", F.round(F.least(F.lit(1.0), F.lit(keep_share) * F.col("ratio")), 6)))
 
 
-def sample(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+def draw(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source", lang_col: str = "lang", seed: int = 42) -> DataFrame:
     """The rows of ``df`` drawn with their cell's probability: (row, source,
     lang, topic, p), where the struct ``row`` has all columns of ``df``.
@@ -122,6 +122,11 @@ def sample(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col:
             .where("u < p").select("row", "source", "lang", "topic", "p"))
 
 
+def sample(df: DataFrame, cells: DataFrame, **options) -> DataFrame:
+    """The rows that ``draw`` draws, with the columns of ``df``."""
+    return draw(df, cells, **options).select("row.*")
+
+
 def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12, seed: int = 42) -> str:
     """DuckDB SQL of the sample over ``documents``."""
     case = " ".join("WHEN " + " OR ".join(f"contains(coalesce(text, ''), '{p}')" for p in phrases)
