@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by probabilities raked to source, language and topic targets."""
-    return mixing.sample(docs, mixing.weights(docs)).select("row.*")
+    return mixing.sample(docs, mixing.weights(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
