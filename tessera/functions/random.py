@@ -14,10 +14,23 @@ from pyspark.sql import functions as F
 _TWO_52 = float(2 ** 52)
 
 
+def _part(k) -> Column:
+    """One part of a composite key: `|` and `\\` escaped, NULL spelled out, so
+    that different keys never read alike."""
+    s = (k if isinstance(k, Column) else F.col(k)).cast("string")
+    for c in ("\\", "|"):
+        s = F.replace(s, F.lit(c), F.lit("\\" + c))
+    return F.coalesce(s, F.lit("\\N"))
+
+
+def composite_key(key) -> Column:
+    """One string for the values of several columns, never NULL."""
+    return F.concat_ws("|", *[_part(k) for k in key])
+
+
 def _key(key) -> Column:
     if isinstance(key, (list, tuple)):
-        return F.concat_ws("|", *[(k if isinstance(k, Column) else F.col(k)).cast("string")
-                                  for k in key])
+        return composite_key(key)
     return (key if isinstance(key, Column) else F.col(key)).cast("string")
 
 

@@ -204,10 +204,9 @@ def group_map(df: DataFrame, group: list[str], key: str, value: str, out: str =
     d = df.where(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
     d = d.select(*group, F.col(key).alias("_k"),
                  F.coalesce(F.col(value), F.lit(default)).alias("_v"))
-    # One exchange: partition by the group (the map row's key), then dedupe
-    # and collect inside it (both aggregates group by supersets of it).
-    if group:
-        d = d.repartition(*group)
+    # Dedupe first, by a partial aggregate on (group, key): a hot group's raw
+    # rows are reduced in the map tasks and spread by key; only its distinct
+    # entries, which the map row holds anyway, meet in one task.
     d = d.groupBy(*group, "_k").agg(pick("_v").alias("_v"))
     return d.groupBy(*group).agg(_sorted_map(F.col("_k"), F.col("_v"), orderable=True).alias(out))
 

@@ -125,13 +125,15 @@ def ordered_fetch(requests: DataFrame, fact: DataFrame, key: str, *,
     if keys_col is not None:
         sel = [F.col(request_col)] if request_col else []
         requests = requests.select(*sel, F.posexplode(keys_col).alias(pos_col, key))
-    # Many requests may ask for the same key (a popular card): salt the
-    # requests by position and replicate the (one-row-per-key) fact side.
+    # Many requests may ask for the same key (a popular card): the fact is
+    # first narrowed to the requested keys (its only shuffle), and just those
+    # rows are replicated against the salted requests.
     from tessera.operators.sampling import salted_join
     salt_by = ([request_col] if request_col else []) + [pos_col]
     fact_cols = [c for c in fact.columns if c != fk]
     f = fact.select(F.col(f"`{fk}`").alias("_fk"), *[F.col(f"`{c}`").alias(f"_f_{c}") for c in fact_cols])
     r = requests.withColumnRenamed(key, "_fk")
+    f = f.join(r.select("_fk").distinct(), "_fk", "left_semi")
     out = salted_join(r, f, ["_fk"], salt_by)
     front = ([F.col(f"`{request_col}`")] if request_col else []) + [F.col(f"`{pos_col}`")]
     return out.select(*front, *[F.col("_fk").alias(fk) if c == fk else F.col(f"`_f_{c}`").alias(c)

@@ -16,12 +16,17 @@ def explode_tagged(df: DataFrame, array_col: str, tags: dict[str, str] | list[st
     """One row per element of ``array_col`` (array of structs, or JSON text of
     one when ``element_schema`` is given), with the parent's ``tags`` columns
     (``{source: alias}`` or names).  NULL and empty arrays yield no rows; a
-    missing column yields an empty relation with the element's fields."""
+    missing column yields an empty relation with the fields of
+    ``element_schema`` (none if it is not given) and the tags."""
     tag_map = tags if isinstance(tags, dict) else {t: t for t in tags}
     if array_col not in df.columns:
         if require_present:
             raise ValueError(f"column {array_col!r} not present")
-        return df.sparkSession.createDataFrame([], T.StructType([]))
+        et = T._parse_datatype_string(element_schema) if isinstance(element_schema, str) else element_schema
+        inner = [] if et is None else et.fields if isinstance(et, T.StructType) else [T.StructField("value", et)]
+        lead = [T.StructField(position, T.IntegerType())] if position else []
+        tag_fields = [T.StructField(a, df.schema[s].dataType) for s, a in tag_map.items()]
+        return df.sparkSession.createDataFrame([], T.StructType([*lead, *inner, *tag_fields]))
     arr = F.col(array_col)
     if element_schema is not None:
         et = element_schema if isinstance(element_schema, T.DataType) else T._parse_datatype_string(element_schema)

@@ -25,8 +25,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.random import hash_bucket, hash_uniform
+from tessera.functions.random import composite_key, hash_bucket, hash_uniform
 from tessera.session import checkpoint_dir
 
 
@@ -156,8 +157,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int
 
 
 def _interval_tables(items: DataFrame, g: list, item: str, weight, blocks: int):
-    w = F.coalesce(F.col(weight) if isinstance(weight, str) else weight, F.lit(1)).cast("bigint")
-    d = items.select(*g, F.col(item), w.alias("_w")).where(F.col("_w") > 0) \
+    d = items.select(*g, F.col(item), F.coalesce(F.col(weight) if isinstance(weight, str) else weight,
+                                                 F.lit(1)).alias("_w")).where(F.col("_w") > 0)
+    if isinstance(d.schema["_w"].dataType, T.FractionalType):
+        # Exact integer sums whatever the order: fractional weights count in
+        # millionths, and in one at least.
+        d = d.withColumn("_w", F.greatest(F.lit(1), F.round(F.col("_w") * 1_000_000)))
+    d = d.withColumn("_w", F.col("_w").cast("bigint")) \
         .withColumn("_blk", hash_bucket("blk", item, blocks))
     bsum = d.groupBy(*g, "_blk").agg(F.sum("_w").alias("_bsum"), F.count(F.lit(1)).alias("_bcnt"))
     wg = Window.partitionBy(*g)
@@ -297,7 +303,9 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
                sheets: DataFrame, sheet_cards: DataFrame, cards: DataFrame | None = None,
                seed: str = "pack", request_id: str = "request_id",
                card_key: str = "uuid", materialize: bool = True) -> DataFrame:   # X5
-    """Open one pack per request row ``(request_id, setCode, boosterName)``.
+    """Open one pack per request row ``(request_id, setCode, boosterName)``;
+    requests may share an id, and equal rows open a pack each (``copy`` tells
+    them apart, from 1).
 
     1. pick a template per request (X2, weighted by boosterWeight);
     2. its sheets with pick counts (NULL -> 1, 0 -> skipped);
@@ -309,28 +317,35 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
        ``cards`` are dropped, as a batch fetch drops misses.
 
     Requests without a template come back once with ``status =
-    'no_template'`` and NULL card columns instead of failing the job.
+    'no_template'`` and NULL card columns instead of failing the job; so do
+    those whose template draws nothing (no contents, or only sheets without
+    cards of positive weight), with ``status = 'empty'`` and their
+    ``boosterIndex``.
     With ``materialize`` (default) the candidate draws are checkpointed
     eagerly to ``spark.checkpoint.dir`` (one job at call time).
-    Output: request_id, setCode, boosterName, boosterIndex, sheetName, draw,
+    Output: request_id, setCode, boosterName, copy, boosterIndex, sheetName, draw,
     cardUuid, isFoil (the sheet's foil flag), status (+ card columns when
     ``cards`` is given).
     """
     keys = ["setCode", "boosterName"]
-    # Each request fans out to templates x sheets x picks rows; spread the
-    # (narrow) request table over the shuffle partitions once, so that the
-    # fan-out never runs in the few tasks of its source scan.
-    n_parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    req = requests.select(request_id, F.upper(F.col("setCode")).alias("setCode"), "boosterName") \
-        .repartition(n_parts, request_id)
+    # A request's identity is its whole row.  Counting equal rows also spreads
+    # the (narrow) request table over the shuffle partitions, so that the
+    # fan-out to templates x sheets x picks never runs in the few tasks of its
+    # source scan.  The digest is the key of all that follows (never NULL).
+    ident = [request_id, *keys]
+    req = (requests.select(request_id, F.upper(F.col("setCode")).alias("setCode"), "boosterName")
+           .groupBy(*ident).agg(F.count(F.lit(1)).alias("_copies"))
+           .select(*ident, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("copy"))
+           .withColumn("_rid", F.md5(composite_key([*ident, "copy"]))))
+    ident = [request_id, "copy"]
     cw = content_weights.select(*keys, "boosterIndex",
-                                F.coalesce("boosterWeight", F.lit(1)).cast("bigint").alias("boosterWeight"))
+                                F.coalesce("boosterWeight", F.lit(1)).alias("boosterWeight"))
     cand = req.join(cw, keys, "inner")
-    picked = weighted_pick(cand, [request_id], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl")
-    missing = req.join(picked.select(request_id), request_id, "left_anti")
+    picked = weighted_pick(cand, ["_rid"], "boosterIndex", "boosterWeight", seed=f"{seed}|tpl")
+    missing = req.join(picked.select("_rid"), "_rid", "left_anti")
     pk = contents.select(*keys, "boosterIndex", "sheetName",
                          F.coalesce("sheetPicks", F.lit(1)).cast("int").alias("picks"))
-    per_sheet = (picked.select(request_id, *keys, "boosterIndex").join(pk, keys + ["boosterIndex"], "inner")
+    per_sheet = (picked.select("_rid", *ident, *keys, "boosterIndex").join(pk, keys + ["boosterIndex"], "inner")
                  .where(F.col("picks") > 0))
     props = sheets.select(*keys, "sheetName",
                           F.coalesce("sheetAllowDuplicates", F.lit(False)).alias("allow_dup"),
@@ -340,7 +355,8 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     sc = sheet_cards.where(F.col("cardUuid").isNotNull() & (F.trim("cardUuid") != "")) \
         .select(*keys, "sheetName", "cardUuid", F.coalesce("cardWeight", F.lit(1)).alias("cardWeight"))
     grp = keys + ["sheetName"]
-    rk = [request_id, "sheetName"]
+    rk = ["_rid", "sheetName"]
+    carry = [*ident, "boosterIndex", "sheetIsFoil"]
     # One with-replacement candidate draw serves both kinds of sheet: sheets
     # that allow duplicates use their first `picks` draws as they are; the
     # others draw 2 x picks candidates and keep the first distinct ones.
@@ -352,7 +368,7 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         .withColumn("_cand", F.when(F.col("_direct"), F.col("picks")).otherwise(F.col("picks") * 2))
     cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
                                      seed=f"{seed}|draw", draw_col="_d",
-                                     carry=["_direct", "boosterIndex", "sheetIsFoil", "_k"])
+                                     carry=["_direct", *carry, "_k"])
     if materialize:
         # Two branches (sheets with and without duplicates) consume the
         # candidates, each with different columns pruned, so exchange reuse
@@ -360,23 +376,21 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
         # (this also cuts the lineage a lost executor would replay).
         checkpoint_dir(cand.sparkSession)
         cand = cand.checkpoint(eager=True)
-    dup = cand.where(F.col("_direct")).select(request_id, *grp, "boosterIndex", "sheetIsFoil",
-                                              F.col("_d").alias("draw"), "cardUuid")
+    dup = cand.where(F.col("_direct")).select(*carry, *grp, F.col("_d").alias("draw"), "cardUuid")
     nodup = _complete_without_replacement(cand.where(~F.col("_direct")).drop("_direct"), sc, grp, rk,
                                           "cardUuid", "cardWeight", f"{seed}|nodup", "draw",
-                                          carry=["boosterIndex", "sheetIsFoil"])
-    drawn = dup.unionByName(nodup.select(request_id, *grp, "boosterIndex", "sheetIsFoil", "draw", "cardUuid")) \
-        .withColumn("status", F.lit("ok"))
-    miss = missing.select(request_id, *keys, F.lit(None).cast("bigint").alias("boosterIndex"),
-                          F.lit(None).cast("string").alias("sheetName"), F.lit(None).cast("int").alias("draw"),
-                          F.lit(None).cast("string").alias("cardUuid"), F.lit(None).cast("boolean").alias("isFoil"),
-                          F.lit("no_template").alias("status"))
-    out = drawn.select(request_id, *keys, "boosterIndex", "sheetName", "draw", "cardUuid",
-                       F.coalesce("sheetIsFoil", F.lit(False)).alias("isFoil"), "status") \
-        .unionByName(miss)
+                                          carry=carry)
+    out = dup.unionByName(nodup.select(*carry, *grp, "draw", "cardUuid")) \
+        .select(request_id, *keys, "copy", "boosterIndex", "sheetName", "draw", "cardUuid",
+                F.coalesce("sheetIsFoil", F.lit(False)).alias("isFoil"), F.lit("ok").alias("status"))
+    # Whatever has a candidate has a draw.
+    empty = picked.join(cand.select("_rid").distinct(), "_rid", "left_anti").withColumn("status", F.lit("empty"))
+    missing = missing.withColumn("boosterIndex", F.lit(None).cast("bigint")).withColumn("status", F.lit("no_template"))
+    cols = [request_id, *keys, "copy", "boosterIndex", "status"]
+    without = empty.select(*cols).unionByName(missing.select(*cols))
     if cards is not None:
+        # Rows without a card take no part: their NULL key would gather them.
         c = cards.alias("c")
-        out = (out.alias("o").join(c, F.col("o.cardUuid") == F.col(f"c.`{card_key}`"), "left")
-               .where((F.col("o.status") != "ok") | F.col(f"c.`{card_key}`").isNotNull())
+        out = (out.alias("o").join(c, F.col("o.cardUuid") == F.col(f"c.`{card_key}`"), "inner")
                .select("o.*", *[F.col(f"c.`{x}`") for x in cards.columns if x not in out.columns]))
-    return out
+    return out.unionByName(without, allowMissingColumns=True)

@@ -32,8 +32,8 @@ def order_by(df: DataFrame, *specs) -> DataFrame:          # K1 / K3
     return df.orderBy(*[sort_key(s) for s in specs])
 
 
-def page(df: DataFrame, order, limit: int = 100, offset: int = 0) -> DataFrame:   # K2
-    """LIMIT/OFFSET over a total order.
+def page(df: DataFrame, order, limit: int | None = 100, offset: int = 0) -> DataFrame:   # K2
+    """LIMIT/OFFSET over a total order (``limit=None``: all rows after the offset).
 
     Plans as one TakeOrderedAndProject (each task keeps its best
     ``offset + limit`` rows).  For deep pages use ``page_after``.
@@ -41,21 +41,25 @@ def page(df: DataFrame, order, limit: int = 100, offset: int = 0) -> DataFrame:
     out = df.orderBy(*[sort_key(s) for s in order])
     if offset:
         out = out.offset(int(offset))
-    return out.limit(int(limit))
+    return out if limit is None else out.limit(int(limit))
 
 
 def page_after(df: DataFrame, keys: list[str], after: tuple | None, limit: int = 100) -> DataFrame:
     """Keyset pagination: rows strictly after ``after`` in ascending ``keys``
-    order.  Cost does not grow with the page number."""
+    order, NULLs last (``after`` may hold None for a NULL key).  Cost does not
+    grow with the page number."""
     out = df
     if after is not None:
         cond = None
         for i in reversed(range(len(keys))):
-            here = F.col(keys[i]) > F.lit(after[i])
+            if after[i] is None:                       # nothing sorts after NULL
+                continue
+            here = (F.col(keys[i]) > F.lit(after[i])) | F.col(keys[i]).isNull()
             for j in range(i):
-                here = (F.col(keys[j]) == F.lit(after[j])) & here
+                same = F.col(keys[j]).isNull() if after[j] is None else F.col(keys[j]) == F.lit(after[j])
+                here = same & here
             cond = here if cond is None else (cond | here)
-        out = out.where(cond)
+        out = out.where(F.lit(False) if cond is None else cond)
     return out.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(int(limit))
 
 

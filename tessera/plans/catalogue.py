@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,8 @@ STATUSES = {"legal": "Legal", "banned": "Banned", "restricted": "Restricted",
             "suspended": "Suspended", "not_legal": "Not Legal"}
 
 PRICE_COLS = ("price", "source", "provider", "finish", "date")
+#: Ends every price order, so that rows that tie are alike in all columns returned.
+PRICE_TIES = ("provider asc", "source asc", "finish asc")
 PRICE_FILTERS = ("source", "provider", "currency", "price_type", "finish")
 
 
@@ -95,11 +97,15 @@ class Cards(_Part):
         cards = self.t("cards")
         if isinstance(name, DataFrame):
             req = name.select(F.col(name.columns[0]).alias("_request"))
-        else:
-            req = self.c.spark.createDataFrame([(name,)], "_request string")
-        out = A.distinct_on_with_fallback(req, cards, "_request", "name", "faceName",
-                                          ["name", "faceName"], ["uuid"])
-        return out if isinstance(name, DataFrame) else out.drop("_request")
+            return A.distinct_on_with_fallback(req, cards, "_request", "name", "faceName",
+                                               ["name", "faceName"], ["uuid"])
+        # One name: both equalities reach the scan.  The window covers one row
+        # per (name, faceName) pair of that name.
+        hits = cards.where(P.eq("name", name) | P.eq("faceName", name)) \
+            .withColumn("_prio", F.when(P.eq("name", name), 1).otherwise(2))
+        best = A.distinct_on(hits, ["name", "faceName"], ["_prio", "uuid"])
+        least = F.min("_prio").over(Window.partitionBy(F.lit(1)))
+        return best.withColumn("_least", least).where("_prio = _least").drop("_prio", "_least")
 
     def find_by_scryfall_id(self, scryfall_id: str) -> DataFrame:
         return self.c.identifiers.find_by("scryfallId", scryfall_id)
@@ -158,10 +164,7 @@ class Cards(_Part):
             check_threshold(fuzzy_threshold)
             out = fuzzy_filter(out, "name", fuzzy_name, fuzzy_threshold, score_col="_similarity")
             order = ["_similarity desc"] + order
-        if limit is None:
-            res = K.order_by(out, *order)
-        else:
-            res = K.page(out, order, limit=limit, offset=offset)
+        res = K.page(out, order, limit=limit, offset=offset)
         return res.drop("_similarity") if fuzzy_name is not None else res
 
 
@@ -343,7 +346,8 @@ class Prices(_Part):
             rng = P.between("date", date_from, date_to)
         else:
             rng = P.date_range("date", date_from, date_to)
-        return K.order_by(P.apply_filters(rows, P.eq("uuid", uuid), rng), "date asc")
+        return K.order_by(P.apply_filters(rows, P.eq("uuid", uuid), rng), "date asc",
+                          *[f"{x} asc" for x in rows.columns if x not in ("uuid", "date")])
 
     def price_trend(self, uuid: str | None = None, money_scale: int | None = None) -> DataFrame:
         rows = self.t("all_prices")
@@ -365,17 +369,17 @@ class Prices(_Part):
         return self.cheapest_printings(name, 1, **price_filters)
 
     def cheapest_printings(self, name: str, limit: int = 10, **price_filters) -> DataFrame:
-        return K.top_n(self._joined(name, **price_filters), ["price asc", "uuid asc", "date desc", "provider asc"],
+        return K.top_n(self._joined(name, **price_filters), ["price asc", "uuid asc", "date desc", *PRICE_TIES],
                        limit)
 
     def most_expensive_printings(self, name: str, limit: int = 10, **price_filters) -> DataFrame:
-        return K.top_n(self._joined(name, **price_filters), ["price desc", "uuid asc", "date desc", "provider asc"],
+        return K.top_n(self._joined(name, **price_filters), ["price desc", "uuid asc", "date desc", *PRICE_TIES],
                        limit)
 
     def cheapest_printings_all(self, limit: int = 1, **price_filters) -> DataFrame:
         """Bulk K4: the ``limit`` cheapest printings of every name."""
         return K.top_n_per_group(self._joined(None, **price_filters), "name",
-                                 ["price asc", "uuid asc", "date desc", "provider asc"], limit)
+                                 ["price asc", "uuid asc", "date desc", *PRICE_TIES], limit)
 
 
 class Decks(_Part):
@@ -398,16 +402,18 @@ class Decks(_Part):
         return A.count_rows(self.list(set_code, deck_type), alias="cnt")
 
 
-SEALED_ELEMENT = ("struct<uuid:string,name:string,category:string,subtype:string,"
-                  "releaseDate:string,cardCount:long>")
+# ``contents`` stays JSON text (it nests without bound).
+SEALED_ELEMENT = ("struct<uuid:string,name:string,category:string,subtype:string,language:string,"
+                  "releaseDate:string,cardCount:long,productSize:long,contents:string,"
+                  "identifiers:map<string,string>,purchaseUrls:map<string,string>>")
 
 
 class Sealed(_Part):
     def list(self, set_code: str | None = None) -> DataFrame:
         sets = self.t("sets")
         if "sealedProduct" not in sets.columns:
-            return self.c.spark.createDataFrame([], SEALED_ELEMENT[7:-1].replace(":", " ")
-                                                + ",setCode string,setName string")
+            return N.explode_tagged(sets, "sealedProduct", {"code": "setCode", "name": "setName"},
+                                    element_schema=SEALED_ELEMENT, require_present=False)
         if set_code is not None:
             sets = sets.where(P.eq("code", P.upper_key(set_code)))
         sets = sets.where(P.not_null("sealedProduct"))
@@ -437,8 +443,10 @@ class Skus(_Part):
 class Enums(_Part):
     def _doc(self, name: str) -> DataFrame:
         from tessera.sources.files import read_json_documents
-        return read_json_documents(self.c.spark, self.c.catalog.overrides.get(name) or self.c.catalog.path_of(name),
-                                   envelope=None)
+        given = self.c.catalog.overrides.get(name)
+        if isinstance(given, DataFrame):
+            return given
+        return read_json_documents(self.c.spark, given or self.c.catalog.path_of(name), envelope=None)
 
     def keywords(self) -> DataFrame:
         return N.explode_vocabulary(self._doc("keywords"), "data", "category", "value")
@@ -447,8 +455,8 @@ class Enums(_Part):
         return N.explode_type_vocabulary(self._doc("card_types"), "data")
 
     def enum_values(self) -> DataFrame:
-        doc = self._doc("enum_values")
-        return doc.select("data.*") if "data" in doc.columns else doc
+        """(dataset, field, value) rows."""
+        return N.explode_type_vocabulary(self._doc("enum_values"), "data").toDF("dataset", "field", "value")
 
 
 class Booster(_Part):

@@ -919,26 +919,39 @@ sheets AS (
 weights AS (
   SELECT k.setCode, k.boosterName, t.boosterIndex, t.boosterWeight
   FROM (SELECT DISTINCT setCode, boosterName FROM sheet_keys) k,
-       (VALUES (0::BIGINT, 3::BIGINT), (1::BIGINT, 1::BIGINT)) AS t(boosterIndex, boosterWeight)),
+       (VALUES (0::BIGINT, 3::BIGINT), (1::BIGINT, 1::BIGINT)) AS t(boosterIndex, boosterWeight)
+  UNION ALL
+  SELECT DISTINCT setCode, 'bare', 0::BIGINT, 1::BIGINT FROM sheet_keys),
 contents AS (
   SELECT s.setCode, s.boosterName, i.boosterIndex, s.sheetName, CAST(i.boosterIndex + 1 AS INTEGER) AS picks
   FROM sheet_keys s, (VALUES (0::BIGINT), (1::BIGINT)) AS i(boosterIndex)),
+asked AS (
+  SELECT CASE WHEN c.c_custkey % 3 = 0 THEN c.c_custkey - 1 ELSE c.c_custkey END AS request_id,
+         coalesce(upper(p.p_type), 'NONE') AS setCode, 'draft' AS boosterName
+  FROM customer c LEFT JOIN part p ON c.c_custkey = p.p_partkey
+  UNION ALL
+  SELECT c.c_custkey, upper(p.p_type), 'draft'
+  FROM customer c JOIN part p ON c.c_custkey = p.p_partkey WHERE c.c_custkey % 5 = 0
+  UNION ALL
+  SELECT c.c_custkey, upper(p.p_type), 'bare'
+  FROM customer c JOIN part p ON c.c_custkey = p.p_partkey WHERE c.c_custkey % 4 = 0),
 req AS (
-  SELECT c.c_custkey AS request_id, coalesce(upper(p.p_type), 'NONE') AS setCode, 'draft' AS boosterName
-  FROM customer c LEFT JOIN part p ON c.c_custkey = p.p_partkey),
+  SELECT *, md5(coalesce(CAST(request_id AS VARCHAR), '\\N') || '|' || setCode || '|' || boosterName || '|'
+                || CAST(copy AS VARCHAR)) AS rid
+  FROM (SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName) AS copy FROM asked) x),
 totals AS (SELECT setCode, boosterName, sum(boosterWeight) AS total FROM weights GROUP BY ALL),
 tpl_keys AS (
-  SELECT r.request_id, r.setCode, r.boosterName, w.boosterIndex,
+  SELECT r.rid, r.request_id, r.copy, r.setCode, r.boosterName, w.boosterIndex,
     CASE WHEN t.total > 0 THEN (CASE WHEN w.boosterWeight > 0 THEN
-           -ln({_u('pack|tpl', "CAST(r.request_id AS VARCHAR) || '|' || CAST(w.boosterIndex AS VARCHAR)")})
+           -ln({_u('pack|tpl', "r.rid || '|' || CAST(w.boosterIndex AS VARCHAR)")})
            / w.boosterWeight END)
-         ELSE {_u('pack|tpl', "CAST(r.request_id AS VARCHAR) || '|' || CAST(w.boosterIndex AS VARCHAR)")} END AS k
+         ELSE {_u('pack|tpl', "r.rid || '|' || CAST(w.boosterIndex AS VARCHAR)")} END AS k
   FROM req r JOIN weights w USING (setCode, boosterName) JOIN totals t USING (setCode, boosterName)),
 picked AS (
-  SELECT request_id, setCode, boosterName, arg_min(boosterIndex, (k, boosterIndex)) AS boosterIndex
+  SELECT rid, request_id, copy, setCode, boosterName, arg_min(boosterIndex, (k, boosterIndex)) AS boosterIndex
   FROM tpl_keys WHERE k IS NOT NULL GROUP BY ALL),
 per_sheet AS (
-  SELECT p.request_id, p.setCode, p.boosterName, p.boosterIndex, c.sheetName, c.picks,
+  SELECT p.rid, p.request_id, p.copy, p.setCode, p.boosterName, p.boosterIndex, c.sheetName, c.picks,
          coalesce(s.allow_dup, false) AS allow_dup
   FROM picked p JOIN contents c USING (setCode, boosterName, boosterIndex)
   LEFT JOIN sheets s USING (setCode, boosterName, sheetName) WHERE c.picks > 0),
@@ -957,47 +970,46 @@ iv AS (
 stats AS (SELECT DISTINCT setCode, boosterName, sheetName, total FROM iv),
 draws AS (
   SELECT ps.*, CAST(g.d AS INTEGER) AS d,
-    CAST(floor({_u('pack|draw', "CAST(ps.request_id AS VARCHAR) || '|' || ps.sheetName || '|' || CAST(g.d AS VARCHAR)")}
+    CAST(floor({_u('pack|draw', "ps.rid || '|' || ps.sheetName || '|' || CAST(g.d AS VARCHAR)")}
                * st.total) AS BIGINT) AS roll
   FROM per_sheet ps JOIN stats st USING (setCode, boosterName, sheetName),
        generate_series(0, CASE WHEN ps.allow_dup THEN ps.picks ELSE ps.picks * 2 END - 1) AS g(d)
   WHERE st.total > 0),
 cand AS (
-  SELECT d.request_id, d.setCode, d.boosterName, d.boosterIndex, d.sheetName, d.picks, d.allow_dup, d.d,
+  SELECT d.rid, d.request_id, d.copy, d.setCode, d.boosterName, d.boosterIndex, d.sheetName, d.picks, d.allow_dup, d.d,
          i.cardUuid
   FROM draws d JOIN iv i ON d.setCode = i.setCode AND d.boosterName = i.boosterName
    AND d.sheetName = i.sheetName AND d.roll >= i.lo AND d.roll < i.hi),
-dup AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, d AS draw, cardUuid
+dup AS (SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, d AS draw, cardUuid
         FROM cand WHERE allow_dup),
 firsts AS (
-  SELECT request_id, setCode, boosterName, boosterIndex, sheetName, picks, cardUuid, min(d) AS first_d
+  SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, picks, cardUuid, min(d) AS first_d
   FROM cand WHERE NOT allow_dup GROUP BY ALL),
 got AS (
-  SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName, sheetName ORDER BY first_d) AS r,
-         count(*) OVER (PARTITION BY request_id, setCode, boosterName, sheetName) AS n
+  SELECT *, row_number() OVER (PARTITION BY rid, sheetName ORDER BY first_d) AS r,
+         count(*) OVER (PARTITION BY rid, sheetName) AS n
   FROM firsts),
-phase1 AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, CAST(r - 1 AS INTEGER) AS draw,
+phase1 AS (SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, CAST(r - 1 AS INTEGER) AS draw,
                   cardUuid FROM got WHERE r <= picks),
-short AS (SELECT request_id, setCode, boosterName, boosterIndex, sheetName, picks, n FROM got
+short AS (SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, picks, n FROM got
           WHERE r = 1 AND n < picks),
 pool AS (
   SELECT s.*, i.cardUuid,
-    CASE WHEN i.w > 0 THEN -ln({_u('pack|nodup|r', "CAST(s.request_id AS VARCHAR) || '|' || s.sheetName || '|' || i.cardUuid")})
+    CASE WHEN i.w > 0 THEN -ln({_u('pack|nodup|r', "s.rid || '|' || s.sheetName || '|' || i.cardUuid")})
          / i.w END AS k
   FROM short s JOIN items i USING (setCode, boosterName, sheetName)
-  WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.request_id = s.request_id AND f.setCode = s.setCode
-                    AND f.boosterName = s.boosterName AND f.sheetName = s.sheetName AND f.cardUuid = i.cardUuid)),
+  WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.rid = s.rid AND f.sheetName = s.sheetName AND f.cardUuid = i.cardUuid)),
 phase2 AS (
-  SELECT request_id, setCode, boosterName, boosterIndex, sheetName, CAST(n + r2 - 1 AS INTEGER) AS draw, cardUuid
-  FROM (SELECT *, row_number() OVER (PARTITION BY request_id, setCode, boosterName, sheetName
+  SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, CAST(n + r2 - 1 AS INTEGER) AS draw, cardUuid
+  FROM (SELECT *, row_number() OVER (PARTITION BY rid, sheetName
                                      ORDER BY k, cardUuid) AS r2 FROM pool WHERE k IS NOT NULL) x
   WHERE r2 <= picks - n)
-SELECT request_id, setCode, boosterName, boosterIndex, sheetName, draw, cardUuid, false AS isFoil, 'ok' AS status
+SELECT request_id, setCode, boosterName, copy, boosterIndex, sheetName, draw, cardUuid, false AS isFoil, 'ok' AS status
 FROM (SELECT * FROM dup UNION ALL SELECT * FROM phase1 UNION ALL SELECT * FROM phase2) a
 UNION ALL
-SELECT r.request_id, r.setCode, r.boosterName, NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, NULL::VARCHAR,
-       NULL::BOOLEAN, 'no_template'
-FROM req r WHERE r.request_id NOT IN (SELECT request_id FROM picked)
+SELECT r.request_id, r.setCode, r.boosterName, r.copy, p.boosterIndex, NULL::VARCHAR, NULL::INTEGER, NULL::VARCHAR,
+       NULL::BOOLEAN, CASE WHEN p.rid IS NULL THEN 'no_template' ELSE 'empty' END
+FROM req r LEFT JOIN picked p ON p.rid = r.rid WHERE r.rid NOT IN (SELECT rid FROM cand)
 """
 
 
@@ -1007,8 +1019,20 @@ def multi_stage_draw(spark, sf):
     cust = _t(spark, sf, "customer").select("c_custkey")
     part = _t(spark, sf, "part").select("p_partkey", "p_type")
     # Each customer opens one pack of the set named by the part with its key
-    # (customers without such a part ask for an unknown set).
-    req = cust.join(part, cust.c_custkey == part.p_partkey, "left").select(
-        F.col("c_custkey").alias("request_id"), F.coalesce(F.upper("p_type"), F.lit("NONE")).alias("setCode"),
-        F.lit("draft").alias("boosterName"))
+    # (customers without such a part ask for an unknown set).  Some share their
+    # id with another customer, some ask twice, and some also ask for the bare
+    # booster, whose template has no contents.
+    key = F.col("c_custkey")
+    both = cust.join(part, cust.c_custkey == part.p_partkey, "left")
+    set_code = F.coalesce(F.upper("p_type"), F.lit("NONE")).alias("setCode")
+    known = both.where("p_partkey IS NOT NULL")
+    req = (both.select(F.when(key % 3 == 0, key - 1).otherwise(key).alias("request_id"), set_code,
+                       F.lit("draft").alias("boosterName"))
+           .unionByName(known.where(key % 5 == 0).select(key.alias("request_id"), set_code,
+                                                         F.lit("draft").alias("boosterName")))
+           .unionByName(known.where(key % 4 == 0).select(key.alias("request_id"), set_code,
+                                                         F.lit("bare").alias("boosterName"))))
+    bare = weights.select("setCode", F.lit("bare").alias("boosterName"), F.lit(0).cast("bigint").alias("boosterIndex"),
+                          F.lit(1).cast("bigint").alias("boosterWeight")).distinct()
+    weights = weights.unionByName(bare)
     return X.open_packs(req, weights, contents, sheets, sheet_cards, seed="pack")

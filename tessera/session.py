@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark removes checkpoints that no plan refers to any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,17 +43,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    """The folder a caller gave to ``sc.setCheckpointDir``."""
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - a Spark Connect client has no context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it (a shared folder); only in local mode (tests, a
-    laptop) is a private temp folder created and registered when it is
-    unset.  On a cluster an unset value is an error, never a local folder.
+    The cluster sets it (a shared folder), or the caller by
+    ``sc.setCheckpointDir``; only in local mode (tests, a laptop) is a private
+    temp folder created and registered when both are unset.  On a cluster (``local-cluster`` included) an unset value
+    is an error, never a local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
     if not d:
         master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
                              "that every executor can reach")
         # Local mode only (tests, a laptop): one process, so a temp folder is shared.

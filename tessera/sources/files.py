@@ -54,12 +54,48 @@ def read_json_documents(spark: SparkSession, path: str, schema=None,
     right for the small vocabulary documents; large collections should be
     stored as NDJSON (``multi_line=False``), one document per line, so that
     the read splits.
+
+    With a ``schema`` whose ``envelope`` field is an array of structs, a bare
+    array of such elements reads to the same rows as an enveloped one.  (An
+    element without any known field looks like an empty envelope: no row.)
     """
     reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(path)
-    return unwrap_envelope(df, envelope) if envelope else df
+    if schema is None:
+        df = reader.json(path)
+        return unwrap_envelope(df, envelope) if envelope else df
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    wrapped = schema[envelope].dataType if envelope in schema.names else None
+    if not (isinstance(wrapped, T.ArrayType) and isinstance(wrapped.elementType, T.StructType)):
+        df = reader.schema(schema).json(path)
+        return unwrap_envelope(df, envelope) if envelope else df
+    element = wrapped.elementType
+    read = T.StructType([schema[envelope]] + [f for f in element.fields if f.name != envelope])
+    df = reader.schema(read).json(path)
+    bare = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name == envelope else
+                      F.col(f"`{f.name}`") for f in element.fields])
+    known = F.lit(False)
+    for c in read.names[1:]:
+        known = known | F.col(f"`{c}`").isNotNull()
+    rows = F.when(F.col(envelope).isNotNull(), F.col(envelope)).when(known, F.array(bare))
+    return df.select(F.explode(rows).alias("_e")).select("_e.*")
+
+
+def _collected(df: DataFrame) -> Column:
+    """The rows of a group as an array of structs, sorted by their JSON text so
+    that a re-run writes the same document."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    both = F.array_sort(F.collect_list(F.struct(F.to_json(row).alias("j"), row.alias("r")))) \
+        if all(_orderable(f.dataType) for f in df.schema.fields) else \
+        F.collect_list(F.struct(F.to_json(row).alias("j"), row.alias("r")))
+    return F.transform(both, lambda x: x["r"])
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
 
 
 def write_json_documents(df: DataFrame, path: str, doc_key: Column,
@@ -72,7 +108,7 @@ def write_json_documents(df: DataFrame, path: str, doc_key: Column,
     meta = meta or {}
     meta_col = F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]) if meta else F.lit(None)
     docs = (df.groupBy(doc_key.alias("_doc"))
-            .agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(field))
+            .agg(_collected(df).alias(field))
             .select(meta_col.alias("meta"), F.col(field)))
     docs.write.mode("overwrite").json(path)
     return path
