@@ -17,50 +17,59 @@ def spark():
     yield s
 
 
-# Catalogue fixture rows (three printings, two sets, two tokens, identifiers
-# and long legalities), written as NDJSON the way the catalogue ships them:
-# lists as ", "-joined text.
+# Invented catalogue rows, written as NDJSON the way a catalogue ships them
+# (lists as ", "-joined text): one name printed twice, a two-faced card, a card
+# with most fields empty, an undated set, a shared identifier.
+def _card(uuid, name, set_code, number, **given):
+    row = dict(uuid=uuid, name=name, setCode=set_code, colors="", colorIdentity="", manaValue=0.0, manaCost=None,
+               type="Artifact", text=None, rarity="common", power=None, toughness=None, layout="normal",
+               artist=None, keywords=None, availability="paper", isPromo=None, language="English",
+               faceName=None, side=None, number=number)
+    return row | given
+
+
+_COURIER = dict(colors="R", colorIdentity="R", manaValue=3.0, manaCost="{2}{R}", type="Creature — Messenger",
+                text="Quick. When Ember Courier arrives, look ahead 1.", power="2", toughness="1",
+                keywords="Quick, Foresight")
 CARDS = [
-    dict(uuid="card-uuid-001", name="Lightning Bolt", setCode="A25", colors="R", colorIdentity="R",
-         manaValue=1.0, manaCost="{R}", type="Instant", text="Lightning Bolt deals 3 damage to any target.",
-         rarity="uncommon", power=None, toughness=None, layout="normal", artist="Christopher Moeller",
-         keywords="", availability="paper, mtgo", isPromo=False, language="English", faceName=None,
-         side=None, number="141"),
-    dict(uuid="card-uuid-002", name="Counterspell", setCode="A25", colors="U", colorIdentity="U",
-         manaValue=2.0, manaCost="{U}{U}", type="Instant", text="Counter target spell.",
-         rarity="uncommon", power=None, toughness=None, layout="normal", artist="Zack Stella",
-         keywords="", availability="paper, mtgo", isPromo=False, language="English", faceName=None,
-         side=None, number="50"),
-    dict(uuid="card-uuid-003", name="Fire // Ice", setCode="MH2", colors="R, U", colorIdentity="R, U",
-         manaValue=2.0, manaCost="{1}{R}", type="Instant // Instant",
-         text="Fire deals 2 damage divided as you choose among one or two targets.",
-         rarity="uncommon", power=None, toughness=None, layout="split", artist="Franz Vohwinkel",
-         keywords="", availability="paper", isPromo=False, language="English", faceName="Fire",
-         side="a", number="290"),
+    _card("u-ember", "Ember Courier", "HRB", "17", **_COURIER, artist="Ilse Varga", availability="online, paper",
+          isPromo=False),
+    _card("u-ember-p", "Ember Courier", "TID", "88p", **_COURIER, artist="Odo Kern", rarity="rare", isPromo=True),
+    _card("u-tide", "Tidewall Keeper", "TID", "31", colors="U", colorIdentity="G, U", manaValue=4.0,
+          type="Artifact Creature — Golem", text="Blocks only.", rarity="uncommon", power="0", toughness="6",
+          artist="Ilse Varga", keywords="Bulwark", availability="arcade, paper", isPromo=False),
+    _card("u-dusk", "Dusk // Dawnlight", "TID", "54", colors="B, W", colorIdentity="B, W", manaValue=5.0,
+          type="Ritual // Ritual", text="Remove all tapped creatures.", rarity="rare", layout="split",
+          artist="Odo Kern", isPromo=False, faceName="Dusk", side="a"),
+    _card("u-blank", "Blank Marker", "OLD", "1"),
 ]
 SETS = [
-    dict(code="A25", name="Masters 25", type="masters", releaseDate="2018-03-16", baseSetSize=249,
-         totalSetSize=249, block=None),
-    dict(code="MH2", name="Modern Horizons 2", type="draft_innovation", releaseDate="2021-06-18",
-         baseSetSize=303, totalSetSize=303, block=None),
+    dict(code="HRB", name="Harbour Lights", type="core", releaseDate="2019-07-12", baseSetSize=120,
+         totalSetSize=135, block=None),
+    dict(code="TID", name="Tides of Iron", type="expansion", releaseDate="2022-02-04", baseSetSize=210,
+         totalSetSize=260, block="Iron"),
+    dict(code="OLD", name="Old Drawer", type="core", releaseDate=None, baseSetSize=1, totalSetSize=1, block=None),
 ]
 TOKENS = [
-    dict(uuid="token-uuid-001", name="Soldier", setCode="A25", colors="W", type="Token Creature — Soldier",
-         artist="Artist One", number="1", layout="token", availability="paper"),
-    dict(uuid="token-uuid-002", name="Goblin", setCode="MH2", colors="R", type="Token Creature — Goblin",
-         artist="Artist Two", number="2", layout="token", availability="paper"),
+    dict(uuid="t-wisp", name="Spark Wisp", setCode="HRB", colors="R, U", type="Token Creature — Elemental",
+         artist="Ilse Varga", number="T1", layout="token", availability="paper"),
+    dict(uuid="t-crab", name="Iron Crab", setCode="TID", colors="", type="Token Artifact Creature — Crab",
+         artist="Odo Kern", number="T4", layout="token", availability="paper"),
+    dict(uuid="t-crab-o", name="Iron Crab", setCode="OLD", colors=None, type="Token Artifact Creature — Crab",
+         artist=None, number="T1", layout="token", availability="paper"),
 ]
 IDENTIFIERS = [
-    dict(uuid="card-uuid-001", scryfallId="scryfall-001", tcgplayerProductId="tcg-001", mtgoId="mtgo-001",
-         mtgArenaId=None, multiverseId="mv-001"),
-    dict(uuid="card-uuid-002", scryfallId="scryfall-002", tcgplayerProductId="tcg-002", mtgoId=None,
-         mtgArenaId="arena-002", multiverseId="mv-002"),
+    dict(uuid="u-ember", scryfallId="s-17", tcgplayerProductId="90017", mtgoId=None, mtgArenaId=None,
+         multiverseId="m-5"),
+    dict(uuid="u-ember-p", scryfallId="s-88", tcgplayerProductId="90088", mtgoId="o-88", mtgArenaId=None,
+         multiverseId="m-5"),
+    dict(uuid="u-tide", scryfallId=None, tcgplayerProductId="90031", mtgoId=None, mtgArenaId="a-31",
+         multiverseId=None),
 ]
 LEGALITIES = [
-    ("card-uuid-001", "modern", "Legal"), ("card-uuid-001", "vintage", "Restricted"),
-    ("card-uuid-001", "standard", "Not Legal"), ("card-uuid-002", "modern", "Legal"),
-    ("card-uuid-002", "vintage", "Legal"), ("card-uuid-002", "standard", "Not Legal"),
-    ("card-uuid-003", "modern", "Legal"), ("card-uuid-003", "vintage", "Legal"),
+    ("u-ember", "budget", "Legal"), ("u-ember", "eternal", "Legal"), ("u-ember-p", "budget", "Banned"),
+    ("u-ember-p", "eternal", "Legal"), ("u-tide", "eternal", "Restricted"), ("u-dusk", "eternal", "Not Legal"),
+    ("u-dusk", "duel", "Legal"),
 ]
 
 

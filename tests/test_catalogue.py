@@ -1,127 +1,161 @@
-"""Catalogue methods on the fixture rows (expectations pinned by the
-reference's own tests)."""
+"""Catalogue methods on the fixture rows."""
 
 import pytest
 
+EMBERS = ["u-ember", "u-ember-p"]
+
 
 def uuids(df):
     return sorted(r["uuid"] for r in df.collect())
 
 
 def test_normalised_lists(client):
-    row = client.cards.get_by_uuid("card-uuid-003").first()
-    assert row["colors"] == ["R", "U"]
-    assert row["availability"] == ["paper"]
-    assert row["keywords"] == []          # blank text -> empty list
-
-
-def test_get_by_name(client):
-    assert uuids(client.cards.get_by_name("Lightning Bolt")) == ["card-uuid-001"]
-    assert uuids(client.cards.get_by_name("Lightning Bolt", set_code="MH2")) == []
-    assert len(uuids(client.cards.get_printings("Counterspell"))) == 1
-
-
-def test_get_by_uuids(client, spark):
-    assert uuids(client.cards.get_by_uuids(["card-uuid-001", "card-uuid-003"])) == ["card-uuid-001", "card-uuid-003"]
-    assert uuids(client.cards.get_by_uuids([])) == []
-    keys = spark.createDataFrame([("card-uuid-002",)], "k string")
-    assert uuids(client.cards.get_by_uuids(keys)) == ["card-uuid-002"]
-
-
-def test_mana_value_range(client):
-    assert len(uuids(client.cards.search(mana_value_gte=1, mana_value_lte=2))) == 3
-    assert uuids(client.cards.search(mana_value=1)) == ["card-uuid-001"]
-
-
-def test_atomic_face_fallback(client):
-    rows = client.cards.get_atomic("Fire").collect()
-    assert len(rows) == 1 and rows[0]["faceName"] == "Fire"
-    assert uuids(client.cards.get_atomic("Counterspell")) == ["card-uuid-002"]
-    assert uuids(client.cards.get_atomic("Nothing")) == []
-
-
-def test_random_exact(client):
-    assert client.cards.random(2).count() == 2
-    assert uuids(client.cards.random(2)) == uuids(client.cards.random(2))   # deterministic
-
-
-def test_search_filters(client):
-    assert uuids(client.cards.search(name="Lightning%")) == ["card-uuid-001"]
-    assert uuids(client.cards.search(colors=["R"])) == ["card-uuid-001", "card-uuid-003"]
-    assert uuids(client.cards.search(colors=["R", "U"])) == ["card-uuid-003"]
-    assert uuids(client.cards.search(types="instant")) == ["card-uuid-001", "card-uuid-002", "card-uuid-003"]
-    assert uuids(client.cards.search(text="damage")) == ["card-uuid-001", "card-uuid-003"]
-    assert uuids(client.cards.search(text_regex="^Counter")) == ["card-uuid-002"]
-    assert uuids(client.cards.search(availability="mtgo")) == ["card-uuid-001", "card-uuid-002"]
-    assert uuids(client.cards.search(artist="stella")) == ["card-uuid-002"]
-    assert uuids(client.cards.search(layout="split", is_promo=False)) == ["card-uuid-003"]
-    assert uuids(client.cards.search(set_type="masters")) == ["card-uuid-001", "card-uuid-002"]
-    assert client.cards.search(limit=1, offset=1).collect()[0]["uuid"] == "card-uuid-002"
+    rows = {r["uuid"]: r for r in client.catalog.ensure_view("cards").collect()}
+    assert rows["u-dusk"]["colors"] == ["B", "W"] and rows["u-tide"]["availability"] == ["arcade", "paper"]
+    assert rows["u-dusk"]["keywords"] == [] and rows["u-blank"]["colors"] == []       # null and blank text
+
+
+def test_lookups(client, spark):
+    c = client.cards
+    assert uuids(c.get_by_name("Ember Courier")) == EMBERS == uuids(c.get_printings("Ember Courier"))
+    assert uuids(c.get_by_name("Ember Courier", set_code="TID")) == ["u-ember-p"]
+    assert uuids(c.get_by_uuids(["u-tide", "absent", "u-blank"])) == ["u-blank", "u-tide"]
+    assert uuids(c.get_by_uuids(spark.createDataFrame([("u-dusk",), ("absent",)], "k string"))) == ["u-dusk"]
+    assert uuids(c.get_by_uuids([])) == uuids(c.get_by_uuid("absent")) == uuids(c.get_by_name("absent")) == []
+    row = c.get_by_uuid("u-blank").first()
+    assert row["text"] is None and row["isPromo"] is None and row["manaValue"] == 0.0
+
+
+def test_atomic(client, spark):
+    """One row per (name, faceName), the smallest uuid; a face's name serves
+    where no card has the name."""
+    c = client.cards
+    assert uuids(c.get_atomic("Ember Courier")) == ["u-ember"]
+    assert uuids(c.get_atomic("Dusk")) == uuids(c.get_atomic("Dusk // Dawnlight")) == ["u-dusk"]
+    assert uuids(c.get_atomic("Dawnlight")) == []
+    asked = spark.createDataFrame([("Dusk",), ("Blank Marker",), ("absent",), ("Ember Courier",)], "n string")
+    assert uuids(c.get_atomic(asked)) == ["u-blank", "u-dusk", "u-ember"]
+
+
+def test_atomic_pushes_the_name(client, spark, tmp_path):
+    from tessera.plans.catalogue import CardData
+    client.catalog.ensure_view("cards").write.parquet(str(tmp_path / "c"))
+    stored = CardData(spark, overrides={"cards": spark.read.parquet(str(tmp_path / "c"))})
+    plan = stored.cards.get_atomic("Dusk")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(name,Dusk)" in plan and "EqualTo(faceName,Dusk)" in plan and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("given, want", [
+    (dict(name="Tidewall Keeper"), ["u-tide"]),
+    (dict(name="%marker"), ["u-blank"]),
+    (dict(colors=["W"]), ["u-dusk"]),
+    (dict(colors=["U", "W"]), []),
+    (dict(color_identity=["G"]), ["u-tide"]),
+    (dict(types="golem"), ["u-tide"]),
+    (dict(types="artifact", rarity="common"), ["u-blank"]),
+    (dict(text="TAPPED"), ["u-dusk"]),
+    (dict(text_regex="ahead [0-9]"), EMBERS),
+    (dict(artist="varga", set_code="TID"), ["u-tide"]),
+    (dict(keyword="Foresight", is_promo=True), ["u-ember-p"]),
+    (dict(availability="arcade"), ["u-tide"]),
+    (dict(power="0", toughness="6"), ["u-tide"]),
+    (dict(layout="split", language="English"), ["u-dusk"]),
+    (dict(mana_value=3), EMBERS),
+    (dict(mana_value_gte=3.5, mana_value_lte=5), ["u-dusk", "u-tide"]),
+    (dict(set_type="core"), ["u-blank", "u-ember"]),
+    (dict(legal_in="eternal"), EMBERS),
+    (dict(legal_in="budget", set_type="expansion"), []),
+    (dict(fuzzy_name="Embr Courier"), EMBERS),
+    (dict(limit=2, offset=3), ["u-ember-p", "u-tide"]),
+    (dict(limit=None, offset=4), ["u-tide"]),
+])
+def test_search(client, given, want):
+    assert uuids(client.cards.search(**given)) == want
+
+
+def test_search_refuses_a_threshold_over_one(client):
+    with pytest.raises(ValueError):
+        client.cards.search(fuzzy_name="Ember", fuzzy_threshold=1.2)
 
 
-def test_fuzzy_search(client):
-    rows = client.cards.search(fuzzy_name="Lightnin Bolt").collect()
-    assert [r["uuid"] for r in rows] == ["card-uuid-001"]
+def test_random_and_counts(client):
+    assert uuids(client.cards.random(3)) == uuids(client.cards.random(3)) and client.cards.random(3).count() == 3
+    assert client.cards.random(50).count() == 5
+    assert client.cards.count().first()["cnt"] == 5
+    assert client.cards.count({"setCode": "TID", "rarity": "rare"}).first()["cnt"] == 2
+    assert client.tokens.count({"name": "Iron Crab"}).first()["cnt"] == 2
     with pytest.raises(ValueError):
-        client.cards.search(fuzzy_name="x", fuzzy_threshold=1.5)
+        client.tokens.count({"colour": "red"})
 
 
-def test_legalities(client):
-    assert uuids(client.legalities.legal_in("vintage")) == ["card-uuid-002", "card-uuid-003"]
-    assert uuids(client.legalities.restricted_in("vintage")) == ["card-uuid-001"]
-    assert uuids(client.legalities.not_legal_in("standard")) == ["card-uuid-001", "card-uuid-002"]
-    assert client.legalities.is_legal("card-uuid-001", "modern").first()[0] is True
-    assert client.legalities.is_legal("card-uuid-001", "vintage").first()[0] is False
-    assert uuids(client.cards.search(legal_in="vintage")) == ["card-uuid-002", "card-uuid-003"]
-    assert len(client.legalities.formats_for_card("card-uuid-003").collect()) == 2
+def test_legalities(client, spark):
+    x = client.legalities
+    assert uuids(x.legal_in("eternal")) == EMBERS and uuids(x.legal_in("duel")) == ["u-dusk"]
+    assert uuids(x.banned_in("budget")) == ["u-ember-p"] and uuids(x.restricted_in("eternal")) == ["u-tide"]
+    assert uuids(x.not_legal_in("eternal")) == ["u-dusk"] and uuids(x.banned_in("duel")) == []
+    assert x.formats_for_card("u-dusk").count() == 2 and x.formats_for_card("u-blank").count() == 0
+    asked = [("u-ember", "budget", True), ("u-ember-p", "budget", False), ("u-tide", "eternal", False),
+             ("u-tide", "duel", False), ("absent", "duel", False)]
+    for uuid, fmt, want in asked:
+        assert x.is_legal(uuid, fmt).first()[0] is want
+    bulk = x.is_legal_all(spark.createDataFrame([r[:2] for r in asked], "uuid string, format string"))
+    assert sorted((r["uuid"], r["format"], r["is_legal"]) for r in bulk.collect()) == sorted(asked)
 
 
 def test_identifiers(client):
-    assert uuids(client.identifiers.find_by_scryfall_id("scryfall-002")) == ["card-uuid-002"]
-    assert uuids(client.cards.find_by_scryfall_id("scryfall-001")) == ["card-uuid-001"]
-    assert uuids(client.identifiers.find_by_mtg_arena_id("arena-002")) == ["card-uuid-002"]
+    x = client.identifiers
+    assert uuids(x.find_by("multiverseId", "m-5")) == uuids(x.find_by_multiverse_id("m-5")) == EMBERS
+    assert uuids(x.find_by_mtg_arena_id("a-31")) == ["u-tide"] and uuids(x.find_by_mtgo_id("o-88")) == ["u-ember-p"]
+    assert uuids(x.find_by_tcgplayer_product_id("90017")) == uuids(client.cards.find_by_scryfall_id("s-17")) == ["u-ember"]
+    assert x.find_by_scryfall_id("absent").count() == 0 and x.get_identifiers("u-blank").count() == 0
+    assert x.get_identifiers("u-tide").first()["scryfallId"] is None
     with pytest.raises(ValueError):
-        client.identifiers.find_by("notAColumn", "x")
-    assert client.identifiers.get_identifiers("card-uuid-001").first()["mtgoId"] == "mtgo-001"
+        x.find_by("uuid; drop", "x")
 
 
 def test_sets(client):
-    assert [r["code"] for r in client.sets.list().collect()] == ["MH2", "A25"]
-    assert client.sets.get("mh2").first()["name"] == "Modern Horizons 2"
-    assert [r["code"] for r in client.sets.search(release_year=2018).collect()] == ["A25"]
-    assert [r["code"] for r in client.sets.search(name="horizons").collect()] == ["MH2"]
-    assert client.sets.count().first()["cnt"] == 2
-    assert client.sets.count("masters").first()["cnt"] == 1
+    def codes(df):
+        return [r["code"] for r in df.collect()]
 
+    x = client.sets
+    assert codes(x.list()) == ["TID", "HRB", "OLD"]                       # newest first, undated last
+    assert codes(x.list(set_type="core")) == ["HRB", "OLD"] and codes(x.list(name="OF IRON")) == ["TID"]
+    assert codes(x.list(limit=1, offset=1)) == ["HRB"] and codes(x.list(offset=2)) == ["OLD"]
+    assert codes(x.search(release_year=2019)) == ["HRB"] and codes(x.search(name="drawer")) == ["OLD"]
+    assert x.get("tid").first()["block"] == "Iron" and x.get("absent").count() == 0
+    assert [x.count(t).first()["cnt"] for t in (None, "core", "absent")] == [3, 2, 0]
 
-def test_tokens(client):
-    assert [r["name"] for r in client.tokens.for_set("MH2").collect()] == ["Goblin"]
-    assert [r["uuid"] for r in client.tokens.search(colors=["W"]).collect()] == ["token-uuid-001"]
-    assert client.tokens.count({"setCode": "A25"}).first()["cnt"] == 1
-    with pytest.raises(ValueError):
-        client.tokens.count({"bogus": "x"})
 
-
-def test_count_filters(client):
-    assert client.cards.count().first()["cnt"] == 3
-    assert client.cards.count({"setCode": "A25"}).first()["cnt"] == 2
+def test_tokens(client):
+    x = client.tokens
+    assert uuids(x.get_by_name("Iron Crab")) == ["t-crab", "t-crab-o"]
+    assert uuids(x.get_by_name("Iron Crab", set_code="OLD")) == uuids(x.for_set("OLD")) == ["t-crab-o"]
+    assert uuids(x.search(colors=["U"])) == uuids(x.search(name="spark%")) == ["t-wisp"]
+    assert uuids(x.search(types="crab", artist="kern")) == ["t-crab"]
+    assert uuids(x.get_by_uuids(["t-wisp", "absent"])) == uuids(x.get_by_uuid("t-wisp")) == ["t-wisp"]
 
 
-def test_scalar_and_views(client, spark):
+def test_sql_and_views(client, spark):
+    from tessera.plans.catalogue import CardData
     from tessera.sources.sql import scalar_value
-    client.catalog.ensure_view("cards")
-    assert "cards" in client.views()
-    assert scalar_value(client.sql("SELECT name FROM cards WHERE uuid = ?", ["card-uuid-002"])) == "Counterspell"
-    assert scalar_value(client.sql("SELECT name FROM cards WHERE uuid = ?", ["nope"])) is None
-
-
-def test_reregister_replaces(spark, tmp_path):
+    joined = client.sql("SELECT c.uuid FROM cards c JOIN sets s ON s.code = c.setCode WHERE s.block = ?", ["Iron"],
+                        views=["cards", "sets"])
+    assert uuids(joined) == ["u-dusk", "u-ember-p", "u-tide"] and {"cards", "sets"} <= set(client.views())
+    assert scalar_value(client.execute_scalar("SELECT max(totalSetSize) FROM sets")) == 260
+    assert scalar_value(client.sql("SELECT name FROM cards WHERE uuid = ?", ["absent"])) is None
+    own = CardData(spark, overrides={"tokens": spark.createDataFrame([("t",)], "uuid string")})
+    assert own.views() == [] and not own.has_view("tokens")
+    own.catalog.ensure_view("tokens")
+    assert own.views() == ["tokens"]
+    own.reset_views()
+    assert own.views() == []
+
+
+def test_a_table_registered_again_replaces_the_first(spark, tmp_path):
     from tessera.plans.catalogue import CardData
     c = CardData(spark)
-    p1 = tmp_path / "a.ndjson"
-    p1.write_text('{"val": "first"}\n')
-    c.register_table_from_ndjson("tbl_val", str(p1))
-    p2 = tmp_path / "b.ndjson"
-    p2.write_text('{"val": "second"}\n')
-    c.register_table_from_ndjson("tbl_val", str(p2))
-    assert [r[0] for r in spark.sql("SELECT val FROM tbl_val").collect()] == ["second"]
+    for i, rows in enumerate(['{"n": 1}\n{"n": 2}\n', '{"n": 30}\n']):
+        path = tmp_path / f"{i}.ndjson"
+        path.write_text(rows)
+        c.register_table_from_ndjson("numbers", str(path))
+    assert [r["n"] for r in spark.sql("SELECT n FROM numbers").collect()] == [30]

@@ -1,5 +1,5 @@
 """Prices, SKUs, sealed products, decks, vocabularies, boosters and
-translations on small fixtures (the reference leaves these untested)."""
+translations on the fixture rows."""
 
 import gzip
 import json
@@ -10,13 +10,14 @@ from tests.conftest import CARDS, IDENTIFIERS, LEGALITIES, SETS, TOKENS
 
 PRICES = [
     # uuid, source, provider, currency, price_type, finish, date, price
-    ("card-uuid-001", "paper", "tcgplayer", "USD", "retail", "normal", "2024-01-01", 1.50),
-    ("card-uuid-001", "paper", "tcgplayer", "USD", "retail", "normal", "2024-01-02", 1.75),
-    ("card-uuid-001", "paper", "cardkingdom", "USD", "retail", "normal", "2024-01-01", 2.00),
-    ("card-uuid-001", "paper", "cardkingdom", "USD", "buylist", "foil", "2024-01-02", None),
-    ("card-uuid-002", "paper", "tcgplayer", "USD", "retail", "normal", "2024-01-02", 0.25),
-    ("card-uuid-002", "paper", "tcgplayer", "USD", "retail", "normal", "2024-01-02", 0.30),  # duplicate key
-    ("card-uuid-003", "mtgo", "cardhoarder", "USD", "retail", "normal", "2024-01-02", 0.02),
+    ("u-ember", "paper", "cardhall", "EUR", "retail", "normal", "2025-03-01", 1.20),
+    ("u-ember", "paper", "cardhall", "EUR", "retail", "normal", "2025-03-04", 1.60),
+    ("u-ember", "paper", "boxshop", "EUR", "retail", "normal", "2025-03-01", 2.40),
+    ("u-ember", "paper", "boxshop", "EUR", "buylist", "foil", "2025-03-04", None),
+    ("u-tide", "paper", "cardhall", "EUR", "retail", "normal", "2025-03-04", 0.40),
+    ("u-tide", "paper", "cardhall", "EUR", "retail", "normal", "2025-03-04", 0.70),  # duplicate key
+    ("u-dusk", "online", "tixbot", "EUR", "retail", "normal", "2025-03-04", 0.05),
+    ("u-ember-p", "paper", "cardhall", "EUR", "retail", "foil", "2025-03-04", 9.00),
 ]
 PRICE_SCHEMA = ("uuid string, source string, provider string, currency string, price_type string, "
                 "finish string, date string, price double")
@@ -28,24 +29,23 @@ def full(spark, tmp_path_factory):
     tmp = tmp_path_factory.mktemp("full")
     leg = [dict(uuid=u, format=f, status=s) for u, f, s in LEGALITIES]
     sets = [dict(s) for s in SETS]
-    sets[0]["sealedProduct"] = [dict(uuid="sp-1", name="A25 Booster Box", category="booster_box",
-                                     subtype="default", releaseDate="2018-03-16", cardCount=None),
-                                dict(uuid="sp-2", name="A25 Booster Pack", category="booster_pack",
-                                     subtype="default", releaseDate="2018-03-16", cardCount=15)]
-    sets[1]["sealedProduct"] = []
-    sets.append(dict(code="ZZZ", name="No Products", type="funny", releaseDate="2020-01-01",
-                     baseSetSize=1, totalSetSize=1, block=None, sealedProduct=None))
-    decks = {"meta": {"version": "5"}, "data": [
-        dict(code="a25", name="Masters Starter", fileName="MS_A25", type="Starter Deck", releaseDate="2018-03-16"),
-        dict(code="MH2", name="Horizons Commander", fileName="HC_MH2", type="Commander Deck", releaseDate=None),
-        dict(code="MH2", fileName="NoName_MH2", type="commander deck", releaseDate="2021-06-18"),
-    ]}
+    sets[1]["sealedProduct"] = [
+        dict(uuid="p-box", name="Tides Box", category="box", subtype="play", language="English",
+             releaseDate="2022-02-04", cardCount=None, productSize=24, contents={"sealed": [{"uuid": "p-pack"}]},
+             identifiers={"tcgplayerProductId": "7001"}, purchaseUrls={"shop": "https://shop.invalid/7001"}),
+        dict(uuid="p-pack", name="Tides Pack", category="pack", subtype="play", releaseDate=None, cardCount=14)]
+    sets[0]["sealedProduct"] = []
     docs = {
-        "deck_list": decks,
-        "keywords": {"meta": {}, "data": {"abilityWords": ["Landfall", "Raid"], "keywordActions": ["Scry"]}},
-        "card_types": {"meta": {}, "data": {"creature": {"subTypes": ["Goblin", "Elf"], "superTypes": ["Legendary"]},
-                                            "land": {"subTypes": ["Forest"], "superTypes": []}}},
-        "meta": {"meta": {}, "data": {"version": "5.2.2", "date": "2024-01-02"}},
+        "deck_list": {"meta": {}, "data": [
+            dict(code="tid", name="Iron Starter", fileName="Starter_TID", type="Starter", releaseDate="2022-02-04"),
+            dict(code="HRB", name="Harbour Duel", fileName="Duel_HRB", type="Duel Deck", releaseDate=None),
+            dict(code="HRB", fileName="Nameless_HRB", type="DUEL deck", releaseDate="2019-07-12")]},
+        "keywords": {"meta": {}, "data": {"actions": ["Foresight"], "abilities": ["Quick", "Bulwark"]}},
+        "card_types": {"meta": {}, "data": {"creature": {"subTypes": ["Crab", "Golem"], "superTypes": ["Fabled"]},
+                                            "ritual": {"subTypes": [], "superTypes": ["Quiet"]}}},
+        "enum_values": {"meta": {}, "data": {"card": {"rarity": ["common", "rare"], "layout": ["split"]},
+                                             "set": {"type": ["core"]}}},
+        "meta": {"meta": {}, "data": {"version": "9.1", "date": "2025-03-04"}},
     }
     paths = {}
     for name, doc in docs.items():
@@ -53,22 +53,22 @@ def full(spark, tmp_path_factory):
         with gzip.open(p, "wt") as f:
             json.dump(doc, f)
         paths[name] = str(p)
-    foreign = [("card-uuid-001", "German", "Blitzschlag"), ("card-uuid-001", "Spanish", "Blitz rayo"),
-               ("card-uuid-002", "German", "Gegenzauber")]
-    weights = [("A25", "draft", 0, 7), ("A25", "draft", 1, 1), ("A25", "draft", 2, 1),
-               ("ZRO", "draft", 0, 0), ("ZRO", "draft", 1, 0)]
-    contents = [("A25", "draft", 0, "common", 2), ("A25", "draft", 0, "rare", 1),
-                ("A25", "draft", 1, "common", None), ("A25", "draft", 1, "foil", 1),
-                ("ZRO", "draft", 0, "common", 1), ("ZRO", "draft", 1, "common", 1)]
-    sheets = [("A25", "draft", "common", False, False, False, False, 3),
-              ("A25", "draft", "rare", False, False, False, True, 1),
-              ("A25", "draft", "foil", False, True, False, False, 2),
-              ("ZRO", "draft", "common", False, False, False, False, 1)]
-    sheet_cards = [("A25", "draft", "common", "card-uuid-001", 1), ("A25", "draft", "common", "card-uuid-002", None),
-                   ("A25", "draft", "common", "card-uuid-003", 1), ("A25", "draft", "common", "", 5),
-                   ("A25", "draft", "rare", "card-uuid-003", 1),
-                   ("A25", "draft", "foil", "card-uuid-001", 0), ("A25", "draft", "foil", "card-uuid-002", 2),
-                   ("ZRO", "draft", "common", "card-uuid-001", 1)]
+    foreign = [("u-tide", "German", "Flutwallhüter"), ("u-tide", "Dutch", "Hoeder van de Flutwal"),
+               ("u-dusk", "German", "Dämmerung")]
+    weights = [("TID", "play", 0, 7), ("TID", "play", 1, 1), ("TID", "play", 2, 1),
+               ("OLD", "play", 0, 0), ("OLD", "play", 1, 0)]
+    contents = [("TID", "play", 0, "base", 2), ("TID", "play", 0, "showcase", 1),
+                ("TID", "play", 1, "base", None), ("TID", "play", 1, "shiny", 1),
+                ("OLD", "play", 0, "base", 1), ("OLD", "play", 1, "base", 1)]
+    sheets = [("TID", "play", "base", False, False, False, False, 3),
+              ("TID", "play", "showcase", False, False, False, True, 1),
+              ("TID", "play", "shiny", False, True, False, False, 2),
+              ("OLD", "play", "base", False, False, False, False, 1)]
+    sheet_cards = [("TID", "play", "base", "u-ember", 1), ("TID", "play", "base", "u-tide", None),
+                   ("TID", "play", "base", "u-dusk", 1), ("TID", "play", "base", " ", 4),
+                   ("TID", "play", "showcase", "u-dusk", 1),
+                   ("TID", "play", "shiny", "u-ember", 0), ("TID", "play", "shiny", "u-tide", 2),
+                   ("OLD", "play", "base", "u-blank", 1)]
     overrides = {
         "cards": spark.createDataFrame(
             [tuple(c.values()) for c in CARDS],
@@ -81,9 +81,9 @@ def full(spark, tmp_path_factory):
         "all_prices_today": spark.createDataFrame(PRICES, PRICE_SCHEMA),
         "all_prices": spark.createDataFrame(PRICES, PRICE_SCHEMA),
         "tcgplayer_skus": spark.createDataFrame(
-            [("card-uuid-001", 111, 9001, "NM", "English", "Normal", None),
-             ("card-uuid-001", 112, 9001, "LP", "English", "Normal", None),
-             ("card-uuid-002", 221, 9002, "NM", "English", "Foil", "foil")],
+            [("u-ember", 501, 90017, "Mint", "English", "Plain", None),
+             ("u-ember", 502, 90017, "Worn", "English", "Plain", None),
+             ("u-tide", 640, 90031, "Mint", "German", "Foil", "foil")],
             "uuid string, skuId long, productId long, condition string, language string, printing string, finish string"),
         "card_foreign_data": spark.createDataFrame(foreign, "uuid string, language string, name string"),
         "set_booster_content_weights": spark.createDataFrame(
@@ -101,116 +101,173 @@ def full(spark, tmp_path_factory):
 
 
 def test_price_map(full):
-    row = full.prices.get("card-uuid-001").first()
-    m = row["prices"]
-    assert m["paper"]["tcgplayer"]["USD"]["retail"]["normal"] == {"2024-01-01": 1.5, "2024-01-02": 1.75}
-    assert m["paper"]["cardkingdom"]["USD"]["buylist"]["foil"] == {"2024-01-02": 0.0}   # NULL price -> 0.0
-    dup = full.prices.get("card-uuid-002").first()["prices"]
-    assert dup["paper"]["tcgplayer"]["USD"]["retail"]["normal"] == {"2024-01-02": 0.30}
-    assert full.prices.get().count() == 3
+    m = full.prices.get("u-ember").first()["prices"]["paper"]
+    assert m["cardhall"]["EUR"]["retail"]["normal"] == {"2025-03-01": 1.2, "2025-03-04": 1.6}
+    assert m["boxshop"]["EUR"]["buylist"]["foil"] == {"2025-03-04": 0.0}         # NULL price -> 0.0
+    dup = json.loads(full.prices.get("u-tide", as_json=True).first()["prices"])
+    assert dup == {"paper": {"cardhall": {"EUR": {"retail": {"normal": {"2025-03-04": 0.7}}}}}}
     from tessera.operators.aggregates import flatten_nested_map
     lv = ["source", "provider", "currency", "price_type", "finish"]
     whole = flatten_nested_map(full.prices.get(), ["uuid"], lv, "date", "price")
-    split = flatten_nested_map(full.prices.get(split_levels=2), ["uuid"] + lv[:2], lv[2:], "date", "price")
-    assert full.prices.get(split_levels=2).count() == 4                          # (uuid, source, provider)
+    bulk = full.prices.get(split_levels=2)                                       # (uuid, source, provider)
+    split = flatten_nested_map(bulk, ["uuid"] + lv[:2], lv[2:], "date", "price")
+    assert full.prices.get().count() == 4 and bulk.count() == 5
     assert sorted(map(tuple, whole.select(*sorted(whole.columns)).collect())) == \
         sorted(map(tuple, split.select(*sorted(split.columns)).collect()))
-    import json as _json
-    text = full.prices.get("card-uuid-002", as_json=True).first()["prices"]
-    assert _json.loads(text) == {"paper": {"tcgplayer": {"USD": {"retail": {"normal": {"2024-01-02": 0.3}}}}}}
 
 
 def test_today_history_trend(full):
-    today = full.prices.today("card-uuid-001").collect()
-    assert {r["date"] for r in today} == {"2024-01-02"} and len(today) == 2
-    per = full.prices.today("card-uuid-001", per=["provider", "price_type"]).collect()
-    assert len(per) == 3
-    hist = [r["date"] for r in full.prices.history("card-uuid-001", "2024-01-02").collect()]
-    assert hist == ["2024-01-02", "2024-01-02"]
-    trend = full.prices.price_trend("card-uuid-001").first()
-    assert trend["data_points"] == 4 and trend["min_price"] == 1.5 and trend["last_date"] == "2024-01-02"
-    missing = full.prices.price_trend("nope").collect()
-    assert len(missing) == 1 and missing[0]["data_points"] == 0 and missing[0]["min_price"] is None
+    assert sorted(r["provider"] for r in full.prices.today("u-ember").collect()) == ["boxshop", "cardhall"]
+    assert full.prices.today("u-ember", per=["provider", "price_type"]).count() == 3
+    rows = full.prices.history("u-ember").collect()
+    assert [(r["date"], r["provider"]) for r in rows] == [
+        ("2025-03-01", "boxshop"), ("2025-03-01", "cardhall"), ("2025-03-04", "boxshop"), ("2025-03-04", "cardhall")]
+    assert full.prices.history("u-ember", "2025-03-02").count() == 2
+    t = full.prices.price_trend("u-ember").first()
+    assert (t["data_points"], t["min_price"], t["last_date"]) == (4, 1.2, "2025-03-04")
+    t = full.prices.price_trend("absent").collect()
+    assert len(t) == 1 and t[0]["data_points"] == 0 and t[0]["min_price"] is None
 
 
 def test_cheapest_and_dearest(full):
-    assert full.prices.cheapest_printing("Lightning Bolt").first()["price"] == 1.5
-    dear = [r["price"] for r in full.prices.most_expensive_printings("Lightning Bolt", 3).collect()]
-    assert dear == [2.0, 1.75, 1.5]                                    # NULL price sorts last
-    allp = {r["name"]: r["price"] for r in full.prices.cheapest_printings_all(1).collect()}
-    assert allp == {"Lightning Bolt": 1.5, "Counterspell": 0.25, "Fire // Ice": 0.02}
-    assert full.prices.cheapest_printing("Lightning Bolt", provider="cardkingdom").first()["price"] == 2.0
-    assert full.prices.most_expensive_printings("Lightning Bolt", 5, finish="foil").count() == 1
+    x = full.prices
+    assert x.cheapest_printing("Ember Courier").first()["price"] == 1.2
+    assert [r["price"] for r in x.most_expensive_printings("Ember Courier", 9).collect()] == [9.0, 2.4, 1.6, 1.2, None]
+    assert {r["name"]: r["price"] for r in x.cheapest_printings_all(1).collect()} == {
+        "Ember Courier": 1.2, "Tidewall Keeper": 0.4, "Dusk // Dawnlight": 0.05}
+    assert x.cheapest_printing("Ember Courier", provider="boxshop").first()["price"] == 2.4
+    assert x.most_expensive_printings("Ember Courier", 9, finish="foil").count() == 2
     with pytest.raises(ValueError):
-        full.prices.cheapest_printing("Lightning Bolt", colour="red")
-    s = full.sets.get_financial_summary("A25", price_type="retail").first()
-    assert s["card_count"] == 2 and abs(s["total_value"] - 5.80) < 1e-9
+        x.cheapest_printing("Ember Courier", colour="red")
 
 
 def test_financial_summary(full):
-    s = full.sets.get_financial_summary("a25").first()
-    assert s["card_count"] == 2 and abs(s["total_value"] - 5.80) < 1e-9 and s["max_value"] == 2.0
-    assert s["date"] == "2024-01-02"
-    exact = full.sets.get_financial_summary("A25", money_scale=2).first()
-    assert exact["total_value"] == 5.8
+    s = full.sets.get_financial_summary("tid").first()
+    assert (s["card_count"], s["max_value"], s["date"]) == (3, 9.0, "2025-03-04")
+    assert abs(s["total_value"] - 10.15) < 1e-9
+    assert full.sets.get_financial_summary("TID", money_scale=2).first()["total_value"] == 10.15
+    assert full.sets.get_financial_summary("HRB", price_type="retail").first()["card_count"] == 1
     assert full.sets.get_financial_summary().count() == 2
 
 
 def test_skus(full):
-    assert full.skus.get("card-uuid-001").count() == 2
-    assert full.skus.find_by_sku_id("221").first()["uuid"] == "card-uuid-002"
-    assert full.skus.find_by_product_id(9001).count() == 2
+    assert full.skus.get("u-ember").count() == 2 == full.skus.find_by_product_id(90017).count()
+    assert full.skus.find_by_sku_id("640").first()["uuid"] == "u-tide"
 
 
 def test_sealed(full, spark):
+    from tessera.plans.catalogue import CardData
     rows = full.sealed.list().collect()
     assert sorted((r["uuid"], r["setCode"], r["setName"]) for r in rows) == [
-        ("sp-1", "A25", "Masters 25"), ("sp-2", "A25", "Masters 25")]
-    assert full.sealed.get("mh2").count() == 0
-    from tessera.plans.catalogue import CardData
-    bare = CardData(spark, overrides={"sets": spark.createDataFrame([("A25",)], "code string")})
-    assert bare.sealed.list().count() == 0
+        ("p-box", "TID", "Tides of Iron"), ("p-pack", "TID", "Tides of Iron")]
+    assert full.sealed.get("hrb").count() == 0 and full.sealed.get("tid").count() == 2
+    text = json.dumps([{"uuid": "p-box", "language": "English", "productSize": 24, "contents": {"card": [{"n": 1}]},
+                        "identifiers": {"a": "7"}, "purchaseUrls": {"shop": "https://shop.invalid"}}])
+    sets = "code string, name string, sealedProduct string"
+    stored = CardData(spark, overrides={"sets": spark.createDataFrame([("TID", "Tides", text)], sets)})
+    r = stored.sealed.list().first()
+    assert (r["language"], r["productSize"], r["identifiers"]["a"], r["purchaseUrls"]) == (
+        "English", 24, "7", {"shop": "https://shop.invalid"})
+    assert json.loads(r["contents"]) == {"card": [{"n": 1}]}
+    bare = CardData(spark, overrides={"sets": spark.createDataFrame([("TID",)], "code string")})
+    with pytest.raises(Exception):
+        bare.sealed.list().select("absent").count()
+
+
+def test_missing_nested_column_keeps_the_schema(spark):
+    from tessera.operators.nested import explode_tagged
+    df = spark.createDataFrame([("TID", 3)], "code string, n long")
+    out = explode_tagged(df, "products", {"code": "setCode"}, "struct<uuid:string,size:long>", position="pos",
+                         require_present=False)
+    assert out.dtypes == [("pos", "int"), ("uuid", "string"), ("size", "bigint"), ("setCode", "string")]
+    assert out.count() == 0
 
 
 def test_decks(full):
-    assert [r["fileName"] for r in full.decks.list(set_code="A25").collect()] == ["MS_A25"]
-    assert sorted(r["fileName"] for r in full.decks.list(deck_type="COMMANDER DECK").collect()) == ["HC_MH2", "NoName_MH2"]
-    assert [r["fileName"] for r in full.decks.search("horizons").collect()] == ["HC_MH2"]
-    assert full.decks.count(set_code="mh2").first()["cnt"] == 2
+    def files(df):
+        return sorted(r["fileName"] for r in df.collect())
+
+    assert files(full.decks.list(set_code="TID")) == ["Starter_TID"]
+    assert files(full.decks.list(deck_type="duel deck")) == ["Duel_HRB", "Nameless_HRB"]
+    assert files(full.decks.search("HARBOUR")) == ["Duel_HRB"]
+    assert full.decks.count(set_code="hrb").first()["cnt"] == 2
+
+
+def test_vocabularies(full, spark):
+    from tessera.plans.catalogue import CardData
+    words = [("abilities", "Bulwark"), ("abilities", "Quick"), ("actions", "Foresight")]
+    assert sorted(map(tuple, full.enums.keywords().collect())) == words
+    assert sorted(map(tuple, full.enums.card_types().collect())) == [
+        ("creature", "subTypes", "Crab"), ("creature", "subTypes", "Golem"), ("creature", "superTypes", "Fabled"),
+        ("ritual", "superTypes", "Quiet")]
+    assert sorted(map(tuple, full.enums.enum_values().collect())) == [
+        ("card", "layout", "split"), ("card", "rarity", "common"), ("card", "rarity", "rare"),
+        ("set", "type", "core")]
+    assert full.meta().first()["version"] == "9.1"
+    given = CardData(spark, overrides={"keywords": full.enums._doc("keywords")})   # a DataFrame instead of a path
+    assert sorted(map(tuple, given.enums.keywords().collect())) == words
+
 
+def test_documents_bare_or_enveloped(spark, tmp_path):
+    from tessera.sources.files import read_json_documents
+    rows = [{"code": "TID", "n": 1}, {"code": None, "n": 2}, {"code": "HRB"}]
+    schema = "meta struct<version:string>, data array<struct<code:string,n:long>>"
+    for i, doc in enumerate([rows, {"meta": {"version": "1"}, "data": rows}]):
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(doc, indent=1))
+        got = read_json_documents(spark, str(path), schema=schema)
+        assert got.columns == ["code", "n"]
+        assert sorted(map(tuple, got.collect()), key=str) == sorted([("TID", 1), (None, 2), ("HRB", None)], key=str)
 
-def test_vocabularies(full):
-    kw = sorted(tuple(r) for r in full.enums.keywords().collect())
-    assert kw == [("abilityWords", "Landfall"), ("abilityWords", "Raid"), ("keywordActions", "Scry")]
-    ct = sorted(tuple(r) for r in full.enums.card_types().collect())
-    assert ("creature", "subTypes", "Goblin") in ct and ("land", "subTypes", "Forest") in ct and len(ct) == 4
-    assert full.meta().first()["version"] == "5.2.2"
+
+def test_pages_after_null_keys(spark):
+    from tessera.operators.topk import page_after
+    rows = [(a, b) for a in (1, 2, None) for b in ("x", "y", None)]
+    df = spark.createDataFrame(rows, "a long, b string")
+    seen, after = [], None
+    while part := [tuple(r) for r in page_after(df, ["a", "b"], after, 2).collect()]:
+        seen, after = seen + part, part[-1]
+    assert seen == sorted(rows, key=lambda r: [(v is None, v or 0) if i == 0 else (v is None, v or "")
+                                               for i, v in enumerate(r)])
 
 
 def test_localized_search(full):
-    rows = full.cards.search(localized_name="blitz").collect()
-    assert [r["uuid"] for r in rows] == ["card-uuid-001", "card-uuid-001"]   # one row per translation
-    assert [r["uuid"] for r in full.cards.search(localized_name="blitz", localized_dedupe=True).collect()] == \
-        ["card-uuid-001"]
+    rows = full.cards.search(localized_name="flutwal").collect()
+    assert [r["uuid"] for r in rows] == ["u-tide", "u-tide"]                     # one row per translation
+    assert full.cards.search(localized_name="flutwal", localized_dedupe=True).count() == 1
 
 
 def test_booster(full):
-    assert [r[0] for r in full.booster.available_types("a25").collect()] == ["draft"]
-    sheet = full.booster.sheet_contents("A25", "draft", "common").first()["cards"]
-    assert sheet == {"card-uuid-001": 1, "card-uuid-002": 1, "card-uuid-003": 1}   # NULL -> 1, blank dropped
-    tpl = {r["boosterIndex"]: (r["weight"], r["sheets"]) for r in full.booster.templates("A25", "draft").collect()}
-    assert tpl[0] == (7, {"common": 2, "rare": 1}) and tpl[1] == (1, {"common": 1, "foil": 1}) and tpl[2] == (1, {})
-    box = full.booster.open_box("A25", "draft", 300, with_cards=True).toPandas()
-    assert box.request_id.nunique() <= 300
-    for (rid, sheet), grp in box.groupby(["request_id", "sheetName"]):
-        assert grp.cardUuid.is_unique or sheet == "rare"
-        if sheet == "foil":
-            assert set(grp.cardUuid) == {"card-uuid-002"}                 # zero weight never drawn
-            assert grp.isFoil.all()
-        else:
-            assert not grp.isFoil.any()
-    assert "name" in box.columns
-    zero = full.booster.open_box("ZRO", "draft", 200, with_cards=False).toPandas()
-    assert set(zero.boosterIndex) == {0, 1}                              # all-zero weights: uniform pick
-    none = full.booster.open_pack("NOPE", "draft", with_cards=False).collect()
-    assert [r["status"] for r in none] == ["no_template"]
+    assert [r[0] for r in full.booster.available_types("tid").collect()] == ["play"]
+    sheet = full.booster.sheet_contents("TID", "play", "base").first()["cards"]
+    assert sheet == {"u-dusk": 1, "u-ember": 1, "u-tide": 1}                     # NULL -> 1, blank dropped
+    tpl = {r["boosterIndex"]: (r["weight"], r["sheets"]) for r in full.booster.templates("TID", "play").collect()}
+    assert tpl == {0: (7, {"base": 2, "showcase": 1}), 1: (1, {"base": 1, "shiny": 1}), 2: (1, {})}
+    box = full.booster.open_box("TID", "play", 300, with_cards=True).toPandas()
+    assert set(box.request_id) == set(range(300)) and "rarity" in box.columns
+    none = box[box.status == "empty"]
+    assert set(none.boosterIndex) == {2} and none.cardUuid.isna().all()
+    for (_, name), pack in box[box.status == "ok"].groupby(["request_id", "sheetName"]):
+        assert pack.cardUuid.is_unique and pack.isFoil.all() == (name == "shiny")
+        assert name != "shiny" or set(pack.cardUuid) == {"u-tide"}               # zero weight never drawn
+    zero = full.booster.open_box("OLD", "play", 200, with_cards=False).toPandas()
+    assert set(zero.boosterIndex) == {0, 1}                                      # all-zero weights: uniform pick
+    assert [r["status"] for r in full.booster.open_pack("NOPE", "play").collect()] == ["no_template"]
+
+
+def test_every_request_is_answered(full, spark):
+    rows = [(1, "TID", "play"), (1, "OLD", "play"), (1, "OLD", "play"), (None, "OLD", "play"), (2, None, "play"),
+            (3, "OLD", None)]
+    asked = spark.createDataFrame(rows, "request_id long, setCode string, boosterName string")
+    got = full.booster.open_packs(asked, with_cards=False).toPandas()
+    keys = ["request_id", "setCode", "boosterName", "copy"]
+    assert len(got.drop_duplicates(keys)) == len(rows)
+    assert (got[got.request_id.isin([2, 3])].status == "no_template").all()
+
+
+def test_fractional_weights_are_drawn(spark):
+    from tessera.operators.sampling import weighted_with_replacement
+    items = spark.createDataFrame([("g", "a", 0.5), ("g", "b", 1.5), ("g", "c", 0.0)], "g string, i string, w double")
+    asked = spark.createDataFrame([("g", n) for n in range(400)], "g string, n long")
+    got = weighted_with_replacement(items, asked, "g", "i", "w", 5, "n").toPandas().i.value_counts()
+    assert set(got.index) == {"a", "b"} and 0.2 < got["a"] / got.sum() < 0.3
