@@ -106,6 +106,10 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
             .withColumn("p", F.round(F.least(F.lit(1.0), F.lit(keep_share) * F.col("ratio")), 6)))
 
 
+#: A cell's rows go to so many tasks at most, before AQE splits them further.
+MOST_SALTS = 256
+
+
 def draw(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source", lang_col: str = "lang", seed: int = 42) -> DataFrame:
     """The rows of ``df`` drawn with their cell's probability: (row, source,
@@ -113,12 +117,16 @@ def draw(df: DataFrame, cells: DataFrame, *, id_col: str = "doc_id", text_col: s
 
     A row stays if the uniform number of its id is below p: the same rows in
     any run and partitioning; repeated ids stay or go together, and so do null
-    ids of one cell.  The join with the cells is left to AQE, which broadcasts
-    them while they are small and splits a hot source where they are not.
+    ids of one cell.  Rows are dealt by cell and a salt, each cell being there
+    once per salt, so that a cell with a third of all rows meets in no one
+    task; cells (sources by languages by topics) are few beside documents.
     """
+    salts = min(MOST_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(salts)).alias("salt")
     keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                      *_keys(text_col, source_col, lang_col), uniform(id_col, seed).alias("u"))
-    return (keyed.join(cells.select("source", "lang", "topic", "p"), ["source", "lang", "topic"])
+                      *_keys(text_col, source_col, lang_col), uniform(id_col, seed).alias("u"), salt)
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")
+    return (keyed.join(cells.select("source", "lang", "topic", "p", each), ["source", "lang", "topic", "salt"])
             .where("u < p").select("row", "source", "lang", "topic", "p"))
 
 
