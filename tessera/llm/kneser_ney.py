@@ -12,19 +12,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fold, keep, labelled_sample, map_texts, sigmoid, slices
+from tessera.llm.common import arrow_schema, fold, keep, labelled_sample, sigmoid, slices
+from tessera.session import scratch_path
 
 ORDER = 7
 DISCOUNT = 0.75
-#: The model's size: slots for n-grams and for contexts.
-GRAM_BITS, CONTEXT_BITS = 21, 19
 #: ASCII characters that end a word; bytes of other scripts belong to words.
 _BREAKS = bytes(c for c in range(128) if not chr(c).isalpha())
 _TO_SPACE = bytes(32 if c in _BREAKS else c for c in range(256))
@@ -169,37 +170,89 @@ def evidence(grams: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, D
                        (F.col("t0") + F.col("t1")).alias("n")))
 
 
-def _slot(code: np.ndarray, bits: int) -> np.ndarray:
-    h = code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
+#: Marks a context's key among those of n-grams, which have 7 bytes at most.
+_CONTEXT = 1 << 62
+#: Evidence is summed in units of 2^-32, so that its order doesn't matter.
+_UNIT = 2.0 ** 32
+#: A chunk of documents ends after so many words, or bytes of distinct words.
+CHUNK_WORDS, CHUNK_BYTES = 1_000_000, 4_000_000
 
 
-class Table:
-    """code -> value in a fixed number of slots; of codes that share a slot the
-    one with the most evidence stays, the others count as never seen."""
+def keyed(by_gram: DataFrame, by_context: DataFrame) -> DataFrame:
+    """(key, v): the evidence of every n-gram and every context in one table,
+    which grows with what was counted and never leaves the executors."""
+    return (by_gram.select(F.col("code").alias("key"), F.col("llr").alias("v"))
+            .unionByName(by_context.select(F.col("code").bitwiseOR(_CONTEXT).alias("key"), F.col("llr").alias("v"))))
 
-    def __init__(self, code: np.ndarray, value: np.ndarray, weight: np.ndarray, bits: int):
-        self.bits = bits
-        self.codes = np.zeros(1 << bits, np.uint64)
-        self.values = np.zeros(1 << bits, np.float32)
-        order = np.lexsort([code, weight])
-        at = _slot(code[order].view(np.uint64), bits)
-        self.codes[at] = code[order].view(np.uint64)
-        self.values[at] = value[order]
 
-    def look(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = _slot(code, self.bits)
-        return self.values[at], self.codes[at] == code
+def _packed(x: list) -> bytes:
+    return pa.compress(np.array(x, np.int32).tobytes(), codec="zstd", asbytes=True)
 
 
-def _collected(df: DataFrame, bits: int) -> Table:
-    """At most one row per slot comes to the driver."""
-    h = F.xxhash64("code") % F.lit(1 << bits)      # only bounds what is sent
-    best = (df.withColumn("w", F.abs("llr") * F.col("n")).groupBy(h.alias("h"))
-            .agg(F.max_by(F.struct("code", "llr", "w"), F.struct("w", "code")).alias("r"))
-            .select("r.*").toPandas())
-    return Table(best["code"].to_numpy(np.int64), best["llr"].to_numpy(float),
-                 best["w"].to_numpy(float), bits)
+def _unpacked(b: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(b, 4 * n, codec="zstd", asbytes=True), np.int32) if n else np.empty(0, np.int32)
+
+
+def chunks(df: DataFrame, text_col: str, keep_cols: dict[str, str]) -> DataFrame:
+    """``df`` as chunks of documents, written once: (chunk, keys, grams, ends,
+    n, words, and the arrays ``keep_cols`` and n_words by document).
+
+    ``keys`` are the distinct n-grams of the chunk's words, then their distinct
+    contexts; ``grams`` the words' n-grams as numbers of keys, word after word
+    up to ``ends``; ``words`` the documents' ``n`` words as numbers of words.
+    """
+    src = df.select(*[F.col(c).alias(name) for name, c in keep_cols.items()],
+                    F.col(text_col).cast("string").alias("__text"))
+    schema = T.StructType(
+        [T.StructField("chunk", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+         T.StructField("grams", T.BinaryType()), T.StructField("n_grams", T.LongType()),
+         T.StructField("ends", T.BinaryType()), T.StructField("n_ends", T.LongType()),
+         T.StructField("words", T.BinaryType()), T.StructField("n", T.LongType()),
+         T.StructField("n_words", T.ArrayType(T.LongType()))]
+        + [T.StructField(name, T.ArrayType(src.schema[name].dataType)) for name in keep_cols])
+    arrow = arrow_schema(schema)
+    most_words, most_bytes = CHUNK_WORDS, CHUNK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = TaskContext.get().partitionId() << 32
+        seen: dict[bytes, int] = {}
+        words: list[int] = []
+        counts: list[int] = []
+        held: list[list] = [[] for _ in keep_cols]
+        size = 0
+
+        def chunk() -> pa.RecordBatch:
+            data = np.frombuffer(b"".join([b" ", b" ".join(seen), b" "]) if seen else b"", np.uint8)
+            code = codes(data)[1] if seen else np.empty(0, np.uint64)
+            own, grams = np.unique(code.view(np.int64), return_inverse=True)
+            keys = np.concatenate([own, np.unique(own >> 8) | _CONTEXT])
+            ends = np.cumsum([len(w) + 1 for w in seen])
+            cols = [[made], [keys], [_packed(grams)], [len(grams)], [_packed(ends)], [len(ends)],
+                    [_packed(words)], [len(words)], [counts], *[[h] for h in held]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+        for b in batches:
+            texts = b.column("__text").to_pylist()
+            columns = [b.column(name).to_pylist() for name in keep_cols]
+            for i, text in enumerate(texts):
+                found = words_of(text)
+                before = len(seen)
+                words += [seen.setdefault(w, len(seen)) for w in found]
+                if len(seen) > before:
+                    size += sum(map(len, islice(reversed(seen), len(seen) - before)))
+                counts.append(len(found))
+                for h, c in zip(held, columns):
+                    h.append(c[i])
+                if len(words) + len(counts) >= most_words or size >= most_bytes:
+                    yield chunk()
+                    made, size, seen, words, counts = made + 1, 0, {}, [], []
+                    held = [[] for _ in keep_cols]
+        if counts:
+            yield chunk()
+
+    path = scratch_path(df.sparkSession, "op7-chunks")
+    src.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 #: Words of the passages whose evidence is averaged.
@@ -207,47 +260,81 @@ TOP = (1, 3, 8, 24)
 N_STATS = 3 + len(TOP)
 
 
+def statistics(parts: DataFrame, evidence: DataFrame, keep_cols: list[str]) -> DataFrame:
+    """(``keep_cols``, x) of every document of ``chunks``.  A chunk asks once
+    for each of its n-grams and contexts, however often it has them, so a key
+    is asked for by as many rows as there are chunks at most."""
+    asked = parts.select("chunk", F.posexplode("keys").alias("i", "key"))
+    got = (asked.join(evidence, "key").select("chunk", F.struct("i", "v").alias("r"))
+           .groupBy("chunk").agg(F.collect_list("r").alias("r")))
+    whole = parts.join(got, "chunk", "left")
+    schema = T.StructType([T.StructField(c, parts.schema[c].dataType.elementType) for c in keep_cols]
+                          + [T.StructField("x", T.ArrayType(T.DoubleType()))])
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                row = b.slice(k, 1)
+
+                def of(name: str) -> pa.Array:
+                    return row.column(name).flatten()
+
+                keys = of("keys").to_numpy(zero_copy_only=False)
+                value = np.full(len(keys), np.nan)
+                if row.column("r").null_count == 0:
+                    r = of("r")
+                    value[r.field("i").to_numpy(zero_copy_only=False)] = r.field("v").to_numpy(zero_copy_only=False)
+                first = np.searchsorted(keys, _CONTEXT)       # n-grams, then contexts
+                back = np.nan_to_num(value[first:])[np.searchsorted(keys[first:], keys[:first] >> 8 | _CONTEXT)]
+                llr = np.where(np.isnan(value[:first]), back, value[:first])
+                llr = np.rint(llr * _UNIT).astype(np.int64)
+
+                def numbers(name: str, count: str) -> np.ndarray:
+                    return _unpacked(row.column(name)[0].as_py(), row.column(count)[0].as_py())
+
+                ends = numbers("ends", "n_ends")
+                starts = np.append(0, ends[:-1])
+                of_word = (np.add.reduceat(llr[numbers("grams", "n_grams")], starts) / _UNIT if len(ends)
+                           else np.empty(0))
+                x = _stats(of_word, ends - starts[:len(ends)], numbers("words", "n"),
+                           of("n_words").to_numpy(zero_copy_only=False))
+                flat = pa.array(x.ravel())
+                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * N_STATS, flat)
+                cols = [of(c).cast(arrow.field(c).type) for c in keep_cols] + [lists.cast(arrow.field("x").type)]
+                yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+
+    return whole.select("keys", "grams", "n_grams", "ends", "n_ends", "words", "n", "n_words", "r",
+                        *[c for c in keep_cols]).mapInArrow(run, schema)
+
+
+def _stats(of_word: np.ndarray, size: np.ndarray, words: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Per document: the length-normalised log-likelihood ratio, the share of
+    words that speak for toxic, the logarithm of the number of words (chance
+    evidence grows with it), and the mean evidence of its strongest words.
+    Zeros for a text without words.  ``of_word`` and ``size``: evidence and
+    bytes of each distinct word; ``words``: the documents' words."""
+    out = np.zeros((len(n_words), N_STATS))
+    start = 0
+    for i, n in enumerate(n_words.tolist()):
+        if n:
+            w = words[start:start + n]
+            v = of_word[w]
+            k = min(max(TOP), n)
+            top = -np.sort(-np.partition(v, n - k)[n - k:])
+            out[i, 0] = v.sum() / size[w].sum()
+            out[i, 1] = (v > 3).mean()
+            out[i, 2] = np.log(n)
+            out[i, 3:] = [top[:t].sum() / t for t in TOP]
+        start += n
+    return out
+
+
 @dataclass
 class Toxicity:
-    grams: Table
-    contexts: Table
+    evidence: DataFrame       # (key, v)
     weights: np.ndarray       # bias, then one per statistic
 
-    def stats(self, texts: list) -> np.ndarray:
-        """Per text: the length-normalised log-likelihood ratio, the share of
-        words that speak for toxic, the logarithm of the number of words (chance
-        evidence grows with it), and the mean evidence of its strongest words.
-        Zeros for a text without words."""
-        out = np.zeros((len(texts), N_STATS))
-        data, ends = joined(texts)
-        if not len(data):
-            return out
-        at, code = _predicted(data, ends)
-        value, known = self.grams.look(code)
-        missing = np.flatnonzero(~known)
-        back, held = self.contexts.look(code[missing] >> np.uint64(8))
-        value[missing] = np.where(held, back, 0.0)
-        llr = np.zeros(len(data))
-        llr[at] = value
-        # A word's bytes run from behind its leading space to its closing one.
-        start = 0
-        for i, end in enumerate(ends.tolist()):
-            if end > start:
-                v = llr[start + 1:end]
-                closes = np.flatnonzero(data[start + 1:end] == 32)
-                words = np.add.reduceat(v, np.append(0, closes[:-1] + 1))
-                k = min(max(TOP), len(words))
-                top = -np.sort(-np.partition(words, len(words) - k)[len(words) - k:])
-                out[i, 0] = v.sum() / len(v)
-                out[i, 1] = (words > 3).mean()
-                out[i, 2] = np.log(len(words))
-                out[i, 3:] = [top[:t].sum() / t for t in TOP]
-            start = end
-        return out
-
-    def scores(self, texts: list) -> np.ndarray:
-        return sigmoid(self.weights[0] + self.stats(texts) @ self.weights[1:])
-
 
 def calibrate(x: np.ndarray, y: np.ndarray, share: float, l2: float = 1e-2) -> np.ndarray:
     """Logistic weights (bias first) from statistics to the label, the classes
@@ -282,18 +369,14 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
              .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).cast("int").alias("__y")))
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(learn)
     grams = keep(count_grams(docs.join(known.where(learn), "__id"), "__text", "__y"))
-    by_gram, by_context = evidence(grams)
-    model = Toxicity(_collected(by_gram, GRAM_BITS), _collected(by_context, CONTEXT_BITS),
-                     np.zeros(1 + N_STATS))
+    by_key = keep(keyed(*evidence(grams)))
     held = labelled_sample(documents, labels, label, sample, calibration, id_col, text_col)
     share = known.where(learn).agg(F.avg("__y")).first()[0]
-    got = map_texts(held, "text", {"y": "y"}, [T.StructField("x", T.ArrayType(T.DoubleType()))],
-                    lambda texts: {"x": model.stats(texts).tolist()}).toPandas()
+    got = statistics(chunks(held, "text", {"y": "y"}), by_key, ["y"]).toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), N_STATS)
     y = got["y"].to_numpy(int)
     order = np.lexsort([*x.T, y])
-    model.weights = calibrate(x[order], y[order], float(share or 0.0))
-    return model
+    return Toxicity(by_key, calibrate(x[order], y[order], float(share or 0.0)))
 
 
 def score(documents: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: str = "text",
@@ -305,8 +388,12 @@ def score(documents: DataFrame, model: Toxicity, id_col: str = "doc_id", text_co
     wordless texts have the score of no evidence.  ``predicted`` = score >=
     ``threshold``.  Repeated rows are scored alike; an empty table gives none.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # fixed number of slots
-    out = map_texts(documents, text_col, {"doc_id": id_col}, [T.StructField("score", T.DoubleType())],
-                    lambda texts: {"score": shared.value.scores(texts)})
+    w = model.weights
+    total = F.lit(float(w[0]))
+    for j in range(N_STATS):
+        total = total + F.col("x")[j] * F.lit(float(w[j + 1]))
+    total = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), total))
+    out = (statistics(chunks(documents, text_col, {"doc_id": id_col}), model.evidence, ["doc_id"])
+           .select("doc_id", (1.0 / (1.0 + F.exp(-total))).alias("score")))
     return out.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
