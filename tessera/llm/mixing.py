@@ -50,13 +50,17 @@ def _keys(text_col: str, source_col: str, lang_col: str) -> list[Column]:
 
 
 def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-            temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12) -> DataFrame:
+            temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12,
+            clipped: bool = False) -> DataFrame:
     """Cells (source, lang, topic, tokens, ratio, p), one per combination held.
 
     The targets of each marginal are its token shares to the power ``temper``,
     scaled to one: large sources, languages and topics lose, small ones gain.
-    ``ratio`` is the raked weight over the held tokens, ``p`` = min(1,
-    keep_share * ratio) the sampling probability, to six places.  Nulls are a
+    ``ratio`` is the raked weight over the held tokens, ``p`` = ratio times
+    the smaller of ``keep_share`` and 1 / the largest ratio the sampling
+    probability: no p exceeds 1, so the expected sample meets the targets of
+    all three marginals.  ``clipped``: p = min(1, keep_share * ratio) to six
+    places, a larger sample that misses them.  Nulls are a
     source ``(none)`` and a language ``und``.  Cells without tokens (empty
     texts only) have ratio 1.  An empty table gives no cells.
     """
@@ -100,10 +104,11 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
             step = {k: g / sum(w for cell, w in m.items() if cell[i] == k) for k, g in goal[name].items()}
             m = {cell: w * step[cell[i]] for cell, w in m.items()}
             factor[name] = {k: v * step[k] for k, v in factor[name].items()}
-    fitted = raked().select("source", "lang", "topic", (F.col("w") / F.col("tokens")).alias("ratio"))
+    fitted = keep(raked().select("source", "lang", "topic", (F.col("w") / F.col("tokens")).alias("ratio")))
+    share = keep_share if clipped else min(keep_share, 1.0 / fitted.agg(F.max("ratio")).first()[0])
     return (cells.join(fitted, ["source", "lang", "topic"], "left")
             .withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
-            .withColumn("p", F.round(F.least(F.lit(1.0), F.lit(keep_share) * F.col("ratio")), 6)))
+            .withColumn("p", F.round(F.least(F.lit(1.0), F.lit(share) * F.col("ratio")), 6 if clipped else 12)))
 
 
 #: A cell's rows go to so many tasks at most, before AQE splits them further.

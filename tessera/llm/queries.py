@@ -30,7 +30,7 @@ def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    drawn = mixing.draw(docs, mixing.weights(docs))
+    drawn = mixing.draw(docs, mixing.weights(docs, clipped=True))     # as its SQL has it
     return drawn.select("row.doc_id", "source", "lang", "topic",
                         mixing.tokens("row.text").alias("n_tokens"), "p")
 

@@ -51,3 +51,22 @@ def test_edge_cases(spark):
     assert mixing.sample(empty, mixing.weights(empty)).count() == 0
     blank = spark.createDataFrame([(1, None, "s", "en", "x", 1)], schema)
     assert [r.ratio for r in mixing.weights(blank).collect()] == [1.0]
+
+
+@pytest.mark.parametrize("by", ["source", "lang", "topic"])
+def test_expected_sample_meets_the_targets(cells, by):
+    goal = (cells.groupby(by).tokens.sum() / cells.tokens.sum()) ** 0.7
+    got = (cells.p * cells.tokens).groupby(cells[by]).sum()
+    assert cells.p.between(0, 1).all()
+    assert (got / got.sum() / (goal / goal.sum()) - 1).abs().max() < 1e-3
+
+
+def test_drawn_rows_meet_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    cells = mixing.weights(docs)
+    rows = mixing.draw(docs, cells).select("lang", "topic", mixing.tokens("row.text").alias("n")).toPandas()
+    held = cells.toPandas()
+    for by in ("lang", "topic"):
+        goal = held.groupby(by).tokens.sum() ** 0.7
+        got = rows.groupby(by).n.sum()
+        assert (got / got.sum() / (goal / goal.sum()) - 1).abs().max() < 0.15, by
