@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -69,31 +70,35 @@ def _predicted(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at[ok], code[ok]
 
 
-def count_grams(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
+def count_grams(docs: DataFrame, text_col: str, label_col: str, fold_col: str | None = None) -> DataFrame:
     """(code, n0, n1): how often each n-gram occurs in documents of label 0 and
-    1.  Tasks sum what they have read before anything is shuffled."""
-    src = docs.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"))
+    1; with ``fold_col`` (code, fold, n0, n1), by its whole numbers.  Tasks sum
+    what they have read before anything is shuffled."""
+    src = docs.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"),
+                      (F.col(fold_col) if fold_col else F.lit(0)).cast("int").alias("fold"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty((0, 3), np.int64)]
+        held = [np.empty((0, 4), np.int64)]
 
         def total() -> np.ndarray:
             rows = np.concatenate(held)
-            key, where = np.unique(rows[:, 0], return_inverse=True)
-            out = np.zeros((len(key), 3), np.int64)
-            out[:, 0] = key
-            np.add.at(out, (where, 1), rows[:, 1])
-            np.add.at(out, (where, 2), rows[:, 2])
+            rows = rows[np.lexsort([rows[:, 1], rows[:, 0]])]
+            first = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))[:len(rows)])
+            out = rows[first]
+            if len(out):
+                out[:, 2:] = np.add.reduceat(rows[:, 2:], first)
             return out
 
         for b in batches:
             texts, ys = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
+            folds = b.column(2).to_numpy(zero_copy_only=False)
             for i, j in slices(texts):
-                for y in (0, 1):
-                    code = _predicted(*joined([t for t, v in zip(texts[i:j], ys[i:j]) if v == y]))[1]
+                for f, y in sorted({(int(g), int(v)) for g, v in zip(folds[i:j], ys[i:j]) if v in (0, 1)}):
+                    some = [t for t, v, g in zip(texts[i:j], ys[i:j], folds[i:j]) if v == y and g == f]
+                    code = _predicted(*joined(some))[1]
                     key, n = np.unique(code.view(np.int64), return_counts=True)
-                    rows = np.zeros((len(key), 3), np.int64)
-                    rows[:, 0], rows[:, 1 + y] = key, n
+                    rows = np.zeros((len(key), 4), np.int64)
+                    rows[:, 0], rows[:, 1], rows[:, 2 + y] = key, f, n
                     held.append(rows)
                 if sum(map(len, held)) > 2_000_000:
                     held = [total()]
@@ -103,11 +108,12 @@ def count_grams(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
             yield _rows(total())
 
     def _rows(x: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x[:, i].copy()) for i in range(3)],
-                                          ["code", "n0", "n1"])
+        return pa.RecordBatch.from_arrays([pa.array(x[:, i].copy()) for i in range(4)],
+                                          ["code", "fold", "n0", "n1"])
 
-    return (src.mapInArrow(run, "code long, n0 long, n1 long")
-            .groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    by = ["code", "fold"] if fold_col else ["code"]
+    return (src.mapInArrow(run, "code long, fold long, n0 long, n1 long")
+            .groupBy(*by).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
 
 
 def _bytes_in(c: Column) -> Column:
@@ -117,42 +123,61 @@ def _bytes_in(c: Column) -> Column:
     return out
 
 
-def evidence(grams: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
-    """Log-likelihood ratios from the counts of ``count_grams``.
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once to the shared scratch folder (a checkpoint's rows
+    take several times the room)."""
+    path = scratch_path(df.sparkSession, f"op7-{name}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def evidence(grams: DataFrame, discount: float = DISCOUNT, parts: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Log-likelihood ratios from the counts of ``count_grams``; with ``parts``,
+    the numbers from 0 in a column ``part``, a model for each of them.
 
     Returns (code, llr, n) of every counted n-gram and (code, llr, n) of every
     counted context, the latter for continuations that were never counted: both
     models then give the shared backoff, times their own weight for it.
     """
+    by = () if parts is None else ("part",)
+    # Which parts have an n-gram is a bit each, so that n-grams are once here.
+    once = grams.select("code", F.lit(1).cast("long").alias("held")) if parts is None else _stored(
+        grams.groupBy("code").agg(F.bit_or(F.expr("shiftleft(1L, part)")).alias("held")), "held")
+    once = once.withColumn("m", _bytes_in(F.col("code")))
     grams = grams.withColumn("m", _bytes_in(F.col("code")))
     # Shared continuation counts of all shorter n-grams.
     longer = None
     for k in range(1, ORDER):
-        part = grams.where(F.col("m") > k).select(
-            F.lit(k).alias("m"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("from"))
+        part = once.where(F.col("m") > k).select(
+            "held", F.lit(k).alias("m"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("from"))
         longer = part if longer is None else longer.unionByName(part)
     mask = F.expr("shiftleft(1L, 8 * m) - 1")
-    cont = (longer.distinct().groupBy("m", F.col("from").bitwiseAND(mask).alias("code"))
+    longer = longer.groupBy("m", "from").agg(F.bit_or("held").alias("held"))
+    if parts is not None:
+        longer = (longer.withColumn("part", F.explode(F.array(*[F.lit(p) for p in parts])))
+                  .where("shiftright(held, part) % 2 = 1"))
+    cont = (longer.groupBy(*by, "m", F.col("from").bitwiseAND(mask).alias("code"))
             .agg(F.count("*").alias("n"))
             .withColumn("ctx", F.shiftright("code", 8)))
-    by_ctx = cont.groupBy("m", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-    cont = keep(cont.join(by_ctx, ["m", "ctx"]).select(
-        "m", "code", ((F.col("n") - discount) / F.col("total")).alias("own"),
-        (discount * F.col("types") / F.col("total")).alias("rest")))
-    lower = cont.where("m = 1").select("code", (F.col("own") + F.col("rest") / 256).alias("p"))
+    by_ctx = cont.groupBy(*by, "m", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+    cont = cont.join(by_ctx, [*by, "m", "ctx"]).select(
+        *by, "m", "code", ((F.col("n") - discount) / F.col("total")).alias("own"),
+        (discount * F.col("types") / F.col("total")).alias("rest"))
+    cont = _stored(cont, "continuations")
+    lower = cont.where("m = 1").select(*by, "code", (F.col("own") + F.col("rest") / 256).alias("p"))
     probs = lower.withColumn("m", F.lit(1))
     for k in range(2, ORDER):
         lower = (cont.where(F.col("m") == k)
                  .withColumn("suffix", F.col("code").bitwiseAND((1 << 8 * (k - 1)) - 1))
-                 .join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("q")), "suffix")
-                 .select("code", (F.col("own") + F.col("rest") * F.col("q")).alias("p")))
-        lower = keep(lower)
+                 .join(lower.select(*by, F.col("code").alias("suffix"), F.col("p").alias("q")), [*by, "suffix"])
+                 .select(*by, "code", (F.col("own") + F.col("rest") * F.col("q")).alias("p")))
+        lower = _stored(lower, "backoff")
         probs = probs.unionByName(lower.withColumn("m", F.lit(k)))
     # Class models over the longest contexts.
     grams = grams.withColumn("ctx", F.shiftright("code", 8))
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    ctx = keep(grams.groupBy("ctx").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
-                                        seen("n0").alias("k0"), seen("n1").alias("k1")))
+    ctx = _stored(grams.groupBy(*by, "ctx").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
+                                                seen("n0").alias("k0"), seen("n1").alias("k1")), "contexts")
 
     def rest(i: int) -> Column:
         return F.when(F.col(f"t{i}") > 0, discount * F.col(f"k{i}") / F.col(f"t{i}")).otherwise(1.0)
@@ -163,10 +188,10 @@ def evidence(grams: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, D
 
     full = (grams.withColumn("below", F.col("m") - 1)
             .withColumn("suffix", F.col("code").bitwiseAND(F.expr("shiftleft(1L, 8 * (m - 1)) - 1")))
-            .join(probs.select(F.col("m").alias("below"), F.col("code").alias("suffix"), "p"),
-                  ["below", "suffix"]).join(ctx, "ctx"))
-    return (full.select("code", F.log(prob(1) / prob(0)).alias("llr"), (F.col("n0") + F.col("n1")).alias("n")),
-            ctx.select(F.col("ctx").alias("code"), F.log(rest(1) / rest(0)).alias("llr"),
+            .join(probs.select(*by, F.col("m").alias("below"), F.col("code").alias("suffix"), "p"),
+                  [*by, "below", "suffix"]).join(ctx, [*by, "ctx"]))
+    return (full.select(*by, "code", F.log(prob(1) / prob(0)).alias("llr"), (F.col("n0") + F.col("n1")).alias("n")),
+            ctx.select(*by, F.col("ctx").alias("code"), F.log(rest(1) / rest(0)).alias("llr"),
                        (F.col("t0") + F.col("t1")).alias("n")))
 
 
@@ -178,11 +203,11 @@ _UNIT = 2.0 ** 32
 CHUNK_WORDS, CHUNK_BYTES = 1_000_000, 4_000_000
 
 
-def keyed(by_gram: DataFrame, by_context: DataFrame) -> DataFrame:
-    """(key, v): the evidence of every n-gram and every context in one table,
+def keyed(by_gram: DataFrame, by_context: DataFrame, by: tuple = ()) -> DataFrame:
+    """(``by``, key, v): the evidence of every n-gram and every context in one table,
     which grows with what was counted and never leaves the executors."""
-    return (by_gram.select(F.col("code").alias("key"), F.col("llr").alias("v"))
-            .unionByName(by_context.select(F.col("code").bitwiseOR(_CONTEXT).alias("key"), F.col("llr").alias("v"))))
+    return (by_gram.select(*by, F.col("code").alias("key"), F.col("llr").alias("v"))
+            .unionByName(by_context.select(*by, F.col("code").bitwiseOR(_CONTEXT).alias("key"), F.col("llr").alias("v"))))
 
 
 def _packed(x: list) -> bytes:
@@ -250,9 +275,7 @@ def chunks(df: DataFrame, text_col: str, keep_cols: dict[str, str]) -> DataFrame
         if counts:
             yield chunk()
 
-    path = scratch_path(df.sparkSession, "op7-chunks")
-    src.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return _stored(src.mapInArrow(run, schema), "chunks")
 
 
 #: Words of the passages whose evidence is averaged.
@@ -356,27 +379,47 @@ def calibrate(x: np.ndarray, y: np.ndarray, share: float, l2: float = 1e-2) -> n
     return np.append(w[0], w[1:] / scale)
 
 
+#: Documents are cross-fitted by so many folds of their id.
+CROSS = 5
+#: The part of the counts that is all of them; part f is all but fold f.
+_ALL = CROSS
+
+
 def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn: Column | None = None,
         calibration: Column | None = None, sample: int = 3000, id_col: str = "doc_id",
         text_col: str = "text") -> Toxicity:
     """Count over all labelled documents that ``learn`` allows, then calibrate
-    on at most ``sample`` documents of each label that ``calibration`` allows
-    (both are conditions on ``__id``; keep them apart, or the evidence is
-    overrated)."""
-    learn = (fold("__id", 5) != 1) if learn is None else learn
-    calibration = (fold("__id", 5) == 1) if calibration is None else calibration
+    on at most ``sample`` documents of each label that ``calibration`` (as
+    ``learn``, if not given) allows; both are conditions on ``__id``.  Each of
+    these is judged by the counts of the other folds, so that no document
+    speaks for itself; the model then has the counts of all."""
+    learn = (fold("__id", CROSS) != 0) if learn is None else learn
+    calibration = learn if calibration is None else calibration
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
              .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).cast("int").alias("__y")))
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(learn)
-    grams = keep(count_grams(docs.join(known.where(learn), "__id"), "__text", "__y"))
-    by_key = keep(keyed(*evidence(grams)))
-    held = labelled_sample(documents, labels, label, sample, calibration, id_col, text_col)
+    docs = docs.join(known.where(learn), "__id").withColumn("__fold", fold("__id", CROSS))
+    counted = _stored(count_grams(docs, "__text", "__y", "__fold"), "counts")
+    held = keep(labelled_sample(documents, labels, label, sample, calibration, id_col, text_col)
+                .withColumn("fold", fold("doc_id", CROSS)))
+    folds = sorted(r["fold"] for r in held.select("fold").distinct().collect())
+    part = F.explode(F.array(*[F.lit(f) for f in [*folds, _ALL]])).alias("part")
+    grams = (counted.select("*", part).where("part != fold").groupBy("part", "code")
+             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    by_key = _stored(keyed(*evidence(_stored(grams, "parts"), parts=[*folds, _ALL]), ("part",)), "evidence")
+
+    def of(p: int) -> DataFrame:
+        return by_key.where(F.col("part") == p).select("key", "v")
+
     share = known.where(learn).agg(F.avg("__y")).first()[0]
-    got = statistics(chunks(held, "text", {"y": "y"}), by_key, ["y"]).toPandas()
+    got = held.select("y").limit(0).withColumn("x", F.array(F.lit(0.0))).toPandas()
+    for f in folds:
+        some = chunks(held.where(F.col("fold") == f), "text", {"y": "y"})
+        got = pd.concat([got, statistics(some, of(f), ["y"]).toPandas()])
     x = np.array(got["x"].tolist(), float).reshape(len(got), N_STATS)
     y = got["y"].to_numpy(int)
     order = np.lexsort([*x.T, y])
-    return Toxicity(by_key, calibrate(x[order], y[order], float(share or 0.0)))
+    return Toxicity(of(_ALL), calibrate(x[order], y[order], float(share or 0.0)))
 
 
 def score(documents: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: str = "text",

@@ -2,11 +2,13 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import kneser_ney
+from tessera.llm.queries import QUERIES
 from tests.llm.test_classifiers import slow_codes
 
 
@@ -54,3 +56,28 @@ def test_chunks_do_not_change_scores(spark, monkeypatch):
     want = scores(docs.coalesce(1))
     monkeypatch.setattr(kneser_ney, "CHUNK_WORDS", 9)
     assert scores(docs.repartition(3)) == want
+
+
+def test_every_learnable_fold_is_counted(spark, tmp_path):
+    """Toxic words that only documents of fold 1 have are known to the model."""
+    rng = random.Random(8)
+    plain = ["river", "stone", "market", "window", "letter", "garden", "summer", "bridge", "candle", "harbour"]
+    rows = []
+    for i in range(400):
+        f, y = zlib.crc32(str(i).encode()) % 5, i % 2
+        bad = "zzqxav" if f in (0, 1) else "wkkopu"
+        rows.append((i, " ".join(rng.choices(plain, k=12) + [bad] * (6 * y)), y))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    df.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    df.select("doc_id", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in QUERIES["op7_kneser_ney_toxicity"](spark, str(tmp_path)).collect()}
+    held = [(got[i].predicted, y) for i, _, y in rows if got[i].held_out]
+    assert len(held) > 40 and all(p == y for p, y in held)
+
+
+def test_counts_add_up_over_folds(spark):
+    docs = [("the idiot cat", 1, 3), ("the cat", 0, 3), ("the cat", 0, 1), ("an idiot", 1, 2), (None, 0, 4)]
+    df = spark.createDataFrame(docs, "text string, y int, f int").repartition(3)
+    whole = {(r.code, r.n0, r.n1) for r in kneser_ney.count_grams(df, "text", "y").collect()}
+    parts = kneser_ney.count_grams(df, "text", "y", "f").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    assert {(r.code, r.n0, r.n1) for r in parts.collect()} == whole
