@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (bfd_pack, bradley_terry, chat_repair, divergence, kk_pack, kneser_ney, license_scan,
-                         line_crf, mixing, simhash, string_kernel, vamana)
+from tessera.llm import (bfd_pack, bradley_terry, chat_repair, collocations, divergence, kk_pack, kneser_ney,
+                         license_scan, line_crf, mixing, simhash, string_kernel, vamana)
 from tessera.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op11_source_divergence"] = divergence.oracle_sql()
 
 
+@_query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_phrase_collocations"] = collocations.oracle_sql()
+
+
 @_query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
