@@ -5,18 +5,23 @@ seed and the row's key.  Re-running a task after an executor loss therefore
 reproduces the same draws, results do not depend on partitioning, and the
 same formula in SQL reproduces every draw.
 
-* X1 ``sample_n``: exactly n rows, uniformly (top-n by u).
+* X1 ``sample_n``: exactly n rows, uniformly (the n smallest u; for large n
+  the n-th is found by counts, so no task gathers the sample).
 * X4 ``weighted_without_replacement``: Efraimidis-Spirakis keys
   ``-ln(u)/w``; the k smallest per group have the distribution of k
   successive weighted draws without replacement.  Zero weights never drawn.
 * X2 ``weighted_pick``: X4 with k=1 as a grouped ``min_by`` (partial
   aggregate); a group whose total weight is <= 0 picks uniformly.
 * X3 ``weighted_with_replacement``: integer cumulative weights
-  ``[lo, hi)`` and integer rolls in ``[0, total)`` matched by an equi-join
-  on coarse value buckets plus a range check.  The cumulative sums are
-  two-level (per hash block, then block offsets) and the buckets spread a
-  hot group's draws and items across partitions: no window ever holds a
-  whole group, and no draws × items product is formed.
+  ``[lo, hi)`` and integer rolls in ``[0, total)``.  The intervals of a group
+  are array rows of some hundred items (``interval_index``): a roll meets the
+  array of its value bucket by an equi-join and finds its item by bisection.
+  A group with many rolls has its arrays copied, one copy per so many rolls,
+  so a sheet of five items serves any number of draws without a hot task.
+* X4 for many requests, ``weighted_without_replacement_draws``: candidates
+  with replacement, first distinct ones kept; a request that is still short
+  rolls on over what is left of its group's weight, the intervals of the items
+  it has taken being skipped.  Rows are proportional to picks throughout.
 * X5 ``open_packs``: the multi-stage draw as one plan over a table of
   requests.
 """
@@ -27,19 +32,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.random import composite_key, hash_bucket, hash_uniform
-from tessera.session import checkpoint_dir
+from tessera.functions.random import composite_key, hash_bits, hash_bucket, hash_uniform
+from tessera.session import scratch_path
 
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def sample_n(df: DataFrame, n: int, key, seed: str = "sample") -> DataFrame:   # X1
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, f"sampling-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sample_n(df: DataFrame, n: int, key, seed: str = "sample", gathered: int = 10_000) -> DataFrame:   # X1
+    """The ``n`` rows of the smallest hash, ties by key.
+
+    Up to ``gathered`` rows are a top-n.  For more, the n-th smallest hash is
+    found by counting ranges of hashes, refined within the range that holds it
+    until that has at most ``gathered`` rows (one pass over the keys for
+    each factor of 4096; ``ceil(log4096(rows / gathered))`` in all); all ranges
+    below are kept by a filter and only the last one is sorted.
+    """
     keys = _cols(key)
-    return (df.withColumn("_u", hash_uniform(seed, keys))
-            .orderBy(F.col("_u").asc(), *[F.col(k).asc_nulls_last() for k in keys])
-            .limit(int(n)).drop("_u"))
+    n = int(n)
+    order = [F.col("_u").asc(), *[F.col(k).asc_nulls_last() for k in keys]]
+    d = df.withColumn("_u", hash_bits(seed, keys))
+    if n <= gathered:
+        return d.orderBy(*order).limit(n).drop("_u")
+    low, shift, rest, size = 0, 52, n, None        # the range [low, low + 2^shift) holds the n-th
+    while shift and (size is None or size > gathered):
+        shift = max(shift - 12, 0)
+        inside = (F.col("_u") >= low) & (F.col("_u") < low + (1 << min(shift + 12, 52)))
+        part = F.shiftright(F.col("_u") - low, shift).alias("part")
+        counts = sorted((r["part"], r["n"]) for r in
+                        d.where(inside).groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect())
+        for at, size in counts:
+            if rest <= size:
+                break
+            rest -= size
+        else:
+            return df                              # no more than n rows
+        low += at << shift
+    edge = d.where((F.col("_u") >= low) & (F.col("_u") < low + (1 << shift))).orderBy(*order).limit(rest)
+    return d.where(F.col("_u") < low).unionByName(edge).drop("_u")
 
 
 def _weight(weight) -> Column:
@@ -113,41 +151,11 @@ def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick"
     return sel if out is None else sel.withColumnRenamed(item, out)
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _conf_bytes(v: str) -> int:
-    import re
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(v))
-    return int(m.group(1)) * _UNITS.get(m.group(2).lower(), 1) if m else -1
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df``'s optimizer size estimate (no job; an over-estimate for
-    aggregates and filters) is within the broadcast threshold."""
-    thr = _conf_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    if thr < 0:
-        return False
-    try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - no estimate: do not assume small
-        return False
-    return est <= thr
-
-
 def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int = 32,
                 how: str = "inner") -> DataFrame:
-    """Equi-join that stays spread when one key of ``big`` is hot.
-
-    If ``small`` fits the broadcast threshold (checked on its size
-    estimate), a plain join is planned as a broadcast: ``big`` is not
-    shuffled at all.  Otherwise ``big`` rows get a salt from a hash of
-    ``salt_by`` and ``small`` rows are replicated once per salt, so a hot
-    key's rows are spread over ``salts`` tasks of a shuffled join.
-    """
-    if fits_broadcast(small):
-        return big.join(small, list(on), how)
+    """Equi-join that stays spread when one key of ``big`` is hot: ``big`` rows
+    get a salt from a hash of ``salt_by`` and ``small`` rows are replicated once
+    per salt, so a hot key's rows are spread over ``salts`` tasks."""
     cols = salt_by if isinstance(salt_by, (list, tuple)) else [salt_by]
     cols = [c if isinstance(c, Column) else F.col(f"`{c}`") for c in cols]
     # A cheap deterministic spread (re-executed tasks salt identically).
@@ -172,15 +180,14 @@ def _interval_tables(items: DataFrame, g: list, item: str, weight, blocks: int):
             .withColumn("_total", F.sum("_bsum").over(wg))
             .withColumn("_n", F.sum("_bcnt").over(wg))
             .select(*g, "_blk", F.coalesce("_boff", F.lit(0)).alias("_boff"), "_total", "_n"))
-    wi = Window.partitionBy(*g, "_blk").orderBy(F.col(item)).rowsBetween(Window.unboundedPreceding, 0)
-    run = d.withColumn("_run", F.sum("_w").over(wi))
+    wi = Window.partitionBy(*g, "_blk").orderBy(F.col(item), "_w").rowsBetween(Window.unboundedPreceding, 0)
+    run = d.withColumn("_run", F.sum("_w").over(wi)).withColumn("_nth", F.count(F.lit(1)).over(wi))
     iv = run.join(boff, g + ["_blk"], "inner").select(
         *g, F.col(item), F.col("_w").alias("weight"),
         (F.col("_boff") + F.col("_run") - F.col("_w")).alias("lo"),
         (F.col("_boff") + F.col("_run")).alias("hi"),
-        F.col("_total").alias("total"), F.col("_n").alias("n"))
-    stats = boff.select(*g, "_total", "_n").dropDuplicates(g)
-    return iv, stats
+        F.col("_total").alias("total"), F.col("_n").alias("n"), "_blk", "_nth")
+    return iv
 
 
 def cumulative_intervals(items: DataFrame, group, item: str, weight,
@@ -192,12 +199,99 @@ def cumulative_intervals(items: DataFrame, group, item: str, weight,
     Block sums are a partial aggregate; the only windows run over <= blocks
     rows per group (block offsets) and over one block's items (running sums).
     """
-    return _interval_tables(items, _cols(group), item, weight, blocks)[0]
+    return _interval_tables(items, _cols(group), item, weight, blocks).drop("_blk", "_nth")
 
 
-def _width(total: Column, n: Column) -> Column:
-    # Bucket width so that a group's value range splits into ~n buckets.
-    return F.greatest(F.lit(1), F.ceil(total / n)).cast("bigint")
+#: Items of an array row at least, and rolls that share one copy of it.
+PIECE, ROLLS = 256, 10_000
+
+
+def interval_index(items: DataFrame, group, item: str, weight, blocks: int = 1024,
+                   piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
+    """(index, tops): the intervals of ``cumulative_intervals`` as array rows.
+
+    An index row holds the items of one range of its group: ``_lo`` where the
+    range begins, ``_weight``, ``_ends`` (the items' hi) and ``_items`` (structs
+    of item, lo and w), in order.  It has about ``piece`` items, or the root of
+    the group's number of items if that is more.  ``tops`` has one row per
+    group: ``_total`` and the ``_starts`` of its ranges, no more of them than
+    the larger of 2 * ``blocks`` and that root.
+    """
+    g = _cols(group)
+    iv = _interval_tables(items, g, item, weight, blocks)
+    size = F.greatest(F.lit(piece), F.ceil(F.sqrt("n"))).cast("bigint")
+    # Whole hash blocks share a row where they are small; else a block has several.
+    together = F.floor(F.lit(blocks) * size / F.col("n")).cast("bigint")
+    iv = (iv.withColumn("_first", F.floor(F.col("_blk") / F.greatest(F.lit(1), together)))
+          .withColumn("_part", F.when(together > 1, 0).otherwise(F.floor((F.col("_nth") - 1) / size))))
+    row = F.struct("hi", "lo", F.col("weight").alias("w"), F.col(item).alias("item"))
+    index = (iv.groupBy(*g, "_first", "_part")
+             .agg(F.sort_array(F.collect_list(row)).alias("_a"), F.max("total").alias("_total"))
+             .select(*g, "_total", F.col("_a")[0]["lo"].alias("_lo"), F.col("_a.hi").alias("_ends"),
+                     (F.element_at("_a", -1)["hi"] - F.col("_a")[0]["lo"]).alias("_weight"),
+                     F.transform("_a", lambda x: F.struct(x["item"].alias("item"), x["lo"].alias("lo"),
+                                                          x["w"].alias("w"))).alias("_items")))
+    tops = index.groupBy(*g).agg(F.max("_total").alias("_total"), F.sort_array(F.collect_list("_lo")).alias("_starts"))
+    return index.drop("_total"), tops
+
+
+def _upto(ascending: Column, value: Column) -> Column:
+    """How many of ``ascending`` are no larger than ``value``, by bisection."""
+    steps = F.array(*[F.lit(1 << b) for b in range(24, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.try_element_at(ascending, at + step) <= value, at + step).otherwise(at))
+
+
+def _copies(weight: Column) -> Column:
+    """Copies of an index row that its group's rolls are dealt over: by its
+    share of the weight, or of the rows if that is more (rolls that skip heavy
+    items fall on light ones)."""
+    share = F.greatest(weight / F.col("_total"), F.lit(1.0) / F.col("_rows"))
+    return F.greatest(F.lit(1), F.ceil(F.col("_load") * share / ROLLS)).cast("bigint")
+
+
+def _find(requests: DataFrame, index: DataFrame, tops: DataFrame, g: list, rk: list, k: str, seed: str,
+          draw_col: str, taken: bool = False) -> DataFrame:
+    """One row per roll of each request (``k`` names how many): the columns of
+    ``requests``, ``draw_col`` from 0, ``_total`` of the group and ``_got``, the
+    struct of item, lo and w that it hits.  Groups without weight drop out.
+
+    With ``taken`` a request rolls over the weight that its array ``_taken``
+    leaves.  Every roll meets one index row; a row that many rolls hit has as
+    many copies as it needs.
+    """
+    load = requests.groupBy(*g).agg(F.sum(k).alias("_load"))
+    per_group = tops.where("_total > 0").join(load, g).withColumn("_rows", F.size("_starts"))
+    # Many requests may ask one hot group: its row is salted.
+    asked = salted_join(requests, per_group, g, rk)
+    below = F.col("_total") - _weight_of("_taken") if taken else F.col("_total")
+    starts = F.col("_starts")
+
+    def roll(d: Column) -> Column:
+        r = F.floor(hash_uniform(seed, [*rk, d]) * below).cast("bigint")
+        r = _skipping(r, F.col("_taken")) if taken else r
+        return F.struct(d.alias("d"), r.alias("roll"), _upto(starts, r).alias("at"))
+
+    def place(x: Column) -> Column:
+        lo = F.element_at(starts, x["at"])
+        weight = F.coalesce(F.try_element_at(starts, x["at"] + 1), F.col("_total")) - lo
+        copy = F.pmod(F.xxhash64(*rk, x["d"]), _copies(weight))
+        return F.struct(x["d"].alias("d"), x["roll"].alias("roll"), lo.alias("lo"), copy.alias("copy"))
+
+    rolls = F.transform(F.transform(F.sequence(F.lit(0), (F.col(k) - 1).cast("int")), roll), place)
+    dealt = (asked.select(*requests.columns, "_total", F.explode(rolls).alias("_x"))
+             .select(*requests.columns, "_total", F.col("_x.d").alias(draw_col), F.col("_x.roll").alias("_roll"),
+                     F.col("_x.lo").alias("_lo"), F.col("_x.copy").alias("_copy")))
+    copied = (index.join(per_group.drop("_starts"), g)
+              .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), _copies(F.col("_weight")) - 1)))
+              .select(*g, "_lo", "_copy", "_ends", "_items"))
+    return (dealt.join(copied, [*g, "_lo", "_copy"])
+            .withColumn("_got", F.element_at("_items", _upto(F.col("_ends"), F.col("_roll")) + 1))
+            .drop("_lo", "_copy", "_roll", "_ends", "_items"))
+
+
+def _weight_of(taken: str) -> Column:
+    return F.aggregate(taken, F.lit(0).cast("bigint"), lambda a, t: a + t["w"])
 
 
 def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item: str, weight,
@@ -214,59 +308,80 @@ def weighted_with_replacement(items: DataFrame, requests: DataFrame, group, item
     rk = _cols(request_key)
     keys = list(dict.fromkeys(g + rk))
     carry = [c for c in carry if c not in keys]
-    iv, stats = _interval_tables(items, g, item, weight, blocks)
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
-    req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_kk"))
-    # Many requests may target one hot group: salt the lookup of its totals.
-    req = salted_join(req, stats, g, rk).where((F.col("_total") > 0) & (F.col("_kk") > 0))
-    draws = (req.select(*[F.col(c) for c in keys + carry], "_total",
-                        _width(F.col("_total"), F.col("_n")).alias("_width"),
-                        F.explode(F.sequence(F.lit(0), F.col("_kk") - 1)).alias(draw_col))
-             .withColumn("_roll", F.floor(hash_uniform(seed, rk + [draw_col]) * F.col("_total")).cast("bigint"))
-             .withColumn("_bkt", F.floor(F.col("_roll") / F.col("_width")).cast("bigint")))
-    width = _width(F.col("total"), F.col("n"))
-    spans = iv.select(*g, item, "lo", "hi",
-                      F.explode(F.sequence(F.floor(F.col("lo") / width).cast("bigint"),
-                                           F.floor((F.col("hi") - 1) / width).cast("bigint"))).alias("_bkt"))
-    a = draws.alias("a")
-    b = spans.alias("b")
-    cond = [F.col(f"a.`{c}`") == F.col(f"b.`{c}`") for c in g] + [
-        F.col("a._bkt") == F.col("b._bkt"),
-        F.col("a._roll") >= F.col("b.lo"), F.col("a._roll") < F.col("b.hi")]
-    out = a.join(b, cond, "inner")
-    return out.select(*[F.col(f"a.`{c}`") for c in keys + carry], F.col(f"a.{draw_col}"),
-                      F.col(f"b.`{item}`"))
-
-
-def _complete_without_replacement(cand: DataFrame, items: DataFrame, g, rk, item: str, weight,
-                                  seed: str, draw_col: str, carry=()) -> DataFrame:
-    """Phase 2 of the two-phase draw (see below).  ``cand`` holds candidate
-    draws ``(keys…, _k, carry…, _d, item)`` made with replacement; ``_k`` is
-    the request's pick count."""
+    req = requests.select(*[F.col(c) for c in keys + carry], kcol.cast("int").alias("_kk")).where("_kk > 0")
+    index, tops = interval_index(items, g, item, weight, blocks)
+    drawn = _find(req, index, tops, g, rk, "_kk", seed, draw_col)
+    return drawn.select(*[F.col(c) for c in keys + carry], draw_col, F.col("_got.item").alias(item))
+
+
+def _first_distinct(got: Column, k: Column, but: Column | None = None) -> Column:
+    """The first ``k`` structs of distinct items, in order."""
+    def add(out: Column, x: Column) -> Column:
+        new = ~F.exists(out, lambda y: y["item"] == x["item"])
+        return F.when((F.size(out) < k) & new, F.concat(out, F.array(x))).otherwise(out)
+
+    return F.aggregate(got, F.filter(got, lambda x: F.lit(False)), add)
+
+
+def _in_order(draw_col: str) -> Column:
+    """A request's finds in the order of its rolls."""
+    by_draw = F.sort_array(F.collect_list(F.struct(F.col(draw_col).alias("d"), F.col("_got").alias("x"))))
+    return F.transform(by_draw, lambda e: e["x"])
+
+
+def _skipping(roll: Column, taken: Column) -> Column:
+    """A roll over what is left, as a roll over everything: each taken interval
+    (in order of lo) that begins at or before it moves it on by its weight."""
+    return F.aggregate(F.sort_array(F.transform(taken, lambda t: F.struct(t["lo"].alias("lo"), t["w"].alias("w")))),
+                       roll, lambda r, t: F.when(t["lo"] <= r, r + t["w"]).otherwise(r))
+
+
+def _drawn_without_replacement(requests: DataFrame, index: DataFrame, tops: DataFrame, g: list, rk: list,
+                               carry: list, seed: str, again: str, oversample: int, direct: Column,
+                               draw_col: str) -> DataFrame:
+    """Requests (``_k`` picks each) with their picks, one row each: (keys, carry,
+    ``draw_col`` from 0, ``_item``).
+
+    All roll ``oversample * _k`` times and keep the first ``_k`` distinct items
+    (those of ``direct`` roll ``_k`` times and keep all).  The rest goes in
+    rounds: requests still short roll twice for each missing pick over the
+    weight they have not taken.  A round adds one item to each of them at
+    least, and rounds end when none is short; each is written to the shared
+    scratch folder.
+    """
     keys = list(dict.fromkeys(g + rk))
     carry = [c for c in carry if c not in keys]
-    first = cand.groupBy(*keys, "_k", *carry, item).agg(F.min("_d").alias("_first"))
-    wk = Window.partitionBy(*keys)
-    got = (first.withColumn("_r", F.row_number().over(wk.orderBy("_first")))
-           .withColumn("_n", F.count(F.lit(1)).over(wk)))
-    phase1 = got.where(F.col("_r") <= F.col("_k")).select(
-        *keys, *carry, (F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
-    # Requests short of k distinct items (a group with positive total always
-    # has at least one candidate, so every request with draws appears here).
-    short = got.where((F.col("_r") == 1) & (F.col("_n") < F.col("_k"))).select(*keys, "_k", *carry, "_n")
-    # The pool joins short requests to their group's items; a hot group's
-    # items are spread over salts instead of meeting in one task.
-    pool = salted_join(items, short, g, item)
-    # Items already taken, for the (few) short requests only: narrowing
-    # `first` by a semi join keeps both sides of the anti join small.
-    taken = first.select(*keys, item).join(short.select(*keys), keys, "left_semi")
-    pool = pool.join(taken, keys + [item], "left_anti")
-    pool = (pool.withColumn("_key", es_key(f"{seed}|r", rk + [item], weight)).where(F.col("_key").isNotNull())
-            .withColumn("_need", F.col("_k") - F.col("_n")))
-    ranked = top_k_per_group(pool, keys, [F.col("_key").asc(), F.col(item).asc()], "_need", "_r",
-                             spread_by=item)
-    phase2 = ranked.select(*keys, *carry, (F.col("_n") + F.col("_r") - 1).cast("int").alias(draw_col), F.col(item))
-    return phase1.unionByName(phase2)
+    base = [*keys, "_k", *carry, "_direct"]
+    req = requests.withColumn("_direct", direct).select(*base, F.when(F.col("_direct"), F.col("_k")).otherwise(
+        F.col("_k") * int(oversample)).cast("int").alias("_kk"))
+    index, tops = _stored(index, "index"), _stored(tops, "tops")
+    state = _stored(
+        _find(req, index, tops, g, rk, "_kk", seed, "_d").groupBy(*base, "_total").agg(_in_order("_d").alias("_got"))
+        .withColumn("_new", F.when(F.col("_direct"), F.col("_got"))
+                    .otherwise(_first_distinct(F.col("_got"), F.col("_k"))))
+        .select(*base, "_total", "_new", F.col("_new").alias("_taken"), F.lit(0).alias("_before")), "draws-0")
+    out = [state]
+    while True:
+        missing = F.col("_k") - F.size("_taken")
+        short = (state.where(~F.col("_direct") & (missing > 0) & (F.col("_total") > _weight_of("_taken")))
+                 .select(*base, "_taken", (missing * 2).alias("_kk")))
+        if short.isEmpty():
+            break
+        # A request's rows differ in nothing but the roll; NULL keys group too.
+        state = _stored(
+            _find(short, index, tops, g, rk, "_kk", f"{again}|{len(out)}", "_d", taken=True)
+            .groupBy(*base, "_total", "_taken").agg(_in_order("_d").alias("_got"))
+            .withColumn("_new", _first_distinct(F.col("_got"), F.col("_k") - F.size("_taken")))
+            .select(*base, "_total", "_new", F.concat("_taken", "_new").alias("_taken"),
+                    F.size("_taken").alias("_before")), f"draws-{len(out)}")
+        out.append(state)
+    picks = None
+    for s in out:
+        part = s.select(*keys, *carry, "_before", F.posexplode("_new").alias("_i", "_x"))
+        picks = part if picks is None else picks.unionByName(part)
+    return picks.select(*keys, *carry, (F.col("_before") + F.col("_i")).cast("int").alias(draw_col),
+                        F.col("_x.item").alias("_item"))
 
 
 def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, group, item: str,
@@ -276,15 +391,18 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
     """X4 for many requests against shared item groups (e.g. packs against
     sheets), with cost proportional to the picks rather than to the groups.
 
-    Exact two-phase draw:
     1. draw ``oversample * k`` candidates *with* replacement (X3) and keep the
        first ``k`` distinct items in draw order.  Dropping repeats from a
        with-replacement stream is exactly successive weighted sampling
        without replacement.
     2. requests still short of ``k`` (a dominant weight, or fewer items than
-       ``k``) continue from where they stopped: ES keys over their remaining
-       items only (sampling is Markov, so the continuation is exact).
+       ``k``) go on from where they stopped: rolls over their remaining weight,
+       the intervals of taken items skipped (sampling is Markov, so the
+       continuation is exact).  A request may be short because its group has no
+       more items; it ends then.
 
+    Rounds of step 2 run when this is called (see ``_drawn_without_replacement``).
+    A request's picks, at most ``k``, are one row in between.
     Output: group + request key columns, ``draw_col`` (0-based draw order)
     and ``item``.
     """
@@ -292,17 +410,16 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
     rk = _cols(request_key)
     keys = list(dict.fromkeys(g + rk))
     kcol = F.lit(int(k)) if isinstance(k, int) else F.coalesce(F.col(k), F.lit(1))
-    req = requests.select(*keys, kcol.cast("int").alias("_k")).where(F.col("_k") > 0) \
-        .withColumn("_cand", F.col("_k") * F.lit(int(oversample)))
-    cand = weighted_with_replacement(items, req, g, item, weight, "_cand", rk, seed=f"{seed}|c",
-                                     blocks=blocks, draw_col="_d", carry=["_k"])
-    return _complete_without_replacement(cand, items, g, rk, item, weight, seed, draw_col)
+    req = requests.select(*keys, kcol.cast("int").alias("_k")).where(F.col("_k") > 0)
+    index, tops = interval_index(items, g, item, weight, blocks)
+    return _drawn_without_replacement(req, index, tops, g, rk, [], f"{seed}|c", f"{seed}|r", oversample,
+                                      F.lit(False), draw_col).withColumnRenamed("_item", item)
 
 
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,
                sheets: DataFrame, sheet_cards: DataFrame, cards: DataFrame | None = None,
                seed: str = "pack", request_id: str = "request_id",
-               card_key: str = "uuid", materialize: bool = True) -> DataFrame:   # X5
+               card_key: str = "uuid") -> DataFrame:   # X5
     """Open one pack per request row ``(request_id, setCode, boosterName)``;
     requests may share an id, and equal rows open a pack each (``copy`` tells
     them apart, from 1).
@@ -310,9 +427,9 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     1. pick a template per request (X2, weighted by boosterWeight);
     2. its sheets with pick counts (NULL -> 1, 0 -> skipped);
     3. per (request, sheet): with-replacement draws (X3) when the sheet
-       allows duplicates or takes a single pick, else the exact two-phase
-       draw without replacement (candidates from the same X3 pass, then ES
-       for any shortfall);
+       allows duplicates or takes a single pick, else the exact draw without
+       replacement (candidates from the same X3 pass, then rounds over the
+       remaining weight for any shortfall);
     4. fetch card rows (J8): order by (sheetName, draw); uuids missing from
        ``cards`` are dropped, as a batch fetch drops misses.
 
@@ -321,8 +438,8 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     those whose template draws nothing (no contents, or only sheets without
     cards of positive weight), with ``status = 'empty'`` and their
     ``boosterIndex``.
-    With ``materialize`` (default) the candidate draws are checkpointed
-    eagerly to ``spark.checkpoint.dir`` (one job at call time).
+    The draws run when this is called and are written to
+    ``spark.checkpoint.dir``, so a lost executor replays no draw.
     Output: request_id, setCode, boosterName, copy, boosterIndex, sheetName, draw,
     cardUuid, isFoil (the sheet's foil flag), status (+ card columns when
     ``cards`` is given).
@@ -357,34 +474,16 @@ def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFr
     grp = keys + ["sheetName"]
     rk = ["_rid", "sheetName"]
     carry = [*ident, "boosterIndex", "sheetIsFoil"]
-    # One with-replacement candidate draw serves both kinds of sheet: sheets
-    # that allow duplicates use their first `picks` draws as they are; the
-    # others draw 2 x picks candidates and keep the first distinct ones.
-    # A single pick needs no dedupe either: one weighted draw with
-    # replacement is one draw without replacement (same first roll, so the
-    # result is identical to the two-phase path).
-    per_sheet = per_sheet.withColumn("_k", F.col("picks")) \
-        .withColumn("_direct", F.col("allow_dup") | (F.col("picks") <= 1)) \
-        .withColumn("_cand", F.when(F.col("_direct"), F.col("picks")).otherwise(F.col("picks") * 2))
-    cand = weighted_with_replacement(sc, per_sheet, grp, "cardUuid", "cardWeight", "_cand", rk,
-                                     seed=f"{seed}|draw", draw_col="_d",
-                                     carry=["_direct", *carry, "_k"])
-    if materialize:
-        # Two branches (sheets with and without duplicates) consume the
-        # candidates, each with different columns pruned, so exchange reuse
-        # cannot share them: write them once to the shared checkpoint folder
-        # (this also cuts the lineage a lost executor would replay).
-        checkpoint_dir(cand.sparkSession)
-        cand = cand.checkpoint(eager=True)
-    dup = cand.where(F.col("_direct")).select(*carry, *grp, F.col("_d").alias("draw"), "cardUuid")
-    nodup = _complete_without_replacement(cand.where(~F.col("_direct")).drop("_direct"), sc, grp, rk,
-                                          "cardUuid", "cardWeight", f"{seed}|nodup", "draw",
-                                          carry=carry)
-    out = dup.unionByName(nodup.select(*carry, *grp, "draw", "cardUuid")) \
-        .select(request_id, *keys, "copy", "boosterIndex", "sheetName", "draw", "cardUuid",
-                F.coalesce("sheetIsFoil", F.lit(False)).alias("isFoil"), F.lit("ok").alias("status"))
-    # Whatever has a candidate has a draw.
-    empty = picked.join(cand.select("_rid").distinct(), "_rid", "left_anti").withColumn("status", F.lit("empty"))
+    # One draw serves both kinds of sheet.  A single pick needs no dedupe: one
+    # weighted draw with replacement is one draw without replacement.
+    per_sheet = per_sheet.withColumnRenamed("picks", "_k")
+    index, tops = interval_index(sc, grp, "cardUuid", "cardWeight")
+    drawn = _drawn_without_replacement(per_sheet, index, tops, grp, rk, carry, f"{seed}|draw", f"{seed}|nodup", 2,
+                                       F.col("allow_dup") | (F.col("_k") <= 1), "draw")
+    out = drawn.select(request_id, *keys, "copy", "boosterIndex", "sheetName", "draw",
+                       F.col("_item").alias("cardUuid"),
+                       F.coalesce("sheetIsFoil", F.lit(False)).alias("isFoil"), F.lit("ok").alias("status"))
+    empty = picked.join(drawn.select("_rid").distinct(), "_rid", "left_anti").withColumn("status", F.lit("empty"))
     missing = missing.withColumn("boosterIndex", F.lit(None).cast("bigint")).withColumn("status", F.lit("no_template"))
     cols = [request_id, *keys, "copy", "boosterIndex", "status"]
     without = empty.select(*cols).unionByName(missing.select(*cols))

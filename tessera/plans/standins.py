@@ -908,6 +908,76 @@ def _u(seed, key_sql):
     return _u_sql(seed, key_sql)
 
 
+# Requests that one dominant weight leaves short: rounds over what is left.
+_SHORT_ROUNDS = 5
+
+
+def _short_sql() -> str:
+    """Round 0 rolls 2k times over everything; round i twice per missing pick
+    over the weight not taken, a roll moving on by each taken interval that
+    begins at or before it."""
+    ctes = ["""items AS MATERIALIZED (SELECT p_brand, p_partkey,
+  CASE WHEN p_partkey % 97 = 0 THEN 1000000 ELSE p_size END::BIGINT AS w,
+  CAST(floor(""" + _u("blk", "CAST(p_partkey AS VARCHAR)") + """ * 1024) AS BIGINT) AS blk FROM part WHERE p_size > 0)""",
+            """iv AS MATERIALIZED (SELECT p_brand, p_partkey, w,
+  sum(w) OVER (PARTITION BY p_brand ORDER BY blk, p_partkey ROWS UNBOUNDED PRECEDING) - w AS lo,
+  sum(w) OVER (PARTITION BY p_brand) AS total FROM items)""",
+            """req AS MATERIALIZED (SELECT c_custkey, p_brand, 3 + c_custkey % 4 AS k,
+  (SELECT sum(w) FROM items i WHERE i.p_brand = part.p_brand) AS total
+  FROM customer JOIN part ON p_partkey = 1 + c_custkey % 200)""",
+            """taken0 AS (SELECT 0 AS c_custkey, 0 AS p_partkey, 0::HUGEINT AS lo, 0::BIGINT AS w, 0 AS draw WHERE false)"""]
+    for i in range(_SHORT_ROUNDS + 1):
+        seed, per = (f"wq|r|{i}", "2 * (k - n)") if i else ("wq|c", "2 * k")
+        u = _u(seed, "CAST(c_custkey AS VARCHAR) || '|' || CAST(d AS VARCHAR)")
+        ctes += [f"""short{i} AS (SELECT r.*, coalesce(t.n, 0) AS n, r.total - coalesce(t.w, 0) AS left_w FROM req r
+  LEFT JOIN (SELECT c_custkey, count(*) AS n, sum(w) AS w FROM taken{i} GROUP BY c_custkey) t USING (c_custkey)
+  WHERE coalesce(t.n, 0) < k AND r.total > coalesce(t.w, 0))""",
+                 f"""roll{i} AS MATERIALIZED (SELECT *, CAST(floor({u} * left_w) AS BIGINT) AS roll FROM (
+  SELECT *, unnest(generate_series(0, {per} - 1)) AS d FROM short{i}))""",
+                 f"""gap{i} AS (SELECT c_custkey, w, lo - coalesce(sum(w) OVER (PARTITION BY c_custkey ORDER BY lo
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM taken{i})""",
+                 f"""moved{i} AS (SELECT r.c_custkey, r.p_brand, r.k, r.n, r.d, r.roll + coalesce(sum(g.w), 0) AS roll
+  FROM roll{i} r LEFT JOIN gap{i} g ON g.c_custkey = r.c_custkey AND g.at <= r.roll
+  GROUP BY r.c_custkey, r.p_brand, r.k, r.n, r.d, r.roll)""",
+                 f"""taken{i + 1} AS MATERIALIZED (SELECT * FROM taken{i} UNION ALL
+  SELECT c_custkey, p_partkey, lo, w, n + place - 1 FROM (
+    SELECT m.c_custkey, v.p_partkey, v.lo, v.w, any_value(m.n) AS n, any_value(m.k) AS k,
+           row_number() OVER (PARTITION BY m.c_custkey ORDER BY min(m.d)) AS place
+    FROM moved{i} m JOIN iv v ON v.p_brand = m.p_brand AND m.roll >= v.lo AND m.roll < v.lo + v.w
+    GROUP BY m.c_custkey, v.p_partkey, v.lo, v.w) WHERE place <= k - n)"""]
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT c_custkey, p_brand, CAST(draw AS INTEGER) AS draw, p_partkey
+FROM taken{_SHORT_ROUNDS + 1} JOIN req USING (c_custkey)"""
+
+
+@query("weighted_without_repl_requests", _short_sql())
+def weighted_without_repl_requests(spark, sf):
+    """Every customer draws 3 to 6 parts of a brand in which a few weights are
+    so large that most requests are left short by their first rolls."""
+    part = _t(spark, sf, "part").select("p_brand", "p_partkey", "p_size")
+    items = part.select("p_brand", "p_partkey",
+                        F.when(F.col("p_partkey") % 97 == 0, 1_000_000).otherwise(F.col("p_size")).alias("w"))
+    req = (_t(spark, sf, "customer").select("c_custkey", (1 + F.col("c_custkey") % 200).alias("p_partkey"),
+                                            (3 + F.col("c_custkey") % 4).alias("k"))
+           .join(part.select("p_partkey", "p_brand"), "p_partkey"))
+    return X.weighted_without_replacement_draws(items, req, "p_brand", "p_partkey", "w", "k", "c_custkey",
+                                                seed="wq").select("c_custkey", "p_brand", "draw", "p_partkey")
+
+
+@query("sample_n_large", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
+  SELECT *, row_number() OVER (ORDER BY u, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS r,
+         count(*) OVER () AS n
+  FROM (SELECT *, {_u_sql('large', "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)")} AS u
+        FROM lineitem) x) t
+WHERE r <= n * 3 // 5
+""")
+def sample_n_large(spark, sf):
+    """Three fifths of all lines: far more than one task should sort."""
+    lines = _t(spark, sf, "lineitem").select(*LINE_KEY)
+    return X.sample_n(lines, lines.count() * 3 // 5, LINE_KEY, seed="large")
+
+
 _PACK_SQL = f"""
 WITH sheet_cards AS (
   SELECT upper(p_type) AS setCode, 'draft' AS boosterName, p_brand AS sheetName,
@@ -991,19 +1061,17 @@ got AS (
   FROM firsts),
 phase1 AS (SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, CAST(r - 1 AS INTEGER) AS draw,
                   cardUuid FROM got WHERE r <= picks),
-short AS (SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, picks, n FROM got
-          WHERE r = 1 AND n < picks),
-pool AS (
-  SELECT s.*, i.cardUuid,
-    CASE WHEN i.w > 0 THEN -ln({_u('pack|nodup|r', "s.rid || '|' || s.sheetName || '|' || i.cardUuid")})
-         / i.w END AS k
-  FROM short s JOIN items i USING (setCode, boosterName, sheetName)
-  WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.rid = s.rid AND f.sheetName = s.sheetName AND f.cardUuid = i.cardUuid)),
+short AS (
+  SELECT g.*, i.lo AS taken_lo, i.w AS taken_w, i.total - i.w AS left_w FROM got g JOIN iv i
+    USING (setCode, boosterName, sheetName, cardUuid) WHERE g.r = 1 AND g.n < g.picks AND i.total > i.w),
+again AS (
+  SELECT *, CAST(floor({_u('pack|nodup|1', "rid || '|' || sheetName || '|0'")} * left_w) AS BIGINT) AS roll FROM short),
 phase2 AS (
-  SELECT rid, request_id, copy, setCode, boosterName, boosterIndex, sheetName, CAST(n + r2 - 1 AS INTEGER) AS draw, cardUuid
-  FROM (SELECT *, row_number() OVER (PARTITION BY rid, sheetName
-                                     ORDER BY k, cardUuid) AS r2 FROM pool WHERE k IS NOT NULL) x
-  WHERE r2 <= picks - n)
+  SELECT a.rid, a.request_id, a.copy, a.setCode, a.boosterName, a.boosterIndex, a.sheetName,
+         CAST(a.n AS INTEGER) AS draw, i.cardUuid
+  FROM (SELECT *, CASE WHEN roll >= taken_lo THEN roll + taken_w ELSE roll END AS over_all FROM again) a
+  JOIN iv i ON a.setCode = i.setCode AND a.boosterName = i.boosterName AND a.sheetName = i.sheetName
+   AND a.over_all >= i.lo AND a.over_all < i.hi)
 SELECT request_id, setCode, boosterName, copy, boosterIndex, sheetName, draw, cardUuid, false AS isFoil, 'ok' AS status
 FROM (SELECT * FROM dup UNION ALL SELECT * FROM phase1 UNION ALL SELECT * FROM phase2) a
 UNION ALL

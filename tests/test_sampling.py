@@ -138,15 +138,71 @@ def test_salted_join_equals_plain_join(spark):
     assert a == b
 
 
-def test_fits_broadcast_and_conf_parsing(spark):
-    assert X._conf_bytes("10485760b") == 10485760 and X._conf_bytes("10MB") == 10 << 20
-    assert X._conf_bytes("-1") == -1
-    assert X.fits_broadcast(spark.range(10))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert not X.fits_broadcast(spark.range(10))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def _large_and_small_groups(spark):
+    """Intervals of two groups, one of several array rows per hash block."""
+    items = spark.range(3000).select(F.when(F.col("id") < 5, "small").otherwise("large").alias("g"), "id",
+                                     (F.col("id") % 11 * F.when(F.col("id") == 2000, 10 ** 6).otherwise(1)).alias("w"))
+    return items, X.interval_index(items, "g", "id", "w", blocks=4, piece=50)
+
+
+def test_interval_index_covers_every_weight_once(spark):
+    items, (index, tops) = _large_and_small_groups(spark)
+    rows = index.collect()
+    want = {(r.g, r.id, r.w) for r in items.collect() if r.w > 0}
+    assert {(r.g, i.item, i.w) for r in rows for i in r._items} == want
+    for t in tops.collect():
+        mine = sorted((r for r in rows if r.g == t.g), key=lambda r: r._lo)
+        flat = [i for r in mine for i in r._items]
+        assert [r._lo for r in mine] == t._starts
+        assert [i.lo for i in flat] == [sum(j.w for j in flat[:n]) for n in range(len(flat))]
+        assert [e for r in mine for e in r._ends] == [i.lo + i.w for i in flat]
+        assert sum(r._weight for r in mine) == t._total
+        assert max(len(r._items) for r in mine) <= 55 and (t.g == "large") == (len(mine) > 1)
+
+
+def test_a_roll_meets_one_array_however_heavy_an_item(spark):
+    items, _ = _large_and_small_groups(spark)
+    req = spark.range(300).select(F.lit("large").alias("g"), F.col("id").alias("rid"))
+    out = X.weighted_without_replacement_draws(items, req, "g", "id", "w", 6, "rid", blocks=4).toPandas()
+    assert (out.groupby("rid").size() == 6).all() and not out.duplicated(["rid", "id"]).any()
+    assert (out[out.id == 2000].draw == 0).mean() > 0.9          # nearly all take the heavy item first
+    index, tops = X.interval_index(items, "g", "id", "w", blocks=4, piece=50)
+    short = req.select("g", "rid", F.array(F.struct(F.lit(2000).cast("long").alias("item"),
+                                                    F.lit(0).cast("long").alias("lo"),
+                                                    F.lit(1).cast("long").alias("w"))).alias("_taken"),
+                       F.lit(12).alias("_kk"))
+    assert X._find(short, index, tops, ["g"], ["rid"], "_kk", "s", "_d", taken=True).count() == 300 * 12
+
+
+def test_hot_small_sheet_is_dealt_over_copies(spark):
+    items = spark.createDataFrame([("s", k, w) for k, w in WEIGHTS.items()], "sheet string, item string, w long")
+    req = spark.range(20_000).select(F.lit("s").alias("sheet"), F.col("id").alias("rid"))
+    out = X.weighted_with_replacement(items, req, "sheet", "item", "w", 10, "rid")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_copy" in plan
+    freq = out.groupBy("item").count().toPandas().set_index("item")["count"] / 200_000
+    assert abs(freq["a"] - 0.5) < 0.01 and abs(freq["d"] - 0.1) < 0.01
+
+
+def test_without_replacement_after_skips_is_exact(spark):
+    """One roll for two picks: the second always comes from a round over what is left."""
+    n = 4000
+    items = spark.createDataFrame([("s", k, w) for k, w in WEIGHTS.items()], "sheet string, item string, w long")
+    req = spark.range(n).select(F.col("id").alias("g"), F.lit("s").alias("sheet"))
+    index, tops = X.interval_index(items, "sheet", "item", "w")
+    one = X._drawn_without_replacement(req.withColumn("_k", F.lit(2)), index, tops, ["sheet"], ["g"], [], "a", "b", 1,
+                                       F.lit(False), "draw").withColumnRenamed("_item", "item")
+    _check_pairs(one.orderBy("g", "draw").toPandas(), n)
+
+
+def test_sample_n_by_counts_is_the_top_n(spark):
+    df = spark.range(5000).select(F.col("id"), (F.col("id") % 700).alias("k")).repartition(7)
+    for n in (0, 1, 37, 2500, 4999, 5000, 9000):
+        want = sorted(r.id for r in X.sample_n(df, n, ["k", "id"]).collect())
+        assert sorted(r.id for r in X.sample_n(df, n, ["k", "id"], gathered=0 if n % 2 else 5).collect()) == want
+    tied = X.sample_n(df, 3000, "k", gathered=3)                 # equal hashes: ties by key
+    assert tied.count() == 3000 and tied.columns == ["id", "k"]
+    assert X.sample_n(df.limit(0), 5, "k", gathered=0).count() == 0
 
 
 def test_draws_independent_of_partitioning(spark):
