@@ -1,24 +1,30 @@
 """Phrase collocation mining with broadcast double-array tries.
 
 Texts are numbered words in blocks.  Level by level, the phrases of k words
-whose two phrases of k - 1 words may both be frequent are counted by a 64-bit
-hash, which can only count too many: those below the least count are no
-candidates, and blocks go on with the rest.  The candidates (Apriori-safe: all
-their parts are frequent) go into double-array tries of bounded size, broadcast
-one after the other; tasks advance the states of all positions of a block at
-once, word by word, and count the accepting states they reach.  These exact
-counts, summed over the blocks, are scored.
+whose two phrases of k - 1 words may both be frequent are counted by a hash of
+some fifty bits, which can only count too many: those below the least count are
+no candidates, and blocks go on with the rest.  The candidates (Apriori-safe:
+all their parts are frequent) go into double-array tries of bounded size,
+broadcast one after the other; tasks advance the states of all positions of a
+block at once, word by word, and count the accepting states they reach.  These
+exact counts, summed over the blocks, are scored.
+
+Of the blocks that hold a hash one names its phrase.  Should phrases share a
+hash, the exact counts of those named fall short of the hash's count; all
+blocks then name theirs, and one more trie counts them.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +35,10 @@ from tessera.session import scratch_path
 
 #: A task's blocks (one per language) end after so many words, or bytes of distinct ones.
 BLOCK_WORDS, BLOCK_BYTES = 3_000_000, 24_000_000
+#: Words of text for each parcel that a block's words and hashes are dealt into.
+PARCEL_WORDS = 2_000_000
+#: Bits of a hash beyond those of the number of all words.
+SPARE_BITS = 20
 #: A trie holds about so many phrases, or bytes of them; it is what is broadcast.
 TRIE_PHRASES, TRIE_BYTES = 200_000, 32_000_000
 LONGEST = 4
@@ -39,11 +49,33 @@ _FOLD = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c in b" \t" else c + 3
 
 
 def packed(x) -> bytes:
-    return pa.compress(np.ascontiguousarray(x, np.int32).tobytes(), codec="zstd", asbytes=True)
+    """Numbers below 2^31."""
+    return zstandard.compress(np.ascontiguousarray(x, np.int32).tobytes())
 
 
-def unpacked(b: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(b, 4 * n, codec="zstd", asbytes=True), np.int32) if n else np.empty(0, np.int32)
+def numbers(b: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(b), np.int32)
+
+
+def packed_lines(x: list[bytes]) -> bytes:
+    """Byte strings without line ends."""
+    return zstandard.compress(b"\n".join(x))
+
+
+def lines(b: bytes) -> list[bytes]:
+    raw = zstandard.decompress(b)
+    return raw.split(b"\n") if raw else []
+
+
+def packed_ascending(x: np.ndarray) -> bytes:
+    """Ascending numbers below 2^63 by their differences, byte for byte."""
+    steps = np.diff(x, prepend=0).astype("<i8")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def ascending(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(b), np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel())
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -52,12 +84,24 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: ``grams``: per position the number of the phrase in ``texts`` that starts
-#: there, -1 for none; neighbours that are no phrase are one -1.
-_BLOCK = [T.StructField("block", T.LongType()), T.StructField("lang", T.StringType()),
-          T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("n", T.LongType()),
-          T.StructField("grams", T.BinaryType())]
-BLOCK_SCHEMA = T.StructType(_BLOCK)
+def _fields(**types) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+def _table(rows: list[tuple], schema: T.StructType) -> pa.Table:
+    arrow = arrow_schema(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(arrow), arrow)],
+                    schema=arrow)
+
+
+_BINARY, _LONG, _TEXT = T.BinaryType(), T.LongType(), T.StringType()
+#: ``grams``: per position the number of the phrase that starts there, -1 for
+#: none; neighbours that are no phrase are one -1.
+BLOCK_SCHEMA = _fields(block=_LONG, lang=_TEXT, words=_BINARY, counts=_BINARY, n=_LONG, grams=_BINARY)
+#: ``states``: the numbers (in ``words``) of every phrase's words; ``named``:
+#: the phrases this block names, with their hash and its count.
+LEVEL_SCHEMA = _fields(block=_LONG, lang=_TEXT, words=_BINARY, grams=_BINARY, states=_BINARY, named=T.ArrayType(
+    _fields(phrase=_TEXT, key=_LONG, total=_LONG)))
 
 
 def _squeezed(grams: np.ndarray) -> np.ndarray:
@@ -66,12 +110,10 @@ def _squeezed(grams: np.ndarray) -> np.ndarray:
 
 
 def blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``df`` as blocks of one language each: all their words, and ``counts`` of
-    each; written once to the shared scratch folder."""
+    """``df`` as blocks of one language each, with ``counts`` of all their
+    ``words`` and ``n``, their sum; written once to the shared scratch folder."""
     src = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    schema = T.StructType([*_BLOCK, T.StructField("counts", T.ArrayType(T.LongType()))])
-    arrow = arrow_schema(schema)
     most, most_bytes = BLOCK_WORDS, BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,15 +124,14 @@ def blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal made, size, distinct
             for lang, (seen, words) in held.items():
-                seq = np.array(words, np.int64) - 1           # a break is -1
-                counts = np.bincount(seq[seq >= 0], minlength=len(seen) - 1)
-                seq = _squeezed(seq)
-                texts = pa.array(list(seen)[1:], pa.binary()).cast(pa.string())
-                cols = [pa.array([made]), pa.array([lang]),
-                        pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts),
-                        pa.array([len(seq)]), pa.array([packed(seq)], pa.binary()),
-                        pa.array([counts], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+                names = list(seen)[1:]
+                order = sorted(range(len(names)), key=names.__getitem__)
+                rank = np.full(len(names) + 1, -1, np.int64)         # a break is -1
+                rank[np.array(order, np.int64) + 1] = np.arange(len(names))
+                seq = rank[np.array(words, np.int64)]
+                counts = np.bincount(seq[seq >= 0], minlength=len(names))
+                yield from _table([(made, lang, packed_lines([names[i] for i in order]), packed(counts),
+                                    int(counts.sum()), packed(_squeezed(seq)))], BLOCK_SCHEMA).to_batches()
                 made += 1
             held.clear()
             size = distinct = 0
@@ -111,44 +152,62 @@ def blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return _stored(src.mapInArrow(run, schema), "blocks")
-
+    return _stored(src.mapInArrow(run, BLOCK_SCHEMA), "blocks")
 
-def _rows(t: pa.Table | pa.RecordBatch) -> Iterator[tuple]:
-    """(block, lang, texts, grams) of a table of blocks."""
-    for block, lang, texts, n, grams in zip(t["block"], t["lang"], t["texts"], t["n"], t["grams"]):
-        yield block.as_py(), lang.as_py(), texts.values, unpacked(grams.as_py(), n.as_py())
 
+def frequent_words(parts: DataFrame, least: int, parcels: int) -> DataFrame:
+    """Per block and parcel: ``at``, the numbers of its words that occur at
+    least ``least`` times in their language; ``named`` those words that no
+    earlier block has, with their count."""
+    dealt = _fields(parcel=T.IntegerType(), of=_LONG, lang=_TEXT, at=_BINARY, words=_BINARY, counts=_BINARY)
+    answer = _fields(of=_LONG, lang=_TEXT, at=_BINARY, named=T.ArrayType(_fields(text=_TEXT, f=_LONG)))
 
-def _block_table(block: int, lang: str, texts, grams: np.ndarray) -> pa.Table:
-    grams = _squeezed(grams)
-    return pa.table([pa.array(c, f.type) for c, f in zip(
-        [[block], [lang], [texts], [len(grams)], [packed(grams)]], arrow_schema(BLOCK_SCHEMA))],
-        schema=arrow_schema(BLOCK_SCHEMA))
-
-
-def frequent_words(parts: DataFrame, least: int) -> DataFrame:
-    """(block, i, lang, word, f): the words of every block that occur at least
-    ``least`` times in their language, ``f`` times in all."""
-    per_word = Window.partitionBy("lang", "word")
-    return _stored(
-        parts.select("block", "lang", F.posexplode(F.arrays_zip("texts", "counts")).alias("i", "w"))
-        .select("block", "i", "lang", F.col("w.texts").alias("word"), F.col("w.counts").alias("n"))
-        .withColumn("f", F.sum("n").over(per_word)).where(F.col("f") >= least).drop("n"), "words")
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                names, counts = np.array(lines(r["words"]), object), numbers(r["counts"])
+                which = np.fromiter((crc32(w) for w in names), np.int64, len(names)) % parcels
+                order = np.argsort(which, kind="stable")
+                rows = [(int(which[at[0]]), r["block"], r["lang"], packed(at), packed_lines(names[at].tolist()),
+                         packed(counts[at]))
+                        for at in np.split(order, np.flatnonzero(np.diff(which[order])) + 1) if len(at)]
+                yield from _table(rows, dealt).to_batches()
+
+    def choose(t: pa.Table) -> pa.Table:
+        rows = t.sort_by("of").to_pylist()
+        seen: dict[tuple, int] = {}
+        codes = [[seen.setdefault((r["lang"], w), len(seen)) for w in lines(r["words"])] for r in rows]
+        f = np.bincount(np.concatenate(codes).astype(np.int64), np.concatenate([numbers(r["counts"]) for r in rows]),
+                        len(seen)).astype(np.int64)
+        names, met, out = list(seen), 0, []
+        for r, code in zip(rows, codes):
+            code = np.array(code)
+            new = code[(code >= met) & (f[code] >= least)]           # numbered here for the first time
+            met = max(met, int(code.max()) + 1)
+            out.append((r["of"], r["lang"], packed(numbers(r["at"])[f[code] >= least]),
+                        [{"text": names[i][1].decode(), "f": int(f[i])} for i in new]))
+        return _table(out, answer)
+
+    return _stored(parts.select("block", "lang", "words", "counts").mapInArrow(deal, dealt)
+                   .groupBy("parcel").applyInArrow(choose, answer), "words")
 
 
 def only_frequent(parts: DataFrame, words: DataFrame) -> DataFrame:
     """The blocks with their frequent words only."""
     def work(block: pa.Table, found: pa.Table) -> pa.Table:
-        for number, lang, texts, grams in _rows(block):
-            at = np.sort(found["i"].to_numpy()) if len(found) else np.empty(0, np.int64)
-            new = np.full(len(texts) + 1, -1, np.int32)      # the last is for -1
+        out = []
+        for r in block.to_pylist():
+            at = np.sort(np.concatenate([np.empty(0, np.int32), *[numbers(b.as_py()) for b in found["at"]]]))
+            names = lines(r["words"])
+            new = np.full(len(names) + 1, -1, np.int32)              # the last is for -1
             new[at] = np.arange(len(at))
-            return _block_table(number, lang, texts.take(pa.array(at)).to_pylist(), new[grams])
-        return arrow_schema(BLOCK_SCHEMA).empty_table()
+            out.append((r["block"], r["lang"], packed_lines([names[i] for i in at]),
+                        packed(_squeezed(new[numbers(r["grams"])])), packed(np.arange(len(at))), []))
+        return _table(out, LEVEL_SCHEMA)
 
-    of = words.select(F.col("block").alias("of"), "i").groupBy("of")
-    return _stored(parts.drop("counts").groupBy("block").cogroup(of).applyInArrow(work, BLOCK_SCHEMA), "level-1")
+    of = words.select("of", "at").groupBy("of")
+    return _stored(parts.select("block", "lang", "words", "grams").groupBy("block").cogroup(of)
+                   .applyInArrow(work, LEVEL_SCHEMA), "level-1")
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -157,50 +216,116 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _pairs(lang: str, texts: list[str], grams: np.ndarray) -> tuple:
-    """Phrases one word longer whose two parts are in ``grams``: (positions,
-    number at each, hash, left part, right part and count of each number)."""
-    at = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
-    key, number, count = np.unique(grams[at].astype(np.int64) * max(len(texts), 1) + grams[at + 1],
-                                   return_inverse=True, return_counts=True)
-    left, right = np.divmod(key, max(len(texts), 1))
-    h = np.array([xxhash.xxh64_intdigest(f"{lang}\0{t}") for t in texts], np.uint64)
-    return at, number, _mixed(h[left], h[right]).view(np.int64), left, right, count
-
-
-def longer(level: DataFrame, least: int, name: str) -> DataFrame:
-    """The blocks of ``level`` with phrases one word longer: those both of whose
-    parts are there and whose hash counts ``least`` at least."""
-    arrow = arrow_schema(T.StructType([T.StructField(c, T.LongType()) for c in ("block", "key", "n")]))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Level:
+    """A row of LEVEL_SCHEMA for phrases of ``k`` words, and those one word longer."""
+
+    def __init__(self, row: dict, k: int, bits: int):
+        self.block, self.lang, self.words, self.k = row["block"], row["lang"], lines(row["words"]), k
+        self.states = numbers(row["states"]).reshape(-1, k)
+        self.grams = numbers(row["grams"])
+        prefix = self.lang.encode() + b"\0"
+        h = np.array([xxhash.xxh64_intdigest(prefix + w) for w in self.words], np.uint64)
+        whole = h[self.states[:, 0]]
+        for j in range(1, k):
+            whole = _mixed(whole, h[self.states[:, j]])
+        self._hashes, self._of_word, self._shift = whole, h, np.uint64(64 - bits)
+
+    def keys(self) -> np.ndarray:
+        """The hash of every phrase."""
+        return (self._hashes >> self._shift).astype(np.int64)
+
+    def extend(self) -> None:
+        """Phrases one word longer: where they are (``at``), the number of each
+        there, and of each number its parts, count and hash."""
+        n = max(len(self.states), 1)
+        self.at = np.flatnonzero((self.grams[:-1] >= 0) & (self.grams[1:] >= 0))
+        pair, self.number, self.count = np.unique(
+            self.grams[self.at].astype(np.int64) * n + self.grams[self.at + 1], return_inverse=True,
+            return_counts=True)
+        self.left, self.right = np.divmod(pair, n)
+        last = self._of_word[self.states[self.right, -1]] if len(pair) else np.empty(0, np.uint64)
+        self.key = (_mixed(self._hashes[self.left], last) >> self._shift).astype(np.int64)
+
+    def phrases(self, states: np.ndarray) -> list[str]:
+        return [b" ".join([self.words[i] for i in s]).decode() for s in states.tolist()]
+
+
+def longer(level: DataFrame, k: int, least: int, bits: int, parcels: int) -> DataFrame:
+    """The blocks of ``level`` with its phrases of ``k`` words made one longer:
+    those both of whose parts are there and whose hash counts ``least`` at least."""
+    dealt = _fields(parcel=T.IntegerType(), of=_LONG, keys=_BINARY, counts=_BINARY)
+    answer = _fields(of=_LONG, parcel=T.IntegerType(), n=_LONG, good=_BINARY, first=_BINARY, totals=_BINARY)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, lang, texts, grams in _rows(b):
-                _, _, h, _, _, count = _pairs(lang, texts.to_pylist(), grams)
-                for i in range(0, len(h), 100_000):
-                    some = h[i:i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some),
-                                                      pa.array(count[i:i + 100_000])], schema=arrow)
-
-    # At most one row per block and hash, few of which share one, come together.
-    enough = (level.mapInArrow(emit, "block long, key long, n long")
-              .withColumn("n", F.sum("n").over(Window.partitionBy("key"))).where(F.col("n") >= least)
-              .select(F.col("block").alias("of"), "key"))
+            for r in b.to_pylist():
+                v = _Level(r, k, bits)
+                v.extend()
+                key, back = np.unique(v.key, return_inverse=True)
+                count = np.bincount(back, v.count, len(key)).astype(np.int64)
+                # Ascending keys fall into ascending parcels.
+                cuts = np.searchsorted(key, [(p << bits) // parcels for p in range(parcels + 1)])
+                rows = [(p, v.block, packed_ascending(key[i:j]), packed(count[i:j]))
+                        for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
+                yield from _table(rows, dealt).to_batches()
+
+    def choose(t: pa.Table) -> pa.Table:
+        rows = t.sort_by("of").to_pylist()
+        keys = [ascending(r["keys"]) for r in rows]
+        ends = np.cumsum([len(x) for x in keys])
+        distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total = np.bincount(back, np.concatenate([numbers(r["counts"]) for r in rows]), len(distinct)).astype(np.int64)
+        good = total[back] >= least
+        names = np.zeros(len(back), bool)
+        names[first] = True
+        out = []
+        for r, j, size in zip(rows, ends, map(len, keys)):
+            here = slice(j - size, j)
+            own = good[here] & names[here]
+            out.append((r["of"], r["parcel"], size, np.packbits(good[here]).tobytes(), np.packbits(own).tobytes(),
+                        total[back[here]][own].tobytes()))
+        return _table(out, answer)
 
     def work(block: pa.Table, found: pa.Table) -> pa.Table:
-        for number, lang, texts, grams in _rows(block):
-            texts = texts.to_pylist()
-            at, which, h, left, right, _ = _pairs(lang, texts, grams)
-            good = np.isin(h, found["key"].to_numpy()) if len(found) else np.zeros(len(h), bool)
-            new = np.where(good, np.cumsum(good) - 1, -1).astype(np.int32)
-            out = np.full(len(grams), -1, np.int32)
-            out[at] = new[which]
-            phrases = [f"{texts[p]} {texts[q].rsplit(' ', 1)[-1]}"
-                       for p, q in zip(left[good].tolist(), right[good].tolist())]
-            return _block_table(number, lang, phrases, out)
-        return arrow_schema(BLOCK_SCHEMA).empty_table()
+        out = []
+        for r in block.to_pylist():
+            v = _Level(r, k, bits)
+            v.extend()
+            rows = found.sort_by("parcel").to_pylist()
+            good, own = (np.concatenate([np.empty(0, bool)] + [
+                np.unpackbits(np.frombuffer(a[c], np.uint8), count=a["n"]).astype(bool) for a in rows])
+                for c in ("good", "first"))
+            total = np.zeros(len(own), np.int64)
+            total[own] = np.frombuffer(b"".join(a["totals"] for a in rows), np.int64)
+            back = np.unique(v.key, return_inverse=True)[1]          # answers are in the keys' order
+            go, mine, total = good[back], own[back], total[back]
+            new = np.where(go, np.cumsum(go) - 1, -1).astype(np.int32)
+            grams = np.full(len(v.grams), -1, np.int32)
+            grams[v.at] = new[v.number]
+            states = np.column_stack([v.states[v.left], v.states[v.right, -1]])
+            named = [{"phrase": p, "key": key, "total": n} for p, key, n in
+                     zip(v.phrases(states[mine]), v.key[mine].tolist(), total[mine].tolist())]
+            out.append((v.block, v.lang, r["words"], packed(_squeezed(grams)), packed(states[go]), named))
+        return _table(out, LEVEL_SCHEMA)
+
+    of = level.mapInArrow(deal, dealt).groupBy("parcel").applyInArrow(choose, answer).groupBy("of")
+    return _stored(level.drop("named").groupBy("block").cogroup(of).applyInArrow(work, LEVEL_SCHEMA), f"level-{k + 1}")
+
+
+def all_named(level: DataFrame, k: int, bits: int) -> DataFrame:
+    """(k, key, lang, phrase) of every block's phrases of ``k`` words."""
+    schema = _fields(k=T.IntegerType(), key=_LONG, lang=_TEXT, phrase=_TEXT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                v = _Level(r, k, bits)
+                for i in range(0, len(v.states), 100_000):
+                    some = v.phrases(v.states[i:i + 100_000])
+                    yield from _table([(k, key, v.lang, p) for key, p in zip(v.keys()[i:].tolist(), some)],
+                                      schema).to_batches()
 
-    return _stored(level.groupBy("block").cogroup(enough.groupBy("of")).applyInArrow(work, BLOCK_SCHEMA), name)
+    return level.drop("named").mapInArrow(run, schema)
 
 
 class DoubleArray:
@@ -289,13 +414,13 @@ def build_trie(langs: list[str], phrases: list[str]) -> dict:
             "lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string())}
 
 
-def accepted(bundle: dict, lang: str, texts: pa.Array, grams: np.ndarray) -> np.ndarray:
+def accepted(bundle: dict, lang: str, words: list[bytes], grams: np.ndarray) -> np.ndarray:
     """How often each phrase of the bundle occurs in a block."""
     trie, n = bundle["trie"], len(bundle["phrase"])
     counts = np.zeros(n, np.int64)
     if lang not in bundle["langs"] or not len(grams):
         return counts
-    known = pc.fill_null(pc.index_in(texts, bundle["words"]), -1).to_numpy(zero_copy_only=False)
+    known = pc.fill_null(pc.index_in(pa.array(words, pa.binary()).cast(pa.string()), bundle["words"]), -1).to_numpy(zero_copy_only=False)
     codes = np.append(known, -1)[grams]                       # -1 stays -1
     codes = np.append(codes, np.full(LONGEST, -1)).astype(np.int64)
     at = np.flatnonzero(codes >= 0)
@@ -328,13 +453,13 @@ def count_phrases(level: DataFrame, candidates: DataFrame, trie_phrases: int, tr
             b = bundle.value
             counts = np.zeros(len(b["phrase"]), np.int64)
             for batch in batches:
-                for _, lang, texts, grams in _rows(batch):
-                    counts += accepted(b, lang, texts, grams)
+                for r in batch.to_pylist():
+                    counts += accepted(b, r["lang"], lines(r["words"]), numbers(r["grams"]))
             some = pa.array(np.flatnonzero(counts))
             yield pa.RecordBatch.from_arrays([b["lang"].take(some), b["phrase"].take(some),
                                               pa.array(counts).take(some)], ["lang", "phrase", "a"])
 
-        part = _stored(level.mapInArrow(run, schema).groupBy("lang", "phrase").agg(F.sum("a").alias("a")), "counts")
+        part = _stored(level.select("lang", "words", "grams").mapInArrow(run, schema).groupBy("lang", "phrase").agg(F.sum("a").alias("a")), "counts")
         bundle.unpersist()
         out = part if out is None else out.unionByName(part)
     return out
@@ -345,7 +470,8 @@ def _joined(words: Column, start, length) -> Column:
 
 
 def mine(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = 30, top: int = 2000,
-         cover: int = 80, trie_phrases: int = TRIE_PHRASES, trie_bytes: int = TRIE_BYTES) -> DataFrame:
+         cover: int = 80, trie_phrases: int = TRIE_PHRASES, trie_bytes: int = TRIE_BYTES,
+         spare_bits: int = SPARE_BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of every language.
 
     Texts are folded (A-Z), cut into pieces at ``.,;:!?`` and line ends, and
@@ -362,18 +488,30 @@ def mine(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least
     one without frequent phrases give no rows.
     """
     parts = blocks(df, text_col, lang_col)
-    words = frequent_words(parts, least)
+    size = parts.agg(F.sum("n")).first()[0] or 0
+    parcels = 1 + size // PARCEL_WORDS
+    bits = min(63, spare_bits + size.bit_length())
+    words = frequent_words(parts, least, parcels)
     level = first = only_frequent(parts, words)
-    found = None
+    levels, named = {}, None
     for k in range(2, LONGEST + 1):
-        level = longer(level, least, f"level-{k}")
-        some = level.select("lang", F.explode("texts").alias("phrase"))
-        found = some if found is None else found.unionByName(some)
-    counts = keep(count_phrases(first, found.distinct(), trie_phrases, trie_bytes).where(F.col("a") >= least)
-                  .withColumn("w", F.split("phrase", " ")))
-    total = parts.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
-    total = total.groupBy("lang").agg(F.sum("n").alias("n"))
-    times = (words.select("lang", F.col("word").alias("text"), "f").distinct()
+        levels[k] = level = longer(level, k - 1, least, bits, parcels)
+        some = level.select(F.lit(k).alias("k"), "lang", F.explode("named").alias("x")).select("k", "lang", "x.*")
+        named = some if named is None else named.unionByName(some)
+    named = _stored(named, "named")
+    counts = count_phrases(first, named.select("lang", "phrase"), trie_phrases, trie_bytes)
+    shared = keep(named.join(counts, ["lang", "phrase"]).groupBy("k", "key", "total").agg(F.sum("a").alias("a"))
+                  .where("a < total").select("k", "key"))
+    if not shared.isEmpty():
+        others = None
+        for k, level in levels.items():
+            some = all_named(level, k, bits).join(shared.where(F.col("k") == k), ["k", "key"], "left_semi")
+            others = some if others is None else others.unionByName(some)
+        others = keep(others.select("lang", "phrase").distinct().join(counts, ["lang", "phrase"], "left_anti"))
+        counts = counts.unionByName(count_phrases(first, others, trie_phrases, trie_bytes))
+    counts = keep(counts.where(F.col("a") >= least).withColumn("w", F.split("phrase", " ")))
+    total = parts.groupBy("lang").agg(F.sum("n").alias("n"))
+    times = (words.select("lang", F.explode("named").alias("x")).select("lang", "x.*")
              .unionByName(counts.select("lang", F.col("phrase").alias("text"), F.col("a").alias("f"))))
     cuts = (counts.select("lang", "phrase", "w", "a", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k"))
             .withColumn("left", _joined(F.col("w"), F.lit(1), F.col("k")))

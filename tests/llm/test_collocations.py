@@ -57,7 +57,10 @@ def test_brute_force_and_edge_cases(spark, monkeypatch):
     want = slow(rows, 6, 40)
     assert {r[0] for r in want} == {"en", "fr", "und"} and any(r[2] == "la la la la" for r in want)
     assert got(spark, rows, least=6, top=40) == want
+    monkeypatch.setattr(C, "PARCEL_WORDS", 500)
     assert got(spark, rows, least=6, top=40, trie_phrases=25) == want
+    # Hashes that many phrases share: all blocks name theirs.
+    assert got(spark, rows, least=6, top=40, spare_bits=-6) == want
 
 
 @pytest.mark.parametrize("rows", [[], [("x", 1, None, None, 1)], [("x", 1, "en", "one two one two", 1)]])
@@ -65,6 +68,12 @@ def test_without_frequent_phrases(spark, rows):
     assert got(spark, rows) == []
 
 
+@given(st.lists(st.integers(0, 2 ** 62), max_size=50))
+def test_packed_ascending(x):
+    x = np.sort(np.array(x, np.int64))
+    assert C.ascending(C.packed_ascending(x)).tolist() == x.tolist()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=5), max_size=60, unique_by=tuple))
 def test_double_array(rows):
