@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -125,12 +126,12 @@ def blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             nonlocal made, size, distinct
             for lang, (seen, words) in held.items():
                 names = list(seen)[1:]
-                order = sorted(range(len(names)), key=names.__getitem__)
+                order = pc.sort_indices(pa.array(names, pa.binary())).to_numpy()
                 rank = np.full(len(names) + 1, -1, np.int64)         # a break is -1
-                rank[np.array(order, np.int64) + 1] = np.arange(len(names))
+                rank[order.astype(np.int64) + 1] = np.arange(len(names))
                 seq = rank[np.array(words, np.int64)]
                 counts = np.bincount(seq[seq >= 0], minlength=len(names))
-                yield from _table([(made, lang, packed_lines([names[i] for i in order]), packed(counts),
+                yield from _table([(made, lang, packed_lines([names[i] for i in order.tolist()]), packed(counts),
                                     int(counts.sum()), packed(_squeezed(seq)))], BLOCK_SCHEMA).to_batches()
                 made += 1
             held.clear()
@@ -147,7 +148,7 @@ def blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 words.append(0)
                 size += len(found) + 1
                 if len(seen) > before:
-                    distinct += sum(map(len, set(found)))
+                    distinct += sum(map(len, islice(reversed(seen), len(seen) - before)))
                 if size >= most or distinct >= most_bytes:
                     yield from flush()
         yield from flush()
