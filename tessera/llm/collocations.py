@@ -35,13 +35,15 @@ from tessera.llm.common import arrow_schema, keep
 from tessera.session import scratch_path
 
 #: A task's blocks (one per language) end after so many words, or bytes of distinct ones.
-BLOCK_WORDS, BLOCK_BYTES = 3_000_000, 24_000_000
+BLOCK_WORDS, BLOCK_BYTES = 2_000_000, 16_000_000
 #: Words of text for each parcel that a block's words and hashes are dealt into.
-PARCEL_WORDS = 2_000_000
+PARCEL_WORDS = 1_500_000
 #: Bits of a hash beyond those of the number of all words.
 SPARE_BITS = 20
 #: A trie holds about so many phrases, or bytes of them; it is what is broadcast.
 TRIE_PHRASES, TRIE_BYTES = 200_000, 32_000_000
+#: Accepting states whose counts, one row a task, are summed in one place.
+SHARD = 20_000
 LONGEST = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Breaks become a full stop, blanks a space, capitals lower case.
@@ -442,13 +444,13 @@ def count_phrases(level: DataFrame, candidates: DataFrame, trie_phrases: int, tr
     bundles = max(1, -(-total["n"] // trie_phrases), -(-(total["size"] or 0) // trie_bytes))
     dealt = candidates.withColumn("bundle", F.pmod(F.xxhash64("lang", "phrase"), F.lit(bundles)).cast("int"))
     dealt = keep(dealt.repartition("bundle"))
-    schema = "lang string, phrase string, a long"
     out = None
     for k in range(bundles):
         # One bundle of bounded size at a time passes the driver.
         held = dealt.where(F.col("bundle") == k).select("lang", "phrase").toPandas()
         held = held.sort_values(["lang", "phrase"])
         bundle = spark.sparkContext.broadcast(build_trie(held["lang"].tolist(), held["phrase"].tolist()))
+        del held
 
         def run(batches: Iterator[pa.RecordBatch], bundle=bundle) -> Iterator[pa.RecordBatch]:
             b = bundle.value
@@ -456,11 +458,19 @@ def count_phrases(level: DataFrame, candidates: DataFrame, trie_phrases: int, tr
             for batch in batches:
                 for r in batch.to_pylist():
                     counts += accepted(b, r["lang"], lines(r["words"]), numbers(r["grams"]))
-            some = pa.array(np.flatnonzero(counts))
-            yield pa.RecordBatch.from_arrays([b["lang"].take(some), b["phrase"].take(some),
-                                              pa.array(counts).take(some)], ["lang", "phrase", "a"])
-
-        part = _stored(level.select("lang", "words", "grams").mapInArrow(run, schema).groupBy("lang", "phrase").agg(F.sum("a").alias("a")), "counts")
+            yield from _table([(i, packed(counts[i:i + SHARD])) for i in range(0, len(counts), SHARD)],
+                              _fields(start=_LONG, counts=_BINARY)).to_batches()
+
+        def add(t: pa.Table, bundle=bundle) -> pa.Table:
+            b, start = bundle.value, t["start"][0].as_py()
+            total = np.zeros(len(numbers(t["counts"][0].as_py())), np.int64)
+            for c in t["counts"]:
+                total += numbers(c.as_py())
+            here = pa.array(start + np.flatnonzero(total))
+            return pa.table([b["lang"].take(here), b["phrase"].take(here), total[total > 0]], ["lang", "phrase", "a"])
+
+        part = _stored(level.select("lang", "words", "grams").mapInArrow(run, "start long, counts binary")
+                       .groupBy("start").applyInArrow(add, "lang string, phrase string, a long"), "counts")
         bundle.unpersist()
         out = part if out is None else out.unionByName(part)
     return out
