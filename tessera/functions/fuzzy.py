@@ -1,106 +1,108 @@
-"""Jaro-Winkler fuzzy match (P11) and its score column (K5).
+"""Jaro-Winkler fuzzy match (P11) and its score column (K5), one query or in bulk.
 
 The score follows the common byte-level definition: strings are compared as
 UTF-8 bytes, case-sensitively; the match window is ``max(l1, l2) // 2 - 1``;
 an empty side scores 0; the Winkler prefix bonus (up to 4 bytes, weight 0.1)
 applies only when the Jaro score exceeds 0.7.
 
-Plan shape: a native, codegen'd upper bound on the score discards almost
-every row first; the exact score is then computed in an Arrow-batched pandas
-UDF on the survivors only (each distinct value once per batch).  No shuffle,
-no join, no per-row Python on the full table.
+All of it is built-in Column expressions: a codegen'd upper bound on the score
+discards almost every row, and the exact score folds over the bytes of one
+string with ``locate`` and ``overlay`` on the other, whatever their lengths.
+No Python worker, no shuffle.  ``fuzzy_join`` matches two tables of names by
+signatures, so that only pairs that share one are scored.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def jaro_winkler(a: str | None, b: str | None) -> float | None:
-    """Exact score for one pair (the per-value helper used inside the UDF)."""
-    if a is None or b is None:
-        return None
-    s1 = a.encode("utf-8")
-    s2 = b.encode("utf-8")
-    l1, l2 = len(s1), len(s2)
-    if l1 == 0 or l2 == 0:
-        return 0.0
-    window = max(max(l1, l2) // 2 - 1, 0)
-    used1 = [False] * l1
-    hit2 = [False] * l2
-    m = 0
-    for j, ch in enumerate(s2):
-        for i in range(max(0, j - window), min(l1, j + window + 1)):
-            if not used1[i] and s1[i] == ch:
-                used1[i] = hit2[j] = True
-                m += 1
-                break
-    if m == 0:
-        return 0.0
-    order1 = [s1[i] for i in range(l1) if used1[i]]
-    order2 = [s2[j] for j in range(l2) if hit2[j]]
-    half_t = sum(x != y for x, y in zip(order1, order2)) // 2
-    score = (m / l1 + m / l2 + (m - half_t) / m) / 3.0
-    if score > 0.7:
-        prefix = 0
-        for x, y in zip(s1[:4], s2[:4]):
-            if x != y:
-                break
-            prefix += 1
-        score += 0.1 * prefix * (1.0 - score)
-    return score
-
-
-def jaro_winkler_score(c, query: str) -> Column:
-    """Score column of ``c`` against a fixed query string (Arrow batched)."""
-
-    @F.pandas_udf(T.DoubleType())
-    def _score(s: pd.Series) -> pd.Series:
-        uniq = {v: jaro_winkler(v, query) for v in s.dropna().unique()}
-        return s.map(uniq).astype("float64")
-
-    # Marked non-deterministic only so that the optimizer does not copy the
-    # call into the filter above it (which would score every row twice).
-    return _score.asNondeterministic()(c if isinstance(c, Column) else F.col(c))
-
-
-def _byte_view(c: Column) -> Column:
+
+#: Stands for a byte that is matched already; no byte view holds it.
+_TAKEN = "Ā"
+
+
+# The expressions are written as SQL text: one parse in the JVM instead of
+# hundreds of calls to it.
+def _name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _byte_view(sql: str) -> str:
     # One character per UTF-8 byte, so lengths and replace() count bytes.
-    return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    return f"decode(encode({sql}, 'UTF-8'), 'ISO-8859-1')"
+
+
+def _bytes_literal(b: bytes) -> str:
+    return f"decode(X'{b.hex()}', 'ISO-8859-1')"
 
 
-def fuzzy_prefilter(c, query: str, threshold: float) -> Column:
-    """Native necessary condition for ``jaro_winkler(c, query) > threshold``.
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with the value worked out once, however often it is read."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _score_sql(x: str, y: str) -> str:
+    """Score of two byte views (SQL of each); NULL if one is.
+
+    The j-th byte of y takes the first free equal byte of x in its window;
+    ``hits`` are the bytes matched in y's order, ``t`` those in x's.
+    """
+    chars = "transform(sequence(1, length({0})), i -> substring({0}, i, 1))".format
+    match = _let("position(substring(v.y, j, 1), s.x, greatest(j - v.window, 1))", "at", f"""
+        if(at > 0 AND at <= least(v.l1, j + v.window),
+           struct(overlay(s.x PLACING '{_TAKEN}' FROM at FOR 1) AS x, concat(s.hits, substring(v.y, j, 1)) AS hits), s)""")
+    done = f"aggregate(sequence(1, v.l2), struct(v.x AS x, '' AS hits), (s, j) -> {match})"
+    in_order = (f"filter(zip_with({chars('d.x')}, {chars('v.x')}, (t, b) -> if(t = '{_TAKEN}', b, NULL)), "
+                "b -> b IS NOT NULL)")
+    moved = f"aggregate(zip_with({in_order}, {chars('d.hits')}, (a, b) -> int(a != b)), 0, (n, e) -> n + e)"
+    jaro = (f"(double(length(d.hits)) / v.l1 + double(length(d.hits)) / v.l2 + "
+            f"double(length(d.hits) - {moved} div 2) / length(d.hits)) / 3.0D")
+    common = "0"
+    for k in range(4, 0, -1):
+        here = f"least(v.l1, v.l2) >= {k} AND substring(v.x, {k}, 1) = substring(v.y, {k}, 1)"
+        common = f"if({here}, 1 + {common}, 0)"
+    score = _let(jaro, "j", f"if(j > 0.7D, j + 0.1D * {common} * (1.0D - j), j)")
+    matched = _let(done, "d", f"if(length(d.hits) = 0, 0.0D, {score})")
+    sized = _let("struct(u.x AS x, u.y AS y, length(u.x) AS l1, length(u.y) AS l2, "
+                 "int(greatest(greatest(length(u.x), length(u.y)) div 2 - 1, 0)) AS window)", "v",
+                 f"if(v.l1 = 0 OR v.l2 = 0, 0.0D, {matched})")
+    return _let(f"struct({x} AS x, {y} AS y)", "u", f"if(u.x IS NOT NULL AND u.y IS NOT NULL, {sized}, NULL)")
+
+
+def jaro_winkler_score(c: str, query: str) -> Column:
+    """Score of the column named ``c`` against a fixed string."""
+    return F.expr(_score_sql(_byte_view(_name(c)), _bytes_literal(query.encode())))
+
+
+def jaro_winkler_columns(a: str, b: str) -> Column:
+    """Score of two columns against each other."""
+    return F.expr(_score_sql(_byte_view(_name(a)), _byte_view(_name(b))))
+
+
+def _least_jaro(threshold: float, prefix: int = 4) -> float:
+    """What Jaro must exceed for a score above ``threshold`` with a common
+    prefix of at most ``prefix`` bytes."""
+    if threshold < 0.7:
+        return threshold
+    return max(0.7, (threshold - 0.1 * prefix) / (1 - 0.1 * prefix))
+
+
+def fuzzy_prefilter(c: str, query: str, threshold: float) -> Column:
+    """Native necessary condition for a score of ``c`` and ``query`` above ``threshold``.
 
     Matches m are bounded by the multiset intersection of bytes; with
     transpositions at 0 that bounds Jaro, and with the largest prefix bonus
     (4 bytes) it bounds the final score.  Never drops a true match.
     """
-    c = c if isinstance(c, Column) else F.col(c)
-    q = query.encode("utf-8")
-    lq = len(q)
-    if lq == 0:
+    q = query.encode()
+    if not q:
         return F.lit(False)              # empty query scores 0
-    x = _byte_view(c)
-    lx = F.length(x)
-    counts = {}
-    for b in q:
-        counts[b] = counts.get(b, 0) + 1
-    m_ub = None
-    for b, n in counts.items():
-        ch = F.lit(chr(b))
-        cnt = lx - F.length(F.replace(x, ch))
-        term = F.least(cnt, F.lit(n))
-        m_ub = term if m_ub is None else m_ub + term
-    j_ub = (m_ub / lx + m_ub / F.lit(float(lq)) + F.lit(1.0)) / F.lit(3.0)
-    if threshold >= 0.7:
-        bound = max(0.7, (threshold - 0.4) / 0.6)
-    else:
-        bound = threshold
-    return (lx > 0) & (m_ub > 0) & (j_ub > F.lit(bound - 1e-9))
+    x = _byte_view(_name(c))
+    size = f"length({x})"
+    common = " + ".join(f"least({size} - length(replace({x}, {_bytes_literal(bytes([b]))}, '')), {q.count(b)})"
+                        for b in sorted(set(q)))
+    bound = f"(m / {size} + m / {len(q)}D + 1) / 3 > {_least_jaro(threshold) - 1e-9!r}D"
+    return F.expr(f"{size} > 0 AND {_let(common, 'm', f'm > 0 AND {bound}')}")
 
 
 def check_threshold(threshold: float) -> float:
@@ -115,7 +117,100 @@ def fuzzy_filter(df: DataFrame, c: str, query: str, threshold: float = 0.8,
     kept as ``score_col`` (for K5 ranking) unless that is None."""
     check_threshold(threshold)
     name = score_col or "_similarity"
-    out = (df.where(fuzzy_prefilter(F.col(c), query, threshold))
-           .withColumn(name, jaro_winkler_score(F.col(c), query))
+    out = (df.where(fuzzy_prefilter(c, query, threshold))
+           .withColumn(name, jaro_winkler_score(c, query))
            .where(F.col(name) > F.lit(threshold)))
     return out if score_col else out.drop(name)
+
+
+# --------------------------------------------------------------------------
+# Bulk: names against names.
+# --------------------------------------------------------------------------
+#: Lengths of a band differ by this factor at most.
+_BAND = 1.25
+
+
+def _signed(df: DataFrame, name: str) -> DataFrame:
+    """Distinct names with their byte view ``x``, length, its band, and their
+    bytes in hex."""
+    return (df.select(F.col(name).alias("name")).where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
+            .select("name", F.expr(_byte_view("name")).alias("x"))
+            .select("*", F.length("x").alias("l"), F.regexp_extract_all(F.hex(F.encode("name", "UTF-8")),
+                                                                        F.lit(".."), 0).alias("bytes"))
+            .withColumn("band", F.floor(F.log(F.col("l")) / F.log(F.lit(_BAND)) + 1e-9).cast("int")))
+
+
+def _overlap(l1: Column, l2: Column, jaro: Column) -> Column:
+    """Common bytes (with repeats) without which Jaro can't exceed ``jaro``."""
+    least = (3 * jaro - 1) * l1 * l2 / (l1 + l2)
+    return F.greatest(F.lit(1), F.floor(least - 1e-9) + 1).cast("int")
+
+
+def _lowest(band: Column) -> Column:
+    """A length no greater than any of the band."""
+    return F.greatest(F.lit(1), F.floor(F.pow(F.lit(_BAND), band) - 1e-6))
+
+
+def _keys(names: DataFrame, ranks: dict[str, int], others: list[int], threshold: float, side: str) -> DataFrame:
+    """(name, prefix, low, high, head, key): the signatures of every name.
+
+    Bytes are numbered by rarity, repeats told apart, so a name is a set of
+    ascending numbers.  Two names whose sets share ``overlap`` members share one
+    of the first ``l - overlap + 1`` of each (or two of the first ``l - overlap
+    + 2``), as many as a smaller overlap than needed allows.  Pairs are looked
+    for by the length of their common prefix: the shorter it is, the more they
+    must share; the longer, the more of it is part of the signature.
+    """
+    rank = F.create_map(*[F.lit(v) for kv in sorted(ranks.items()) for v in kv])
+    by_rarity = F.array_sort(F.transform("bytes", lambda b: rank[b]))
+    numbered = F.transform(by_rarity, lambda v, i: v.cast("bigint") * (1 << 32)
+                           + (i - F.array_position(by_rarity, v) + 1))
+    jaro = F.create_map(*[F.lit(v) for p in range(5) for v in (p, _least_jaro(threshold, p))])[F.col("prefix")]
+    rows = (names.select("name", "x", "l", "band", numbered.alias("set"),
+                         F.explode(F.array(*[F.lit(b) for b in others])).alias("other"))
+            .withColumn("prefix", F.explode(F.sequence(F.lit(0), F.least(F.lit(4), F.col("l")))))
+            .withColumn("both", F.when((F.col("prefix") < 2) & (_overlap(
+                _lowest(F.col("band")), _lowest(F.col("other")), jaro) > 1), 2).otherwise(1))
+            .withColumn("first", F.col("l") - _overlap(F.col("l"), _lowest(F.col("other")), jaro) + F.col("both"))
+            .where("first >= both").withColumn("set", F.slice("set", F.lit(1), F.col("first"))))
+    pairs = F.flatten(F.transform("set", lambda a, i: F.transform(
+        F.filter("set", lambda b: b > a), lambda b: F.xxhash64(a, b))))
+    key = F.explode(F.when(F.col("both") == 2, pairs).otherwise(F.transform("set", lambda a: F.xxhash64(a))))
+    low, high = ("band", "other") if side == "left" else ("other", "band")
+    return rows.select(F.col("name").alias(side), "prefix", F.col(low).alias("low"), F.col(high).alias("high"),
+                       F.substring(F.col("x"), F.lit(1), F.col("prefix")).alias("head"), key.alias("key"))
+
+
+def fuzzy_pairs(left: DataFrame, left_on: str, right: DataFrame, right_on: str, threshold: float = 0.8) -> DataFrame:
+    """(left, right, similarity): the distinct names of two tables that score
+    strictly above ``threshold``; NULL and empty names match nothing.
+
+    Names meet only by a shared signature (see ``_keys``), an equi-join; what
+    is exact is the score, so a signature may bring too many pairs together
+    but never miss one.  The driver sees the 256 byte counts and the bands of
+    the lengths (fewer than 100).
+    """
+    check_threshold(threshold)
+    a, b = _signed(left, left_on), _signed(right, right_on)
+    counts = {r["byte"]: r["n"] for r in a.select(F.explode("bytes").alias("byte"))
+              .unionByName(b.select(F.explode("bytes").alias("byte"))).groupBy("byte").agg(F.count("*").alias("n")).collect()}
+    ranks = {byte: i for i, byte in enumerate(sorted(counts, key=lambda x: (counts[x], x)))}
+    bands = [sorted(r["band"] for r in d.select("band").distinct().collect()) for d in (a, b)]
+    if not all(bands):
+        return (a.limit(0).select(F.col("name").alias("left"), F.col("name").alias("right"),
+                                  F.lit(0.0).alias("similarity")))
+    met = _keys(a, ranks, bands[1], threshold, "left").join(
+        _keys(b, ranks, bands[0], threshold, "right"), ["prefix", "low", "high", "head", "key"])
+    return (met.select("left", "right").distinct()
+            .withColumn("similarity", jaro_winkler_columns("left", "right"))
+            .where(F.col("similarity") > F.lit(threshold)))
+
+
+def fuzzy_join(left: DataFrame, left_on: str, right: DataFrame, right_on: str, threshold: float = 0.8,
+               score_col: str = "similarity") -> DataFrame:
+    """All columns of both tables (their names must differ) and the score, for
+    every two rows whose names score strictly above ``threshold``."""
+    pairs = fuzzy_pairs(left, left_on, right, right_on, threshold).withColumnsRenamed(
+        {"left": "_left", "right": "_right", "similarity": score_col})
+    return (left.join(pairs, F.col(left_on) == F.col("_left")).join(right, F.col(right_on) == F.col("_right"))
+            .drop("_left", "_right"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import predicates as P
-from tessera.functions.fuzzy import fuzzy_filter
+from tessera.functions.fuzzy import fuzzy_filter, fuzzy_join
 from tessera.operators import aggregates as A
 from tessera.operators import joins as J
 from tessera.operators import nested as N
@@ -319,6 +319,22 @@ def fuzzy_ranked(spark, sf):
     return top.select("c_custkey", "c_name", F.round("similarity", 9).alias("similarity"))
 
 
+@query("fuzzy_join", """
+WITH names AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT c_name FROM customer),
+asked AS (SELECT DISTINCT replace(p_name, 'i', 'ie') AS wanted FROM part UNION SELECT s_name FROM supplier),
+pairs AS (SELECT name, wanted, jaro_winkler_similarity(name, wanted) AS s FROM names, asked)
+SELECT name, wanted, round(s, 9) AS similarity FROM pairs WHERE s > 0.8
+""")
+def fuzzy_join_query(spark, sf):
+    """All part and customer names against misspelt part names and supplier names."""
+    names = _t(spark, sf, "part").select(F.col("p_name").alias("name")).union(
+        _t(spark, sf, "customer").select("c_name")).distinct()
+    asked = _t(spark, sf, "part").select(F.replace("p_name", F.lit("i"), F.lit("ie")).alias("wanted")).union(
+        _t(spark, sf, "supplier").select("s_name")).distinct()
+    return fuzzy_join(names, "name", asked, "wanted").select("name", "wanted",
+                                                             F.round("similarity", 9).alias("similarity"))
+
+
 @query("or_group", """
 SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE (o_orderpriority = '1-URGENT' OR o_orderstatus = 'F')

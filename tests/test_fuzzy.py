@@ -6,7 +6,32 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.functions.fuzzy import fuzzy_filter, jaro_winkler
+import pytest
+from tessera.functions.fuzzy import fuzzy_filter, fuzzy_join, fuzzy_pairs, jaro_winkler_columns, jaro_winkler_score
+
+
+def jaro_winkler(a, b):
+    """Score of one pair, byte by byte."""
+    s1, s2 = a.encode(), b.encode()
+    l1, l2 = len(s1), len(s2)
+    window = max(max(l1, l2) // 2 - 1, 0)
+    used, hits = [False] * l1, []
+    for j, ch in enumerate(s2):
+        for i in range(max(0, j - window), min(l1, j + window + 1)):
+            if not used[i] and s1[i] == ch:
+                used[i] = True
+                hits.append(ch)
+                break
+    m = len(hits)
+    if not m:
+        return 0.0
+    half = sum(x != y for x, y in zip([c for c, u in zip(s1, used) if u], hits)) // 2
+    score = (m / l1 + m / l2 + (m - half) / m) / 3.0
+    if score > 0.7:
+        prefix = next((k for k in range(4) if k >= min(l1, l2) or s1[k] != s2[k]), 4)
+        score += 0.1 * prefix * (1.0 - score)
+    return score
+
 
 ALPHA = st.text(alphabet="abcdeé Æ", max_size=12)
 
@@ -28,3 +53,43 @@ def test_filter_equals_brute_force(spark):
         got = sorted(r["id"] for r in fuzzy_filter(df, "name", q, thr).collect())
         want = sorted(i for i, w in enumerate(words) if jaro_winkler(w, q) > thr)
         assert got == want, (q, thr)
+
+
+def _words(rnd, n, alphabet="abcdeé#0", longest=14):
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, longest))) for _ in range(n)]
+
+
+def test_native_score_equals_the_definition(spark):
+    import random
+    rnd = random.Random(8)
+    base = _words(rnd, 1500) + ["x" * 200 + "y", "", "日本語", "\x00a"]
+    pairs = [(a, rnd.choice([a[::-1], a + "e", a[1:], rnd.choice(base)])) for a in base]
+    df = spark.createDataFrame(pairs + [(None, "a"), ("a", None)], "a string, b string")
+    for r in df.select("a", "b", jaro_winkler_columns("a", "b").alias("s")).collect():
+        assert r.s == (None if r.a is None or r.b is None else jaro_winkler(r.a, r.b)), r
+    for r in df.select("a", jaro_winkler_score("a", "abécde").alias("s")).collect():
+        assert r.s == (None if r.a is None else jaro_winkler(r.a, "abécde")), r
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.55, 0.7, 0.8, 0.93, 1.0])
+def test_pairs_equal_brute_force(spark, threshold):
+    import random
+    rnd = random.Random(9)
+    left = _words(rnd, 150) + ["Customer#000000012", "cabbage", None, "x" * 60]
+    right = [w[1:] + w[:1] for w in left[:60] if w] + _words(rnd, 60) + ["Supplier#000000012", "cabbages", None, "a"]
+    a = spark.createDataFrame([(w,) for w in left + left[:5]], "l string")
+    b = spark.createDataFrame([(w,) for w in right], "r string")
+    got = {(r.left, r.right): r.similarity for r in fuzzy_pairs(a, "l", b, "r", threshold).collect()}
+    want = {(x, y): jaro_winkler(x, y) for x in left if x for y in right if y if jaro_winkler(x, y) > threshold}
+    assert got == want
+    assert fuzzy_pairs(a.limit(0), "l", b, "r", threshold).count() == 0
+
+
+def test_join_keeps_rows_and_columns(spark):
+    a = spark.createDataFrame([(1, "red widget"), (2, "red widget"), (3, "blue bolt"), (4, None)], "id int, name string")
+    b = spark.createDataFrame([("q", "red widgit"), ("z", "zzz")], "ask string, wanted string")
+    got = sorted((r.id, r.ask, round(r.similarity, 6)) for r in fuzzy_join(a, "name", b, "wanted").collect())
+    s = round(jaro_winkler("red widget", "red widgit"), 6)
+    assert got == [(1, "q", s), (2, "q", s)]
+    plan = fuzzy_join(a, "name", b, "wanted")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
