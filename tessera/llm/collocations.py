@@ -437,6 +437,26 @@ def accepted(bundle: dict, lang: str, words: list[bytes], grams: np.ndarray) ->
     return counts
 
 
+def _counting(bundle) -> tuple:
+    """The work of a task (counts of its blocks, in shards) and of a shard (their sum)."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        b = bundle.value
+        counts = np.zeros(len(b["phrase"]), np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                counts += accepted(b, r["lang"], lines(r["words"]), numbers(r["grams"]))
+        yield from _table([(i, packed(counts[i:i + SHARD])) for i in range(0, len(counts), SHARD)],
+                          _fields(start=_LONG, counts=_BINARY)).to_batches()
+
+    def add(t: pa.Table) -> pa.Table:
+        b, start = bundle.value, t["start"][0].as_py()
+        total = sum(numbers(c.as_py()).astype(np.int64) for c in t["counts"])
+        here = pa.array(start + np.flatnonzero(total))
+        return pa.table([b["lang"].take(here), b["phrase"].take(here), total[total > 0]], ["lang", "phrase", "a"])
+
+    return count, add
+
+
 def count_phrases(level: DataFrame, candidates: DataFrame, trie_phrases: int, trie_bytes: int) -> DataFrame:
     """(lang, phrase, a): exact counts of the candidates in the blocks."""
     spark = level.sparkSession
@@ -452,24 +472,8 @@ def count_phrases(level: DataFrame, candidates: DataFrame, trie_phrases: int, tr
         bundle = spark.sparkContext.broadcast(build_trie(held["lang"].tolist(), held["phrase"].tolist()))
         del held
 
-        def run(batches: Iterator[pa.RecordBatch], bundle=bundle) -> Iterator[pa.RecordBatch]:
-            b = bundle.value
-            counts = np.zeros(len(b["phrase"]), np.int64)
-            for batch in batches:
-                for r in batch.to_pylist():
-                    counts += accepted(b, r["lang"], lines(r["words"]), numbers(r["grams"]))
-            yield from _table([(i, packed(counts[i:i + SHARD])) for i in range(0, len(counts), SHARD)],
-                              _fields(start=_LONG, counts=_BINARY)).to_batches()
-
-        def add(t: pa.Table, bundle=bundle) -> pa.Table:
-            b, start = bundle.value, t["start"][0].as_py()
-            total = np.zeros(len(numbers(t["counts"][0].as_py())), np.int64)
-            for c in t["counts"]:
-                total += numbers(c.as_py())
-            here = pa.array(start + np.flatnonzero(total))
-            return pa.table([b["lang"].take(here), b["phrase"].take(here), total[total > 0]], ["lang", "phrase", "a"])
-
-        part = _stored(level.select("lang", "words", "grams").mapInArrow(run, "start long, counts binary")
+        count, add = _counting(bundle)
+        part = _stored(level.select("lang", "words", "grams").mapInArrow(count, "start long, counts binary")
                        .groupBy("start").applyInArrow(add, "lang string, phrase string, a long"), "counts")
         bundle.unpersist()
         out = part if out is None else out.unionByName(part)
