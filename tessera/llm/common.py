@@ -104,7 +104,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, n: int,
     Per label value (0 and 1), the at most ``n`` ids with the smallest hash
     among those ``learn`` allows.  An id with several label rows counts with
     its largest label; null ids and labels are left out.  The id list, at most
-    2n rows, is what is broadcast.
+    2n rows, is what is broadcast; of an id with several texts the smallest
+    counts, so there are at most 2n documents.
     """
     ids = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).cast("int").alias("y"))
@@ -115,6 +116,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, n: int,
         picked = part if picked is None else picked.unionByName(part)
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return (docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
+            .groupBy("doc_id", "y").agg(F.min(F.col("text").cast("string")).alias("text"))
             .select("doc_id", "text", "y"))
 
 

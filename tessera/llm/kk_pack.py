@@ -84,8 +84,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     average (the slack is the spread that differencing leaves), so padding is
     slack / capacity, under one window more at the end of each task.
 
-    Null and empty texts consist of their end id (of nothing, and so give no
-    row, if ``end_id`` is None).  Repeated rows and null ids are packed like
+    A special token's string in a text is that token, as the vocabulary's own
+    tokenizer reads it.  Null and empty texts consist of their end id (of
+    nothing, and so give no row, if ``end_id`` is None).  Repeated rows and null ids are packed like
     any other row.  An empty table gives no rows.  ``sequence_id`` is unique,
     not dense: the task's number in the high bits.
     """
@@ -135,7 +136,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
             docs = batch.column(0).to_pylist()
             texts = batch.column(1)
             for r, doc in enumerate(docs):
-                ids = encode(texts[r].as_py(), end_id, tokenizer_path)
+                ids = encode(texts[r].as_py(), end_id, tokenizer_path, special=True)
                 n, seen = len(ids), seen + 1
                 whole = n - n % capacity
                 for s in range(0, whole, capacity):

@@ -197,11 +197,13 @@ def train(runs: list[tuple[np.ndarray, np.ndarray]], *, steps: int = 120, rate:
 def fit(documents: DataFrame, *, sample: int = 1500, id_col: str = "doc_id",
         text_col: str = "text") -> LineModel:
     """Train on a bounded sample: one run of at most 256 lines of each of the
-    at most ``sample`` documents whose id has the smallest hash."""
+    at most ``sample`` ids of the smallest hash (of an id with several texts the
+    smallest one counts)."""
     ids = hashed_sample(documents.where(F.col(id_col).isNotNull())
-                        .select(F.col(id_col).alias("__id")), "__id", sample).distinct()
-    docs = (documents.select(F.col(id_col).alias("__key"), F.col(text_col).alias("text"))
-            .join(F.broadcast(ids), F.col("__key") == F.col("__id")))
+                        .select(F.col(id_col).alias("__id")).distinct(), "__id", sample)
+    docs = (documents.select(F.col(id_col).alias("__key"), F.col(text_col).cast("string").alias("text"))
+            .join(F.broadcast(ids), F.col("__key") == F.col("__id"))
+            .groupBy("__key").agg(F.min("text").alias("text")))
 
     def work(texts: list) -> dict:
         out = []

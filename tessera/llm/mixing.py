@@ -2,9 +2,11 @@
 
 Token counts by source, language and topic are raked until all three marginals
 meet their targets; a document is then sampled with its cell's calibrated
-probability.  The sources' factors stay in a table (there may be any number of
-sources); a round sums one languages-by-topics matrix, which is all that the
-driver sees.
+probability.  As no probability can exceed 1, the raked weights may be bounded:
+a cell that would exceed its tokens is taken whole, and the others are raked
+against what is left of the targets.  The sources' factors stay in a table
+(there may be any number of sources); a round sums languages-by-topics
+matrices, which are all that the driver sees.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ BITS = 18
 def _letters() -> np.ndarray:
     """Code point -> code point of its lower-case letter, 0 for non-letters."""
     table = np.zeros(sys.maxunicode + 1, np.uint32)
-    for c in range(0x30000):                       # no letters lie beyond
+    for c in range(sys.maxunicode + 1):
         ch = chr(c)
         if ch.isalpha():
             low = ch.lower()
@@ -127,17 +127,18 @@ def fit(documents: DataFrame, *, learn: Column | None = None, per_lang: int = 20
     """Fit on a bounded sample of whole documents: of each language the at most
     ``per_lang`` ids of smallest hash among those ``learn`` (a condition on
     ``__id``) allows; the first of them, ``marks`` over all languages, are the
-    landmarks.  The id list is bounded by per_lang times the languages."""
+    landmarks.  The id list is bounded by per_lang times the languages; of an
+    id with several texts the smallest counts."""
     learn = F.lit(True) if learn is None else learn
-    ids = documents.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang")) \
-        .where(F.col("__lang").isNotNull() & F.col("__id").isNotNull()).where(learn)
-    by = Window.partitionBy("__lang").orderBy(F.xxhash64(F.col("__id").cast("string")), "__id")
-    picked = ids.withColumn("__rank", F.row_number().over(by)).where(F.col("__rank") <= per_lang)
-    picked = picked.select("__id", F.col("__lang").alias("lang"), F.col("__rank").alias("rank"))
-    docs = (documents.select(F.col(id_col).alias("__id2"), F.col(text_col).alias("text"),
-                             F.col(lang_col).cast("string").alias("__lang2"))
-            .join(F.broadcast(picked.distinct()),
-                  (F.col("__id2") == F.col("__id")) & (F.col("__lang2") == F.col("lang"))))
+    # Distinct ids are ranked, and an id gives one text however many rows bear it.
+    ids = (documents.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("lang"))
+           .where(F.col("lang").isNotNull() & F.col("__id").isNotNull()).where(learn).distinct())
+    by = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("__id").cast("string")), "__id")
+    picked = ids.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= per_lang)
+    docs = (documents.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"),
+                             F.col(lang_col).cast("string").alias("lang"))
+            .join(F.broadcast(picked), ["__id", "lang"])
+            .groupBy("__id", "lang", "rank").agg(F.min("text").alias("text")))
     got = map_texts(docs, "text", {"lang": "lang", "rank": "rank"},
                     [T.StructField("grams", T.ArrayType(T.IntegerType()))],
                     lambda texts: {"grams": [np.unique(grams(t)).tolist() for t in texts]})
