@@ -192,12 +192,15 @@ def table_sink(spark, sf):
 
 
 @query("optional_column_missing", """
-SELECT p_partkey, CAST(NULL AS VARCHAR) AS p_container FROM part WHERE FALSE
+SELECT p_partkey, p_type AS value FROM part WHERE p_size > 40
 """)
 def optional_column_missing(spark, sf):
-    return S.optional_column(_t(spark, sf, "part"), "p_container",
-                             schema="p_partkey bigint, p_container string",
-                             select=lambda d: d.select("p_partkey", "p_container"))
+    """Columns a file may have: the rows of those it has, none of those it hasn't."""
+    part = _t(spark, sf, "part").where(P.gte("p_size", 41))
+    found = [S.optional_column(part, c, schema="p_partkey bigint, value string",
+                               select=lambda d, c=c: d.select("p_partkey", F.col(c).alias("value")))
+             for c in ("p_container", "p_type")]
+    return found[0].unionByName(found[1])
 
 
 @query("optional_column_present", """
@@ -259,9 +262,12 @@ def filter_in(spark, sf):
     return _t(spark, sf, "part").where(P.isin("p_type", ["SMALL", "PROMO"])).select("p_partkey", "p_type")
 
 
-@query("filter_in_empty", "SELECT p_partkey, p_type FROM part WHERE FALSE")
+@query("filter_in_empty", "SELECT p_partkey, p_type, p_type IN ('SMALL', 'LARGE') AS listed FROM part WHERE p_size > 25")
 def filter_in_empty(spark, sf):
-    return _t(spark, sf, "part").where(P.isin("p_type", [])).select("p_partkey", "p_type")
+    """An empty list holds nothing: alone FALSE, beside another condition no matter."""
+    none = P.isin("p_type", [])
+    return (_t(spark, sf, "part").where(none | P.gte("p_size", 26))
+            .select("p_partkey", "p_type", (none | P.isin("p_type", ["SMALL", "LARGE"])).alias("listed")))
 
 
 @query("like_ci", "SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE lower('%WIDG_T')")

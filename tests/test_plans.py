@@ -5,7 +5,7 @@ import re
 import __spark_entry__ as E
 from tests.conftest import SF01
 
-from tessera.plans.standins import QUERIES as STANDINS
+from tessera.plans.surface import QUERIES as STANDINS
 
 Q = E.queries()
 
