@@ -106,3 +106,6 @@ ORACLE_SQL["op12_phrase_collocations"] = collocations.oracle_sql()
 @_query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+#: Learned models, tokenizers and graphs are beyond SQL.
+WITHOUT_SQL = set(QUERIES) - set(ORACLE_SQL)
