@@ -51,20 +51,26 @@ def _keys(text_col: str, source_col: str, lang_col: str) -> list[Column]:
             topic(text_col).alias("topic")]
 
 
+#: Of the largest share of all tokens whose targets every marginal can meet.
+SLACK = 0.95
+
+
 def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-            temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12,
-            clipped: bool = False) -> DataFrame:
+            temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24) -> DataFrame:
     """Cells (source, lang, topic, tokens, ratio, p), one per combination held.
 
     The targets of each marginal are its token shares to the power ``temper``,
     scaled to one: large sources, languages and topics lose, small ones gain.
-    ``ratio`` is the raked weight over the held tokens, ``p`` = ratio times
-    the smaller of ``keep_share`` and 1 / the largest ratio the sampling
-    probability: no p exceeds 1, so the expected sample meets the targets of
-    all three marginals.  ``clipped``: p = min(1, keep_share * ratio) to six
-    places, a larger sample that misses them.  Nulls are a
-    source ``(none)`` and a language ``und``.  Cells without tokens (empty
-    texts only) have ratio 1.  An empty table gives no cells.
+    The sample is ``keep_share`` of all tokens, or less: no more than ``SLACK``
+    of what leaves each marginal's target within the tokens it has.  A cell's
+    weight is its tokens times the factors of its source, language and topic,
+    but never more than its tokens; ``p`` (to six places), the weight over the
+    tokens, is its sampling probability, ``ratio`` that over the share sampled.
+    A round solves the sources' factors exactly, then steps those of languages
+    and topics towards what their bounded cells leave of the targets;
+    ``misses`` tells how far the sample is off them.  Nulls are a source
+    ``(none)`` and a language ``und``.  Cells without tokens (empty texts only)
+    have ratio 1.  An empty table gives no cells.
     """
     cells = keep(df.select(*_keys(text_col, source_col, lang_col), tokens(text_col).alias("tokens"))
                  .groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")))
@@ -73,44 +79,81 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
     total = float(sum(r["tokens"] for r in grid))
     if not total:
         return cells.withColumn("ratio", F.lit(1.0)).withColumn("p", F.lit(min(1.0, keep_share)))
-
-    def target(name: str) -> dict[str, float]:
-        held: dict[str, float] = {}
-        for r in grid:
-            held[r[name]] = held.get(r[name], 0.0) + r["tokens"]
-        powered = {k: (v / total) ** temper for k, v in held.items() if v}
+    held: dict[str, dict] = {"lang": {}, "topic": {}}
+    for r in grid:
+        for name, of in held.items():
+            of[r[name]] = of.get(r[name], 0.0) + r["tokens"]
+    goal = {}
+    for name, of in held.items():
+        powered = {k: (v / total) ** temper for k, v in of.items() if v}
         scale = sum(powered.values())
-        return {k: total * v / scale for k, v in powered.items()}
-
-    goal = {n: target(n) for n in ("lang", "topic")}
-    factor = {n: dict.fromkeys(g, 1.0) for n, g in goal.items()}
-    share = F.pow(F.sum("tokens") / F.lit(total), F.lit(temper)).alias("share")
-    of_source = cells.where("tokens > 0").groupBy("source").agg(share)
+        goal[name] = {k: total * v / scale for k, v in powered.items()}
+    of_source = (cells.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("held"))
+                 .withColumn("share", F.pow(F.col("held") / F.lit(total), F.lit(temper))))
     scale = of_source.agg(F.sum("share")).first()[0]
-    live = keep(cells.where("tokens > 0").join(of_source, "source")
-                .withColumn("goal", F.col("share") * F.lit(total / scale)).repartition("source"))
+    of_source = keep(of_source.withColumn("goal", F.col("share") * F.lit(total / scale)))
+    within = min([of_source.agg(F.min(F.col("held") / F.col("goal"))).first()[0],
+                  *[held[n][k] / g for n in goal for k, g in goal[n].items()]])
+    share = min(keep_share, SLACK * within)
+    goal = {n: {k: share * g for k, g in of.items()} for n, of in goal.items()}
+    factor = {n: dict.fromkeys(g, 1.0) for n, g in goal.items()}
+    live = keep(cells.where("tokens > 0")
+                .join(of_source.select("source", (F.col("goal") * F.lit(share)).alias("goal")), "source")
+                .repartition("source"))
     per_source = Window.partitionBy("source")        # languages by topics at most
+    falling = per_source.orderBy(F.desc("r"), "lang", "topic")
 
     def raked() -> DataFrame:
-        """Cells with the weights ``w`` that meet the sources' targets."""
-        w = F.col("tokens")
+        """Cells with the bounded probabilities ``p`` that meet the sources' targets."""
+        r = F.lit(1.0)
         for name, f in factor.items():
-            w = w * F.create_map(*[F.lit(x) for kv in sorted(f.items()) for x in kv])[F.col(name)]
-        return (live.withColumn("w", w)
-                .withColumn("w", F.col("w") * F.col("goal") / F.sum("w").over(per_source)))
+            r = r * F.create_map(*[F.lit(x) for kv in sorted(f.items()) for x in kv])[F.col(name)]
+        above = F.coalesce(F.sum("tokens").over(falling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rest = F.sum(F.col("tokens") * F.col("r")).over(falling.rowsBetween(0, Window.unboundedFollowing))
+        # With the cells before this one taken whole, the factor of the others;
+        # the first that leaves this cell within its tokens is the source's.
+        c = (F.col("goal") - above) / rest
+        ok = F.when(F.col("c") * F.col("r") <= 1, F.struct("n", "c"))
+        return (live.withColumn("r", r).withColumn("c", c).withColumn("n", F.row_number().over(falling))
+                .withColumn("c", F.min(ok).over(per_source)["c"])
+                .withColumn("p", F.least(F.lit(1.0), F.col("c") * F.col("r"))))
 
     for _ in range(rounds):
-        m = {(r["lang"], r["topic"]): r["w"] for r in
-             raked().groupBy("lang", "topic").agg(F.sum("w").alias("w")).collect()}
+        whole = F.col("p") >= 1
+        m = {(r["lang"], r["topic"]): (r["whole"], r["part"]) for r in raked().groupBy("lang", "topic").agg(
+            F.sum(F.when(whole, F.col("tokens")).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(whole, 0.0).otherwise(F.col("tokens") * F.col("p"))).alias("part")).collect()}
         for i, name in enumerate(("lang", "topic")):
-            step = {k: g / sum(w for cell, w in m.items() if cell[i] == k) for k, g in goal[name].items()}
-            m = {cell: w * step[cell[i]] for cell, w in m.items()}
-            factor[name] = {k: v * step[k] for k, v in factor[name].items()}
-    fitted = keep(raked().select("source", "lang", "topic", (F.col("w") / F.col("tokens")).alias("ratio")))
-    share = keep_share if clipped else min(keep_share, 1.0 / fitted.agg(F.max("ratio")).first()[0])
+            for k, g in goal[name].items():
+                whole_k = sum(w for cell, (w, _) in m.items() if cell[i] == k)
+                part_k = sum(w for cell, (_, w) in m.items() if cell[i] == k)
+                step = max((g - whole_k) / part_k, LEAST_STEP) if part_k > 0 else 1.0
+                factor[name][k] *= step
+                m = {cell: (w, v * step if cell[i] == k else v) for cell, (w, v) in m.items()}
+    fitted = keep(raked().select("source", "lang", "topic", "p"))
     return (cells.join(fitted, ["source", "lang", "topic"], "left")
-            .withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
-            .withColumn("p", F.round(F.least(F.lit(1.0), F.lit(share) * F.col("ratio")), 6 if clipped else 12)))
+            .withColumn("p", F.round(F.coalesce("p", F.lit(share)), 6))
+            .select("source", "lang", "topic", "tokens", (F.col("p") / F.lit(share)).alias("ratio"), "p"))
+
+
+#: A language's or topic's factor shrinks to this part of itself in a round at most.
+LEAST_STEP = 0.05
+
+
+def misses(cells: DataFrame, temper: float = 0.7) -> DataFrame:
+    """(marginal, value, target, expected): the shares of the sampled tokens of
+    every source, language and topic, as wanted and as expected by ``p``."""
+    out = None
+    held, drawn = cells.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("p"))).first()
+    for name in ("source", "lang", "topic"):
+        part = (cells.groupBy(F.col(name).alias("value"))
+                .agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("p")).alias("d")).where("n > 0")
+                .withColumn("share", F.pow(F.col("n") / F.lit(held), F.lit(temper))))
+        scale = part.agg(F.sum("share")).first()[0]
+        part = part.select(F.lit(name).alias("marginal"), "value", (F.col("share") / F.lit(scale)).alias("target"),
+                           (F.col("d") / F.lit(drawn)).alias("expected"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 #: A cell's rows go to so many tasks at most, before AQE splits them further.
@@ -142,8 +185,9 @@ def sample(df: DataFrame, cells: DataFrame, **options) -> DataFrame:
     return draw(df, cells, **options).select("row.*")
 
 
-def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12, seed: int = 42) -> str:
-    """DuckDB SQL of the sample over ``documents``."""
+def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24, seed: int = 42) -> str:
+    """DuckDB SQL of the sample over ``documents``: the rounds of ``weights``,
+    the factors of languages and topics as tables."""
     case = " ".join("WHEN " + " OR ".join(f"contains(coalesce(text, ''), '{p}')" for p in phrases)
                     + f" THEN '{name}'" for name, phrases in TOPICS)
     ctes = [f"""docs AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') AS source,
@@ -151,20 +195,37 @@ def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 12, s
   CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) AS n_tokens FROM documents)""",
             "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens "
             "FROM docs GROUP BY ALL)",
-            "live AS (SELECT * FROM cells WHERE tokens > 0)"]
-    for n in ("source", "lang", "topic"):
-        ctes.append(f"""goal_{n} AS MATERIALIZED (SELECT {n}, pow(t / sum(t) OVER (), {temper})
+            "live AS MATERIALIZED (SELECT * FROM cells WHERE tokens > 0)"]
+    names = ("source", "lang", "topic")
+    for n in names:
+        ctes.append(f"""want_{n} AS MATERIALIZED (SELECT {n}, t, pow(t / all_t, {temper})
   / sum(pow(t / all_t, {temper})) OVER () * all_t AS goal FROM (SELECT {n}, sum(tokens) AS t,
   (SELECT sum(tokens) FROM live) AS all_t FROM live GROUP BY {n}))""")
-    ctes.append("w0 AS (SELECT *, tokens AS w FROM live)")
-    step = 0
-    for n in [*("source", "lang", "topic") * rounds, "source"]:
-        ctes.append(f"w{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * goal / sum(w) "
-                    f"OVER (PARTITION BY {n}) AS w FROM w{step} JOIN goal_{n} USING ({n}))")
-        step += 1
-    return "WITH " + ",\n".join(ctes) + f"""
-SELECT doc_id, d.source, d.lang, d.topic, n_tokens,
-  round(least(1.0, {keep_share} * coalesce(w / tokens, 1.0)), 6) AS p
-FROM docs d LEFT JOIN w{step} USING (source, lang, topic)
-WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / {16 ** 12}.0
-  < round(least(1.0, {keep_share} * coalesce(w / tokens, 1.0)), 6)"""
+    ctes.append("kept AS MATERIALIZED (SELECT least(" + f"{keep_share}, {SLACK} * least("
+                + ", ".join(f"(SELECT min(t / goal) FROM want_{n})" for n in names) + ")) AS share)")
+    ctes += [f"goal_{n} AS MATERIALIZED (SELECT {n}, share * goal AS goal FROM want_{n}, kept)" for n in names]
+    ctes += [f"f_{n}0 AS MATERIALIZED (SELECT {n}, 1.0::DOUBLE AS f FROM goal_{n})" for n in ("lang", "topic")]
+    for i in range(rounds + 1):
+        ctes += [f"""r{i} AS MATERIALIZED (SELECT l.*, a.f * b.f AS r, g.goal FROM live l JOIN f_lang{i} a USING (lang)
+  JOIN f_topic{i} b USING (topic) JOIN goal_source g USING (source))""",
+                 f"""c{i} AS MATERIALIZED (SELECT source, arg_min(c, n) AS c FROM (
+  SELECT source, r, row_number() OVER w AS n, (goal - coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+    AND 1 PRECEDING), 0)) / sum(tokens * r) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c
+  FROM r{i} WINDOW w AS (PARTITION BY source ORDER BY r DESC, lang, topic)) WHERE c * r <= 1 GROUP BY source)""",
+                 f"p{i} AS MATERIALIZED (SELECT r{i}.*, least(1.0, c * r) AS p FROM r{i} JOIN c{i} USING (source))"]
+        if i == rounds:
+            break
+        ctes += [f"""g{i} AS MATERIALIZED (SELECT lang, topic, sum(CASE WHEN p >= 1 THEN tokens ELSE 0 END) AS whole,
+  sum(CASE WHEN p >= 1 THEN 0 ELSE tokens * p END) AS part FROM p{i} GROUP BY ALL)""",
+                 f"""s{i} AS MATERIALIZED (SELECT lang, CASE WHEN sum(part) > 0 THEN greatest((any_value(goal) - sum(whole))
+  / sum(part), {LEAST_STEP}) ELSE 1 END AS step FROM g{i} JOIN goal_lang USING (lang) GROUP BY lang)""",
+                 f"""u{i} AS MATERIALIZED (SELECT topic, CASE WHEN sum(part * step) > 0 THEN greatest((any_value(goal)
+  - sum(whole)) / sum(part * step), {LEAST_STEP}) ELSE 1 END AS step FROM g{i} JOIN s{i} USING (lang)
+  JOIN goal_topic USING (topic) GROUP BY topic)""",
+                 f"f_lang{i + 1} AS MATERIALIZED (SELECT lang, f * step AS f FROM f_lang{i} JOIN s{i} USING (lang))",
+                 f"f_topic{i + 1} AS MATERIALIZED (SELECT topic, f * step AS f FROM f_topic{i} JOIN u{i} USING (topic))"]
+    return "WITH " + ",\n".join(ctes) + f""",
+named AS (SELECT d.*, round(coalesce(p, share), 6) AS p FROM docs d, kept
+  LEFT JOIN p{rounds} q ON (q.source, q.lang, q.topic) = (d.source, d.lang, d.topic))
+SELECT doc_id, source, lang, topic, n_tokens, p FROM named
+WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / {16 ** 12}.0 < p"""

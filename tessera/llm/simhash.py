@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import arrow_schema, keep, map_texts
 from tessera.llm.components import local_roots, stars
+from tessera.operators.sampling import salted_join
 
 #: (Hamming code length, bits taken as they are) of each block; 64 bits in all.
 LAYOUT = ((15, 6), (15, 6), (15, 7))
@@ -50,12 +51,13 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 width: int = 4) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long."""
+                 width: int = 4, carry: tuple = ()) -> DataFrame:
+    """(doc_id, ``carry``, fp): fp holds the 64 bits as a signed long."""
     def work(texts: list) -> dict:
         return {"fp": np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)}
 
-    return map_texts(df, text_col, {"doc_id": id_col}, [T.StructField("fp", T.LongType())], work)
+    return map_texts(df, text_col, {"doc_id": id_col} | {c: c for c in carry}, [T.StructField("fp", T.LongType())],
+                     work)
 
 
 class Block:
@@ -236,6 +238,26 @@ def links(fps: DataFrame, threshold: int = 4, layout: tuple = LAYOUT, cell: int
     return cells.mapInArrow(compare, "u long, v long")
 
 
+def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4,
+            threshold: int = 4, layout: tuple = LAYOUT, carry: tuple = ()) -> DataFrame:
+    """(doc_id, ``carry``, fp, root, component_id) of every row of ``df``; rows
+    of one component share their ``root``.  See ``near_duplicates``."""
+    docs = keep(fingerprints(df, id_col, text_col, width, carry))
+    fps = keep(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    star = stars(links(fps.select("fp"), threshold, layout))
+    members = (star.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+               .unionByName(star.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct()))
+    # Only fingerprints with a link need another smallest id; a root that a
+    # third of them share meets them in many tasks.
+    named = keep(members.join(fps, "fp"))
+    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    linked = salted_join(named.select("fp", "root"), lowest, ["root"], "fp").withColumn("linked", F.lit(True))
+    ids = fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
+    return docs.join(ids, "fp").select("doc_id", *carry, "fp", "root", "component_id")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     width: int = 4, threshold: int = 4, layout: tuple = LAYOUT) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``df``.
@@ -252,13 +274,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     blocks of ((31, 1), (31, 1)) send 340 rows each, but compare 75 times
     fewer pairs; they suit corpora of billions of texts.
     """
-    docs = keep(fingerprints(df, id_col, text_col, width))
-    fps = keep(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    star = stars(links(fps.select("fp"), threshold, layout))
-    named = fps.join(star.select(F.col("u").alias("fp"), "v"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("v", "fp").alias("root"))
-    # Only components of several fingerprints need another smallest id.
-    lowest = (named.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    ids = named.join(lowest, "root").select("fp", "component_id")
-    return docs.join(ids, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = grouped(df, id_col, text_col, width=width, threshold=threshold, layout=layout)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

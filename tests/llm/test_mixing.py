@@ -61,6 +61,18 @@ def test_expected_sample_meets_the_targets(cells, by):
     assert (got / got.sum() / (goal / goal.sum()) - 1).abs().max() < 1e-3
 
 
+def test_no_cell_is_drawn_beyond_its_tokens_and_the_sample_is_large(spark):
+    cells = mixing.weights(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    held = cells.toPandas()
+    assert held.p.max() <= 1 and (held.p == 1).any()             # bounded cells are taken whole
+    drawn = (held.p * held.tokens).sum() / held.tokens.sum()
+    within = min((held.groupby(by).tokens.sum() / held.tokens.sum()
+                  / ((g := held.groupby(by).tokens.sum() ** 0.7) / g.sum())).min() for by in ("source", "lang", "topic"))
+    assert abs(drawn / min(0.8, mixing.SLACK * within) - 1) < 1e-3
+    off = mixing.misses(cells).toPandas()
+    assert (off.expected / off.target - 1).abs().max() < 1e-3 and set(off.marginal) == {"source", "lang", "topic"}
+
+
 def test_drawn_rows_meet_the_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     cells = mixing.weights(docs)

@@ -71,3 +71,14 @@ def test_edge_rows(spark):
     assert P.packing(spark, docs, SF).count() >= len(rows)
     kept = P.near_duplicates(spark, docs, SF).collect()
     assert len([r for r in kept if r.doc_id == 3]) == 1 and not [r for r in kept if r.doc_id == 4]
+
+
+def test_repeated_ids_lose_no_text(spark):
+    a = "some words that say one thing after the other and then go on to say more until the text is long enough"
+    b = "a quite different passage about rivers and stones that shares no shingle with what the first one has said"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for rows in ([(1, a), (2, a), (2, b), (3, b)], [(None, a), (2, a), (None, b), (None, b), (2, None), (3, "")]):
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], schema).repartition(3)
+        kept = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, SF).collect()), key=str)
+        want = {a: (1, a), b: (2, b)} if rows[0][0] else {a: (2, a), b: (None, b), None: (2, None)}
+        assert kept == sorted(want.values(), key=str)
