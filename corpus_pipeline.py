@@ -5,8 +5,7 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and is written as Parquet in the shared scratch folder, where the next one
 reads it.  All but the last return the rows they keep with the columns they
 were given, whatever these are; the last returns packed pieces.  Rows are never
-matched by position: documents without an id pass the near-duplicate stage
-unless they are exact copies of each other.
+matched by position, and a document is its id and text together.
 """
 
 from __future__ import annotations
@@ -33,13 +32,18 @@ def line_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: that of the smallest
-    id, and one row of those repeated with their id."""
-    dropped = (simhash.near_duplicates(docs).where("doc_id != component_id")
-               .select("doc_id").distinct())
-    copies = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return (docs.join(dropped, "doc_id", "left_anti")
-            .select(F.struct(*docs.columns).alias("row"), "doc_id", copies.alias("copies"))
-            .dropDuplicates(["doc_id", "copies"]).select("row.*"))
+    id (null ids last), among several of that id the one of the smallest text
+    hash, and one row of those repeated with id and text."""
+    # An id may come with several texts, so a document is its id and text.
+    named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
+    text = F.coalesce(F.concat(F.lit("="), F.col("text")), F.lit("-"))
+    key = F.sha2(F.concat_ws("|", named, text), 256)
+    rows = docs.select("doc_id", "text", key.alias("key"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    stays = (simhash.grouped(rows, carry=("key",)).groupBy("root").agg(first)
+             .select(F.col("first.key").alias("key")))
+    once = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row")).dropDuplicates(["key"])
+    return once.join(stays, "key").select("row.*")
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
