@@ -131,70 +131,115 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def evidence(grams: DataFrame, discount: float = DISCOUNT, parts: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Log-likelihood ratios from the counts of ``count_grams``; with ``parts``,
-    the numbers from 0 in a column ``part``, a model for each of them.
-
-    Returns (code, llr, n) of every counted n-gram and (code, llr, n) of every
-    counted context, the latter for continuations that were never counted: both
-    models then give the shared backoff, times their own weight for it.
-    """
-    by = () if parts is None else ("part",)
-    # Which parts have an n-gram is a bit each, so that n-grams are once here.
-    once = grams.select("code", F.lit(1).cast("long").alias("held")) if parts is None else _stored(
-        grams.groupBy("code").agg(F.bit_or(F.expr("shiftleft(1L, part)")).alias("held")), "held")
-    once = once.withColumn("m", _bytes_in(F.col("code")))
-    grams = grams.withColumn("m", _bytes_in(F.col("code")))
-    # Shared continuation counts of all shorter n-grams.
+def backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """(m, code, p): the probability that shared continuation counts give the
+    last of the m bytes of ``code`` after the others, for every suffix of the
+    counted n-grams that is shorter than they are."""
+    once = grams.select("code").withColumn("m", _bytes_in(F.col("code")))
     longer = None
     for k in range(1, ORDER):
         part = once.where(F.col("m") > k).select(
-            "held", F.lit(k).alias("m"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("from"))
+            F.lit(k).alias("m"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("from"))
         longer = part if longer is None else longer.unionByName(part)
     mask = F.expr("shiftleft(1L, 8 * m) - 1")
-    longer = longer.groupBy("m", "from").agg(F.bit_or("held").alias("held"))
-    if parts is not None:
-        longer = (longer.withColumn("part", F.explode(F.array(*[F.lit(p) for p in parts])))
-                  .where("shiftright(held, part) % 2 = 1"))
-    cont = (longer.groupBy(*by, "m", F.col("from").bitwiseAND(mask).alias("code"))
+    cont = (longer.distinct().groupBy("m", F.col("from").bitwiseAND(mask).alias("code"))
             .agg(F.count("*").alias("n"))
             .withColumn("ctx", F.shiftright("code", 8)))
-    by_ctx = cont.groupBy(*by, "m", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-    cont = cont.join(by_ctx, [*by, "m", "ctx"]).select(
-        *by, "m", "code", ((F.col("n") - discount) / F.col("total")).alias("own"),
+    by_ctx = cont.groupBy("m", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+    cont = cont.join(by_ctx, ["m", "ctx"]).select(
+        "m", "code", ((F.col("n") - discount) / F.col("total")).alias("own"),
         (discount * F.col("types") / F.col("total")).alias("rest"))
     cont = _stored(cont, "continuations")
-    lower = cont.where("m = 1").select(*by, "code", (F.col("own") + F.col("rest") / 256).alias("p"))
+    lower = cont.where("m = 1").select("code", (F.col("own") + F.col("rest") / 256).alias("p"))
     probs = lower.withColumn("m", F.lit(1))
     for k in range(2, ORDER):
         lower = (cont.where(F.col("m") == k)
                  .withColumn("suffix", F.col("code").bitwiseAND((1 << 8 * (k - 1)) - 1))
-                 .join(lower.select(*by, F.col("code").alias("suffix"), F.col("p").alias("q")), [*by, "suffix"])
-                 .select(*by, "code", (F.col("own") + F.col("rest") * F.col("q")).alias("p")))
+                 .join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("q")), "suffix")
+                 .select("code", (F.col("own") + F.col("rest") * F.col("q")).alias("p")))
         lower = _stored(lower, "backoff")
         probs = probs.unionByName(lower.withColumn("m", F.lit(k)))
-    # Class models over the longest contexts.
-    grams = grams.withColumn("ctx", F.shiftright("code", 8))
+    return probs.select("m", "code", "p")
+
+
+def with_backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """The counted n-grams (code, ctx, n0, n1) with ``p``, that of their suffix."""
+    below = backoff(grams, discount).select(F.col("m").alias("below"), F.col("code").alias("suffix"), "p")
+    m = _bytes_in(F.col("code"))
+    return (grams.select("code", F.shiftright("code", 8).alias("ctx"), "n0", "n1", (m - 1).alias("below"))
+            .withColumn("suffix", F.col("code").bitwiseAND(F.expr("shiftleft(1L, 8 * below) - 1")))
+            .join(below, ["below", "suffix"]).select("code", "ctx", "n0", "n1", "p"))
+
+
+def contexts(grams: DataFrame) -> DataFrame:
+    """(ctx, t0, t1, k0, k1): occurrences and kinds of what follows, by class."""
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    ctx = _stored(grams.groupBy(*by, "ctx").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
-                                                seen("n0").alias("k0"), seen("n1").alias("k1")), "contexts")
+    return grams.groupBy(F.shiftright("code", 8).alias("ctx")).agg(
+        F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), seen("n0").alias("k0"), seen("n1").alias("k1"))
+
 
-    def rest(i: int) -> Column:
-        return F.when(F.col(f"t{i}") > 0, discount * F.col(f"k{i}") / F.col(f"t{i}")).otherwise(1.0)
+def _rest(i: int, discount: float) -> Column:
+    """The weight that class ``i`` leaves to the backoff after a context."""
+    return F.when(F.col(f"t{i}") > 0, discount * F.col(f"k{i}") / F.col(f"t{i}")).otherwise(1.0)
 
+
+def _gram_llr(discount: float) -> Column:
     def prob(i: int) -> Column:
         own = F.when(F.col(f"n{i}") > 0, (F.col(f"n{i}") - discount) / F.col(f"t{i}")).otherwise(0.0)
-        return own + rest(i) * F.col("p")
-
-    full = (grams.withColumn("below", F.col("m") - 1)
-            .withColumn("suffix", F.col("code").bitwiseAND(F.expr("shiftleft(1L, 8 * (m - 1)) - 1")))
-            .join(probs.select(*by, F.col("m").alias("below"), F.col("code").alias("suffix"), "p"),
-                  [*by, "below", "suffix"]).join(ctx, [*by, "ctx"]))
-    return (full.select(*by, "code", F.log(prob(1) / prob(0)).alias("llr"), (F.col("n0") + F.col("n1")).alias("n")),
-            ctx.select(*by, F.col("ctx").alias("code"), F.log(rest(1) / rest(0)).alias("llr"),
+        return own + _rest(i, discount) * F.col("p")
+
+    return F.log(prob(1) / prob(0))
+
+
+def _context_llr(discount: float) -> Column:
+    return F.log(_rest(1, discount) / _rest(0, discount))
+
+
+def evidence(grams: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
+    """Log-likelihood ratios from the counts of ``count_grams``.
+
+    Returns (code, llr, n) of every counted n-gram and (code, llr, n) of every
+    counted context, the latter for continuations that were never counted: both
+    models then give the shared backoff, times their own weight for it.
+    """
+    return _evidence(with_backoff(grams, discount), _stored(contexts(grams), "contexts"), discount)
+
+
+def _evidence(full: DataFrame, ctx: DataFrame, discount: float) -> tuple[DataFrame, DataFrame]:
+    return (full.join(ctx, "ctx").select("code", _gram_llr(discount).alias("llr"), (F.col("n0") + F.col("n1")).alias("n")),
+            ctx.select(F.col("ctx").alias("code"), _context_llr(discount).alias("llr"),
                        (F.col("t0") + F.col("t1")).alias("n")))
 
 
+def without_fold(asked: DataFrame, counted: DataFrame, full: DataFrame, ctx: DataFrame,
+                 discount: float = DISCOUNT) -> DataFrame:
+    """(fold, key, v): evidence for the keys that are ``asked`` (fold, key), from
+    the class counts of the other folds: those of the fold (``counted``) are
+    taken off the whole (``full``, ``ctx``).  The backoff, which knows no
+    class, stays that of all folds."""
+    own = counted.select("code", "fold", F.col("n0").alias("o0"), F.col("n1").alias("o1"))
+    alone = lambda i: F.sum(((F.col(f"o{i}") > 0) & (F.col(f"o{i}") == F.col(f"n{i}"))).cast("long"))
+    own_ctx = (own.join(full.select("code", "ctx", "n0", "n1"), "code").groupBy("ctx", "fold")
+               .agg(F.sum("o0").alias("u0"), F.sum("o1").alias("u1"), alone(0).alias("a0"), alone(1).alias("a1")))
+
+    def less(c: str, off: str) -> Column:
+        return (F.col(c) - F.coalesce(F.col(off), F.lit(0))).alias(c)
+
+    def left(rows: DataFrame, *cols: str) -> DataFrame:
+        """``rows`` (with fold and ctx) with what the other folds have of the context."""
+        return (rows.join(ctx, "ctx").join(own_ctx, ["ctx", "fold"], "left")
+                .select(*cols, less("t0", "u0"), less("t1", "u1"), less("k0", "a0"), less("k1", "a1")))
+
+    grams = (asked.where(F.col("key") < _CONTEXT).withColumnRenamed("key", "code").join(full, "code")
+             .join(own, ["code", "fold"], "left")
+             .select("fold", "code", "ctx", "p", less("n0", "o0"), less("n1", "o1")).where("n0 + n1 > 0"))
+    after = asked.where(F.col("key") >= _CONTEXT).select("fold", F.col("key").bitwiseXOR(_CONTEXT).alias("ctx"))
+    return (left(grams, "fold", "code", "n0", "n1", "p").select("fold", F.col("code").alias("key"),
+                                                                _gram_llr(discount).alias("v"))
+            .unionByName(left(after, "fold", "ctx").where("t0 + t1 > 0").select(
+                "fold", F.col("ctx").bitwiseOR(_CONTEXT).alias("key"), _context_llr(discount).alias("v"))))
+
+
 #: Marks a context's key among those of n-grams, which have 7 bytes at most.
 _CONTEXT = 1 << 62
 #: Evidence is summed in units of 2^-32, so that its order doesn't matter.
@@ -203,11 +248,11 @@ _UNIT = 2.0 ** 32
 CHUNK_WORDS, CHUNK_BYTES = 1_000_000, 4_000_000
 
 
-def keyed(by_gram: DataFrame, by_context: DataFrame, by: tuple = ()) -> DataFrame:
-    """(``by``, key, v): the evidence of every n-gram and every context in one table,
+def keyed(by_gram: DataFrame, by_context: DataFrame) -> DataFrame:
+    """(key, v): the evidence of every n-gram and every context in one table,
     which grows with what was counted and never leaves the executors."""
-    return (by_gram.select(*by, F.col("code").alias("key"), F.col("llr").alias("v"))
-            .unionByName(by_context.select(*by, F.col("code").bitwiseOR(_CONTEXT).alias("key"), F.col("llr").alias("v"))))
+    return (by_gram.select(F.col("code").alias("key"), F.col("llr").alias("v"))
+            .unionByName(by_context.select(F.col("code").bitwiseOR(_CONTEXT).alias("key"), F.col("llr").alias("v"))))
 
 
 def _packed(x: list) -> bytes:
@@ -381,8 +426,6 @@ def calibrate(x: np.ndarray, y: np.ndarray, share: float, l2: float = 1e-2) -> n
 
 #: Documents are cross-fitted by so many folds of their id.
 CROSS = 5
-#: The part of the counts that is all of them; part f is all but fold f.
-_ALL = CROSS
 
 
 def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn: Column | None = None,
@@ -391,8 +434,9 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
     """Count over all labelled documents that ``learn`` allows, then calibrate
     on at most ``sample`` documents of each label that ``calibration`` (as
     ``learn``, if not given) allows; both are conditions on ``__id``.  Each of
-    these is judged by the counts of the other folds, so that no document
-    speaks for itself; the model then has the counts of all."""
+    these is judged by the class counts of the other folds, worked out for the
+    keys that it asks for, so that no document speaks for itself; the model
+    then has the counts of all."""
     learn = (fold("__id", CROSS) != 0) if learn is None else learn
     calibration = learn if calibration is None else calibration
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
@@ -400,26 +444,29 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(learn)
     docs = docs.join(known.where(learn), "__id").withColumn("__fold", fold("__id", CROSS))
     counted = _stored(count_grams(docs, "__text", "__y", "__fold"), "counts")
+    grams = counted.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    full = _stored(with_backoff(grams), "grams")
+    ctx = _stored(contexts(full.select("code", "n0", "n1")), "contexts")
+    by_key = _stored(keyed(*_evidence(full, ctx, DISCOUNT)), "evidence")
     held = keep(labelled_sample(documents, labels, label, sample, calibration, id_col, text_col)
                 .withColumn("fold", fold("doc_id", CROSS)))
     folds = sorted(r["fold"] for r in held.select("fold").distinct().collect())
-    part = F.explode(F.array(*[F.lit(f) for f in [*folds, _ALL]])).alias("part")
-    grams = (counted.select("*", part).where("part != fold").groupBy("part", "code")
-             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    by_key = _stored(keyed(*evidence(_stored(grams, "parts"), parts=[*folds, _ALL]), ("part",)), "evidence")
-
-    def of(p: int) -> DataFrame:
-        return by_key.where(F.col("part") == p).select("key", "v")
-
-    share = known.where(learn).agg(F.avg("__y")).first()[0]
+    parts = {f: chunks(held.where(F.col("fold") == f), "text", {"y": "y"}) for f in folds}
+    asked = None
+    for f, part in parts.items():
+        some = part.select(F.lit(f).cast("long").alias("fold"), F.explode("keys").alias("key"))
+        asked = some if asked is None else asked.unionByName(some)
     got = held.select("y").limit(0).withColumn("x", F.array(F.lit(0.0))).toPandas()
-    for f in folds:
-        some = chunks(held.where(F.col("fold") == f), "text", {"y": "y"})
-        got = pd.concat([got, statistics(some, of(f), ["y"]).toPandas()])
+    if asked is not None:
+        others = _stored(without_fold(asked.distinct(), counted, full, ctx), "folds")
+        for f, part in parts.items():
+            by_fold = others.where(F.col("fold") == f).select("key", "v")
+            got = pd.concat([got, statistics(part, by_fold, ["y"]).toPandas()])
+    share = known.where(learn).agg(F.avg("__y")).first()[0]
     x = np.array(got["x"].tolist(), float).reshape(len(got), N_STATS)
     y = got["y"].to_numpy(int)
     order = np.lexsort([*x.T, y])
-    return Toxicity(of(_ALL), calibrate(x[order], y[order], float(share or 0.0)))
+    return Toxicity(by_key, calibrate(x[order], y[order], float(share or 0.0)))
 
 
 def score(documents: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: str = "text",

@@ -36,7 +36,6 @@ def test_toxicity_spares_clean(spark):
     assert (said[true == 0] == 0).mean() > 0.98
 
 
-@pytest.mark.xfail(reason="0.70 with the few toxic documents of sf0.1 (README); 1.0 on twenty times as many")
 def test_toxicity_held_out(spark):
     said, true = held_out(spark, "op7_kneser_ney_toxicity", "toxic")
     assert (said[true == 1] == 1).mean() > 0.85

@@ -81,3 +81,24 @@ def test_counts_add_up_over_folds(spark):
     whole = {(r.code, r.n0, r.n1) for r in kneser_ney.count_grams(df, "text", "y").collect()}
     parts = kneser_ney.count_grams(df, "text", "y", "f").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     assert {(r.code, r.n0, r.n1) for r in parts.collect()} == whole
+
+
+def test_a_fold_is_taken_off_the_whole(spark):
+    """Evidence for a fold's keys equals that of class counts of the others."""
+    rng = random.Random(6)
+    docs = [(" ".join(rng.choices(["idiot", "cat", "stone", "idle", "car", "scum"], k=8)), rng.randrange(2), i % 3)
+            for i in range(40)]
+    df = spark.createDataFrame(docs, "text string, y int, f int")
+    counted = kneser_ney.count_grams(df, "text", "y", "f")
+    whole = counted.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    full, ctx = kneser_ney.with_backoff(whole).cache(), kneser_ney.contexts(whole)
+    keys = full.select("code").union(ctx.select(F.col("ctx").bitwiseOR(kneser_ney._CONTEXT))).toDF("key")
+    asked = keys.select(F.explode(F.array(*[F.lit(f).cast("long") for f in (0, 1, 7)])).alias("fold"), "key")
+    got = {(r.fold, r.key): r.v for r in kneser_ney.without_fold(asked, counted, full, ctx).collect()}
+    for f in (0, 1, 7):
+        rest = counted.where(F.col("fold") != f).groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        rest = rest.join(full.select("code", "ctx", "p"), "code")
+        want = {r.key: r.v for r in kneser_ney.keyed(*kneser_ney._evidence(
+            rest, kneser_ney.contexts(rest), kneser_ney.DISCOUNT)).collect()}
+        mine = {k: v for (g, k), v in got.items() if g == f}
+        assert mine.keys() == want.keys() and all(abs(mine[k] - want[k]) < 1e-9 for k in want)
