@@ -1,12 +1,15 @@
 """Approximate nearest neighbours (largest inner product) on a robust-pruned
 directed graph.
 
-Vectors are dealt at random into shards of bounded size.  A task builds its
-shard's graph: points enter in growing batches, a greedy beam search from the
+Vectors are dealt into bands of norms within a factor of two, and at random
+into shards of bounded size, so that a few long vectors don't crowd the others
+of a shard together.  A task builds its shard's graph: points enter in growing batches, a greedy beam search from the
 medoid proposes neighbours, and relaxed distance pruning keeps a nearest
 candidate only if no neighbour kept before is closer to it by the factor
-``alpha``, which leaves edges in many directions.  Queries, in blocks, are beam
-searched in every shard, and the shards' findings are merged.
+``alpha``, which leaves edges in many directions.  It then searches some of its own points
+and widens the beam until they find nearly all that an exact search finds.
+Queries, in blocks, are beam searched in every shard at its width, and the
+shards' findings are merged.
 """
 
 from __future__ import annotations
@@ -140,6 +143,37 @@ def euclidean(v: np.ndarray) -> np.ndarray:
     return np.column_stack([v / top, np.sqrt(np.maximum(0, 1 - (norms / top) ** 2))]).astype(np.float32)
 
 
+def units(v: np.ndarray) -> np.ndarray:
+    """Unit vectors, whatever the size of finite components."""
+    v = v / np.abs(v).max(axis=1, keepdims=True)
+    return v / np.sqrt((v ** 2).sum(axis=1, keepdims=True))
+
+
+def measured_width(x: np.ndarray, v: np.ndarray, graph: np.ndarray, start: int, k: int, width: int,
+                   target: float = 0.97, asked: int = 64) -> int:
+    """The beam width, doubled from ``width`` on, at which ``asked`` points of
+    the shard find ``target`` of their ``k`` nearest."""
+    q = units(v[np.linspace(0, len(v) - 1, min(asked, len(v))).astype(int)])
+    k = min(k, len(v))
+    want = np.argsort(-(q @ v.T), axis=1, kind="stable")[:, :k]
+    flat = np.column_stack([q, np.zeros(len(q))]).astype(np.float32)
+    while width < len(v):
+        found, _ = beam_search(x, graph, start, flat, width)
+        near = np.argsort(-np.where(found >= 0, np.einsum("qd,qcd->qc", q, v[found]), -np.inf), axis=1)[:, :k]
+        near = np.take_along_axis(found, near, 1)
+        if np.mean([len(np.intersect1d(a, b)) / k for a, b in zip(want, near)]) >= target:
+            break
+        width *= 2
+    return min(width, max(len(v), 1))
+
+
+def band() -> "F.Column":
+    """The power of two at or below the norm of ``v``."""
+    top = F.array_max(F.transform("v", F.abs))
+    parts = F.aggregate("v", F.lit(0.0), lambda s, e: s + F.pow(e / top, F.lit(2.0)))
+    return F.floor(F.log2(top) + F.log2(parts) / 2).cast("int")
+
+
 def valid(vectors: str) -> "F.Column":
     """Neither null nor empty nor zero, all components finite."""
     c = F.col(vectors)
@@ -160,8 +194,9 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     smallest ids are read back (no more can be among the k nearest); a row
     repeated with its id counts once.  An empty table gives no rows.
 
-    A shard holds about ``shard_rows`` points, whatever the table's size; each
-    block of queries meets each shard in one task.
+    A shard holds at most about ``shard_rows`` points, whatever the table's
+    size, of norms within a factor of two; each block of queries meets each
+    shard in one task.  ``width`` is the beam's width to begin with.
     """
     rows = (df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
             .where(F.col("id").isNotNull()).where(valid("v"))
@@ -173,45 +208,58 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     points = ids.where("n = 1").select("id", "v", F.size("v").alias("dim"))
     # A query is any of its vector's ids, so queries come from the table itself.
     queries = rows.where(F.col("id") % every == 0).distinct().withColumn("dim", F.size("v"))
-    dims = {r["dim"]: r["n"] for r in points.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    shards = {d: -(-n // shard_rows) for d, n in dims.items()}
+    points = points.withColumn("band", band())
+    # A few dimensions, and no more bands than a double has exponents.
+    shards: dict[int, dict[int, int]] = {}
+    for r in points.groupBy("dim", "band").agg(F.count("*").alias("n")).collect():
+        shards.setdefault(r["dim"], {})[r["band"]] = -(-r["n"] // shard_rows)
     asked = {r["dim"]: -(-r["n"] // block_rows) for r in
              queries.groupBy("dim").agg(F.count("*").alias("n")).collect()}
 
     def by_dim(values: dict) -> F.Column:
         return F.create_map(*[F.lit(x) for kv in sorted((values or {0: 1}).items()) for x in kv])[F.col("dim")]
 
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("id"), by_dim(shards)).cast("int"))
+    of_band = F.create_map(*[F.lit(x) for d, bands in sorted(shards.items()) for e, n in sorted(bands.items())
+                             for x in (f"{d}|{e}", n)] or [F.lit(""), F.lit(1)])
+    dealt = points.withColumn("shard", F.pmod(F.xxhash64("id"), of_band[F.concat_ws("|", "dim", "band")]).cast("int"))
+
+    def scaled(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The vectors, and those over their band's power of two."""
+        v = np.array(t["v"].combine_chunks().flatten()).reshape(len(t), -1)
+        return v, np.ldexp(v, -t["band"][0].as_py())
 
     def make(t: pa.Table) -> pa.Table:
         t = t.sort_by("id")
-        v = np.array(t["v"].combine_chunks().flatten()).reshape(len(t), -1)
-        graph, medoid = build(euclidean(v), degree, width, alpha)
-        return pa.table({"dim": t["dim"], "shard": t["shard"], "pos": pa.array(np.arange(len(t)), pa.int32()),
+        _, v = scaled(t)
+        x = euclidean(v)
+        graph, medoid = build(x, degree, min(width, 64), alpha)
+        beam = measured_width(x, v, graph, medoid, k, max(width, k + 1))
+        return pa.table({"dim": t["dim"], "band": t["band"], "shard": t["shard"],
+                         "pos": pa.array(np.arange(len(t)), pa.int32()),
                          "id": t["id"], "v": t["v"], "first": pa.array(np.arange(len(t)) == medoid),
+                         "beam": pa.array(np.full(len(t), beam), pa.int32()),
                          "near": pa.array([g[g >= 0].tolist() for g in graph], pa.list_(pa.int32()))})
 
-    index = keep(dealt.groupBy("dim", "shard").applyInArrow(
-        make, "dim int, shard int, pos int, id long, v array<double>, first boolean, near array<int>"))
+    index = keep(dealt.groupBy("dim", "band", "shard").applyInArrow(
+        make, "dim int, band int, shard int, pos int, id long, v array<double>, first boolean, beam int, near array<int>"))
 
     def find(q: pa.Table, t: pa.Table) -> pa.Table:
         if not len(q) or not len(t):
             return pa.table({"query_id": pa.array([], pa.int64()), "point": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
         t = t.sort_by("pos")
-        v = np.array(t["v"].combine_chunks().flatten()).reshape(len(t), -1)
+        v, near_one = scaled(t)
         qv = np.array(q["v"].combine_chunks().flatten()).reshape(len(q), -1)
         graph = np.full((len(t), degree), -1, np.int64)
         for i, near in enumerate(t["near"].to_pylist()):
             graph[i, :len(near)] = near
         start = int(np.argmax(t["first"].to_numpy()))
-        unit = qv / np.sqrt((qv ** 2).sum(axis=1, keepdims=True))
-        flat = np.column_stack([unit, np.zeros(len(unit))]).astype(np.float32)
-        x = euclidean(v)
+        flat = np.column_stack([units(qv), np.zeros(len(qv))]).astype(np.float32)
+        x, beam = euclidean(near_one), t["beam"][0].as_py()
         pid, qid = t["id"].to_numpy(), q["id"].to_numpy()
         out = []
         for i in range(0, len(flat), 512):
-            found, _ = beam_search(x, graph, start, flat[i:i + 512], max(width, k + 1))
+            found, _ = beam_search(x, graph, start, flat[i:i + 512], max(beam, k + 1))
             r, c = np.nonzero(found >= 0)
             p = found[r, c]
             score = np.einsum("ij,ij->i", v[p], qv[i + r])
@@ -223,12 +271,18 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         return pa.table({n: pa.array(np.concatenate([o[i] for o in out]))
                          for i, n in enumerate(("query_id", "point", "score"))})
 
-    last = lambda n: F.sequence(F.lit(0), by_dim(n) - 1)
+    bands = F.create_map(*[x for d, of in sorted(shards.items()) for x in (F.lit(d), F.array(*[
+        F.struct(F.lit(e).alias("band"), F.lit(n).alias("n")) for e, n in sorted(of.items())]))] or
+        [F.lit(0), F.array(F.struct(F.lit(0).alias("band"), F.lit(1).alias("n")))])
     sent = (queries.where(F.col("dim").isin(list(shards)))
             .withColumn("block", F.pmod(F.xxhash64("id"), by_dim(asked)).cast("int"))
-            .withColumn("shard", F.explode(last(shards))))
-    met = index.where(F.col("dim").isin(list(asked))).withColumn("block", F.explode(last(asked)))
-    found = (sent.groupBy("dim", "shard", "block").cogroup(met.groupBy("dim", "shard", "block"))
+            .withColumn("b", F.explode(bands[F.col("dim")]))
+            .select("*", F.col("b.band").alias("band"), F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("shard"))
+            .drop("b"))
+    met = index.where(F.col("dim").isin(list(asked))).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), by_dim(asked) - 1)))
+    keys = ["dim", "band", "shard", "block"]
+    found = (sent.groupBy(*keys).cogroup(met.groupBy(*keys))
              .applyInArrow(find, "query_id long, point long, score double"))
     per_query = Window.partitionBy("query_id")
     near = (found.withColumn("n", F.row_number().over(per_query.orderBy(F.desc("score"), "point")))

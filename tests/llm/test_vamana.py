@@ -1,6 +1,7 @@
 """Graph search against exact search."""
 
 import numpy as np
+import pytest
 
 from tessera.llm import vamana
 from tests.conftest import SF01
@@ -43,6 +44,35 @@ def test_norms_that_differ(spark):
     assert recall(vamana.search(df).collect(), exact(list(range(600)), v, 20, 20)) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["equal", "lognormal", "outlier", "huge"])
+def test_recall_over_a_full_shard(spark, kind):
+    """10,000 points, as many as a shard has: unit vectors about 200 centres,
+    of equal or very unequal norms, or with one vector of another size."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(200, 32))[rng.integers(0, 200, 10_000)] + 0.7 * rng.normal(size=(10_000, 32))
+    v /= np.sqrt((v ** 2).sum(axis=1, keepdims=True))
+    if kind == "lognormal":
+        v *= rng.lognormal(0, 1, (10_000, 1))
+    elif kind != "equal":
+        v[77] *= 1e4 if kind == "outlier" else 1e160
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = vamana.search(df.repartition(4), every=50).collect()
+    assert recall(got, exact(list(range(10_000)), v, 20, 50)) >= 0.9
+
+
+def test_beam_widens_where_the_graph_is_hard():
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(3000, 64))
+    x = vamana.euclidean(v)
+    graph, start = vamana.build(x)
+    beam = vamana.measured_width(x, v, graph, start, 20, 32)
+    assert beam > 32
+    q = vamana.units(v[5::60])
+    found, _ = vamana.beam_search(x, graph, start, np.column_stack([q, np.zeros(len(q))]).astype(np.float32), beam)
+    want = np.argsort(-(q @ v.T), axis=1)[:, :20]
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found.tolist(), want.tolist())]) >= 0.9
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (21, [0.5, 0.5]), (22, None), (40, []),
