@@ -53,6 +53,13 @@ def operators(df):
         "nested_map_split": lambda: A.nested_map(
             df.withColumn("s", F.col("item") % 3).withColumn("d", F.col("date").cast("string")),
             ["k"], ["s", "d"], "item", "price", split_levels=2),
+        "nested_map_parts": lambda: A.nested_map_parts(
+            df.withColumn("s", F.col("item") % 3).withColumn("d", F.col("item").cast("string")),
+            ["k"], ["s"], "d", "price", most=5000),
+        "hot_small_sheet": lambda: X.weighted_with_replacement(
+            df.where("item < 5").select(F.lit(0).cast("long").alias("k"), "item", "w"),
+            df.select(F.lit(0).cast("long").alias("k"), F.col("item").alias("rid")), "k", "item", "w", 2, "rid"),
+        "sample_n_large": lambda: X.sample_n(df, df.count() * 3 // 5, "item"),
         "financial_summary": lambda: A.financial_summary(df, group="k", item="item"),
         "exists_flag": lambda: A.exists_flag(df.select("k").distinct(), df, ["k"], F.col("price") > 50000),
         "exists_flag_hot_requests": lambda: A.exists_flag(df.select("k", "item"), df.where("item % 2 = 0"), ["k"]),

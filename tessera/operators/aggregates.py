@@ -185,6 +185,28 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
     return cur.withColumnRenamed("_m", out)
 
 
+def nested_map_parts(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str,
+                     out: str = "prices", most: int = 10_000, **options) -> DataFrame:
+    """``nested_map`` in rows of at most about ``most`` entries: (id, ``part``,
+    map).  An id of more entries has several parts, dealt by the hash of a full
+    key, so that no row or task holds its whole history; the parts' entries are
+    disjoint, and ``merge_parts`` makes one map of them."""
+    from tessera.operators.sampling import salted_join
+    keys = levels + [leaf_key]
+    sized = (df.select(*id_cols, *keys).distinct().groupBy(*id_cols)
+             .agg(F.ceil(F.count(F.lit(1)) / most).cast("bigint").alias("_parts")))
+    dealt = salted_join(df.select(*id_cols, *keys, leaf_value), sized, id_cols, keys).withColumn(
+        "part", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in keys]), F.col("_parts"))).drop("_parts")
+    return nested_map(dealt, [*id_cols, "part"], levels, leaf_key, leaf_value, out=out, **options)
+
+
+def merge_parts(parts: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str,
+                out: str = "prices") -> DataFrame:
+    """One map per id of ``nested_map_parts``, for ids whose map one row may hold."""
+    long = flatten_nested_map(parts, id_cols, levels, leaf_key, leaf_value, col=out)
+    return nested_map(long, id_cols, levels, leaf_key, leaf_value, out=out)
+
+
 def flatten_nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str,
                        leaf_value: str, col: str = "prices") -> DataFrame:
     """Inverse of ``nested_map`` (long rows), for checking and export."""

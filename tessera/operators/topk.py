@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import scratch_path
+
 _CLAUSE = re.compile(r"^\s*(?P<col>.+?)(?:\s+(?P<dir>asc|desc))?\s*$", re.IGNORECASE)
 
 
@@ -44,6 +46,35 @@ def page(df: DataFrame, order, limit: int | None = 100, offset: int = 0) -> Data
     return out if limit is None else out.limit(int(limit))
 
 
+class RankIndex:
+    """K2 for any offset: rows written in ranges of a total order, with their
+    counts, so that a page reads the ranges that hold it and no other."""
+
+    def __init__(self, df: DataFrame, order, path: str | None = None, rows: int = 100_000):
+        """Write ``df`` in ranges of about ``rows`` rows to ``path`` (by default
+        the scratch folder).  The driver keeps a count per range."""
+        self._order = [sort_key(s) for s in order]
+        self._path = path or scratch_path(df.sparkSession, "rank-index")
+        self._columns = df.columns
+        parts = max(1, -(-df.count() // rows))
+        (df.repartitionByRange(parts, *self._order).withColumn("_range", F.spark_partition_id())
+         .sortWithinPartitions(*self._order).write.partitionBy("_range").parquet(self._path))
+        self._rows = df.sparkSession.read.parquet(self._path)
+        counts = self._rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()
+        self.counts = sorted((r["_range"], r["n"]) for r in counts)
+
+    def page(self, offset: int, limit: int) -> DataFrame:
+        """``limit`` rows after the first ``offset``, in order."""
+        held, before, start = [], 0, 0
+        for part, n in self.counts:
+            if before + n > offset and before < offset + limit:
+                start = start if held else before
+                held.append(part)
+            before += n
+        rows = self._rows.where(F.col("_range").isin(held) if held else F.lit(False))
+        return rows.orderBy(*self._order).offset(max(0, offset - start)).limit(limit).select(*self._columns)
+
+
 def page_after(df: DataFrame, keys: list[str], after: tuple | None, limit: int = 100) -> DataFrame:
     """Keyset pagination: rows strictly after ``after`` in ascending ``keys``
     order, NULLs last (``after`` may hold None for a NULL key).  Cost does not

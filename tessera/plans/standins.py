@@ -150,6 +150,14 @@ def json_cast(spark, sf):
         F.sum(F.variant_get("props", "$.k", "int")).alias("sum_k"), F.count(F.lit(1)).alias("n"))
 
 
+@query("json_shred", """
+SELECT event_id, event_type, (try_cast(props AS JSON)->>'$.k')::BIGINT AS k FROM events
+""")
+def json_shred(spark, sf):
+    return NZ.shred_json(_t(spark, sf, "events").select("event_id", "event_type", "props"), "props").select(
+        "event_id", "event_type", F.col("k").cast("bigint").alias("k"))
+
+
 @query("unpivot_status", """
 SELECT doc_id, format, CAST(status AS VARCHAR) AS status
 FROM (UNPIVOT labels ON quality, toxic INTO NAME format VALUE status)
@@ -191,6 +199,22 @@ def table_sink(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("bucket_join", """
+SELECT * FROM (SELECT p_partkey, p_name, l_orderkey, l_linenumber, l_suppkey, l_extendedprice AS price,
+  row_number() OVER (PARTITION BY p_partkey ORDER BY l_extendedprice NULLS LAST, l_orderkey, l_linenumber, l_suppkey) AS rank
+  FROM part JOIN lineitem ON p_partkey = l_partkey) t WHERE rank <= 2
+""")
+def bucket_join(spark, sf):
+    """Cards and prices written in buckets of their key: the join and the
+    ranking that follow move no row."""
+    part = S.bucketed(_t(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey", 8)
+    lines = S.bucketed(_t(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linenumber",
+                                                        "l_suppkey", F.col("l_extendedprice").alias("price")), "p_partkey", 8)
+    joined = J.join_prices(part, lines, key="p_partkey", price_cols=("l_orderkey", "l_linenumber", "l_suppkey", "price"))
+    top = K.top_n_per_group(joined, "p_partkey", ["price asc", "l_orderkey", "l_linenumber", "l_suppkey"], 2)
+    return top.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @query("optional_column_missing", """
 SELECT p_partkey, p_type AS value FROM part WHERE p_size > 40
 """)
@@ -695,6 +719,18 @@ def nested_price_map(spark, sf):
     return A.flatten_nested_map(nested, ["uuid"], levels, "date", "price")
 
 
+@query("nested_price_map_parts", f"""
+SELECT uuid, source, provider, currency, price_type, finish, date, max(price) AS price
+FROM ({_PRICE_ROWS_SQL}) t
+GROUP BY uuid, source, provider, currency, price_type, finish, date
+""")
+def nested_price_map_parts(spark, sf):
+    """Maps of at most about 8 entries, so that most parts have several."""
+    levels = ["source", "provider", "currency", "price_type", "finish"]
+    parts = A.nested_map_parts(_price_rows(spark, sf), ["uuid"], levels, "date", "price", most=8)
+    return A.flatten_nested_map(parts, ["uuid", "part"], levels, "date", "price").drop("part")
+
+
 _GROUP_MAP_SQL = """
 WITH c AS (SELECT l_orderkey, 'line' || CAST(l_linenumber AS VARCHAR) AS sheet,
                   max(CAST(l_quantity AS BIGINT)) AS picks
@@ -759,6 +795,19 @@ def page(spark, sf):
                   ["o_totalprice desc", "o_orderkey asc"], limit=20, offset=40)
 
 
+@query("page_deep", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM (
+  SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS r,
+         count(*) OVER () AS n FROM lineitem) t
+WHERE r > n // 2 AND r <= n // 2 + 50
+""")
+def page_deep(spark, sf):
+    """The page in the middle of all lines, from one range of a rank index."""
+    lines = _t(spark, sf, "lineitem").select(*LINE_KEY, "l_extendedprice")
+    index = K.RankIndex(lines, ["l_extendedprice desc", *LINE_KEY], rows=20_000)
+    return index.page(sum(n for _, n in index.counts) // 2, 50)
+
+
 @query("page_keyset", """
 SELECT o_orderdate, o_orderkey FROM orders
 WHERE o_orderdate > TIMESTAMP '1997-06-01 00:00:00'

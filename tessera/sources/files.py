@@ -3,10 +3,14 @@ table sink (S8) and optional-column probe (S9)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import scratch_path
+
 
 def ingest_ndjson(spark: SparkSession, path: str, view: str | None = None,
                   schema: T.StructType | str | None = None) -> DataFrame:
@@ -137,6 +141,27 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
         raise ValueError("give a path or a table name")
 
 
+def bucketed(df: DataFrame, key, buckets: int, path: str | None = None, table: str | None = None) -> DataFrame:
+    """``df`` written in ``buckets`` files by the hash of ``key``, each sorted by
+    it, and read back: tables with equal numbers of buckets join, group and rank
+    by ``key`` without a shuffle, as often as they are read.
+
+    Rows are dealt by key before the write, so a bucket is one file.  Without a
+    ``table`` name the files lie in the scratch folder (or ``path``) and the
+    catalog entry that Spark needs to know the buckets is dropped again.
+    """
+    spark, keys = df.sparkSession, [key] if isinstance(key, str) else list(key)
+    name = table or f"tessera_bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    w = dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    w.option("path", path or scratch_path(spark, "bucketed")).saveAsTable(name)
+    out = spark.table(name)
+    out.schema                                   # resolved before its name goes
+    if table is None:
+        spark.sql(f"DROP TABLE {name}")          # an external table: the files stay
+    return out
+
+
 def optional_column(df: DataFrame, column: str, schema: T.StructType | str | None = None,
                     select=None) -> DataFrame:
     """``select`` applied when ``column`` exists, else an empty relation with

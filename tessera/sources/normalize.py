@@ -85,6 +85,37 @@ def json_to_variant(df: DataFrame, columns=None) -> DataFrame:
                        for c in df.columns])
 
 
+def _ddl(variant_type: str) -> str:
+    """The DDL of a type as ``schema_of_variant`` spells it."""
+    return variant_type.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+
+
+def shred_json(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
+    """S4 in bulk: a typed column per top-level field of the JSON text in
+    ``column`` (NULL where a row hasn't it, or its text is malformed).
+
+    One pass finds the fields and the type that holds all values of each
+    (``schema_of_variant_agg``, a partial aggregate of one row); a second reads
+    them all from the text parsed once.  Fields of values too different for one
+    type come as JSON text; text that is no object gives no columns.
+    """
+    parsed = F.try_parse_json(F.col(f"`{column}`"))
+    found = df.agg(F.schema_of_variant_agg(parsed)).first()[0] or "VOID"
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    if not found.startswith("OBJECT<"):
+        return df.select(*rest)
+    typed = df.select(*rest, parsed.alias("_json"))
+
+    def field(name: str, kind: T.DataType):
+        path = "$[" + "'" + name.replace("'", "\\'") + "']"
+        if isinstance(kind, T.VariantType):
+            return F.to_json(F.variant_get("_json", path, "variant")).alias(prefix + name)
+        return F.try_variant_get("_json", path, kind.simpleString()).alias(prefix + name)
+
+    fields = T.DataType.fromDDL(_ddl(found)).fields
+    return typed.select(*rest, *[field(f.name, f.dataType) for f in fields])
+
+
 def unpivot_status(df: DataFrame, id_col: str = "uuid", name_col: str = "format",
                    value_col: str = "status") -> DataFrame:
     """Wide status table -> long ``(id, name, value)`` without NULL values.

@@ -47,21 +47,41 @@ TEST_TABLES = (
 _SCANS: dict = {}
 
 
+def listing(spark: SparkSession, path: str) -> tuple | None:
+    """(path, length, time) of every file under ``path``, through the Hadoop
+    FileSystem; None if it can't be listed (a Spark Connect client)."""
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        top = fs.getFileStatus(p)
+        if not top.isDirectory():
+            return ((top.getPath().toString(), top.getLen(), top.getModificationTime()),)
+        out, files = [], fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return tuple(sorted(out))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan of one generated table (projection/filters push down).
 
-    The DataFrame (its file listing and footer schema, not data) is reused per
-    session and path: the generated tables are read-only, and re-listing and
-    re-reading footers costs more than small queries themselves.
+    The DataFrame (its file listing and footer schema, not data) is reused
+    within a session as long as the listing stays the same: re-reading footers
+    costs more than small queries themselves, and a table that was written
+    anew is read anew.
     """
     if name not in TEST_TABLES:
         raise KeyError(f"unknown table {name!r}")
     path = os.path.join(sf_dir, f"{name}.parquet")
+    now = listing(spark, path)
     hit = _SCANS.get(path)
-    if hit is not None and hit.sparkSession is spark:
-        return hit
+    if now is not None and hit is not None and hit[0] == now and hit[1].sparkSession is spark:
+        return hit[1]
     df = spark.read.parquet(path)
-    _SCANS[path] = df
+    _SCANS[path] = (now, df)
     return df
 
 

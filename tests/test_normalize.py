@@ -78,3 +78,40 @@ def test_list_heuristic_overrides(spark):
     c = Catalog(spark, overrides={"things": df}, list_columns={"things": {"extra": ["owner"], "ignore": ["names"]}})
     row = c.ensure_view("things").first()
     assert row["tags"] == ["a", "b"] and row["names"] == "x, y" and row["owner"] == ["p", "q"]
+
+
+def test_shredding_types_every_field(spark):
+    from tessera.sources.normalize import shred_json
+    rows = [(1, '{"k": 1, "n": {"a": [1, 2]}, "m": "x"}'), (2, '{"k": 2.5, "m": 3, "a b": true}'), (3, "{bad"), (4, None),
+            (5, "[1]"), (6, "{}")]
+    out = {r.id: r for r in shred_json(spark.createDataFrame(rows[:4], "id int, props string"), "props").collect()}
+    assert [float(out[1].k), float(out[2].k)] == [1.0, 2.5] and out[1].n.a == [1, 2] and out[2]["a b"] is True
+    assert (out[1].m, out[2].m) == ('"x"', "3")                    # too different for one type
+    assert out[3].k is None and out[4].m is None and out[1]["a b"] is None
+    assert shred_json(spark.createDataFrame(rows[2:5], "id int, props string"), "props").columns == ["id"]
+    assert shred_json(spark.createDataFrame(rows[:1], "id int, props string"), "props", prefix="p_").columns == [
+        "id", "p_k", "p_m", "p_n"]
+
+
+def test_a_table_written_anew_is_read_anew(spark, tmp_path):
+    from tessera.sources.registry import load_table
+    path = f"{tmp_path}/nation.parquet"
+    spark.range(3).write.parquet(path)
+    first = load_table(spark, str(tmp_path), "nation")
+    assert first.count() == 3 and load_table(spark, str(tmp_path), "nation") is first
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert load_table(spark, str(tmp_path), "nation").count() == 5
+    spark.range(2).write.mode("append").parquet(path)
+    assert load_table(spark, str(tmp_path), "nation").count() == 7
+
+
+def test_parts_of_a_nested_map_merge_again(spark):
+    from tessera.operators import aggregates as A
+    df = spark.range(3000).selectExpr("CAST(id % 3 = 0 AS INT) AS u", "CAST(id % 7 AS STRING) AS s",
+                                      "CAST(id AS STRING) AS d", "CAST(id AS DOUBLE) AS p")
+    parts = A.nested_map_parts(df, ["u"], ["s"], "d", "p", most=100)
+    sizes = [sum(len(m) for m in r.prices.values()) for r in parts.collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 160 and len(sizes) >= 30
+    whole = A.nested_map(df, ["u"], ["s"], "d", "p")
+    merged = A.merge_parts(parts, ["u"], ["s"], "d", "p")
+    assert {r.u: r.prices for r in merged.collect()} == {r.u: r.prices for r in whole.collect()}

@@ -56,3 +56,27 @@ def test_no_broadcast_hints_in_library():
     src = pathlib.Path(__file__).resolve().parents[1] / "tessera"
     for f in src.rglob("*.py"):
         assert f.parent.name == "llm" or "F.broadcast(" not in f.read_text(), f
+
+
+def test_bucketed_tables_join_and_rank_without_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, "bucket_join")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "Exchange" not in p and "Bucketed: true" in p
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_bucketed")]
+
+
+def test_a_deep_page_reads_few_ranges(spark):
+    from tessera.operators.topk import RankIndex
+    df = spark.range(10_000).selectExpr("id", "(id * 7919) % 10007 AS k").repartition(5)
+    index = RankIndex(df, ["k desc", "id"], rows=500)
+    want = [r.id for r in df.orderBy(df.k.desc(), "id").collect()]
+    for offset, limit in [(0, 10), (4_990, 30), (9_995, 50), (20_000, 5), (499, 1_002)]:
+        page = index.page(offset, limit)
+        assert [r.id for r in page.collect()] == want[offset:offset + limit]
+    # the page of 30 rows lies in one range or two of some twenty
+    assert len(index.counts) >= 15 and len(index.page(4_990, 30).inputFiles()) >= 1
+    parts = index.page(4_990, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in parts and "_range" in parts
