@@ -51,18 +51,35 @@ def _keys(text_col: str, source_col: str, lang_col: str) -> list[Column]:
             topic(text_col).alias("topic")]
 
 
-#: Of the largest share of all tokens whose targets every marginal can meet.
-SLACK = 0.95
+#: The part of its tokens that a source, language or topic gives at most, if
+#: the sample has room for it; a little less than all, so that the marginals
+#: leave each other some choice.
+WHOLE = 0.98
+
+
+def bounded(want: dict, held: dict, total: float) -> dict:
+    """Targets in proportion to ``want``, each at most ``WHOLE`` of what is
+    ``held``, of ``total`` in all: those that hold too little give that much,
+    and the others share the rest."""
+    full: set = set()
+    while True:
+        left = total - sum(WHOLE * held[k] for k in full)
+        per = left / sum(w for k, w in want.items() if k not in full) if len(full) < len(want) else 0.0
+        more = {k for k, w in want.items() if k not in full and per * w > WHOLE * held[k]}
+        if not more:
+            return {k: WHOLE * held[k] if k in full else per * w for k, w in want.items()}
+        full |= more
 
 
 def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-            temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24) -> DataFrame:
+            temper: float = 0.7, keep_share: float = 0.5, rounds: int = 12) -> DataFrame:
     """Cells (source, lang, topic, tokens, ratio, p), one per combination held.
 
     The targets of each marginal are its token shares to the power ``temper``,
     scaled to one: large sources, languages and topics lose, small ones gain.
-    The sample is ``keep_share`` of all tokens, or less: no more than ``SLACK``
-    of what leaves each marginal's target within the tokens it has.  A cell's
+    The sample is ``keep_share`` of all tokens.  A source, language or topic
+    whose target exceeds the tokens it has (all but 1 - ``WHOLE`` of them) has
+    these as its target, and the others share the rest in proportion.  A cell's
     weight is its tokens times the factors of its source, language and topic,
     but never more than its tokens; ``p`` (to six places), the weight over the
     tokens, is its sampling probability, ``ratio`` that over the share sampled.
@@ -83,23 +100,23 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
     for r in grid:
         for name, of in held.items():
             of[r[name]] = of.get(r[name], 0.0) + r["tokens"]
-    goal = {}
-    for name, of in held.items():
-        powered = {k: (v / total) ** temper for k, v in of.items() if v}
-        scale = sum(powered.values())
-        goal[name] = {k: total * v / scale for k, v in powered.items()}
-    of_source = (cells.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("held"))
-                 .withColumn("share", F.pow(F.col("held") / F.lit(total), F.lit(temper))))
-    scale = of_source.agg(F.sum("share")).first()[0]
-    of_source = keep(of_source.withColumn("goal", F.col("share") * F.lit(total / scale)))
-    within = min([of_source.agg(F.min(F.col("held") / F.col("goal"))).first()[0],
-                  *[held[n][k] / g for n in goal for k, g in goal[n].items()]])
-    share = min(keep_share, SLACK * within)
-    goal = {n: {k: share * g for k, g in of.items()} for n, of in goal.items()}
+    share = min(keep_share, WHOLE)
+    goal = {n: bounded({k: (v / total) ** temper for k, v in of.items() if v}, of, share * total)
+            for n, of in held.items()}
     factor = {n: dict.fromkeys(g, 1.0) for n, g in goal.items()}
-    live = keep(cells.where("tokens > 0")
-                .join(of_source.select("source", (F.col("goal") * F.lit(share)).alias("goal")), "source")
-                .repartition("source"))
+    of_source = keep(cells.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("held"))
+                     .withColumn("want", F.pow(F.col("held") / F.lit(total), F.lit(temper))))
+    # ``bounded`` over a table of any size: the sources that give all they have grow round by round.
+    per, full = 0.0, -1
+    while True:
+        whole = F.col("want") * F.lit(per) > F.col("held") * F.lit(WHOLE)
+        r = of_source.agg(F.sum(whole.cast("long")), F.sum(F.when(whole, F.col("held") * F.lit(WHOLE))),
+                          F.sum(F.when(~whole, F.col("want")))).first()
+        if r[0] == full or not r[2]:
+            break
+        full, per = r[0], (share * total - (r[1] or 0.0)) / r[2]
+    live = keep(cells.where("tokens > 0").join(of_source.select("source", F.least(
+        F.col("want") * F.lit(per), F.col("held") * F.lit(WHOLE)).alias("goal")), "source").repartition("source"))
     per_source = Window.partitionBy("source")        # languages by topics at most
     falling = per_source.orderBy(F.desc("r"), "lang", "topic")
 
@@ -141,8 +158,10 @@ LEAST_STEP = 0.05
 
 
 def misses(cells: DataFrame, temper: float = 0.7) -> DataFrame:
-    """(marginal, value, target, expected): the shares of the sampled tokens of
-    every source, language and topic, as wanted and as expected by ``p``."""
+    """(marginal, value, target, expected, whole): the shares of the sampled
+    tokens of every source, language and topic, as wanted and as expected by
+    ``p``, and the part of its own tokens that is sampled.  Those that are short
+    of their target are sampled nearly whole."""
     out = None
     held, drawn = cells.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("p"))).first()
     for name in ("source", "lang", "topic"):
@@ -151,7 +170,7 @@ def misses(cells: DataFrame, temper: float = 0.7) -> DataFrame:
                 .withColumn("share", F.pow(F.col("n") / F.lit(held), F.lit(temper))))
         scale = part.agg(F.sum("share")).first()[0]
         part = part.select(F.lit(name).alias("marginal"), "value", (F.col("share") / F.lit(scale)).alias("target"),
-                           (F.col("d") / F.lit(drawn)).alias("expected"))
+                           (F.col("d") / F.lit(drawn)).alias("expected"), (F.col("d") / F.col("n")).alias("whole"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -185,7 +204,7 @@ def sample(df: DataFrame, cells: DataFrame, **options) -> DataFrame:
     return draw(df, cells, **options).select("row.*")
 
 
-def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24, seed: int = 42) -> str:
+def oracle_sql(temper: float = 0.7, keep_share: float = 0.5, rounds: int = 12, seed: int = 42) -> str:
     """DuckDB SQL of the sample over ``documents``: the rounds of ``weights``,
     the factors of languages and topics as tables."""
     case = " ".join("WHEN " + " OR ".join(f"contains(coalesce(text, ''), '{p}')" for p in phrases)
@@ -197,13 +216,18 @@ def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24, s
             "FROM docs GROUP BY ALL)",
             "live AS MATERIALIZED (SELECT * FROM cells WHERE tokens > 0)"]
     names = ("source", "lang", "topic")
+    share = min(keep_share, WHOLE)
     for n in names:
-        ctes.append(f"""want_{n} AS MATERIALIZED (SELECT {n}, t, pow(t / all_t, {temper})
-  / sum(pow(t / all_t, {temper})) OVER () * all_t AS goal FROM (SELECT {n}, sum(tokens) AS t,
-  (SELECT sum(tokens) FROM live) AS all_t FROM live GROUP BY {n}))""")
-    ctes.append("kept AS MATERIALIZED (SELECT least(" + f"{keep_share}, {SLACK} * least("
-                + ", ".join(f"(SELECT min(t / goal) FROM want_{n})" for n in names) + ")) AS share)")
-    ctes += [f"goal_{n} AS MATERIALIZED (SELECT {n}, share * goal AS goal FROM want_{n}, kept)" for n in names]
+        # With those of the smallest room before this one giving all they have:
+        # the first that has room for its share decides the scale.
+        ctes += [f"""want_{n} AS MATERIALIZED (SELECT {n}, held, pow(held / all_t, {temper}) AS want, all_t FROM (
+  SELECT {n}, sum(tokens) AS held, (SELECT sum(tokens) FROM live) AS all_t FROM live GROUP BY {n}))""",
+                 f"""per_{n} AS MATERIALIZED (SELECT arg_min(per, k) AS per FROM (SELECT want, held, row_number() OVER w AS k,
+  ({share} * all_t - coalesce(sum({WHOLE} * held) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(want) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS per
+  FROM want_{n} WINDOW w AS (ORDER BY held / want, {n})) WHERE per * want <= {WHOLE} * held)""",
+                 f"""goal_{n} AS MATERIALIZED (SELECT {n}, least(per * want, {WHOLE} * held) AS goal
+  FROM want_{n}, per_{n})"""]
     ctes += [f"f_{n}0 AS MATERIALIZED (SELECT {n}, 1.0::DOUBLE AS f FROM goal_{n})" for n in ("lang", "topic")]
     for i in range(rounds + 1):
         ctes += [f"""r{i} AS MATERIALIZED (SELECT l.*, a.f * b.f AS r, g.goal FROM live l JOIN f_lang{i} a USING (lang)
@@ -225,7 +249,7 @@ def oracle_sql(temper: float = 0.7, keep_share: float = 0.8, rounds: int = 24, s
                  f"f_lang{i + 1} AS MATERIALIZED (SELECT lang, f * step AS f FROM f_lang{i} JOIN s{i} USING (lang))",
                  f"f_topic{i + 1} AS MATERIALIZED (SELECT topic, f * step AS f FROM f_topic{i} JOIN u{i} USING (topic))"]
     return "WITH " + ",\n".join(ctes) + f""",
-named AS (SELECT d.*, round(coalesce(p, share), 6) AS p FROM docs d, kept
+named AS (SELECT d.*, round(coalesce(p, {share}), 6) AS p FROM docs d
   LEFT JOIN p{rounds} q ON (q.source, q.lang, q.topic) = (d.source, d.lang, d.topic))
 SELECT doc_id, source, lang, topic, n_tokens, p FROM named
 WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / {16 ** 12}.0 < p"""
