@@ -245,6 +245,14 @@ def templates(weights: DataFrame, contents: DataFrame, keys: list[str], index: s
         F.col("sheets"), F.create_map().cast(sheets.schema["sheets"].dataType)))
 
 
+def empty_templates(weights: DataFrame, contents: DataFrame, keys: list[str], index: str, weight: str,
+                    sheet: str) -> DataFrame:
+    """The templates without contents, by an anti join: no map is built."""
+    named = contents.where(F.col(sheet).isNotNull() & (F.trim(F.col(sheet).cast("string")) != ""))
+    w = weights.select(*keys, index, F.coalesce(F.col(weight), F.lit(1)).cast("bigint").alias("weight"))
+    return w.join(named.select(*keys, index), keys + [index], "left_anti")
+
+
 def weight_map(df: DataFrame, group: list[str], item: str, weight: str,
                out: str = "cards") -> DataFrame:                         # A10
     """``{item: weight}`` per group (NULL weight -> 1, blank items dropped);

@@ -7,7 +7,7 @@ size grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.predicates import contains_ci, validate_column
@@ -98,16 +98,15 @@ def join_prices(cards: DataFrame, prices: DataFrame, key: str = "uuid",
 def latest_rows(df: DataFrame, key, date: str, per=None) -> DataFrame:     # J7
     """Rows at the latest ``date`` of their ``key`` (optionally per ``per``).
 
-    Computed as a grouped max (map-side partial aggregation, so a hot key
-    costs one row per task) joined back on ``(key…, date)``; hashing the join
-    on the date as well spreads a hot key's rows over many partitions.
+    One scan and one shuffle: ``rank() = 1`` plans a WindowGroupLimit on both
+    sides of the exchange, so a task ships only the rows at the latest date it
+    has seen of a key, however many the key has.  Rows without a date are no
+    one's latest.
     """
     keys = ([key] if isinstance(key, str) else list(key)) + list(per or [])
-    latest = df.groupBy(*keys).agg(F.max(date).alias("_latest"))
-    cond = [F.col(f"d.`{k}`").eqNullSafe(F.col(f"m.`{k}`")) for k in keys]
-    cond.append(F.col(f"d.`{date}`") == F.col("m._latest"))
-    return (df.alias("d").join(latest.alias("m"), cond, "inner")
-            .select(*_left_cols(df, "d")))
+    newest_first = Window.partitionBy(*keys).orderBy(F.col(date).desc())
+    return (df.where(F.col(date).isNotNull()).withColumn("_latest", F.rank().over(newest_first))
+            .where("_latest = 1").drop("_latest"))
 
 
 def ordered_fetch(requests: DataFrame, fact: DataFrame, key: str, *,

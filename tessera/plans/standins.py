@@ -741,14 +741,18 @@ t AS (SELECT o.o_orderkey, CAST(coalesce(CAST(floor(o.o_totalprice / 100000) AS
 """
 
 
-def _templates(spark, sf):
+def _template_tables(spark, sf):
     weights = _t(spark, sf, "orders").select(
         "o_orderkey", F.floor(F.col("o_totalprice") / 100000).cast("bigint").alias("w"))
     contents = _t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.concat(F.lit("line"), F.col("l_linenumber").cast("string")).alias("sheet"),
         F.col("l_quantity").cast("bigint").alias("picks"))
-    tpl = A.templates(weights, contents, [], "o_orderkey", "w", "sheet", "picks")
+    return weights, contents
+
+
+def _templates(spark, sf):
+    tpl = A.templates(*_template_tables(spark, sf), [], "o_orderkey", "w", "sheet", "picks")
     return tpl.withColumn("n_sheets", F.size("sheets").cast("bigint"))
 
 
@@ -762,8 +766,8 @@ def group_map(spark, sf):
 
 @query("group_map_empty", _GROUP_MAP_SQL + "SELECT DISTINCT o_orderkey, weight, n_sheets FROM t WHERE n_sheets = 0")
 def group_map_empty(spark, sf):
-    # Templates without contents keep their weight and an empty sheet map.
-    return _templates(spark, sf).where(F.size("sheets") == 0).select("o_orderkey", "weight", "n_sheets")
+    return (A.empty_templates(*_template_tables(spark, sf), [], "o_orderkey", "w", "sheet")
+            .select("o_orderkey", "weight", F.lit(0).cast("bigint").alias("n_sheets")))
 
 
 @query("weight_map", """

@@ -15,7 +15,7 @@ def plan(spark, name):
 
 
 def test_topk_per_group_is_window_group_limit(spark):
-    for name in ["topn_cheapest", "top1_all_names", "weighted_without_repl"]:
+    for name in ["topn_cheapest", "top1_all_names", "weighted_without_repl", "latest_rows", "latest_per_group"]:
         assert "WindowGroupLimit" in plan(spark, name), name
 
 
