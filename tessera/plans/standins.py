@@ -30,6 +30,7 @@ from tessera.operators import topk as K
 from tessera.session import scratch_path
 from tessera.sources import files as S
 from tessera.sources import normalize as NZ
+from tessera.sources.json_array import read_json_array
 from tessera.sources.registry import load_table
 from tessera.sources.sql import scalar, sql
 
@@ -187,6 +188,22 @@ def json_envelope(spark, sf):
     return docs.select(*sup.columns)
 
 
+@query("json_array_file", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+""")
+def json_array_file(spark, sf):
+    """One document that holds all customers, read in byte ranges."""
+    cust = _t(spark, sf, "customer")
+    first = cust.agg(F.min("c_custkey")).first()[0]
+    comma = F.when(F.col("c_custkey") == F.lit(first), "").otherwise(",")
+    lines = cust.select(F.when(comma == "", 1).otherwise(2).alias("at"),
+                        F.concat(comma, F.to_json(F.struct(*cust.columns))).alias("value"))
+    ends = spark.createDataFrame([(0, '{"meta": {"list": [1, {"data": []}]}, "data": ['), (3, "]}")], "at int, value string")
+    path = scratch_path(spark, "one-document")
+    lines.unionByName(ends).repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+    return read_json_array(spark, path, cust.schema)
+
+
 @query("table_sink", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_extendedprice), 2) AS revenue
 FROM lineitem GROUP BY l_returnflag, l_linestatus
