@@ -125,14 +125,28 @@ def _bytes_in(c: Column) -> Column:
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written once to the shared scratch folder (a checkpoint's rows
-    take several times the room)."""
-    path = scratch_path(df.sparkSession, f"op7-{name}")
+    take several times the room).  Spark deletes the shuffle files of plans that
+    the driver has no reference to any more when that is collected, so it is,
+    once the table is there."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"op7-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def _dropped(*tables: DataFrame) -> None:
+    """Delete scratch tables whose successors are written."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
-    """(m, code, p): the probability that shared continuation counts give the
+def backoff(grams: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, list[DataFrame]]:
+    """(m, code, p), and the scratch tables it is read from: the probability that shared continuation counts give the
     last of the m bytes of ``code`` after the others, for every suffix of the
     counted n-grams that is shorter than they are."""
     once = grams.select("code").withColumn("m", _bytes_in(F.col("code")))
@@ -150,6 +164,7 @@ def backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
         "m", "code", ((F.col("n") - discount) / F.col("total")).alias("own"),
         (discount * F.col("types") / F.col("total")).alias("rest"))
     cont = _stored(cont, "continuations")
+    tables = [cont]
     lower = cont.where("m = 1").select("code", (F.col("own") + F.col("rest") / 256).alias("p"))
     probs = lower.withColumn("m", F.lit(1))
     for k in range(2, ORDER):
@@ -158,17 +173,23 @@ def backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
                  .join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("q")), "suffix")
                  .select("code", (F.col("own") + F.col("rest") * F.col("q")).alias("p")))
         lower = _stored(lower, "backoff")
+        tables.append(lower)
         probs = probs.unionByName(lower.withColumn("m", F.lit(k)))
-    return probs.select("m", "code", "p")
+    return probs.select("m", "code", "p"), tables
 
 
 def with_backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
-    """The counted n-grams (code, ctx, n0, n1) with ``p``, that of their suffix."""
-    below = backoff(grams, discount).select(F.col("m").alias("below"), F.col("code").alias("suffix"), "p")
+    """The counted n-grams (code, ctx, n0, n1) with ``p``, that of their suffix;
+    written once."""
+    below, tables = backoff(grams, discount)
+    below = below.select(F.col("m").alias("below"), F.col("code").alias("suffix"), "p")
     m = _bytes_in(F.col("code"))
-    return (grams.select("code", F.shiftright("code", 8).alias("ctx"), "n0", "n1", (m - 1).alias("below"))
+    full = (grams.select("code", F.shiftright("code", 8).alias("ctx"), "n0", "n1", (m - 1).alias("below"))
             .withColumn("suffix", F.col("code").bitwiseAND(F.expr("shiftleft(1L, 8 * below) - 1")))
             .join(below, ["below", "suffix"]).select("code", "ctx", "n0", "n1", "p"))
+    full = _stored(full, "grams")
+    _dropped(*tables)
+    return full
 
 
 def contexts(grams: DataFrame) -> DataFrame:
@@ -444,8 +465,9 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(learn)
     docs = docs.join(known.where(learn), "__id").withColumn("__fold", fold("__id", CROSS))
     counted = _stored(count_grams(docs, "__text", "__y", "__fold"), "counts")
-    grams = counted.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    full = _stored(with_backoff(grams), "grams")
+    grams = _stored(counted.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "all-counts")
+    full = with_backoff(grams)
+    _dropped(grams)
     ctx = _stored(contexts(full.select("code", "n0", "n1")), "contexts")
     by_key = _stored(keyed(*_evidence(full, ctx, DISCOUNT)), "evidence")
     held = keep(labelled_sample(documents, labels, label, sample, calibration, id_col, text_col)
@@ -459,9 +481,11 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
     got = held.select("y").limit(0).withColumn("x", F.array(F.lit(0.0))).toPandas()
     if asked is not None:
         others = _stored(without_fold(asked.distinct(), counted, full, ctx), "folds")
+        _dropped(counted, full, ctx)
         for f, part in parts.items():
             by_fold = others.where(F.col("fold") == f).select("key", "v")
             got = pd.concat([got, statistics(part, by_fold, ["y"]).toPandas()])
+        _dropped(others, *parts.values())
     share = known.where(learn).agg(F.avg("__y")).first()[0]
     x = np.array(got["x"].tolist(), float).reshape(len(got), N_STATS)
     y = got["y"].to_numpy(int)

@@ -91,7 +91,7 @@ def test_a_fold_is_taken_off_the_whole(spark):
     df = spark.createDataFrame(docs, "text string, y int, f int")
     counted = kneser_ney.count_grams(df, "text", "y", "f")
     whole = counted.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    full, ctx = kneser_ney.with_backoff(whole).cache(), kneser_ney.contexts(whole)
+    full, ctx = kneser_ney.with_backoff(whole), kneser_ney.contexts(whole)
     keys = full.select("code").union(ctx.select(F.col("ctx").bitwiseOR(kneser_ney._CONTEXT))).toDF("key")
     asked = keys.select(F.explode(F.array(*[F.lit(f).cast("long") for f in (0, 1, 7)])).alias("fold"), "key")
     got = {(r.fold, r.key): r.v for r in kneser_ney.without_fold(asked, counted, full, ctx).collect()}
