@@ -104,8 +104,8 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
     goal = {n: bounded({k: (v / total) ** temper for k, v in of.items() if v}, of, share * total)
             for n, of in held.items()}
     factor = {n: dict.fromkeys(g, 1.0) for n, g in goal.items()}
-    of_source = keep(cells.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("held"))
-                     .withColumn("want", F.pow(F.col("held") / F.lit(total), F.lit(temper))))
+    of_source = (cells.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("held"))
+                 .withColumn("want", F.pow(F.col("held") / F.lit(total), F.lit(temper))))
     # ``bounded`` over a table of any size: the sources that give all they have grow round by round.
     per, full = 0.0, -1
     while True:
@@ -147,7 +147,7 @@ def weights(df: DataFrame, *, text_col: str = "text", source_col: str = "source"
                 step = max((g - whole_k) / part_k, LEAST_STEP) if part_k > 0 else 1.0
                 factor[name][k] *= step
                 m = {cell: (w, v * step if cell[i] == k else v) for cell, (w, v) in m.items()}
-    fitted = keep(raked().select("source", "lang", "topic", "p"))
+    fitted = raked().select("source", "lang", "topic", "p")
     return (cells.join(fitted, ["source", "lang", "topic"], "left")
             .withColumn("p", F.round(F.coalesce("p", F.lit(share)), 6))
             .select("source", "lang", "topic", "tokens", (F.col("p") / F.lit(share)).alias("ratio"), "p"))
