@@ -125,18 +125,25 @@ def _bytes_in(c: Column) -> Column:
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written once to the shared scratch folder (a checkpoint's rows
-    take several times the room).  Spark deletes the shuffle files of plans that
-    the driver has no reference to any more when that is collected, so it is,
-    once the table is there."""
+    take several times the room).  What was shuffled for it is deleted when the
+    table is there."""
     spark = df.sparkSession
     path = scratch_path(spark, f"op7-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
-    spark.sparkContext._jvm.System.gc()
     return out
 
 
+#: Fixed value: Spark's setting to delete shuffle files when a query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _dropped(*tables: DataFrame) -> None:
     """Delete scratch tables whose successors are written."""
     for t in tables:
