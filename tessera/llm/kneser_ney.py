@@ -17,6 +17,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -356,52 +357,100 @@ TOP = (1, 3, 8, 24)
 N_STATS = 3 + len(TOP)
 
 
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (key ^ (key >> 17) ^ (key >> 31)) % buckets
+
+
+def _bucket_column(key: str, buckets: int) -> Column:
+    k = F.col(key)
+    return (k.bitwiseXOR(F.shiftright(k, 17)).bitwiseXOR(F.shiftright(k, 31)) % buckets).cast("int")
+
+
+def answers(parts: DataFrame, evidence: DataFrame, buckets: int) -> DataFrame:
+    """(of, bucket, v): for the keys of a chunk that fall into a bucket, in
+    order, their evidence (not a number where there is none), packed.  Keys are
+    shuffled as packed parcels, so a key costs a few bytes a chunk."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                keys = b.column(1).slice(i, 1).flatten().to_numpy(zero_copy_only=False)
+                which = _bucket(keys, buckets)
+                order = np.argsort(which, kind="stable")
+                ends = np.cumsum(np.bincount(which, minlength=buckets))
+                held = np.flatnonzero(np.diff(ends, prepend=0))
+                rows = [keys[order[ends[k - 1] if k else 0:ends[k]]] for k in held]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held, pa.int32()), pa.array([b.column(0)[i].as_py()] * len(held), pa.int64()),
+                     pa.array([_shuffled_bytes(np.diff(r, prepend=0)) for r in rows], pa.binary())], ["bucket", "of", "keys"])
+
+    def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
+        key, v = (known[c].to_numpy() for c in ("key", "v"))
+        order = np.argsort(key)
+        key, v = np.append(key[order], -1), np.append(v[order], np.nan)
+        out = []
+        for b in asked["keys"]:
+            want = np.cumsum(_from_bytes(b.as_py(), np.int64))
+            at = np.searchsorted(key[:-1], want)
+            out.append(_shuffled_bytes(np.where(key[at] == want, v[at], np.nan)))
+        return pa.table({"of": asked["of"], "bucket": asked["bucket"], "v": pa.array(out, pa.binary())})
+
+    dealt = parts.select("chunk", "keys").mapInArrow(deal, "bucket int, of long, keys binary")
+    known = evidence.select("key", "v", _bucket_column("key", buckets).alias("in"))
+    return dealt.groupBy("bucket").cogroup(known.groupBy("in")).applyInArrow(look_up, "of long, bucket int, v binary")
+
+
+def _shuffled_bytes(x: np.ndarray) -> bytes:
+    """Eight-byte numbers, compressed with their first bytes first."""
+    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _from_bytes(b: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(b), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).ravel()
+
+
 def statistics(parts: DataFrame, evidence: DataFrame, keep_cols: list[str]) -> DataFrame:
     """(``keep_cols``, x) of every document of ``chunks``.  A chunk asks once
     for each of its n-grams and contexts, however often it has them, so a key
-    is asked for by as many rows as there are chunks at most."""
-    asked = parts.select("chunk", F.posexplode("keys").alias("i", "key"))
-    got = (asked.join(evidence, "key").select("chunk", F.struct("i", "v").alias("r"))
-           .groupBy("chunk").agg(F.collect_list("r").alias("r")))
-    whole = parts.join(got, "chunk", "left")
+    is asked for by as many chunks as there are at most."""
+    buckets = max(1, parts.count())
     schema = T.StructType([T.StructField(c, parts.schema[c].dataType.elementType) for c in keep_cols]
                           + [T.StructField("x", T.ArrayType(T.DoubleType()))])
     arrow = arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                row = b.slice(k, 1)
-
-                def of(name: str) -> pa.Array:
-                    return row.column(name).flatten()
-
-                keys = of("keys").to_numpy(zero_copy_only=False)
-                value = np.full(len(keys), np.nan)
-                if row.column("r").null_count == 0:
-                    r = of("r")
-                    value[r.field("i").to_numpy(zero_copy_only=False)] = r.field("v").to_numpy(zero_copy_only=False)
-                first = np.searchsorted(keys, _CONTEXT)       # n-grams, then contexts
-                back = np.nan_to_num(value[first:])[np.searchsorted(keys[first:], keys[:first] >> 8 | _CONTEXT)]
-                llr = np.where(np.isnan(value[:first]), back, value[:first])
-                llr = np.rint(llr * _UNIT).astype(np.int64)
-
-                def numbers(name: str, count: str) -> np.ndarray:
-                    return _unpacked(row.column(name)[0].as_py(), row.column(count)[0].as_py())
-
-                ends = numbers("ends", "n_ends")
-                starts = np.append(0, ends[:-1])
-                of_word = (np.add.reduceat(llr[numbers("grams", "n_grams")], starts) / _UNIT if len(ends)
-                           else np.empty(0))
-                x = _stats(of_word, ends - starts[:len(ends)], numbers("words", "n"),
-                           of("n_words").to_numpy(zero_copy_only=False))
-                flat = pa.array(x.ravel())
-                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * N_STATS, flat)
-                cols = [of(c).cast(arrow.field(c).type) for c in keep_cols] + [lists.cast(arrow.field("x").type)]
-                yield pa.RecordBatch.from_arrays(cols, schema=arrow)
-
-    return whole.select("keys", "grams", "n_grams", "ends", "n_ends", "words", "n", "n_words", "r",
-                        *[c for c in keep_cols]).mapInArrow(run, schema)
+    def work(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        if not len(chunk):
+            return arrow.empty_table()
+        row = chunk.combine_chunks().to_batches()[0]
+
+        def of(name: str) -> pa.Array:
+            return row.column(name).flatten()
+
+        keys = of("keys").to_numpy(zero_copy_only=False)
+        value, which = np.full(len(keys), np.nan), _bucket(keys, buckets)
+        for k, v in zip(found["bucket"].to_pylist(), found["v"]):
+            value[which == k] = _from_bytes(v.as_py(), np.float64)
+        first = np.searchsorted(keys, _CONTEXT)       # n-grams, then contexts
+        back = np.nan_to_num(value[first:])[np.searchsorted(keys[first:], keys[:first] >> 8 | _CONTEXT)]
+        llr = np.where(np.isnan(value[:first]), back, value[:first])
+        llr = np.rint(llr * _UNIT).astype(np.int64)
+
+        def numbers(name: str, count: str) -> np.ndarray:
+            return _unpacked(row.column(name)[0].as_py(), row.column(count)[0].as_py())
+
+        ends = numbers("ends", "n_ends")
+        starts = np.append(0, ends[:-1])
+        of_word = (np.add.reduceat(llr[numbers("grams", "n_grams")], starts) / _UNIT if len(ends)
+                   else np.empty(0))
+        x = _stats(of_word, ends - starts[:len(ends)], numbers("words", "n"),
+                   of("n_words").to_numpy(zero_copy_only=False))
+        lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * N_STATS, pa.array(x.ravel()))
+        cols = [of(c).cast(arrow.field(c).type) for c in keep_cols] + [lists.cast(arrow.field("x").type)]
+        return pa.Table.from_arrays(cols, schema=arrow)
+
+    whole = parts.select("chunk", "keys", "grams", "n_grams", "ends", "n_ends", "words", "n", "n_words", *keep_cols)
+    return (whole.groupBy("chunk").cogroup(answers(parts, evidence, buckets).groupBy("of"))
+            .applyInArrow(work, schema))
 
 
 def _stats(of_word: np.ndarray, size: np.ndarray, words: np.ndarray, n_words: np.ndarray) -> np.ndarray:
