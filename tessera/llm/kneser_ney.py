@@ -296,14 +296,14 @@ def chunks(df: DataFrame, text_col: str, keep_cols: dict[str, str]) -> DataFrame
     """``df`` as chunks of documents, written once: (chunk, keys, grams, ends,
     n, words, and the arrays ``keep_cols`` and n_words by document).
 
-    ``keys`` are the distinct n-grams of the chunk's words, then their distinct
-    contexts; ``grams`` the words' n-grams as numbers of keys, word after word
+    ``keys`` (ascending, packed) are the distinct n-grams of the chunk's words,
+    then their distinct contexts; ``grams`` the words' n-grams as numbers of keys, word after word
     up to ``ends``; ``words`` the documents' ``n`` words as numbers of words.
     """
     src = df.select(*[F.col(c).alias(name) for name, c in keep_cols.items()],
                     F.col(text_col).cast("string").alias("__text"))
     schema = T.StructType(
-        [T.StructField("chunk", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+        [T.StructField("chunk", T.LongType()), T.StructField("keys", T.BinaryType()),
          T.StructField("grams", T.BinaryType()), T.StructField("n_grams", T.LongType()),
          T.StructField("ends", T.BinaryType()), T.StructField("n_ends", T.LongType()),
          T.StructField("words", T.BinaryType()), T.StructField("n", T.LongType()),
@@ -326,7 +326,7 @@ def chunks(df: DataFrame, text_col: str, keep_cols: dict[str, str]) -> DataFrame
             own, grams = np.unique(code.view(np.int64), return_inverse=True)
             keys = np.concatenate([own, np.unique(own >> 8) | _CONTEXT])
             ends = np.cumsum([len(w) + 1 for w in seen])
-            cols = [[made], [keys], [_packed(grams)], [len(grams)], [_packed(ends)], [len(ends)],
+            cols = [[made], [_shuffled_bytes(np.diff(keys, prepend=0))], [_packed(grams)], [len(grams)], [_packed(ends)], [len(ends)],
                     [_packed(words)], [len(words)], [counts], *[[h] for h in held]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
@@ -373,7 +373,7 @@ def answers(parts: DataFrame, evidence: DataFrame, buckets: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                keys = b.column(1).slice(i, 1).flatten().to_numpy(zero_copy_only=False)
+                keys = _keys(b.column(1)[i].as_py())
                 which = _bucket(keys, buckets)
                 order = np.argsort(which, kind="stable")
                 ends = np.cumsum(np.bincount(which, minlength=buckets))
@@ -389,7 +389,7 @@ def answers(parts: DataFrame, evidence: DataFrame, buckets: int) -> DataFrame:
         key, v = np.append(key[order], -1), np.append(v[order], np.nan)
         out = []
         for b in asked["keys"]:
-            want = np.cumsum(_from_bytes(b.as_py(), np.int64))
+            want = _keys(b.as_py())
             at = np.searchsorted(key[:-1], want)
             out.append(_shuffled_bytes(np.where(key[at] == want, v[at], np.nan)))
         return pa.table({"of": asked["of"], "bucket": asked["bucket"], "v": pa.array(out, pa.binary())})
@@ -409,6 +409,21 @@ def _from_bytes(b: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).ravel()
 
 
+def _keys(b: bytes) -> np.ndarray:
+    """Ascending keys from their packed differences."""
+    return np.cumsum(_from_bytes(b, np.int64))
+
+
+def exploded(parts: DataFrame) -> DataFrame:
+    """The keys of all chunks, a row each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for keys in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(keys.as_py()))], ["key"])
+
+    return parts.select("keys").mapInArrow(run, "key long")
+
+
 def statistics(parts: DataFrame, evidence: DataFrame, keep_cols: list[str]) -> DataFrame:
     """(``keep_cols``, x) of every document of ``chunks``.  A chunk asks once
     for each of its n-grams and contexts, however often it has them, so a key
@@ -426,7 +441,7 @@ def statistics(parts: DataFrame, evidence: DataFrame, keep_cols: list[str]) -> D
         def of(name: str) -> pa.Array:
             return row.column(name).flatten()
 
-        keys = of("keys").to_numpy(zero_copy_only=False)
+        keys = _keys(row.column("keys")[0].as_py())
         value, which = np.full(len(keys), np.nan), _bucket(keys, buckets)
         for k, v in zip(found["bucket"].to_pylist(), found["v"]):
             value[which == k] = _from_bytes(v.as_py(), np.float64)
@@ -532,7 +547,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "toxic", learn:
     parts = {f: chunks(held.where(F.col("fold") == f), "text", {"y": "y"}) for f in folds}
     asked = None
     for f, part in parts.items():
-        some = part.select(F.lit(f).cast("long").alias("fold"), F.explode("keys").alias("key"))
+        some = exploded(part).select(F.lit(f).cast("long").alias("fold"), "key")
         asked = some if asked is None else asked.unionByName(some)
     got = held.select("y").limit(0).withColumn("x", F.array(F.lit(0.0))).toPandas()
     if asked is not None:
