@@ -9,14 +9,20 @@ All of it is built-in Column expressions: a codegen'd upper bound on the score
 discards almost every row, and the exact score folds over the bytes of one
 string with ``locate`` and ``overlay`` on the other, whatever their lengths.
 No Python worker, no shuffle.  ``fuzzy_join`` matches two tables of names by
-signatures, so that only pairs that share one are scored.
+signatures, so that only pairs that share one are scored; names, their sets and
+the signatures' sizes are worked out when it is called.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import scratch_path
+
 #: Stands for a byte that is matched already; no byte view holds it.
 _TAKEN = "Ā"
 
@@ -126,18 +132,35 @@ def fuzzy_filter(df: DataFrame, c: str, query: str, threshold: float = 0.8,
 # --------------------------------------------------------------------------
 # Bulk: names against names.
 # --------------------------------------------------------------------------
-#: Lengths of a band differ by this factor at most.
-_BAND = 1.25
+#: Lengths up to ``_SHORT`` are a band each; those of a longer band differ by
+#: the factor ``_BAND`` at most.
+_SHORT, _BAND = 32, 1.25
+#: Signatures that a name has at most, if more of its members are to go into one.
+_MOST_KEYS = 100
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """``df``, written once to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, "fuzzy")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _tasks(df: DataFrame) -> int:
+    """Names and pairs are few bytes but much work: their tasks are not to be put together."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _signed(df: DataFrame, name: str) -> DataFrame:
     """Distinct names with their byte view ``x``, length, its band, and their
     bytes in hex."""
-    return (df.select(F.col(name).alias("name")).where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
+    long = F.floor(F.log(F.col("l") / _SHORT) / F.log(F.lit(_BAND)) + 1e-9) + _SHORT
+    return (df.select(F.col(name).alias("name")).where(F.col(name).isNotNull() & (F.col(name) != ""))
+            .repartition(_tasks(df), "name").distinct()
             .select("name", F.expr(_byte_view("name")).alias("x"))
             .select("*", F.length("x").alias("l"), F.regexp_extract_all(F.hex(F.encode("name", "UTF-8")),
                                                                         F.lit(".."), 0).alias("bytes"))
-            .withColumn("band", F.floor(F.log(F.col("l")) / F.log(F.lit(_BAND)) + 1e-9).cast("int")))
+            .withColumn("band", F.when(F.col("l") <= _SHORT, F.col("l")).otherwise(long).cast("int")))
 
 
 def _overlap(l1: Column, l2: Column, jaro: Column) -> Column:
@@ -146,39 +169,87 @@ def _overlap(l1: Column, l2: Column, jaro: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(least - 1e-9) + 1).cast("int")
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, worked out once however often it is read."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _lowest(band: Column) -> Column:
     """A length no greater than any of the band."""
-    return F.greatest(F.lit(1), F.floor(F.pow(F.lit(_BAND), band) - 1e-6))
+    return F.when(band <= _SHORT, band).otherwise(F.floor(_SHORT * F.pow(F.lit(_BAND), band - _SHORT) - 1e-6))
 
 
-def _keys(names: DataFrame, ranks: dict[str, int], others: list[int], threshold: float, side: str) -> DataFrame:
-    """(name, prefix, low, high, head, key): the signatures of every name.
+def _alphabet(names: DataFrame) -> DataFrame:
+    """(other, most): of every band how often a name of it has a byte at most."""
+    return (names.select("band", "name", F.explode("bytes").alias("byte"))
+            .groupBy("band", "name", "byte").agg(F.count("*").alias("n"))
+            .groupBy("band", "byte").agg(F.max("n").alias("n"))
+            .groupBy(F.col("band").alias("other")).agg(F.map_from_entries(F.collect_list(F.struct("byte", "n"))).alias("most")))
+
+
+def _members(names: DataFrame, met: DataFrame, ranks: dict[str, int], others: list[int], threshold: float,
+             side: str) -> DataFrame:
+    """(name, prefix, head, low, high, set, spare): the names' sets for every
+    band and every length of a common prefix of the other side, ``met``.
 
     Bytes are numbered by rarity, repeats told apart, so a name is a set of
-    ascending numbers.  Two names whose sets share ``overlap`` members share one
-    of the first ``l - overlap + 1`` of each (or two of the first ``l - overlap
-    + 2``), as many as a smaller overlap than needed allows.  Pairs are looked
-    for by the length of their common prefix: the shorter it is, the more they
-    must share; the longer, the more of it is part of the signature.
+    ascending numbers; those that no name of the other band has are left out.
+    ``spare`` is how many of the rest may go without a partner.
     """
+    heads = (met.select("x", F.explode(F.sequence(F.lit(1), F.least(F.lit(4), F.col("l")))).alias("prefix"))
+             .select("prefix", F.substring(F.col("x"), F.lit(1), F.col("prefix")).alias("head")).distinct())
+    longer = (names.withColumn("prefix", F.explode(F.sequence(F.lit(1), F.least(F.lit(4), F.col("l")))))
+              .withColumn("head", F.substring(F.col("x"), F.lit(1), F.col("prefix"))).join(heads, ["prefix", "head"], "left_semi"))
+    rows = names.withColumn("prefix", F.lit(0)).withColumn("head", F.lit("")).unionByName(longer)
     rank = F.create_map(*[F.lit(v) for kv in sorted(ranks.items()) for v in kv])
-    by_rarity = F.array_sort(F.transform("bytes", lambda b: rank[b]))
-    numbered = F.transform(by_rarity, lambda v, i: v.cast("bigint") * (1 << 32)
-                           + (i - F.array_position(by_rarity, v) + 1))
     jaro = F.create_map(*[F.lit(v) for p in range(5) for v in (p, _least_jaro(threshold, p))])[F.col("prefix")]
-    rows = (names.select("name", "x", "l", "band", numbered.alias("set"),
-                         F.explode(F.array(*[F.lit(b) for b in others])).alias("other"))
-            .withColumn("prefix", F.explode(F.sequence(F.lit(0), F.least(F.lit(4), F.col("l")))))
-            .withColumn("both", F.when((F.col("prefix") < 2) & (_overlap(
-                _lowest(F.col("band")), _lowest(F.col("other")), jaro) > 1), 2).otherwise(1))
-            .withColumn("first", F.col("l") - _overlap(F.col("l"), _lowest(F.col("other")), jaro) + F.col("both"))
-            .where("first >= both").withColumn("set", F.slice("set", F.lit(1), F.col("first"))))
-    pairs = F.flatten(F.transform("set", lambda a, i: F.transform(
-        F.filter("set", lambda b: b > a), lambda b: F.xxhash64(a, b))))
-    key = F.explode(F.when(F.col("both") == 2, pairs).otherwise(F.transform("set", lambda a: F.xxhash64(a))))
+    rows = (rows.withColumn("other", F.explode(F.array(*[F.lit(b) for b in others])))
+            .withColumn("need", _overlap(F.col("l"), _lowest(F.col("other")), jaro)).where("need <= l")
+            .join(F.broadcast(_alphabet(met)), "other"))
+    by_rarity = F.array_sort(F.transform("bytes", lambda b: F.struct(rank[b].cast("bigint").alias("r"), b.alias("b"))))
+
+    def member(ranked: Column, most: Column, v: Column, i: Column) -> Column:
+        nth = i - F.array_position(ranked, v) + 1
+        return F.when(nth < F.coalesce(F.try_element_at(most, v["b"]), F.lit(0)), v["r"] * (1 << 32) + nth)
+
+    kept = F.array_compact(_once(by_rarity, lambda ranked: _once(F.col("most"), lambda most: F.transform(
+        ranked, lambda v, i: member(ranked, most, v, i)))))
     low, high = ("band", "other") if side == "left" else ("other", "band")
-    return rows.select(F.col("name").alias(side), "prefix", F.col(low).alias("low"), F.col(high).alias("high"),
-                       F.substring(F.col("x"), F.lit(1), F.col("prefix")).alias("head"), key.alias("key"))
+    return (rows.select(F.col("name").alias(side), "prefix", "head", F.col(low).alias("low"), F.col(high).alias("high"),
+                        kept.alias("set"), "need")
+            .withColumn("spare", F.size("set") - F.col("need")).where("spare >= 0"))
+
+
+def _together(spares: DataFrame, threshold: float) -> dict[tuple[int, int, int], int]:
+    """How many members a signature holds, by (prefix, low, high): all that two
+    names must share at least, or as many as names of the most ``spare``
+    members have ``_MOST_KEYS`` signatures of."""
+    out = {}
+    for r in spares.groupBy("prefix", "low", "high").agg(F.max("spare").alias("spare")).select(
+            "*", _overlap(_lowest(F.col("low")), _lowest(F.col("high")), F.create_map(
+                *[F.lit(v) for p in range(5) for v in (p, _least_jaro(threshold, p))])[F.col("prefix")]).alias("least")).collect():
+        n = min(2, r["least"]) if r["prefix"] < 2 else 1
+        while n < r["least"] and comb(r["spare"] + n + 1, n + 1) <= _MOST_KEYS:
+            n += 1
+        out[r["prefix"], r["low"], r["high"]] = n
+    return out
+
+
+def _keys(members: DataFrame, together: DataFrame, side: str) -> DataFrame:
+    """(name, prefix, low, high, head, key): the signatures of every name.
+
+    Two names whose sets share ``need`` members share n of the first ``spare +
+    n`` of each, n no more than they must share.
+    """
+    first = F.slice("set", F.lit(1), F.col("spare") + F.col("n"))
+    start = F.array(F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("at")))
+    # One member more at a time, so that enough are left for the rest.
+    chosen = _once(F.struct(first.alias("set"), "spare"), lambda u: F.aggregate(
+        F.sequence(F.lit(1), F.col("n")), start, lambda some, k: F.flatten(F.transform(
+            some, lambda c: F.transform(F.sequence(c["at"] + 1, u["spare"] + k), lambda i: F.struct(
+                F.xxhash64(c["h"], F.get(u["set"], i - 1)).alias("h"), i.alias("at")))))))
+    return (members.join(F.broadcast(together), ["prefix", "low", "high"])
+            .select(side, "prefix", "low", "high", "head", F.explode(chosen["h"]).alias("key")))
 
 
 def fuzzy_pairs(left: DataFrame, left_on: str, right: DataFrame, right_on: str, threshold: float = 0.8) -> DataFrame:
@@ -187,21 +258,31 @@ def fuzzy_pairs(left: DataFrame, left_on: str, right: DataFrame, right_on: str,
 
     Names meet only by a shared signature (see ``_keys``), an equi-join; what
     is exact is the score, so a signature may bring too many pairs together
-    but never miss one.  The driver sees the 256 byte counts and the bands of
-    the lengths (fewer than 100).
+    but never miss one.  Pairs are looked for by the length of their common
+    prefix: the shorter it is, the more they must share; the longer, the more
+    of it is part of the signature.  The driver sees the 256 byte counts, the
+    bands of the lengths (fewer than 200) and a number for each two of them.
     """
     check_threshold(threshold)
-    a, b = _signed(left, left_on), _signed(right, right_on)
+    a, b = _stored(_signed(left, left_on)), _stored(_signed(right, right_on))
     counts = {r["byte"]: r["n"] for r in a.select(F.explode("bytes").alias("byte"))
               .unionByName(b.select(F.explode("bytes").alias("byte"))).groupBy("byte").agg(F.count("*").alias("n")).collect()}
     ranks = {byte: i for i, byte in enumerate(sorted(counts, key=lambda x: (counts[x], x)))}
     bands = [sorted(r["band"] for r in d.select("band").distinct().collect()) for d in (a, b)]
+    none = a.limit(0).select(F.col("name").alias("left"), F.col("name").alias("right"), F.lit(0.0).alias("similarity"))
     if not all(bands):
-        return (a.limit(0).select(F.col("name").alias("left"), F.col("name").alias("right"),
-                                  F.lit(0.0).alias("similarity")))
-    met = _keys(a, ranks, bands[1], threshold, "left").join(
-        _keys(b, ranks, bands[0], threshold, "right"), ["prefix", "low", "high", "head", "key"])
-    return (met.select("left", "right").distinct()
+        return none
+    sets = [_stored(_members(a, b, ranks, bands[1], threshold, "left")),
+            _stored(_members(b, a, ranks, bands[0], threshold, "right"))]
+    sizes = _together(sets[0].select("prefix", "low", "high", "spare").unionByName(
+        sets[1].select("prefix", "low", "high", "spare")), threshold)
+    if not sizes:
+        return none
+    together = left.sparkSession.createDataFrame([(*k, n) for k, n in sorted(sizes.items())],
+                                                 "prefix int, low int, high int, n int")
+    met = _keys(sets[0], together, "left").join(_keys(sets[1], together, "right"),
+                                                ["prefix", "low", "high", "head", "key"])
+    return (met.select("left", "right").repartition(_tasks(left), "left", "right").distinct()
             .withColumn("similarity", jaro_winkler_columns("left", "right"))
             .where(F.col("similarity") > F.lit(threshold)))
 
