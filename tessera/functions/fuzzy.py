@@ -140,14 +140,14 @@ _MOST_KEYS = 100
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """``df``, written once to the shared scratch folder and read back."""
+    """``df``, written once to the shared scratch folder and read back by many
+    tasks: names are few bytes but much work."""
     path = scratch_path(df.sparkSession, "fuzzy")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).repartition(_tasks(df))
 
 
 def _tasks(df: DataFrame) -> int:
-    """Names and pairs are few bytes but much work: their tasks are not to be put together."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -156,7 +156,7 @@ def _signed(df: DataFrame, name: str) -> DataFrame:
     bytes in hex."""
     long = F.floor(F.log(F.col("l") / _SHORT) / F.log(F.lit(_BAND)) + 1e-9) + _SHORT
     return (df.select(F.col(name).alias("name")).where(F.col(name).isNotNull() & (F.col(name) != ""))
-            .repartition(_tasks(df), "name").distinct()
+            .distinct()
             .select("name", F.expr(_byte_view("name")).alias("x"))
             .select("*", F.length("x").alias("l"), F.regexp_extract_all(F.hex(F.encode("name", "UTF-8")),
                                                                         F.lit(".."), 0).alias("bytes"))
@@ -187,33 +187,35 @@ def _alphabet(names: DataFrame) -> DataFrame:
             .groupBy(F.col("band").alias("other")).agg(F.map_from_entries(F.collect_list(F.struct("byte", "n"))).alias("most")))
 
 
-def _members(names: DataFrame, met: DataFrame, ranks: dict[str, int], others: list[int], threshold: float,
+def _ranked(names: DataFrame, ranks: dict[str, int]) -> DataFrame:
+    """``names`` with ``tokens`` for their bytes: bytes are numbered by rarity,
+    repeats told apart, so a name is a set of ascending numbers."""
+    rank = F.create_map(*[F.lit(v) for kv in sorted(ranks.items()) for v in kv])
+    by_rarity = F.array_sort(F.transform("bytes", lambda b: F.struct(rank[b].cast("bigint").alias("r"), b.alias("byte"))))
+    tokens = _once(by_rarity, lambda ranked: _once(F.transform(ranked, lambda v: v["r"]), lambda rs: F.transform(
+        ranked, lambda v, i: F.struct((i - F.array_position(rs, v["r"]) + 2).cast("int").alias("nth"), v["byte"].alias("byte"),
+                                      (v["r"] * (1 << 32) + i - F.array_position(rs, v["r"]) + 1).alias("n")))))
+    return names.withColumn("tokens", tokens)
+
+
+def _members(names: DataFrame, met: DataFrame, others: list[int], threshold: float,
              side: str) -> DataFrame:
     """(name, prefix, head, low, high, set, spare): the names' sets for every
     band and every length of a common prefix of the other side, ``met``.
 
-    Bytes are numbered by rarity, repeats told apart, so a name is a set of
-    ascending numbers; those that no name of the other band has are left out.
-    ``spare`` is how many of the rest may go without a partner.
+    Members that no name of the other band has are left out.  ``spare`` is how many of the rest may go without a partner.
     """
     heads = (met.select("x", F.explode(F.sequence(F.lit(1), F.least(F.lit(4), F.col("l")))).alias("prefix"))
              .select("prefix", F.substring(F.col("x"), F.lit(1), F.col("prefix")).alias("head")).distinct())
     longer = (names.withColumn("prefix", F.explode(F.sequence(F.lit(1), F.least(F.lit(4), F.col("l")))))
               .withColumn("head", F.substring(F.col("x"), F.lit(1), F.col("prefix"))).join(heads, ["prefix", "head"], "left_semi"))
     rows = names.withColumn("prefix", F.lit(0)).withColumn("head", F.lit("")).unionByName(longer)
-    rank = F.create_map(*[F.lit(v) for kv in sorted(ranks.items()) for v in kv])
     jaro = F.create_map(*[F.lit(v) for p in range(5) for v in (p, _least_jaro(threshold, p))])[F.col("prefix")]
     rows = (rows.withColumn("other", F.explode(F.array(*[F.lit(b) for b in others])))
             .withColumn("need", _overlap(F.col("l"), _lowest(F.col("other")), jaro)).where("need <= l")
             .join(F.broadcast(_alphabet(met)), "other"))
-    by_rarity = F.array_sort(F.transform("bytes", lambda b: F.struct(rank[b].cast("bigint").alias("r"), b.alias("b"))))
-
-    def member(ranked: Column, most: Column, v: Column, i: Column) -> Column:
-        nth = i - F.array_position(ranked, v) + 1
-        return F.when(nth < F.coalesce(F.try_element_at(most, v["b"]), F.lit(0)), v["r"] * (1 << 32) + nth)
-
-    kept = F.array_compact(_once(by_rarity, lambda ranked: _once(F.col("most"), lambda most: F.transform(
-        ranked, lambda v, i: member(ranked, most, v, i)))))
+    kept = _once(F.col("most"), lambda most: F.transform(F.filter("tokens", lambda v: v["nth"] <= F.coalesce(
+        F.try_element_at(most, v["byte"]), F.lit(0))), lambda v: v["n"]))
     low, high = ("band", "other") if side == "left" else ("other", "band")
     return (rows.select(F.col("name").alias(side), "prefix", "head", F.col(low).alias("low"), F.col(high).alias("high"),
                         kept.alias("set"), "need")
@@ -272,8 +274,9 @@ def fuzzy_pairs(left: DataFrame, left_on: str, right: DataFrame, right_on: str,
     none = a.limit(0).select(F.col("name").alias("left"), F.col("name").alias("right"), F.lit(0.0).alias("similarity"))
     if not all(bands):
         return none
-    sets = [_stored(_members(a, b, ranks, bands[1], threshold, "left")),
-            _stored(_members(b, a, ranks, bands[0], threshold, "right"))]
+    a, b = _stored(_ranked(a, ranks)), _stored(_ranked(b, ranks))
+    sets = [_stored(_members(a, b, bands[1], threshold, "left")),
+            _stored(_members(b, a, bands[0], threshold, "right"))]
     sizes = _together(sets[0].select("prefix", "low", "high", "spare").unionByName(
         sets[1].select("prefix", "low", "high", "spare")), threshold)
     if not sizes:
@@ -282,6 +285,7 @@ def fuzzy_pairs(left: DataFrame, left_on: str, right: DataFrame, right_on: str,
                                                  "prefix int, low int, high int, n int")
     met = _keys(sets[0], together, "left").join(_keys(sets[1], together, "right"),
                                                 ["prefix", "low", "high", "head", "key"])
+    # Pairs are few bytes but much work, too.
     return (met.select("left", "right").repartition(_tasks(left), "left", "right").distinct()
             .withColumn("similarity", jaro_winkler_columns("left", "right"))
             .where(F.col("similarity") > F.lit(threshold)))

@@ -105,7 +105,8 @@ def test_numbered_names_meet_only_as_permutations(spark):
     assert {(r.left, r.right) for r in out.collect()} == {(x, y) for x in left for y in right if x[9:] == y[9:]}
     sets = [F._signed(a, "l"), F._signed(b, "r")]
     ranks = {r.byte: i for i, r in enumerate(sets[0].unionByName(sets[1]).selectExpr("explode(bytes) byte").distinct().collect())}
-    members = [F._members(sets[0], sets[1], ranks, [18], 0.8, "left"), F._members(sets[1], sets[0], ranks, [18], 0.8, "right")]
+    sets = [F._ranked(d, ranks) for d in sets]
+    members = [F._members(sets[0], sets[1], [18], 0.8, "left"), F._members(sets[1], sets[0], [18], 0.8, "right")]
     sizes = F._together(members[0].select("prefix", "low", "high", "spare"), 0.8)
     together = spark.createDataFrame([(*k, n) for k, n in sizes.items()], "prefix int, low int, high int, n int")
     met = F._keys(members[0], together, "left").join(F._keys(members[1], together, "right"),
