@@ -138,6 +138,17 @@ def test_salted_join_equals_plain_join(spark):
     assert a == b
 
 
+def test_salted_join_never_broadcasts_the_copied_side(spark):
+    """The planner counts a row once, before its copies; before, it broadcast them."""
+    big = spark.range(3000).select((F.col("id") % 50).alias("g"), F.col("id").alias("item"))
+    small = spark.range(50).select(F.col("id").alias("g"), F.lit("a").alias("tag"))
+    for how in ("inner", "left"):
+        out = X.salted_join(big, small, ["g"], "item", how=how)
+        assert out.count() == 3000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def _large_and_small_groups(spark):
     """Intervals of two groups, one of several array rows per hash block."""
     items = spark.range(3000).select(F.when(F.col("id") < 5, "small").otherwise("large").alias("g"), "id",
