@@ -149,6 +149,16 @@ def test_salted_join_never_broadcasts_the_copied_side(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_existence_flags_hold_no_copied_keys_in_memory(spark):
+    from tessera.operators import aggregates as A
+    asked = spark.range(200).select(F.col("id").alias("k"))
+    facts = spark.range(400).select((F.col("id") * 2).alias("k"))
+    out = A.exists_flag(asked, facts, ["k"])
+    assert {r.k for r in out.where("exists").collect()} == set(range(0, 200, 2)) and out.count() == 200
+    out.collect()
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def _large_and_small_groups(spark):
     """Intervals of two groups, one of several array rows per hash block."""
     items = spark.range(3000).select(F.when(F.col("id") < 5, "small").otherwise("large").alias("g"), "id",
