@@ -208,11 +208,13 @@ def generic_join(spark, sf):
     """Any condition, any kind, one after the other."""
     cust, orders, lines = (_t(spark, sf, n) for n in ("customer", "orders", "lineitem"))
     dear = F.col("o_totalprice") > 150000
-    left = (J.join(cust, orders, (F.col("c_custkey") == F.col("o_custkey")) & dear, "left")
+    left = (J.join(cust, orders, (F.col("c_custkey") == F.col("o_custkey")) & dear, "left", by=("c_custkey", "o_custkey"))
             .groupBy(F.col("c_custkey").alias("key")).agg(F.count("o_orderkey").alias("n")))
-    anti = J.join(cust, orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(
+    anti = J.join(cust, orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti",
+                  by=("c_custkey", "o_custkey")).select(
         F.col("c_custkey").alias("key"), F.lit(0).cast("bigint").alias("n"))
-    inner = (J.join(orders, lines, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("l_shipdate") > F.col("o_orderdate")))
+    inner = (J.join(orders, lines, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("l_shipdate") > F.col("o_orderdate")),
+                    by=("o_orderkey", "l_orderkey"))
              .groupBy(F.col("o_orderkey").alias("key")).agg(F.count("*").alias("n")))
     parts = [df.select(F.lit(how).alias("how"), "key", "n") for how, df in (("left", left), ("anti", anti), ("inner", inner))]
     return reduce(DataFrame.unionByName, parts)

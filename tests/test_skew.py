@@ -24,3 +24,17 @@ def test_no_task_holds_the_hot_key(mode):
     assert shares, "no shuffle stages measured"
     worst = {k: v for k, v in shares.items() if v >= 0.2}
     assert not worst, worst
+
+
+def test_join_deals_large_tables_over_more_tasks(spark):
+    """Before, a task's share grew with the tables once there were no more partitions."""
+    from pyspark.sql import functions as F
+    from tessera.operators import joins as J
+    a = spark.range(4000).select(F.col("id").alias("a"))
+    b = spark.range(9000).select((F.col("id") % 3000).alias("b"), F.col("id").alias("n"))
+    on = F.col("a") == F.col("b")
+    for how in ("inner", "left", "left_anti"):
+        out = J.join(a, b, on, how, by=("a", "b"), task_rows=100)
+        assert sorted(map(str, out.collect())) == sorted(map(str, a.join(b, on, how).collect()))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 2 and ", 90" in plan
