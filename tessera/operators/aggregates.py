@@ -170,13 +170,23 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
     a superset of the partitioning keys, so no further exchange).  Building
     level by level with a shuffle each would move the data once per level.
     """
+    return _nest(_entries(df, id_cols, levels, leaf_key, leaf_value, pick, text_default, value_default),
+                 id_cols, levels, leaf_key, out, split_levels)
+
+
+def _entries(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str, pick=F.max,
+             text_default: str = "", value_default: float = 0.0) -> DataFrame:
+    """One row per full key, its value as ``_v``."""
     d = df.select(*[F.col(c) for c in id_cols],
                   *[F.coalesce(F.col(c).cast("string"), F.lit(text_default)).alias(c)
                     for c in levels + [leaf_key]],
                   F.coalesce(F.col(leaf_value).cast("double"), F.lit(value_default)).alias("_v"))
-    keys = id_cols + levels + [leaf_key]
-    row_key = id_cols + levels[:split_levels]
-    cur = d.groupBy(*keys).agg(pick("_v").alias("_v")).repartition(*row_key)
+    return d.groupBy(*id_cols, *levels, leaf_key).agg(pick("_v").alias("_v"))
+
+
+def _nest(entries: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, out: str,
+          split_levels: int = 0) -> DataFrame:
+    cur = entries.repartition(*id_cols, *levels[:split_levels])
     grp = id_cols + levels
     cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v"), orderable=True).alias("_m"))
     for lvl in reversed(levels[split_levels:]):
@@ -186,18 +196,21 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
 
 
 def nested_map_parts(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str,
-                     out: str = "prices", most: int = 10_000, **options) -> DataFrame:
+                     out: str = "prices", most: int = 10_000, split_levels: int = 0, **options) -> DataFrame:
     """``nested_map`` in rows of at most about ``most`` entries: (id, ``part``,
     map).  An id of more entries has several parts, dealt by the hash of a full
     key, so that no row or task holds its whole history; the parts' entries are
-    disjoint, and ``merge_parts`` makes one map of them."""
-    from tessera.operators.sampling import salted_join
+    disjoint, and ``merge_parts`` makes one map of them.
+
+    Rows are deduped once, before they are counted and dealt; counts and
+    entries share that shuffle, and an id with very many entries is split by
+    AQE where they meet its count."""
     keys = levels + [leaf_key]
-    sized = (df.select(*id_cols, *keys).distinct().groupBy(*id_cols)
-             .agg(F.ceil(F.count(F.lit(1)) / most).cast("bigint").alias("_parts")))
-    dealt = salted_join(df.select(*id_cols, *keys, leaf_value), sized, id_cols, keys).withColumn(
-        "part", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in keys]), F.col("_parts"))).drop("_parts")
-    return nested_map(dealt, [*id_cols, "part"], levels, leaf_key, leaf_value, out=out, **options)
+    entries = _entries(df, id_cols, levels, leaf_key, leaf_value, **options)
+    sized = entries.groupBy(*id_cols).agg(F.ceil(F.count("_v") / most).cast("bigint").alias("_parts"))
+    dealt = entries.join(sized, id_cols).withColumn(
+        "part", F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.col("_parts"))).drop("_parts")
+    return _nest(dealt, [*id_cols, "part"], levels, leaf_key, out, split_levels)
 
 
 def merge_parts(parts: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str,

@@ -38,3 +38,13 @@ def test_join_deals_large_tables_over_more_tasks(spark):
         assert sorted(map(str, out.collect())) == sorted(map(str, a.join(b, on, how).collect()))
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("RepartitionByExpression") == 2 and ", 90" in plan
+
+
+def test_nested_parts_of_missing_and_blank_keys_are_disjoint(spark):
+    """Before, a NULL and a blank level of one full key could go to two parts."""
+    from tessera.operators import aggregates as A
+    rows = [(1, lvl, f"d{i}", float(i)) for i in range(40) for lvl in (None, "", "x")]
+    df = spark.createDataFrame(rows, "id int, lvl string, day string, price double")
+    parts = A.nested_map_parts(df, ["id"], ["lvl"], "day", "price", most=4)
+    flat = [(r.lvl, r.day, r.price) for r in A.flatten_nested_map(parts, ["id", "part"], ["lvl"], "day", "price").collect()]
+    assert sorted(flat) == sorted({(lvl or "", day, price) for _, lvl, day, price in rows}) and parts.count() > 10
