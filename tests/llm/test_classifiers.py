@@ -116,6 +116,45 @@ def test_threshold_is_the_quantile():
     assert ((~low).astype(int) == y).mean() > 0.9
 
 
+def test_every_labelled_document_counts(spark):
+    """More documents than a sample of 4,000 a label: bounds, weights and
+    threshold are those of all of them, whatever the partitioning."""
+    n = 9000
+    docs = spark.range(n, numPartitions=7).select(F.col("id").alias("doc_id"), F.expr(
+        "concat(repeat('word ', cast(3 + abs(xxhash64(id)) % 40 as int)), repeat('!! ', cast(abs(xxhash64(id, 1)) % 9 as int)), id)"
+    ).alias("text"))
+    labels = docs.select("doc_id", (F.abs(F.xxhash64("doc_id", F.lit(1))) % 9 < 4 + F.col("doc_id") % 3)
+                         .cast("int").alias("quality"))
+    model = bradley_terry.fit(docs, labels)
+    again = bradley_terry.fit(docs.repartition(3), labels)
+    assert np.array_equal(model.weights, again.weights) and model.threshold == again.threshold
+    rows = docs.join(labels, "doc_id").orderBy(F.xxhash64(F.col("doc_id").cast("string"))).toPandas()
+    x, y = np.array([bradley_terry.features(t) for t in rows.text]), rows.quality.to_numpy()
+    for j, e in enumerate(model.edges):
+        quantiles = np.quantile(x[:, j], np.arange(1, 8) / 8, method="inverted_cdf")
+        assert np.allclose(np.unique(e), np.unique(np.ldexp(np.floor(np.frexp(quantiles)[0] * 512),
+                                                            np.frexp(quantiles)[1] - 9)))
+    codes = model.codes(x)
+    weights = bradley_terry._newton(lambda w: bradley_terry._slopes(model, w, codes[y == 1], codes[y == 0]),
+                                    np.zeros(len(model.weights)), 1.0)
+    assert np.allclose(model.weights, weights)
+    assert abs((model.raw(x) < model.threshold).mean() - (y == 0).mean()) < 0.001
+
+
+def test_blocks_of_documents_add_up(spark, monkeypatch):
+    """Many blocks, the rarer label in several of them, sums added up by tasks."""
+    docs = spark.range(3000, numPartitions=5).select(F.col("id").alias("doc_id"), F.expr(
+        "concat(repeat('word ', cast(3 + abs(xxhash64(id)) % 40 as int)), repeat('!! ', cast(abs(xxhash64(id, 1)) % 9 as int)), id)"
+    ).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 20 > 0).cast("int").alias("quality"))
+    monkeypatch.setattr(bradley_terry, "BLOCK", 100)
+    monkeypatch.setattr(bradley_terry, "LEAST", 20)
+    few = bradley_terry.fit(docs, labels)
+    monkeypatch.setattr(bradley_terry, "_FAN", 4)
+    many = bradley_terry.fit(docs, labels)
+    assert np.array_equal(few.weights, many.weights) and few.threshold == many.threshold and few.weights.any()
+
+
 # -- Kneser-Ney ---------------------------------------------------------------
 
 def slow_codes(text):
