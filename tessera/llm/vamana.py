@@ -6,7 +6,8 @@ into shards of bounded size, so that a few long vectors don't crowd the others
 of a shard together.  A task builds its shard's graph: points enter in growing batches, a greedy beam search from the
 medoid proposes neighbours, and relaxed distance pruning keeps a nearest
 candidate only if no neighbour kept before is closer to it by the factor
-``alpha``, which leaves edges in many directions.  It then searches some of its own points
+``alpha``, which leaves edges in many directions.  Points that no walk from the
+medoid reaches get an edge from a near one.  It then searches some of its own points
 and widens the beam until they find nearly all that an exact search finds.
 Queries, in blocks, are beam searched in every shard at its width, and the
 shards' findings are merged.
@@ -23,6 +24,10 @@ from pyspark.sql import types as T
 from tessera.llm.common import keep
 
 
+#: Queries searched side by side hold so many places of beams together at most.
+SLICE = 100_000
+
+
 def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, width: int,
                 step: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(ids, squared distances) of the ``width`` nearest points that a greedy
@@ -133,7 +138,36 @@ def build(x: np.ndarray, degree: int = 32, width: int = 64, alpha: float = 1.2,
                 graph[p[~full]] = -np.sort(-c[~full], axis=1)[:, :degree]
                 if full.any():
                     graph[p[full]] = prune(x, p[full], c[full], degree, alpha)
-    return graph, medoid
+    return connect(x, graph, medoid, width), medoid
+
+
+def connect(x: np.ndarray, graph: np.ndarray, start: int, width: int, each: int = 8) -> np.ndarray:
+    """``graph`` with edges added until every point is reached from ``start``:
+    pruning may leave points, of crowds of near copies above all, without a way
+    in, which no width of beam finds.  Points not reached hang on the nearest
+    one that a search for them finds, up to ``each`` more a round."""
+    reached = np.zeros(len(x), bool)
+
+    def walk(front: np.ndarray) -> None:
+        while len(front):
+            reached[front] = True
+            front = np.unique(graph[front])
+            front = front[(front >= 0) & ~reached[front]]
+
+    walk(np.array([start]))
+    while not reached.all():
+        lost = np.flatnonzero(~reached)[:512]
+        to = beam_search(x, graph, start, x[lost], width)[0][:, 0]
+        by = np.argsort(to, kind="stable")
+        to, lost = to[by], lost[by]
+        rank = np.arange(len(to)) - np.searchsorted(to, to)
+        to, lost, rank = to[rank < each], lost[rank < each], rank[rank < each]
+        at = (graph[to] >= 0).sum(axis=1) + rank
+        if at.max() >= graph.shape[1]:
+            graph = np.pad(graph, ((0, 0), (0, int(at.max()) + 1 - graph.shape[1])), constant_values=-1)
+        graph[to, at] = lost
+        walk(lost)
+    return graph
 
 
 def euclidean(v: np.ndarray) -> np.ndarray:
@@ -250,16 +284,19 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         t = t.sort_by("pos")
         v, near_one = scaled(t)
         qv = np.array(q["v"].combine_chunks().flatten()).reshape(len(q), -1)
-        graph = np.full((len(t), degree), -1, np.int64)
-        for i, near in enumerate(t["near"].to_pylist()):
+        lists = t["near"].to_pylist()
+        graph = np.full((len(t), max(map(len, lists)) or 1), -1, np.int64)
+        for i, near in enumerate(lists):
             graph[i, :len(near)] = near
         start = int(np.argmax(t["first"].to_numpy()))
         flat = np.column_stack([units(qv), np.zeros(len(qv))]).astype(np.float32)
         x, beam = euclidean(near_one), t["beam"][0].as_py()
         pid, qid = t["id"].to_numpy(), q["id"].to_numpy()
         out = []
-        for i in range(0, len(flat), 512):
-            found, _ = beam_search(x, graph, start, flat[i:i + 512], max(beam, k + 1))
+        beam = max(beam, k + 1)
+        some = max(16, min(512, SLICE // beam))
+        for i in range(0, len(flat), some):
+            found, _ = beam_search(x, graph, start, flat[i:i + some], beam)
             r, c = np.nonzero(found >= 0)
             p = found[r, c]
             score = np.einsum("ij,ij->i", v[p], qv[i + r])

@@ -99,3 +99,17 @@ def test_pruning_keeps_diverse_edges():
     x = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [0, 2.1]], np.float32)
     out = vamana.prune(x, np.array([0]), np.array([[1, 2, 3, 4, 0, -1]]), 4, 1.2)
     assert out.tolist() == [[1, 3, -1, -1]]
+
+
+def test_a_crowd_of_near_copies_is_reached():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(2500, 64))
+    v[:400] = v[0] + 0.02 * rng.normal(size=(400, 64))
+    x = vamana.euclidean(v)
+    graph, medoid = vamana.build(x)
+    seen, front = np.zeros(len(x), bool), np.array([medoid])
+    while len(front):
+        seen[front] = True
+        front = np.unique(graph[front])
+        front = front[(front >= 0) & ~seen[front]]
+    assert seen.all()
