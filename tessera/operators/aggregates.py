@@ -75,8 +75,9 @@ def exists_flag(requests: DataFrame, facts: DataFrame, on: list[str],
     hits = (facts if cond is None else facts.where(cond)).select(*on).distinct() \
         .withColumn("_hit", F.lit(True))
     # Many requests may share a key: salt by a hash of the whole request row.
+    # There may be as many hits as requests: they are copied only as asked.
     salt = F.xxhash64(*[F.col(f"`{c}`") for c in requests.columns])
-    return (salted_join(requests, hits, on, salt, how="left")
+    return (salted_join(requests, hits, on, salt, how="left", asked=True)
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 

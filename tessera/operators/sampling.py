@@ -152,19 +152,26 @@ def weighted_pick(items: DataFrame, group, item: str, weight, seed: str = "pick"
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list, salt_by, salts: int = 32,
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", asked: bool = False) -> DataFrame:
     """Equi-join that stays spread when one key of ``big`` is hot: ``big`` rows
     get a salt from a hash of ``salt_by`` and ``small`` rows are replicated once
     per salt, so a hot key's rows are spread over ``salts`` tasks.
 
     Copies are what the planner does not count: it would broadcast a ``small``
     side by its size before them, through the driver and into every task's
-    memory.  So the copied side is never broadcast; both are shuffled."""
+    memory.  So the copied side is never broadcast; both are shuffled.
+
+    With ``asked`` a row of ``small`` is copied only for the salts that ``big``
+    has of its key: no more copies than ``big`` has rows, for another reading of
+    its keys.  That is for a large ``small`` of one row per key."""
     cols = salt_by if isinstance(salt_by, (list, tuple)) else [salt_by]
     cols = [c if isinstance(c, Column) else F.col(f"`{c}`") for c in cols]
     # A cheap deterministic spread (re-executed tasks salt identically).
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("bigint"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    if asked:
+        s = small.join(b.select(*on, "_salt").distinct(), list(on))
+    else:
+        s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return b.join(s.hint("merge"), list(on) + ["_salt"], how).drop("_salt")
 
 
