@@ -154,7 +154,7 @@ def _money(price: str, money_scale: int | None):
 def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str,
                leaf_value: str, out: str = "prices", pick=F.max,
                text_default: str = "", value_default: float = 0.0,
-               split_levels: int = 0) -> DataFrame:                       # A8
+               split_levels: int = 0, task_rows: int | None = None) -> DataFrame:                       # A8
     """Rows -> nested maps ``levels[0] -> … -> {leaf_key: leaf_value}``.
 
     Missing text becomes ``""`` and a missing value ``0.0``; duplicate full
@@ -170,24 +170,38 @@ def nested_map(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: s
     every level is then built inside those partitions (each level groups by
     a superset of the partitioning keys, so no further exchange).  Building
     level by level with a shuffle each would move the data once per level.
+
+    With ``task_rows`` it is one: rows are dealt by the output row's key over
+    tasks of about so many rows (one count, answered by Parquet's footers) and
+    deduped there.  That is for rows that repeat few full keys, which a dedupe
+    of its own would only move once more.
     """
-    return _nest(_entries(df, id_cols, levels, leaf_key, leaf_value, pick, text_default, value_default),
-                 id_cols, levels, leaf_key, out, split_levels)
+    deal = None
+    if task_rows:
+        tasks = max(-(-df.count() // task_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        deal = (tasks, *id_cols, *levels[:split_levels])
+    entries = _entries(df, id_cols, levels, leaf_key, leaf_value, pick, text_default, value_default, deal)
+    if deal is None:
+        entries = entries.repartition(*id_cols, *levels[:split_levels])
+    return _nest(entries, id_cols, levels, leaf_key, out, split_levels)
 
 
 def _entries(df: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, leaf_value: str, pick=F.max,
-             text_default: str = "", value_default: float = 0.0) -> DataFrame:
-    """One row per full key, its value as ``_v``."""
+             text_default: str = "", value_default: float = 0.0, deal: tuple | None = None) -> DataFrame:
+    """One row per full key, its value as ``_v``; ``deal``: how rows are dealt
+    before, if they are."""
     d = df.select(*[F.col(c) for c in id_cols],
                   *[F.coalesce(F.col(c).cast("string"), F.lit(text_default)).alias(c)
                     for c in levels + [leaf_key]],
                   F.coalesce(F.col(leaf_value).cast("double"), F.lit(value_default)).alias("_v"))
+    d = d.repartition(*deal) if deal else d
     return d.groupBy(*id_cols, *levels, leaf_key).agg(pick("_v").alias("_v"))
 
 
 def _nest(entries: DataFrame, id_cols: list[str], levels: list[str], leaf_key: str, out: str,
           split_levels: int = 0) -> DataFrame:
-    cur = entries.repartition(*id_cols, *levels[:split_levels])
+    """Nested maps of ``entries``, which are dealt by the output row's key."""
+    cur = entries
     grp = id_cols + levels
     cur = cur.groupBy(*grp).agg(_sorted_map(F.col(leaf_key), F.col("_v"), orderable=True).alias("_m"))
     for lvl in reversed(levels[split_levels:]):
@@ -211,6 +225,7 @@ def nested_map_parts(df: DataFrame, id_cols: list[str], levels: list[str], leaf_
     sized = entries.groupBy(*id_cols).agg(F.ceil(F.count("_v") / most).cast("bigint").alias("_parts"))
     dealt = entries.join(sized, id_cols).withColumn(
         "part", F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.col("_parts"))).drop("_parts")
+    dealt = dealt.repartition(*id_cols, "part", *levels[:split_levels])
     return _nest(dealt, [*id_cols, "part"], levels, leaf_key, out, split_levels)
 
 

@@ -732,7 +732,7 @@ GROUP BY uuid, source, provider, currency, price_type, finish, date
 """)
 def nested_price_map(spark, sf):
     levels = ["source", "provider", "currency", "price_type", "finish"]
-    nested = A.nested_map(_price_rows(spark, sf), ["uuid"], levels, "date", "price", out="prices")
+    nested = A.nested_map(_price_rows(spark, sf), ["uuid"], levels, "date", "price", out="prices", task_rows=200_000)
     return A.flatten_nested_map(nested, ["uuid"], levels, "date", "price")
 
 

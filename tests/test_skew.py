@@ -59,3 +59,16 @@ def test_exists_flag_copies_only_what_is_asked(spark):
     want = [(*r, r.k in (1, 3, 5)) for r in req.collect()]
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
     assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nested_map_of_one_shuffle(spark):
+    """Before, rows were shuffled once to be deduped and once more to be nested."""
+    from tessera.operators import aggregates as A
+    rows = [(i % 9, lvl, f"d{i % 20}", float(i)) for i in range(300) for lvl in (None, "", "x")]
+    df = spark.createDataFrame(rows, "id int, lvl string, day string, price double")
+    for split in (0, 1):
+        plain = A.nested_map(df, ["id"], ["lvl"], "day", "price", split_levels=split)
+        dealt = A.nested_map(df, ["id"], ["lvl"], "day", "price", split_levels=split, task_rows=50)
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+        plan = [d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1] for d in (plain, dealt)]
+        assert [p.count("Exchange") for p in plan] == [2, 1]
