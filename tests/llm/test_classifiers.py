@@ -312,3 +312,12 @@ def test_boilerplate_decides(spark):
                                  + [(100 + i, f"{junk}\n{i}") for i in range(20)], "doc_id long, text string")
     kept = {r.doc_id for r in line_crf.assess(docs, line_crf.fit(docs)).where("kept").collect()}
     assert kept == set(range(40))
+
+
+def test_toxicity_is_scored_in_portions(spark, edge, labels):
+    """Before, all chunks were shuffled at once when the result was read, and stayed."""
+    model = kneser_ney.fit(edge, labels, learn=F.lit(True), calibration=F.lit(True))
+    out = kneser_ney.score(edge, model)
+    files = out.inputFiles()
+    assert files and not any("op7-chunks" in f for f in files)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(i) for i, _ in EDGE)
