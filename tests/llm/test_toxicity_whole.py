@@ -102,3 +102,29 @@ def test_a_fold_is_taken_off_the_whole(spark):
             rest, kneser_ney.contexts(rest), kneser_ney.DISCOUNT)).collect()}
         mine = {k: v for (g, k), v in got.items() if g == f}
         assert mine.keys() == want.keys() and all(abs(mine[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_chunks_take_less_room_than_their_texts(spark):
+    """Before, the n-grams of every word were stored as numbers: 2.0 bytes for a byte of text here in all."""
+    rng = random.Random(9)
+    parts = [["".join(rng.choices("abcdefghijklmnoprstu", k=3)) for _ in range(24)] for _ in range(3)]
+    words = [a + b + c for a in parts[0] for b in parts[1] for c in parts[2]]
+    rng.shuffle(words)
+    texts = [" ".join(words[i:i + 200]) for i in range(0, len(words), 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    row = kneser_ney.chunks(docs, "text", {"doc_id": "doc_id"}).first()
+    stored = sum(len(v) for v in row if isinstance(v, (bytes, bytearray)))
+    assert stored < sum(map(len, texts)), stored / sum(map(len, texts))
+
+
+def test_folds_are_counted_one_by_one(spark):
+    """Before, the texts and counts of all folds were shuffled at once."""
+    docs = spark.createDataFrame([(i, f"some words and word{chr(97 + i % 7)}") for i in range(60)] + [(None, "no id")],
+                                 "__id long, __text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(0, 60, 3)], "__id long, __y int")
+    tables = kneser_ney.fold_counts(docs, known)
+    of = [{r.fold for r in t.select("fold").distinct().collect()} for t in tables]
+    assert sorted(map(sorted, of)) == [[f] for f in range(5)]
+    joined = docs.join(known, "__id").withColumn("f", F.crc32(F.col("__id").cast("string").cast("binary")) % 5)
+    want = {tuple(r) for r in kneser_ney.count_grams(joined, "__text", "__y", "f").collect()}
+    assert {tuple(r) for t in tables for r in t.collect()} == want
