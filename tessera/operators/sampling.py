@@ -247,8 +247,11 @@ def interval_index(items: DataFrame, group, item: str, weight, blocks: int = 102
 
 
 def _upto(ascending: Column, value: Column) -> Column:
-    """How many of ``ascending`` are no larger than ``value``, by bisection."""
-    steps = F.array(*[F.lit(1 << b) for b in range(24, -1, -1)])
+    """How many of ``ascending`` are no larger than ``value``, by bisection: as
+    many steps as the array's size has binary digits.  ``value`` is read in each
+    step, so it should be at hand."""
+    digits = F.length(F.bin(F.size(ascending).cast("bigint")))
+    steps = F.slice(F.array(*[F.lit(1 << b) for b in range(24, -1, -1)]), -digits, digits)
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         F.try_element_at(ascending, at + step) <= value, at + step).otherwise(at))
 
@@ -281,7 +284,11 @@ def _find(requests: DataFrame, index: DataFrame, tops: DataFrame, g: list, rk: l
     def roll(d: Column) -> Column:
         r = F.floor(hash_uniform(seed, [*rk, d]) * below).cast("bigint")
         r = _skipping(r, F.col("_taken")) if taken else r
-        return F.struct(d.alias("d"), r.alias("roll"), _upto(starts, r).alias("at"))
+        return F.struct(d.alias("d"), r.alias("roll"))
+
+    # Apart from ``roll``, or every step of the bisection would hash anew.
+    def find(x: Column) -> Column:
+        return F.struct(x["d"].alias("d"), x["roll"].alias("roll"), _upto(starts, x["roll"]).alias("at"))
 
     def place(x: Column) -> Column:
         lo = F.element_at(starts, x["at"])
@@ -289,7 +296,7 @@ def _find(requests: DataFrame, index: DataFrame, tops: DataFrame, g: list, rk: l
         copy = F.pmod(F.xxhash64(*rk, x["d"]), _copies(weight))
         return F.struct(x["d"].alias("d"), x["roll"].alias("roll"), lo.alias("lo"), copy.alias("copy"))
 
-    rolls = F.transform(F.transform(F.sequence(F.lit(0), (F.col(k) - 1).cast("int")), roll), place)
+    rolls = F.transform(F.transform(F.transform(F.sequence(F.lit(0), (F.col(k) - 1).cast("int")), roll), find), place)
     dealt = (asked.select(*requests.columns, "_total", F.explode(rolls).alias("_x"))
              .select(*requests.columns, "_total", F.col("_x.d").alias(draw_col), F.col("_x.roll").alias("_roll"),
                      F.col("_x.lo").alias("_lo"), F.col("_x.copy").alias("_copy")))
