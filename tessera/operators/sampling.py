@@ -356,13 +356,14 @@ def _skipping(roll: Column, taken: Column) -> Column:
 
 
 def _drawn_without_replacement(requests: DataFrame, index: DataFrame, tops: DataFrame, g: list, rk: list,
-                               carry: list, seed: str, again: str, oversample: int, direct: Column,
+                               carry: list, seed: str, again: str, oversample: int, direct: Column | None,
                                draw_col: str) -> DataFrame:
     """Requests (``_k`` picks each) with their picks, one row each: (keys, carry,
     ``draw_col`` from 0, ``_item``).
 
     All roll ``oversample * _k`` times and keep the first ``_k`` distinct items
-    (those of ``direct`` roll ``_k`` times and keep all).  The rest goes in
+    (those of ``direct`` roll ``_k`` times and keep all: their rolls are picks
+    as they are, and are never gathered by request).  The rest goes in
     rounds: requests still short roll twice for each missing pick over the
     weight they have not taken.  A round adds one item to each of them at
     least, and rounds end when none is short; each is written to the shared
@@ -370,19 +371,26 @@ def _drawn_without_replacement(requests: DataFrame, index: DataFrame, tops: Data
     """
     keys = list(dict.fromkeys(g + rk))
     carry = [c for c in carry if c not in keys]
-    base = [*keys, "_k", *carry, "_direct"]
-    req = requests.withColumn("_direct", direct).select(*base, F.when(F.col("_direct"), F.col("_k")).otherwise(
-        F.col("_k") * int(oversample)).cast("int").alias("_kk"))
+    base = [*keys, "_k", *carry]
     index, tops = _stored(index, "index"), _stored(tops, "tops")
+    times = (F.col("_k") * int(oversample)).cast("int")
+    if direct is None:
+        picks, rolls = None, _find(requests.select(*base, times.alias("_kk")), index, tops, g, rk, "_kk", seed, "_d")
+    else:
+        req = requests.select(*base, direct.alias("_direct")) \
+            .withColumn("_kk", F.when(F.col("_direct"), F.col("_k")).otherwise(times))
+        rolls = _stored(_find(req, index, tops, g, rk, "_kk", seed, "_d"), "rolls")
+        picks = rolls.where("_direct").select(*keys, *carry, F.lit(0).alias("_before"), F.col("_d").alias("_i"),
+                                              F.col("_got").alias("_x"))
+        rolls = rolls.where(~F.col("_direct"))
     state = _stored(
-        _find(req, index, tops, g, rk, "_kk", seed, "_d").groupBy(*base, "_total").agg(_in_order("_d").alias("_got"))
-        .withColumn("_new", F.when(F.col("_direct"), F.col("_got"))
-                    .otherwise(_first_distinct(F.col("_got"), F.col("_k"))))
+        rolls.groupBy(*base, "_total").agg(_in_order("_d").alias("_got"))
+        .withColumn("_new", _first_distinct(F.col("_got"), F.col("_k")))
         .select(*base, "_total", "_new", F.col("_new").alias("_taken"), F.lit(0).alias("_before")), "draws-0")
     out = [state]
     while True:
         missing = F.col("_k") - F.size("_taken")
-        short = (state.where(~F.col("_direct") & (missing > 0) & (F.col("_total") > _weight_of("_taken")))
+        short = (state.where((missing > 0) & (F.col("_total") > _weight_of("_taken")))
                  .select(*base, "_taken", (missing * 2).alias("_kk")))
         if short.isEmpty():
             break
@@ -394,7 +402,6 @@ def _drawn_without_replacement(requests: DataFrame, index: DataFrame, tops: Data
             .select(*base, "_total", "_new", F.concat("_taken", "_new").alias("_taken"),
                     F.size("_taken").alias("_before")), f"draws-{len(out)}")
         out.append(state)
-    picks = None
     for s in out:
         part = s.select(*keys, *carry, "_before", F.posexplode("_new").alias("_i", "_x"))
         picks = part if picks is None else picks.unionByName(part)
@@ -431,7 +438,7 @@ def weighted_without_replacement_draws(items: DataFrame, requests: DataFrame, gr
     req = requests.select(*keys, kcol.cast("int").alias("_k")).where(F.col("_k") > 0)
     index, tops = interval_index(items, g, item, weight, blocks)
     return _drawn_without_replacement(req, index, tops, g, rk, [], f"{seed}|c", f"{seed}|r", oversample,
-                                      F.lit(False), draw_col).withColumnRenamed("_item", item)
+                                      None, draw_col).withColumnRenamed("_item", item)
 
 
 def open_packs(requests: DataFrame, content_weights: DataFrame, contents: DataFrame,

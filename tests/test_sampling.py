@@ -252,3 +252,35 @@ def test_draws_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_direct_rolls_are_not_gathered(spark):
+    """Before, every roll of a pack was gathered by request, those of single picks too."""
+    cards = spark.createDataFrame([("S", "draft", sh, f"{sh}{i}", i + 1) for sh in ("a", "b") for i in range(9)],
+                                  "setCode string, boosterName string, sheetName string, cardUuid string, cardWeight long")
+    sheets = spark.createDataFrame([("S", "draft", "a", False, False), ("S", "draft", "b", True, True)],
+                                   "setCode string, boosterName string, sheetName string, sheetAllowDuplicates boolean, "
+                                   "sheetIsFoil boolean")
+    weights = spark.createDataFrame([("S", "draft", 0, 1)], "setCode string, boosterName string, boosterIndex long, boosterWeight long")
+    contents = spark.createDataFrame([("S", "draft", 0, "a", 3), ("S", "draft", 0, "b", 2)],
+                                     "setCode string, boosterName string, boosterIndex long, sheetName string, sheetPicks long")
+    req = spark.createDataFrame([(i, "s", "draft") for i in range(30)], "request_id long, setCode string, boosterName string")
+    out = X.open_packs(req, weights, contents, sheets, cards)
+    assert any("sampling-rolls" in f for f in out.inputFiles())
+    drawn = {}
+    for r in out.collect():
+        drawn.setdefault((r.request_id, r.sheetName), []).append((r.draw, r.cardUuid))
+    assert len(drawn) == 60
+    for (_, sheet), got in drawn.items():
+        assert sorted(d for d, _ in got) == list(range(3 if sheet == "a" else 2))
+        assert sheet == "b" or len({c for _, c in got}) == 3
+
+
+def test_a_roll_is_hashed_once(spark):
+    """Before, each step of the bisection hashed the roll anew."""
+    items = spark.createDataFrame([("g", i, i + 1) for i in range(40)], "g string, id long, w long")
+    index, tops = (X._stored(t, "test") for t in X.interval_index(items, "g", "id", "w", blocks=4, piece=5))
+    req = spark.createDataFrame([(i, "g", 3) for i in range(20)], "rid long, g string, _kk int")
+    found = X._find(req, index, tops, ["g"], ["rid"], "_kk", "s", "_d")
+    assert found._jdf.queryExecution().analyzed().toString().count("md5(") == 1
+    assert found.count() == 60
